@@ -9,35 +9,45 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The item name format and the accepted value formats.
+# The characters counted as blanks, the item name format and the
+# accepted value formats.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 # Flags: i = any letter case, d = "." stops at \n only, U = Unicode blanks.
 ITEM_NAME_PATTERN = r"(?idU)^Table\s+\[(.+?)\]:\s+Last\s+data\s+timestamp\s+\((.+?)\)$"
-ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
-YEAR_FIRST_12H = (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2} [AaPp][Mm]$", "yyyy-M-d h:m:s a")
-YEAR_FIRST_24H = (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}( [AaPp][Mm])?$", "yyyy-M-d H:m:s")
-YEAR_FIRST_MINUTES = (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$", "yyyy-M-d H:m")
-MONTH_FIRST_12H = (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2} [AaPp][Mm]$", "M/d/yyyy h:m:s a")
+
+DATE = r"\d{4}-\d{2}-\d{2}"
+MINUTES = r"[T ]\d{2}:\d{2}"
+SECONDS = MINUTES + r":\d{2}([.,]\d{1,6})?"
+ZONE = r"(Z|[+-]\d{2}:\d{2})"
+
+YEAR_FIRST_12H = (r"(?U)^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}\s+[AaPp][Mm]$", "yyyy-M-d h:m:s a")
+YEAR_FIRST_24H = (r"(?U)^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}(\s+[AaPp][Mm])?$", "yyyy-M-d H:m:s")
+YEAR_FIRST_MINUTES = (r"(?U)^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}$", "yyyy-M-d H:m")
+MONTH_FIRST_12H = (r"(?U)^\d{1,2}/\d{1,2}/\d{4}\s+\d{1,2}:\d{1,2}:\d{1,2}\s+[AaPp][Mm]$", "M/d/yyyy h:m:s a")
 
 # Last second of the year 9999; larger numbers are not instants.
 MAX_EPOCH_SECOND = 253_402_300_799
 
 
 def strip_blanks(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(BLANKS))
+
+
+def _name_part(name: Column, part: int) -> Column:
+    return strip_blanks(F.regexp_extract(strip_blanks(F.coalesce(name, F.lit(""))), ITEM_NAME_PATTERN, part))
 
 
 def item_table(name: Column) -> Column:
     """Table part of an item name; empty if the name does not parse or has no table."""
-    return strip_blanks(F.regexp_extract(strip_blanks(F.coalesce(name, F.lit(""))), ITEM_NAME_PATTERN, 1))
+    return _name_part(name, 1)
 
 
 def item_column(name: Column) -> Column:
     """Column part of an item name; may be empty for a name that does parse."""
-    return strip_blanks(F.regexp_extract(strip_blanks(F.coalesce(name, F.lit(""))), ITEM_NAME_PATTERN, 2))
-
-
-def _utc(text: Column, pattern: str) -> Column:
-    return F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(pattern + " X"))
+    return _name_part(name, 2)
 
 
 def _epoch_seconds(text: Column) -> Column:
@@ -50,15 +60,26 @@ def _epoch_seconds(text: Column) -> Column:
 def _iso(text: Column) -> Column:
     # Complete the text to full seconds and a zone, so that a value without a
     # zone is UTC whatever the session's time zone is.
-    zone = F.regexp_extract(text, r"(Z|[+-]\d{2}:\d{2})$", 1)
-    body = F.regexp_replace(F.regexp_replace(text, r"(Z|[+-]\d{2}:\d{2})$", ""), ",", ".")
-    full = (
-        F.when(F.length(body) == 10, F.concat(body, F.lit("T00:00:00")))
-        .when(F.length(body) == 16, F.concat(body, F.lit(":00")))
-        .otherwise(body)
+    dotted = F.replace(text, F.lit(","), F.lit("."))
+    complete = (
+        F.when(text.rlike(f"^{DATE}{SECONDS}$"), F.concat(dotted, F.lit("Z")))
+        .when(text.rlike(f"^{DATE}{SECONDS}{ZONE}$"), dotted)
+        .when(text.rlike(f"^{DATE}$"), F.concat(text, F.lit("T00:00:00Z")))
+        .when(text.rlike(f"^{DATE}{MINUTES}$"), F.concat(text, F.lit(":00Z")))
+        .when(text.rlike(f"^{DATE}{MINUTES}{ZONE}$"), F.regexp_replace(text, f"{ZONE}$", ":00$1"))
     )
-    zoned = F.concat(full, F.when(zone == "", F.lit("Z")).otherwise(zone))
-    return F.when(text.rlike(ISO_PATTERN), F.try_to_timestamp(zoned))
+    return F.try_to_timestamp(complete)
+
+
+def _formatted(text: Column, shape: tuple[str, str], drop_marker: bool = False) -> Column:
+    """Instant of a text in one of the formats above, read as UTC."""
+    pattern, layout = shape
+    spaced = F.regexp_replace(text, r"(?U)\s+", " ")
+    if drop_marker:
+        spaced = F.regexp_replace(spaced, r" [AaPp][Mm]$", "")
+    utc = F.concat(spaced, F.lit(" Z"))
+    # The shape test comes first: rejecting by parsing costs an exception per row.
+    return F.when(text.rlike(pattern), F.try_to_timestamp(utc, F.lit(layout + " X")))
 
 
 def parse_timestamp(value: Column) -> Column:
@@ -70,15 +91,13 @@ def parse_timestamp(value: Column) -> Column:
     ``06/10/2026 01:05:00 PM``.  No zone means UTC.
     """
     text = strip_blanks(value)
-    spaced = F.regexp_replace(text, r"(?U)\s+", " ")
-    no_marker = F.regexp_replace(spaced, r" [AaPp][Mm]$", "")
     return F.coalesce(
         _epoch_seconds(text),
         _iso(text),
-        F.when(spaced.rlike(YEAR_FIRST_12H[0]), _utc(spaced, YEAR_FIRST_12H[1])),
-        F.when(spaced.rlike(YEAR_FIRST_24H[0]), _utc(no_marker, YEAR_FIRST_24H[1])),
-        F.when(spaced.rlike(YEAR_FIRST_MINUTES[0]), _utc(spaced, YEAR_FIRST_MINUTES[1])),
-        F.when(spaced.rlike(MONTH_FIRST_12H[0]), _utc(spaced, MONTH_FIRST_12H[1])),
+        _formatted(text, YEAR_FIRST_12H),
+        _formatted(text, YEAR_FIRST_24H, drop_marker=True),
+        _formatted(text, YEAR_FIRST_MINUTES),
+        _formatted(text, MONTH_FIRST_12H),
     )
 
 

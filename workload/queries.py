@@ -167,7 +167,9 @@ QUERIES["latest_per_key"] = QUERIES.pop("latest_per_key_orders")
 def _single_inventory(spark, sf_dir):
     """Latest order per customer that is tagged and not closed."""
     orders = source_lake(spark, sf_dir).table("orders").where(
-        filters.tag_contains("o_orderpriority", "I") & filters.status_is_not("o_orderstatus", "F")
+        filters.tag_contains("o_orderpriority", "I")
+        & F.col("o_custkey").isNotNull()
+        & filters.status_is_not("o_orderstatus", "F")
     )
     latest = latest_per_key(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"])
     return latest.select(F.col("o_custkey").alias("inv_id"), F.col("o_orderkey").alias("inv_ref"))
