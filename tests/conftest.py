@@ -1,0 +1,35 @@
+from __future__ import annotations
+
+import os
+import sys
+from datetime import datetime, timezone
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tidemark import build_session  # noqa: E402
+
+AS_OF = datetime(2026, 6, 15, 12, tzinfo=timezone.utc)
+HOURS = 168
+
+
+def at(text: str) -> datetime:
+    return datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = build_session(
+        "tests",
+        "local[4]",
+        spark__sql__shuffle__partitions="4",
+        spark__ui__enabled="false",
+        spark__driver__memory="4g",
+        spark__checkpoint__dir=str(shared),
+        spark__sql__warehouse__dir=str(shared / "warehouse"),
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()

@@ -1,0 +1,95 @@
+"""Heavy keys: finding them, and salting without changing results."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.findings import NULL_IS_EPOCH, NULL_IS_MISSING, Feed, dual_source_findings, single_source_findings
+from tidemark.operators.lookup import HeavyKeys, heavy_keys, lookup
+from conftest import AS_OF
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows has key 'hot', a third none, the rest a key each."""
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id")))
+    return spark.range(3000).select("id", key.alias("k"))
+
+
+@pytest.fixture(scope="module")
+def unique(spark):
+    keys = spark.range(0, 3000, 2).select(F.concat(F.lit("k"), F.col("id")).alias("u"), F.col("id").alias("payload"))
+    return keys.union(spark.sql("select 'hot', 7L")).union(spark.sql("select cast(null as string), 8L"))
+
+
+def test_heavy_keys_are_found(skewed):
+    assert heavy_keys(skewed, ["k"], min_rows=100)["k"] == HeavyKeys(("hot",), True)
+    assert not heavy_keys(skewed, ["k"])["k"]
+    assert heavy_keys(skewed.where("k != 'hot'"), ["k"], min_rows=100)["k"] == HeavyKeys((), False)
+    assert heavy_keys(skewed.where("id < 0"), ["k", "id"], min_rows=1) == {"k": HeavyKeys(), "id": HeavyKeys()}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("heavy", [HeavyKeys(("hot",), True), HeavyKeys((), True), HeavyKeys(("hot", "k4", "none such"), False)])
+def test_salting_changes_no_result(skewed, unique, how, heavy):
+    plain = lookup(skewed, unique, "k", "u", how)
+    salted = lookup(skewed, unique, "k", "u", how, heavy, F.xxhash64("id"), salts=8)
+    assert salted.columns == plain.columns
+    assert sorted(salted.collect(), key=repr) == sorted(plain.collect(), key=repr)
+
+
+def test_salting_spreads_the_heavy_rows(spark, skewed, unique):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        def largest(frame):
+            return frame.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+        plain = largest(lookup(skewed, unique, "k", "u", "left"))
+        salted = largest(
+            lookup(skewed, unique, "k", "u", "left", HeavyKeys(("hot",), True), F.xxhash64("id"), salts=64)
+        )
+        assert plain >= 1000 and salted < 400
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_bad_lookups_are_refused(skewed, unique):
+    with pytest.raises(ValueError):
+        lookup(skewed, unique, "k", "u", "full")
+    with pytest.raises(ValueError):
+        lookup(skewed, unique, "k", "u", "left", HeavyKeys(("hot",)))
+
+
+def _seen(frame, prefix, step):
+    return frame.select(
+        F.col("u").alias(f"{prefix}_key"),
+        F.when(F.col("payload") % step != 0, F.timestamp_seconds(F.lit(int(AS_OF.timestamp())) - F.col("payload") * 600)).alias(f"{prefix}_ts"),
+    )
+
+
+@pytest.mark.parametrize("policy", [NULL_IS_EPOCH, NULL_IS_MISSING])
+def test_dual_findings_with_heavy_keys(skewed, unique, policy):
+    a = Feed("A", _seen(unique, "a", 5), "a_key", "a_ts", "k")
+    b = Feed("B", _seen(unique, "b", 7), "b_key", "b_ts", "k")
+    plain = dual_source_findings(skewed, a, b, AS_OF, 100, policy, F.xxhash64("id"), {})
+    salted = dual_source_findings(skewed, a, b, AS_OF, 100, policy, F.xxhash64("id"), {"k": HeavyKeys(("hot",), True)})
+    assert salted.columns == plain.columns
+    assert sorted(salted.collect(), key=repr) == sorted(plain.collect(), key=repr)
+
+
+def test_single_findings_with_a_heavy_observed_key(skewed, unique):
+    inventory = unique.where("u is not null").select("u")
+    times = F.timestamp_seconds(F.lit(int(AS_OF.timestamp())) - F.col("id") * 600)
+    feed = Feed("S", skewed.select("id", "k", times.alias("ts")), "k", "ts", "u")
+    plain = single_source_findings(inventory, feed, AS_OF, 100, HeavyKeys())
+    salted = single_source_findings(inventory, feed, AS_OF, 100, HeavyKeys(("hot",), True))
+    rows = sorted(plain.collect(), key=repr)
+    assert sorted(salted.collect(), key=repr) == rows
+    # Against the definition: a left join, then "no match or stale".
+    joined = inventory.join(feed.frame, F.col("u") == F.col("k"), "left")
+    limit = F.timestamp_seconds(F.lit(int(AS_OF.timestamp()) - 360000))
+    expected = joined.where(F.col("k").isNull() | (F.col("ts") < limit)).select("u", "id", "k", "ts")
+    assert sorted([tuple(r)[:4] for r in rows], key=repr) == sorted(map(tuple, expected.collect()), key=repr)

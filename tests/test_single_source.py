@@ -1,0 +1,130 @@
+"""Edge cases of the virtual-machine checks."""
+
+from decimal import Decimal
+
+import pytest
+from conftest import AS_OF, HOURS, at
+from fleet import machines, observed
+from pyspark.sql import functions as F
+
+from tidemark.plans import checks
+from tidemark.plans.jobs import detect
+from tidemark.sources.tables import Lake
+
+NEVER = at("2026-05-01")
+
+
+def uuid_findings(spark, inventory, seen):
+    lake = Lake(
+        spark,
+        {
+            "netbox_vm": machines(spark, inventory, tags1_display="x, Nutanix Acropolis", last_updated=NEVER),
+            "nutanix_vm": observed(spark, "nutanix_vm", [{"component_moid": k, "last_observed": t} for k, t in seen]),
+        },
+    )
+    rows = detect(checks.NUTANIX_VM, lake, AS_OF, HOURS).collect()
+    return sorted((r["netbox_custom_fields_uuid"], r["finding_type"], r["data_age_hours"]) for r in rows)
+
+
+@pytest.mark.parametrize(
+    "record, seen, expected",
+    [
+        ({}, [], [("u", "MISSING", None)]),
+        ({}, [at("2026-06-08T11:59:59")], [("u", "STALE", Decimal("168.00"))]),
+        ({}, [at("2026-06-08T12:00:00")], []),
+        ({}, [None], []),
+        ({}, [at("2026-06-20")], []),
+        ({}, [at("2026-06-01"), at("2026-06-02")], [("u", "STALE", Decimal("324.00")), ("u", "STALE", Decimal("348.00"))]),
+        ({}, [at("2026-06-01"), at("2026-06-15")], [("u", "STALE", Decimal("348.00"))]),
+        ({}, [at("2026-06-01"), None], [("u", "STALE", Decimal("348.00"))]),
+        ({"status_value": "poweredOff"}, [], []),
+        ({"status_value": None}, [], []),
+        ({"custom_fields_uuid": None}, [], []),
+        ({"custom_fields_uuid": ""}, [], [("", "MISSING", None)]),
+        ({"tags1_display": "nutanix acropolis"}, [], []),
+        ({"tags1_display": None}, [], []),
+    ],
+)
+def test_one_record(spark, record, seen, expected):
+    inventory = [{"id": 1, "custom_fields_uuid": "u", **record}]
+    assert uuid_findings(spark, inventory, [("u", t) for t in seen]) == expected
+
+
+def test_rows_without_a_key_match_nothing(spark):
+    assert uuid_findings(spark, [{"id": 1, "custom_fields_uuid": "u"}], [(None, at("2026-06-14"))]) == [("u", "MISSING", None)]
+
+
+def test_blank_moid_is_excluded(spark):
+    lake = Lake(
+        spark,
+        {
+            "netbox_vm": machines(
+                spark,
+                [{"id": i, "custom_fields_moid": m} for i, m in enumerate(["", None, "m"])],
+                tags1_display="VMware",
+                last_updated=NEVER,
+            ),
+            "vmware_vm": observed(spark, "vmware_vm", []),
+        },
+    )
+    rows = detect(checks.VMWARE_VM, lake, AS_OF, HOURS).collect()
+    assert [(r["netbox_custom_fields_moid"], r["finding_type"]) for r in rows] == [("m", "MISSING")]
+
+
+def test_filters_come_before_the_latest_row(spark):
+    inventory = machines(
+        spark,
+        [
+            {"id": 1, "custom_fields_uuid": "u9", "last_updated": at("2026-06-01"), "status_value": "poweredOff"},
+            {"id": 2, "custom_fields_uuid": "u9", "last_updated": at("2026-05-01")},
+            {"id": 3, "custom_fields_uuid": "u10", "last_updated": None},
+            {"id": 4, "custom_fields_uuid": "u10", "last_updated": at("2026-05-01")},
+            {"id": 6, "custom_fields_uuid": "tie", "last_updated": at("2026-05-01")},
+            {"id": 5, "custom_fields_uuid": "tie", "last_updated": at("2026-05-01")},
+        ],
+        tags1_display="Nutanix Acropolis",
+    )
+    lake = Lake(spark, {"netbox_vm": inventory, "nutanix_vm": observed(spark, "nutanix_vm", [])})
+    rows = detect(checks.NUTANIX_VM, lake, AS_OF, HOURS).collect()
+    assert sorted(r["netbox_vm_id"] for r in rows) == [2, 4, 5]
+
+
+def test_columns_match_the_result_table(spark):
+    lake = Lake(
+        spark,
+        {
+            "netbox_vm": machines(spark, []),
+            "nutanix_vm": observed(spark, "nutanix_vm", []),
+            "vmware_vm": observed(spark, "vmware_vm", []),
+        },
+    )
+    for check, count in ((checks.NUTANIX_VM, 22), (checks.VMWARE_VM, 25)):
+        columns = detect(check, lake, AS_OF, HOURS).columns
+        assert columns == [c for c in check.contract.columns if c != "notes"]
+        assert len(columns) == count
+
+
+def test_every_record_is_missing_stale_or_healthy(spark):
+    """With unique observed keys; and a longer threshold adds no stale record."""
+    inventory = machines(
+        spark,
+        [{"id": i, "custom_fields_uuid": f"u{i % 300}", "last_updated": NEVER} for i in range(600)],
+        tags1_display="Nutanix Acropolis",
+    )
+    seen = spark.range(250).select(
+        F.concat(F.lit("u"), F.col("id")).alias("component_moid"),
+        F.timestamp_seconds(F.lit(int(AS_OF.timestamp())) - F.col("id") * 3600).alias("last_observed"),
+        *[F.lit(None).cast("string").alias(c) for c in ("status", "status_description", "nutanix_uuid", "guest_os")],
+        F.lit(None).cast("long").alias("memory_mb"),
+        F.lit(None).cast("int").alias("num_vcpus"),
+    )
+    lake = Lake(spark, {"netbox_vm": inventory, "nutanix_vm": seen})
+    found = {}
+    for hours in (24, 100, 168):
+        rows = detect(checks.NUTANIX_VM, lake, AS_OF, hours).collect()
+        kinds = {k: {r["netbox_custom_fields_uuid"] for r in rows if r["finding_type"] == k} for k in ("MISSING", "STALE")}
+        assert len(rows) == len(kinds["MISSING"]) + len(kinds["STALE"])
+        assert kinds["MISSING"] == {f"u{i}" for i in range(250, 300)}
+        assert kinds["STALE"] == {f"u{i}" for i in range(250) if i > hours}
+        found[hours] = kinds["STALE"]
+    assert found[168] <= found[100] <= found[24]

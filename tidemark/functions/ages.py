@@ -35,9 +35,13 @@ def epoch() -> Column:
 
 
 def threshold_instant(as_of: Column, hours: int | Column) -> Column:
-    """The oldest instant that still counts as fresh: strictly older is stale."""
+    """The oldest instant that still counts as fresh: strictly older is stale.
+
+    Counted in microseconds: subtracting an interval would move whole days by
+    the session zone's calendar, where a day need not have 24 hours.
+    """
     hours = F.lit(hours) if isinstance(hours, int) else hours
-    return as_of - F.make_dt_interval(F.lit(0), hours)
+    return F.timestamp_micros(F.unix_micros(as_of) - hours.cast("bigint") * F.lit(MICROS_PER_HOUR))
 
 
 def age_hours(as_of: Column, observed: Column) -> Column:

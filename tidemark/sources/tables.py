@@ -14,8 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FILE_FORMATS = ("parquet", "orc")
-
 
 @dataclass(frozen=True)
 class TableSource:
@@ -29,9 +27,9 @@ class TableSource:
         if self.format == "table":
             return as_instants(spark.table(self.location))
         frame = self._reader(spark).load(self.location)
-        if self.format in FILE_FORMATS and _has_wall_clock(frame):
-            # Read wall-clock columns as UTC instants at the scan itself, so
-            # that time filters still reach the files.
+        if self.format == "parquet" and _has_wall_clock(frame):
+            # Parquet can read wall-clock columns as UTC instants at the scan,
+            # whatever the session's time zone, and time filters reach the files.
             return self._reader(spark).schema(_instant_schema(frame.schema)).load(self.location)
         return as_instants(frame)
 
