@@ -28,7 +28,7 @@ def test_heavy_keys_are_found(skewed):
     assert heavy_keys(skewed.where("id < 0"), ["k", "id"], min_rows=1) == {"k": HeavyKeys(), "id": HeavyKeys()}
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
 @pytest.mark.parametrize("heavy", [HeavyKeys(("hot",), True), HeavyKeys((), True), HeavyKeys(("hot", "k4", "none such"), False)])
 def test_salting_changes_no_result(skewed, unique, how, heavy):
     plain = lookup(skewed, unique, "k", "u", how)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.ages import age_hours, epoch, float_age_hours, instant, threshold_instant
 from tidemark.functions.labels import MISSING, STALE, finding_label, most_recent_source
+from tidemark.operators.latest import latest_per_key
 from tidemark.operators.lookup import NO_HEAVY_KEYS, HeavyKeys, heavy_keys, lookup
 
 # What a matched row without a last-observed time means.
@@ -23,14 +24,15 @@ NULL_IS_MISSING = "missing"  # as good as no row
 
 @dataclass(frozen=True)
 class Feed:
-    """An observed source: its frame, its key and time columns, and the
-    inventory column the key is compared with."""
+    """An observed source: its rows, their key and time columns, the inventory
+    column the key is compared with, and columns that settle equal times."""
 
     label: str
     frame: DataFrame
     key: str
     observed_at: str
     matches: str
+    tiebreak: tuple[str, ...] = ()
 
 
 def single_source_findings(
@@ -94,7 +96,7 @@ def dual_source_findings(
     spread: Column,
     heavy: dict[str, HeavyKeys] | None = None,
 ) -> DataFrame:
-    """Findings against the more recent of two sources, both with unique keys.
+    """Findings against the latest rows of two sources.
 
     Adds ``most_recent_source`` (a tie goes to ``first``), ``most_recent_observed``,
     ``data_age_hours`` and ``finding_type``.  The sources may be keyed on
@@ -105,27 +107,36 @@ def dual_source_findings(
     ``null_policy`` settles a matched row without a time: with ``epoch`` it was
     seen in 1970, and so was a record no source knows; with ``missing`` it does
     not count.
+
+    A record either source has a fresh row for is healthy whatever the other
+    columns say.  Such records are dropped first, against just the keys of the
+    fresh rows; the full width of a source is only read and shuffled for its
+    old rows.  A key that is left has no fresh row, so its latest old row is its
+    latest row.
     """
     if null_policy not in (NULL_IS_EPOCH, NULL_IS_MISSING):
         raise ValueError(f"unknown null policy {null_policy!r}")
     if heavy is None:
         heavy = heavy_keys(inventory, sorted({first.matches, second.matches}))
+    now = instant(as_of)
+    limit = threshold_instant(now, threshold_hours)
 
-    columns = [*inventory.columns, *first.frame.columns, *second.frame.columns]
-    matched = inventory.withColumn("_spread", spread)
+    def match(records: DataFrame, feed: Feed, rows: DataFrame, how: str) -> DataFrame:
+        keys = heavy.get(feed.matches, NO_HEAVY_KEYS)
+        return lookup(records, rows, feed.matches, feed.key, how, keys, F.col("_spread"))
+
+    suspects = inventory.withColumn("_spread", spread)
     for feed in (first, second):
-        matched = lookup(
-            matched,
-            feed.frame,
-            feed.matches,
-            feed.key,
-            "left",
-            heavy.get(feed.matches, NO_HEAVY_KEYS),
-            F.col("_spread"),
-        )
+        fresh = feed.frame.where(F.col(feed.observed_at) >= limit).select(feed.key).distinct()
+        suspects = match(suspects, feed, fresh, "left_anti")
+    # Last anti-joined, first looked up: the records are still partitioned on
+    # the second source's key.
+    for feed in (second, first):
+        seen = F.col(feed.observed_at)
+        old = feed.frame.where((seen < limit) | seen.isNull())
+        latest = latest_per_key(old, [feed.key], feed.observed_at, feed.tiebreak)
+        suspects = match(suspects, feed, latest, "left")
 
-    now = instant(as_of)
-    limit = threshold_instant(now, threshold_hours)
     a, b = F.col(first.observed_at), F.col(second.observed_at)
     observed = F.greatest(a, b)
     if null_policy == NULL_IS_EPOCH:
@@ -137,9 +148,11 @@ def dual_source_findings(
         missing = observed.isNull()
         age = float_age_hours(now, last)
 
-    # Filter before computing labels and ages: most records are healthy.
-    return matched.where(missing | (last < limit)).select(
-        *columns,
+    # Suspects are findings, but for a limit before 1970.
+    return suspects.where(missing | (last < limit)).select(
+        *inventory.columns,
+        *first.frame.columns,
+        *second.frame.columns,
         most_recent_source(a, first.label, b, second.label).alias("most_recent_source"),
         observed.alias("most_recent_observed"),
         age.alias("data_age_hours"),

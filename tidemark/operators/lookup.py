@@ -65,15 +65,15 @@ def lookup(
     spread: Column | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``many`` to ``one``, whose keys are unique; ``how`` is inner or left.
+    """Join ``many`` to ``one``, whose keys are unique; ``how`` is inner, left or left_anti.
 
     With heavy keys, their rows are spread over ``salts`` partitions by
     ``spread`` and the few matching rows of ``one`` are copied to each of them;
     all other rows keep salt 0.  ``spread`` must give a row the same value
     whenever a task is run again, and different values to rows of one key.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"lookup joins are inner or left, not {how!r}")
+    if how not in ("inner", "left", "left_anti"):
+        raise ValueError(f"lookup joins are inner, left or left_anti, not {how!r}")
     on = F.col(many_key) == F.col(one_key)
     if not heavy:
         return many.join(one, on, how)

@@ -61,7 +61,10 @@ class Inventory:
 
 @dataclass(frozen=True)
 class Observed:
-    """What did report: ``key`` is compared with the inventory output ``matches``."""
+    """What did report: ``key`` is compared with the inventory output ``matches``.
+
+    ``tiebreak`` settles equal times of one key, where only its latest row counts.
+    """
 
     label: str
     table: str
@@ -69,7 +72,6 @@ class Observed:
     key: str
     matches: str
     where: Filter | None = None
-    deduplicated: bool = True
     observed_at: str = "last_observed"
     tiebreak: tuple[str, ...] = ("component_moid",)
 
@@ -77,11 +79,14 @@ class Observed:
         rows = lake.table(self.table)
         if self.where:
             rows = rows.where(self.where())
-        if self.deduplicated:
-            needed = dict.fromkeys([*self.columns, self.key, self.observed_at, *self.tiebreak])
-            rows = latest_per_key(rows.select(*needed), [self.key], self.observed_at, self.tiebreak)
-        frame = filters.renamed(rows, self.columns)
-        return Feed(self.label, frame, self.columns[self.key], self.columns[self.observed_at], self.matches)
+        return Feed(
+            self.label,
+            filters.renamed(rows, self.columns),
+            self.columns[self.key],
+            self.columns[self.observed_at],
+            self.matches,
+            tuple(self.columns[c] for c in self.tiebreak),
+        )
 
 
 @dataclass(frozen=True)
@@ -133,7 +138,6 @@ NUTANIX_VM = Check(
             table="nutanix_vm",
             key="component_moid",
             matches="netbox_custom_fields_uuid",
-            deduplicated=False,
             columns={
                 **_prefixed("nutanix_", "last_observed", "status", "status_description", "component_moid"),
                 "nutanix_uuid": "nutanix_uuid",
@@ -183,7 +187,6 @@ VMWARE_VM = Check(
             table="vmware_vm",
             key="component_moid",
             matches="netbox_custom_fields_moid",
-            deduplicated=False,
             columns=_prefixed(
                 "vmware_",
                 "last_observed",

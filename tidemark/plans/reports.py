@@ -39,14 +39,17 @@ def latest_stale_list(history: DataFrame, columns: Sequence[str], tiebreak: Sequ
 
 
 def finding_trend(history: DataFrame, last_days: int | None = None, as_of: datetime | None = None) -> DataFrame:
-    """Findings per day and type, newest day first; all days unless ``last_days``."""
+    """Findings per day and type, newest day first; all days unless ``last_days``.
+
+    With a day partition, only the wanted days and the type are read.
+    """
+    day = F.col(PARTITION) if PARTITION in history.columns else F.to_date("check_time")
     if last_days is not None:
         if as_of is None:
             raise ValueError("a limited trend needs the instant to count back from")
-        since = F.date_sub(F.to_date(instant(as_of)), last_days)
-        history = history.where(F.to_date("check_time") > since)
+        history = history.where(day > F.date_sub(F.to_date(instant(as_of)), last_days))
     return (
-        history.groupBy(F.to_date("check_time").alias("check_date"), "finding_type")
+        history.groupBy(day.alias("check_date"), "finding_type")
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy(F.col("check_date").desc(), "finding_type")
     )

@@ -58,12 +58,12 @@ with a_rows as (select user_id as a_key, case when user_id % 10 = 3 then null el
                 from events where event_type = 'click'),
      b_rows as (select concat('Customer#', lpad(cast(user_id as varchar), 9, '0')) as b_key, ts as b_ts, event_id as b_id
                 from events where event_type = 'purchase' and user_id % 3 <> 0),
-     a as (select distinct on (a_key) a_key, a_ts from a_rows order by a_key, a_ts desc nulls last, a_id),
-     b as (select distinct on (b_key) b_key, b_ts from b_rows order by b_key, b_ts desc nulls last, b_id),
-     j as (select c_custkey as inv_id, c_name as inv_name, a_key, a_ts, b_key, b_ts,
+     a as (select distinct on (a_key) * from a_rows order by a_key, a_ts desc nulls last, a_id),
+     b as (select distinct on (b_key) * from b_rows order by b_key, b_ts desc nulls last, b_id),
+     j as (select c_custkey as inv_id, c_name as inv_name, a_key, a_ts, a_id, b_key, b_ts, b_id,
                   greatest(coalesce(a_ts, {epoch}), coalesce(b_ts, {epoch})) as g, greatest(a_ts, b_ts) as seen
            from customer left join a on c_custkey = a_key left join b on c_name = b_key)
-select inv_id, inv_name, a_key, a_ts, b_key, b_ts,
+select inv_id, inv_name, a_key, a_ts, a_id, b_key, b_ts, b_id,
        case when a_ts is not null and b_ts is not null then case when a_ts >= b_ts then 'A' else 'B' end
             when a_ts is not null then 'A' when b_ts is not null then 'B' end as most_recent_source,
        seen as most_recent_observed,

@@ -206,9 +206,10 @@ def _dual_feeds(spark, sf_dir):
     purchases = events.where((F.col("event_type") == "purchase") & (F.col("user_id") % 3 != 0)).select(
         name.alias("b_key"), F.col("ts").alias("b_ts"), F.col("event_id").alias("b_id")
     )
-    a = latest_per_key(clicks, ["a_key"], "a_ts", ["a_id"]).drop("a_id")
-    b = latest_per_key(purchases, ["b_key"], "b_ts", ["b_id"]).drop("b_id")
-    return Feed("A", a, "a_key", "a_ts", "inv_id"), Feed("B", b, "b_key", "b_ts", "inv_name")
+    return (
+        Feed("A", clicks, "a_key", "a_ts", "inv_id", ("a_id",)),
+        Feed("B", purchases, "b_key", "b_ts", "inv_name", ("b_id",)),
+    )
 
 
 def _dual_findings(spark, sf_dir, null_policy):
