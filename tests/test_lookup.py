@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import findings
 from tidemark.operators.findings import NULL_IS_EPOCH, NULL_IS_MISSING, Feed, dual_source_findings, single_source_findings
 from tidemark.operators.lookup import HeavyKeys, heavy_keys, lookup
 from conftest import AS_OF
@@ -80,6 +81,22 @@ def test_dual_findings_with_heavy_keys(skewed, unique, policy):
     assert sorted(salted.collect(), key=repr) == sorted(plain.collect(), key=repr)
 
 
+@pytest.mark.parametrize("policy", [NULL_IS_EPOCH, NULL_IS_MISSING])
+@pytest.mark.parametrize("limit", [0, 100, 1 << 30])
+def test_staging_changes_no_result(skewed, unique, policy, limit, monkeypatch):
+    """Also with histories: several old and fresh rows per key."""
+    monkeypatch.setattr(findings, "BROADCAST_BYTES", limit)
+    rows = _seen(unique, "a", 5).withColumn("a_id", F.col("a_key"))
+    older = rows.withColumn("a_ts", F.col("a_ts") - F.expr("interval 30 days"))
+    a = Feed("A", rows.union(older), "a_key", "a_ts", "k", ("a_id",))
+    b = Feed("B", _seen(unique, "b", 7), "b_key", "b_ts", "k")
+    plain = dual_source_findings(skewed, a, b, AS_OF, 100, policy, F.xxhash64("id"))
+    staged = dual_source_findings(skewed, a, b, AS_OF, 100, policy, F.xxhash64("id"), stage=True)
+    assert staged.columns == plain.columns
+    want = sorted(plain.collect(), key=repr)
+    assert want and sorted(staged.collect(), key=repr) == want
+
+
 def test_single_findings_with_a_heavy_observed_key(skewed, unique):
     inventory = unique.where("u is not null").select("u")
     times = F.timestamp_seconds(F.lit(int(AS_OF.timestamp())) - F.col("id") * 600)

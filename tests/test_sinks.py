@@ -90,6 +90,10 @@ def test_contract_types_and_defaults(spark):
     assert str(row["data_age_hours"]) == "99999999.99"
     assert row["check_threshold_hours"] == 168 and row["notes"] is None
     assert violations(frame, MONITORING_VM).count() == 0
+    assert conform(frame.drop("check_time"), MONITORING_VM).where("check_time is not null").count() == 1
+    # A default stands in for a missing column, not for a NULL.
+    unset = frame.withColumn("check_threshold_hours", F.lit(None).cast("int"))
+    assert [tuple(r) for r in violations(unset, MONITORING_VM).collect()] == [("check_threshold_hours", "not null", 1)]
 
 
 def test_a_null_cluster_name_fails(spark):
@@ -133,6 +137,13 @@ def current(state):
     return sorted((r["table_name"], r["zabbix_item_id"], r["last_clock"]) for r in state.current().collect())
 
 
+def test_repeated_keys_are_violations(spark):
+    rows = batch(spark, ("a", "1", 5), ("a", "2", 9), ("a", "3", None), ("b", "4", 1))
+    found = [tuple(r) for r in violations(rows, TABLE_MONITORING).collect()]
+    assert found == [("table_name, column_name", "unique", 2)]
+    assert violations(rows.where("zabbix_item_id > '2'"), TABLE_MONITORING).count() == 0
+
+
 def upsert(state, frame):
     return state.upsert(frame, newest="last_clock", tiebreak=["zabbix_item_id"])
 

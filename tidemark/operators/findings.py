@@ -16,11 +16,17 @@ from tidemark.functions.ages import age_hours, epoch, float_age_hours, instant,
 from tidemark.functions.labels import MISSING, STALE, finding_label, most_recent_source
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.lookup import NO_HEAVY_KEYS, HeavyKeys, heavy_keys, lookup
+from tidemark.session import staged
 
 # What a matched row without a last-observed time means.
 NULL_IS_EPOCH = "epoch"  # as old as 1970: stale
 NULL_IS_MISSING = "missing"  # as good as no row
 
+# Suspect keys up to this size are broadcast; beyond it old rows are not
+# reduced before their latest row is taken.
+BROADCAST_BYTES = 128 * 1024 * 1024
+BYTES_PER_KEY = 32
+
 
 @dataclass(frozen=True)
 class Feed:
@@ -95,6 +101,7 @@ def dual_source_findings(
     null_policy: str,
     spread: Column,
     heavy: dict[str, HeavyKeys] | None = None,
+    stage: bool = False,
 ) -> DataFrame:
     """Findings against the latest rows of two sources.
 
@@ -113,6 +120,10 @@ def dual_source_findings(
     fresh rows; the full width of a source is only read and shuffled for its
     old rows.  A key that is left has no fresh row, so its latest old row is its
     latest row.
+
+    With ``stage`` the suspects left are written out first (an action).  If their
+    keys are few, the old rows of all other keys are then dropped at the scan,
+    which is what a source with a long history needs.
     """
     if null_policy not in (NULL_IS_EPOCH, NULL_IS_MISSING):
         raise ValueError(f"unknown null policy {null_policy!r}")
@@ -129,11 +140,19 @@ def dual_source_findings(
     for feed in (first, second):
         fresh = feed.frame.where(F.col(feed.observed_at) >= limit).select(feed.key).distinct()
         suspects = match(suspects, feed, fresh, "left_anti")
-    # Last anti-joined, first looked up: the records are still partitioned on
-    # the second source's key.
+    key_bytes = {}
+    if stage:
+        matches = sorted({first.matches, second.matches})
+        suspects, key_bytes = staged(suspects, "suspects", {k: _total_bytes(k) for k in matches})
+        heavy = heavy_keys(suspects, matches)
+    # Last anti-joined, first looked up: unless staged, the records are still
+    # partitioned on the second source's key.
     for feed in (second, first):
         seen = F.col(feed.observed_at)
         old = feed.frame.where((seen < limit) | seen.isNull())
+        if key_bytes.get(feed.matches, BROADCAST_BYTES) < BROADCAST_BYTES:
+            wanted = suspects.select(F.col(feed.matches).alias("_wanted")).distinct()
+            old = old.join(F.broadcast(wanted), F.col(feed.key) == F.col("_wanted"), "left_semi")
         latest = latest_per_key(old, [feed.key], feed.observed_at, feed.tiebreak)
         suspects = match(suspects, feed, latest, "left")
 
@@ -160,6 +179,11 @@ def dual_source_findings(
     )
 
 
+def _total_bytes(key: str) -> Column:
+    """About what a key column takes in memory, repeats included."""
+    return F.sum(F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) + F.lit(BYTES_PER_KEY))
+
+
 def stamped(findings: DataFrame, as_of: datetime, threshold_hours: int) -> DataFrame:
     """Findings with the run's time and threshold in front."""
     return findings.select(

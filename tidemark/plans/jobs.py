@@ -28,8 +28,14 @@ class Run:
     written: int | None
 
 
-def detect(check: Check, lake: Lake, as_of: datetime, threshold_hours: int = DEFAULT_THRESHOLD_HOURS) -> DataFrame:
-    """The findings of a check at one instant, stamped; nothing is written."""
+def detect(
+    check: Check, lake: Lake, as_of: datetime, threshold_hours: int = DEFAULT_THRESHOLD_HOURS, stage: bool = False
+) -> DataFrame:
+    """The findings of a check at one instant, stamped; no result is written.
+
+    ``stage`` is for two-source checks over long histories, see
+    :func:`~tidemark.operators.findings.dual_source_findings`.
+    """
     inventory = check.inventory.frame(lake)
     feeds = [source.feed(lake) for source in check.sources]
     if len(feeds) == 1:
@@ -42,7 +48,7 @@ def detect(check: Check, lake: Lake, as_of: datetime, threshold_hours: int = DEF
             # Repeated records are told apart by position, straight above the scan.
             spread = F.monotonically_increasing_id()
         findings = dual_source_findings(
-            inventory, feeds[0], feeds[1], as_of, threshold_hours, check.null_policy, spread
+            inventory, feeds[0], feeds[1], as_of, threshold_hours, check.null_policy, spread, stage=stage
         )
     return stamped(findings, as_of, threshold_hours)
 
@@ -54,13 +60,14 @@ def run_check(
     as_of: datetime | None = None,
     threshold_hours: int = DEFAULT_THRESHOLD_HOURS,
     dry_run: bool = False,
+    stage: bool = True,
 ) -> Run:
     """Detect and append to ``history``.  An empty inventory or a healthy fleet
     writes nothing and is a success."""
     if not dry_run and history is None:
         raise ValueError("a run that is not dry needs a history location")
     moment = resolve_as_of(as_of)
-    findings = detect(check, lake, moment, threshold_hours)
+    findings = detect(check, lake, moment, threshold_hours, stage)
     written = None if dry_run else append_findings(findings, history, check.contract)
     return Run(moment, findings, written)
 

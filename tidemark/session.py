@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -40,3 +41,17 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"spark.checkpoint.dir must name a shared folder when running on {master}")
         shared = tempfile.mkdtemp(prefix="tidemark-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(frame: DataFrame, purpose: str, sizes: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """``frame`` written to the shared folder and read back, with aggregates of it.
+
+    Cuts the lineage: what follows is planned with the real size, and a lost
+    executor costs a re-read rather than a recomputation.
+    """
+    metrics = Observation(purpose)
+    location = scratch_dir(frame.sparkSession, purpose)
+    columns = [F.coalesce(total, F.lit(0)).cast("bigint").alias(name) for name, total in sizes.items()]
+    frame.observe(metrics, F.count(F.lit(1)).alias("_rows"), *columns).write.parquet(location)
+    totals = {name: int(metrics.get.get(name, 0)) for name in sizes}
+    return frame.sparkSession.read.schema(frame.schema).parquet(location), totals

@@ -6,6 +6,7 @@ the write job is aborted, and nothing of it becomes visible.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -20,7 +21,7 @@ class Field:
     type: str
     required: bool = False
     max_length: int | None = None
-    default: object = None
+    default: Callable[[], Column] | None = None
 
 
 @dataclass(frozen=True)
@@ -57,11 +58,13 @@ def _whole(number: int) -> Column:
 
 
 def _source(frame: DataFrame, field: Field) -> Column:
-    """The value offered for a field: the column, else its default, else NULL."""
-    default = F.lit(field.default)
-    if field.name not in frame.columns:
-        return default
-    return F.coalesce(F.col(field.name), default) if field.default is not None else F.col(field.name)
+    """The value offered for a field: the column, else its default, else NULL.
+
+    A default stands in for a column that is not there, not for a NULL in one.
+    """
+    if field.name in frame.columns:
+        return F.col(field.name)
+    return field.default() if field.default else F.lit(None)
 
 
 def _is_fractional(frame: DataFrame, field: Field) -> bool:
@@ -113,9 +116,10 @@ def conform(frame: DataFrame, contract: Contract) -> DataFrame:
 
 
 def violations(frame: DataFrame, contract: Contract) -> DataFrame:
-    """How many rows break each rule: ``column_name, rule, violations``, in one pass.
+    """How many rows break each rule: ``column_name, rule, violations``.
 
-    Only broken rules are returned.
+    Only broken rules are returned.  One pass, and a second over the keys if the
+    contract has a unique key; there the rows too many are counted.
     """
     checks = [(f.name, rule, broken) for f in contract.fields for rule, broken in _rules(frame, f)]
     counts = frame.agg(*[F.count_if(broken).alias(f"c{i}") for i, (_, _, broken) in enumerate(checks)])
@@ -125,7 +129,15 @@ def violations(frame: DataFrame, contract: Contract) -> DataFrame:
             for i, (name, rule, _) in enumerate(checks)
         ]
     )
-    return counts.select(F.explode(entries).alias("v")).select("v.*").where(F.col("violations") > 0)
+    found = counts.select(F.explode(entries).alias("v")).select("v.*")
+    if contract.unique:
+        repeated = frame.groupBy(*contract.unique).agg((F.count(F.lit(1)) - 1).alias("extra"))
+        found = found.unionByName(
+            repeated.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("violations")).select(
+                F.lit(", ".join(contract.unique)).alias("column_name"), F.lit("unique").alias("rule"), "violations"
+            )
+        )
+    return found.where(F.col("violations") > 0)
 
 
 def violates(frame: DataFrame, contract: Contract) -> Column:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidemark.sinks.contract import Contract, Field
 
 DEFAULT_THRESHOLD_HOURS = 168
 
+_CHECK_TIME = Field("check_time", "timestamp", required=True, default=F.current_timestamp)
+
 
 def _text(*names: str) -> tuple[Field, ...]:
     return tuple(Field(n, "string") for n in names)
@@ -24,9 +28,8 @@ def _history(name: str, *columns: tuple[Field, ...]) -> Contract:
     return Contract(
         name,
         (
-            # check_time has no default here: a run always stamps its own.
-            Field("check_time", "timestamp", required=True),
-            Field("check_threshold_hours", "int", required=True, default=DEFAULT_THRESHOLD_HOURS),
+            _CHECK_TIME,
+            Field("check_threshold_hours", "int", required=True, default=lambda: F.lit(DEFAULT_THRESHOLD_HOURS)),
             *[field for group in columns for field in group],
             Field("data_age_hours", "decimal(10,2)"),
             Field("finding_type", "string", required=True, max_length=20),
@@ -171,7 +174,7 @@ TABLE_MONITORING = Contract(
         Field("zabbix_item_name", "string"),
         Field("last_data_timestamp", "timestamp"),
         Field("data_age_hours", "decimal(10,2)"),
-        Field("check_time", "timestamp", required=True),
+        _CHECK_TIME,
         Field("last_clock", "bigint"),
     ),
     unique=("table_name", "column_name"),

@@ -201,6 +201,13 @@ select {stamp(48)} *, {float_age("most_recent_observed")} as data_age_hours,
        case when most_recent_observed is null then 'MISSING' when most_recent_observed < {DUAL_LIMIT} then 'STALE' end as finding_type
 from j where most_recent_observed is null or most_recent_observed < {DUAL_LIMIT}"""
 
+
+
+def written(job: str) -> str:
+    """A job's findings as its history holds them."""
+    return f"select *, cast(null as varchar) as notes, date '2024-01-31' as check_date from ({job}) x"
+
+
 # --- monitoring items -------------------------------------------------------
 
 PARSED = rf"""{with_standins("item")},
@@ -319,8 +326,7 @@ ORACLE: dict[str, str] = {
                case when data_age_hours is null then '' else printf('(%.1fh)', data_age_hours) end as age,
                case when data_age_hours > 168 then 'STALE' else '' end as marker
         from kept""",
-    "append_findings": f"""
-        select *, cast(null as varchar) as notes, date '2024-01-31' as check_date from ({JOB_VM_UUID}) x""",
+    "append_findings": written(JOB_VM_UUID),
     "dry_run_findings": JOB_VM_UUID,
     "upsert_state": f"""{PARSED},
         rows_in as (select {STATE_COLUMNS}, event_id % 2 as batch from parsed where table_name <> ''),
@@ -348,6 +354,7 @@ ORACLE: dict[str, str] = {
     "job_vm_moid": JOB_VM_MOID,
     "job_host_serial_first": JOB_HOST_SERIAL_FIRST,
     "job_host_name_first": JOB_HOST_NAME_FIRST,
+    "job_host_staged": written(JOB_HOST_SERIAL_FIRST),
     "job_cluster": JOB_CLUSTER,
     "job_table_freshness": f"""{FRESHNESS}
         select distinct on (table_name, column_name) * from kept

@@ -24,7 +24,7 @@ from tidemark.session import scratch_dir
 from tidemark.sinks.contract import violations
 from tidemark.sinks.history import read_history
 from tidemark.sinks.state import StateTable
-from tidemark.sinks.tables import MONITORING_VM, TABLE_MONITORING
+from tidemark.sinks.tables import MONITORING_NUTANIX_HOST, MONITORING_VM, TABLE_MONITORING
 from tidemark.sources import pages, responses
 from tidemark.sources.lists import list_relation
 from tidemark.sources.tables import Lake
@@ -427,6 +427,14 @@ def job_host_name_first(spark, sf_dir):
     return _job(spark, _host_lake(spark, sf_dir), checks.vmware_host(TENANT), DUAL_HOURS)
 
 
+@query
+def job_host_staged(spark, sf_dir):
+    """The same job as run in production: suspects staged, findings appended."""
+    history = scratch_dir(spark, "history")
+    jobs.run_check(checks.nutanix_host(TENANT), _host_lake(spark, sf_dir), history, AS_OF, DUAL_HOURS)
+    return as_doubles(read_history(spark, history, MONITORING_NUTANIX_HOST))
+
+
 @query
 def job_cluster(spark, sf_dir):
     clusters = pages.cluster_inventory(spark, standins.land_cluster_pages(spark, sf_dir))
