@@ -56,9 +56,14 @@ def test_single_source_plan(large):
 
 def test_dual_source_plan(large):
     text = plan(large, "findings_dual_epoch")
-    # One shuffle per source for its latest row, one per key on the inventory side.
-    assert text.count("Exchange hashpartitioning") == 4
-    assert text.count("LeftOuter") == 2
+    # Per source the fresh keys and the old rows; the inventory to the first key,
+    # the second (for both its joins), and what is left back to the first.
+    assert text.count("Exchange hashpartitioning") == 7
+    assert text.count("LeftAnti") == 2 and text.count("LeftOuter") == 2
+    fresh_b, old_b = [line for line in scans(text, "events") if "purchase" in line]
+    assert "GreaterThanOrEqual(ts" in fresh_b
+    assert "ReadSchema: struct<ts:timestamp,user_id:bigint,event_type:string>" in fresh_b
+    assert "Or(LessThan(ts" in old_b
 
 
 def test_preview_is_cut_before_the_shuffle(large):

@@ -36,18 +36,19 @@ def strip_blanks(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
-def _name_part(name: Column, part: int) -> Column:
-    return strip_blanks(F.regexp_extract(strip_blanks(F.coalesce(name, F.lit(""))), ITEM_NAME_PATTERN, part))
-
-
 def item_table(name: Column) -> Column:
     """Table part of an item name; empty if the name does not parse or has no table."""
-    return _name_part(name, 1)
+    return stripped_item_part(strip_blanks(name), 1)
 
 
 def item_column(name: Column) -> Column:
     """Column part of an item name; may be empty for a name that does parse."""
-    return _name_part(name, 2)
+    return stripped_item_part(strip_blanks(name), 2)
+
+
+def stripped_item_part(text: Column, part: int) -> Column:
+    """Table (1) or column (2) part of an item name without surrounding blanks."""
+    return strip_blanks(F.coalesce(F.regexp_extract(text, ITEM_NAME_PATTERN, part), F.lit("")))
 
 
 def _epoch_seconds(text: Column) -> Column:
@@ -90,7 +91,14 @@ def parse_timestamp(value: Column) -> Column:
     clock where the marker is ignored; 24 h to the second or minute;
     ``06/10/2026 01:05:00 PM``.  No zone means UTC.
     """
-    text = strip_blanks(value)
+    return parse_stripped_timestamp(strip_blanks(value))
+
+
+def parse_stripped_timestamp(text: Column) -> Column:
+    """:func:`parse_timestamp` of a text without surrounding blanks.
+
+    The text is used once per format: make it a column, not an expression.
+    """
     return F.coalesce(
         _epoch_seconds(text),
         _iso(text),

@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.ages import float_age_hours, instant
 from tidemark.functions.labels import is_stale_table
-from tidemark.functions.parsing import item_column, item_table, parse_clock, parse_timestamp
+from tidemark.functions.parsing import parse_clock, parse_stripped_timestamp, strip_blanks, stripped_item_part
 
 
 def with_item_parts(items: DataFrame) -> DataFrame:
     """Items with ``table_name`` and ``column_name`` parsed from their name."""
-    return items.withColumn("table_name", item_table(F.col("name"))).withColumn(
-        "column_name", item_column(F.col("name"))
-    )
+    # A projection of its own: each part would strip the name again otherwise.
+    named = items.withColumn("_name", strip_blanks(F.col("name")))
+    return named.withColumns(
+        {
+            "table_name": stripped_item_part(F.col("_name"), 1),
+            "column_name": stripped_item_part(F.col("_name"), 2),
+        }
+    ).drop("_name")
 
 
 def parsed_items(items: DataFrame) -> DataFrame:
@@ -25,14 +30,14 @@ def parsed_items(items: DataFrame) -> DataFrame:
     A value or clock that does not parse stays NULL; the item is kept.
     """
     return (
-        with_item_parts(items)
+        with_item_parts(items.withColumn("_value", strip_blanks(F.col("lastvalue"))))
         .where(F.col("table_name") != "")
         .select(
             "table_name",
             "column_name",
             F.col("itemid").alias("zabbix_item_id"),
             F.col("name").alias("zabbix_item_name"),
-            parse_timestamp(F.col("lastvalue")).alias("last_data_timestamp"),
+            parse_stripped_timestamp(F.col("_value")).alias("last_data_timestamp"),
             parse_clock(F.col("lastclock")).alias("last_clock"),
         )
     )

@@ -20,6 +20,9 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # The JVM does not compile methods over 8000 bytes of bytecode.  Stages
+        # with large expressions (item parsing) run faster as split methods.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)

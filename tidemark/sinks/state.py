@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.state import merged, one_per_key
 from tidemark.sinks.contract import Contract, conform
 
-_LOG_SCHEMA = "version bigint, folder string, rows bigint"
+_LOG_COLUMNS = {"version": "bigint", "folder": "string", "rows": "bigint"}
+_LOG_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in _LOG_COLUMNS.items())
 
 
 class StateTable:
@@ -34,7 +35,7 @@ class StateTable:
 
     def create(self) -> StateTable:
         """Set up an empty state; on an existing one this changes nothing."""
-        self.spark.createDataFrame([], _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self._root}/log")
+        self._log(self.spark.range(0, numPartitions=1), 0, "", 0)
         return self
 
     def _published(self):
@@ -42,12 +43,15 @@ class StateTable:
         log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self._root}/log")
         return log.agg(F.max(F.struct("version", "folder")).alias("last")).first()["last"]
 
+    def _snapshot(self, folder: str) -> DataFrame:
+        return self.spark.read.schema(self.contract.schema).parquet(f"{self._root}/{folder}")
+
     def current(self) -> DataFrame:
         """The last published snapshot; empty before the first."""
         last = self._published()
         if last is None:
             return self.spark.createDataFrame([], self.contract.schema)
-        return self.spark.read.schema(self.contract.schema).parquet(f"{self._root}/{last['folder']}")
+        return self._snapshot(last["folder"])
 
     def upsert(self, batch: DataFrame, newest: str, tiebreak: list[str]) -> int:
         """Insert new keys, replace known ones; returns the batch's row count.
@@ -65,18 +69,21 @@ class StateTable:
         if count == 0:
             return 0
 
-        fresh = self.spark.read.schema(self.contract.schema).parquet(f"{self._root}/{folder}")
         last = self._published()
         if last is None:
             self._publish(1, folder, count)
             return count
         kept = Observation("kept")
         snapshot = f"snapshot-{uuid.uuid4().hex}"
-        state = merged(self.current(), fresh, keys).hint("rebalance").observe(kept, F.count(F.lit(1)).alias("rows"))
+        state = merged(self._snapshot(last["folder"]), self._snapshot(folder), keys).hint("rebalance").observe(kept, F.count(F.lit(1)).alias("rows"))
         state.write.parquet(f"{self._root}/{snapshot}")
         self._publish(last["version"] + 1, snapshot, int(kept.get["rows"]))
         return count
 
     def _publish(self, version: int, folder: str, rows: int) -> None:
-        entry = self.spark.createDataFrame([(version, folder, rows)], _LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(f"{self._root}/log")
+        self._log(self.spark.range(1, numPartitions=1), version, folder, rows)
+
+    def _log(self, entries: DataFrame, version: int, folder: str, rows: int) -> None:
+        values = zip((version, folder, rows), _LOG_COLUMNS.items())
+        row = [F.lit(value).cast(kind).alias(name) for value, (name, kind) in values]
+        entries.select(row).write.mode("append").parquet(f"{self._root}/log")
