@@ -23,10 +23,25 @@ MINUTES = r"[T ]\d{2}:\d{2}"
 SECONDS = MINUTES + r":\d{2}([.,]\d{1,6})?"
 ZONE = r"(Z|[+-]\d{2}:\d{2})"
 
-YEAR_FIRST_12H = (r"(?U)^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}\s+[AaPp][Mm]$", "yyyy-M-d h:m:s a")
-YEAR_FIRST_24H = (r"(?U)^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}(\s+[AaPp][Mm])?$", "yyyy-M-d H:m:s")
-YEAR_FIRST_MINUTES = (r"(?U)^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}$", "yyyy-M-d H:m")
-MONTH_FIRST_12H = (r"(?U)^\d{1,2}/\d{1,2}/\d{4}\s+\d{1,2}:\d{1,2}:\d{1,2}\s+[AaPp][Mm]$", "M/d/yyyy h:m:s a")
+MONTH = r"(0?[1-9]|1[0-2])"
+DAY = r"(0?[1-9]|[12]\d|3[01])"
+HOUR_12 = r"(0?[1-9]|1[0-2])"
+HOUR_24 = r"([01]?\d|2[0-3])"
+SIXTIETH = r"[0-5]?\d"
+MARKER = r"\s+[AaPp][Mm]"
+YEAR_FIRST_12H = (
+    rf"(?U)^\d{{4}}-{MONTH}-{DAY}\s+{HOUR_12}:{SIXTIETH}:{SIXTIETH}{MARKER}$",
+    "yyyy-M-d h:m:s a",
+)
+YEAR_FIRST_24H = (
+    rf"(?U)^\d{{4}}-{MONTH}-{DAY}\s+{HOUR_24}:{SIXTIETH}:{SIXTIETH}({MARKER})?$",
+    "yyyy-M-d H:m:s",
+)
+YEAR_FIRST_MINUTES = (rf"(?U)^\d{{4}}-{MONTH}-{DAY}\s+{HOUR_24}:{SIXTIETH}$", "yyyy-M-d H:m")
+MONTH_FIRST_12H = (
+    rf"(?U)^{MONTH}/{DAY}/\d{{4}}\s+{HOUR_12}:{SIXTIETH}:{SIXTIETH}{MARKER}$",
+    "M/d/yyyy h:m:s a",
+)
 
 # Last second of the year 9999; larger numbers are not instants.
 MAX_EPOCH_SECOND = 253_402_300_799
@@ -79,7 +94,8 @@ def _formatted(text: Column, shape: tuple[str, str], drop_marker: bool = False)
     if drop_marker:
         spaced = F.regexp_replace(spaced, r" [AaPp][Mm]$", "")
     utc = F.concat(spaced, F.lit(" Z"))
-    # The shape test comes first: rejecting by parsing costs an exception per row.
+    # The shape test comes first and is strict about ranges: every rejection by
+    # the parser costs an exception with a formatted message.
     return F.when(text.rlike(pattern), F.try_to_timestamp(utc, F.lit(layout + " X")))
 
 
@@ -111,4 +127,5 @@ def parse_stripped_timestamp(text: Column) -> Column:
 
 def parse_clock(value: Column) -> Column:
     """Whole number of an item's clock; NULL if it is none."""
-    return value.try_cast("bigint")
+    # A failing cast is an exception inside, hence the test.
+    return F.when(value.rlike(r"^\s*[+-]?[0-9]+\s*$"), value.try_cast("bigint"))
