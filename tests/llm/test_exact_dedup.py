@@ -1,0 +1,46 @@
+from tidemark.llm import exact_dedup
+
+from .conftest import frame
+
+ROWS = [
+    (1, "Same text"), (2, "same TEXT"), (3, "same texts"), (None, "SAME TEXT"), (4, None), (5, ""), (6, "É a"),
+    (7, "é A"), (8, "x" * 70000 + "A"), (9, "x" * 70000 + "b"), (10, "x" * 70000 + "a"), (11, "y"), (11, "y"),
+]
+
+
+def want():
+    groups = {}
+    for d, t in ROWS:
+        body = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        groups.setdefault(body, []).append(d)
+    out = set()
+    for members in groups.values():
+        keep = max((d for d in members if d is not None), default=None)
+        out |= {(d, keep, len(members), d == keep) for d in members}
+    return out
+
+
+def test_groups_and_edges(spark):
+    rows = exact_dedup.exact_duplicates(frame(spark, ROWS)).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in rows} == want()
+    assert len(rows) == len(ROWS) - 1  # the row that repeats id and text comes once
+    assert [r.text_sha256 for r in rows if r.doc_id == 3] == [None]
+
+
+def test_tables_too_large_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.common.BROADCAST_BYTES", 0)
+    rows = exact_dedup.exact_duplicates(frame(spark, ROWS), digest_all=True).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in rows} == want()
+    assert all(len(r.text_sha256) == 64 for r in rows)
+
+
+def test_drop_keeps_columns_and_one_row_each(spark):
+    docs = frame(spark, ROWS)
+    kept = exact_dedup.drop_exact_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 5, 6, 7, 9, 10, 11]
+
+
+def test_empty_table(spark):
+    assert exact_dedup.exact_duplicates(frame(spark, [])).collect() == []
+    assert exact_dedup.drop_exact_duplicates(frame(spark, [])).collect() == []
