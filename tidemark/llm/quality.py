@@ -44,9 +44,9 @@ class Rule:
 RULES = (
     Rule("mean_word_length", "mean_word_chars", 2.0, 25.0),
     Rule("longest_word", "longest_word", None, 1000),
-    Rule("symbols", "symbol_ratio", None, 0.4),
+    Rule("symbols", "symbol_ratio", None, 0.25),
     Rule("stop_words", "stop_ratio", 0.03, None),
-    Rule("duplicate_lines", "dup_line_ratio", None, 0.3),
+    Rule("duplicate_lines", "dup_line_ratio", None, 0.35),
     Rule("shouting", "bang_ratio", None, 0.3),
 )
 
