@@ -7,14 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, quality, simhash
-from tidemark.llm.common import documents
+from tidemark.llm import bpe, exact_dedup, quality, simhash, toxicity
+from tidemark.llm.common import documents, fold
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), digest_all=True)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, labels, ~held_out)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(documents(spark, sf_dir))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -27,7 +41,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
 }
