@@ -17,6 +17,32 @@ from normal
 """
 
 
+OP5 = """
+with texts as (
+    select doc_id, text, string_split(text, chr(10)) as lines from documents
+), places as (
+    select doc_id, lines, unnest(range(1, len(lines) - 1)) as i from texts where len(lines) >= 3
+), windows as (
+    select doc_id, i, lines[i] || chr(10) || lines[i + 1] || chr(10) || lines[i + 2] as body from places
+), later as (
+    select doc_id, i from windows
+    where regexp_matches(body, '[^\\x20\\x09-\\x0D]')
+    qualify row_number() over (partition by body order by doc_id, i) > 1
+), gone as (
+    select doc_id, list(distinct i + k) as removed
+    from later, (select unnest(range(0, 3)) as k) group by doc_id
+), cut as (
+    select doc_id, text, lines, coalesce(removed, []) as removed from texts left join gone using (doc_id)
+)
+select doc_id,
+       coalesce(len(lines), 0) as n_lines,
+       len(removed) as n_removed,
+       sha256(case when len(removed) = 0 then text else array_to_string(
+           list_filter(lines, lambda l, i: not list_contains(removed, i)), chr(10)) end) as kept_sha256
+from cut
+"""
+
+
 def _verdict() -> str:
     ends = []
     for rule in quality.RULES:
@@ -73,4 +99,4 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
-ORACLE: dict[str, str] = {"op6_exact_dedup": OP6, "op9_quality_rules": OP9}
+ORACLE: dict[str, str] = {"op5_line_dedup": OP5, "op6_exact_dedup": OP6, "op9_quality_rules": OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, quality, simhash, toxicity
+from tidemark.llm import bpe, exact_dedup, line_dedup, quality, simhash, token_store, toxicity
 from tidemark.llm.common import documents, fold
 
 
@@ -15,6 +15,15 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
 
 
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.read_documents(spark, token_store.write_store(documents(spark, sf_dir)))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.repeated_lines(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), digest_all=True)
 
@@ -42,6 +51,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op4_token_store": op4_token_store,
+    "op5_line_dedup": op5_line_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
