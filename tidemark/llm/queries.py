@@ -7,10 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, line_dedup, quality, simhash, token_store, toxicity
+from tidemark.llm import bpe, exact_dedup, line_dedup, mixing, quality, simhash, token_store, toxicity
 from tidemark.llm.common import documents, fold
 
 
+#: Target weights of language and quality, of the tokens of the corpus.
+WEIGHTS = {
+    "en-good": 0.48, "de-good": 0.16, "fr-good": 0.16, "es-good": 0.12,
+    "en-poor": 0.02, "de-poor": 0.02, "fr-poor": 0.02, "es-poor": 0.02,
+}
+
+
+def domains_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labelled documents: language and labelled quality."""
+    marked = labels.where("quality is not null").select(F.col("doc_id").alias("_id"), "quality")
+    known = docs.where("lang is not null").join(marked, F.col("doc_id") == F.col("_id"))
+    quality_name = F.when(F.col("quality") == 1, "-good").otherwise("-poor")
+    return known.select("doc_id", F.concat("lang", quality_name).alias("domain"))
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
+    mixer = mixing.fit(docs, domains_of(docs, labels), WEIGHTS)
+    rated = mixer.rates(docs.select("doc_id", "text"))
+    names = F.array(*[F.lit(d) for d in mixer.classifier.domains])
+    likeliest = F.array_position("_posteriors", F.array_max("_posteriors")).cast("int")
+    return rated.select(
+        "doc_id",
+        F.col("_n_tokens").alias("n_tokens"),
+        F.get(names, likeliest - 1).alias("domain"),
+        F.array_max("_posteriors").alias("posterior"),
+        F.col("_rate").alias("rate"),
+    )
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
 
@@ -50,6 +80,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
     "op4_token_store": op4_token_store,
     "op5_line_dedup": op5_line_dedup,
