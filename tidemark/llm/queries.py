@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, line_dedup, mixing, quality, simhash, token_store, toxicity
+from tidemark.llm import bpe, exact_dedup, langid, line_dedup, mixing, quality, simhash, token_store, toxicity
 from tidemark.llm.common import documents, fold
 
 
@@ -45,6 +45,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs, fold(F.col("doc_id"), 4) != 2)
+    found = langid.predict(docs, model)
+    held_out = fold(F.col("doc_id"), 4) == 2
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(spark, token_store.write_store(documents(spark, sf_dir)))
 
@@ -82,6 +90,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
+    "op3_langid": op3_langid,
     "op4_token_store": op4_token_store,
     "op5_line_dedup": op5_line_dedup,
     "op6_exact_dedup": op6_exact_dedup,
