@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, langid, line_dedup, mixing, quality, simhash, token_store, toxicity
+from tidemark.llm import bpe, exact_dedup, langid, line_dedup, mixing, passage_dedup, quality, simhash, token_store, toxicity
 from tidemark.llm.common import documents, fold
 
 
@@ -66,6 +66,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), digest_all=True)
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passage_dedup.repeated_passages(documents(spark, sf_dir))
+    words = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["n"])
+    return found.select("doc_id", F.size("spans").alias("n_spans"), words.alias("n_words"), "kept_in")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
     held_out = fold(F.col("doc_id"), 5) == 0
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_store": op4_token_store,
     "op5_line_dedup": op5_line_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_passages": op7_passages,
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
