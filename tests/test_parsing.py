@@ -1,4 +1,5 @@
-from datetime import datetime
+import random
+from datetime import datetime, timezone
 
 import pytest
 from conftest import AS_OF, at
@@ -84,8 +85,8 @@ NAMES = {
 
 
 def test_item_names(spark):
-    tables = evaluate(spark, list(NAMES), parsing.item_table)
-    columns = evaluate(spark, list(NAMES), parsing.item_column)
+    tables = evaluate(spark, list(NAMES), lambda c: parsing.stripped_item_part(parsing.strip_blanks(c), 1))
+    columns = evaluate(spark, list(NAMES), lambda c: parsing.stripped_item_part(parsing.strip_blanks(c), 2))
     assert dict(zip(NAMES, zip(tables, columns))) == NAMES
 
 
@@ -132,3 +133,41 @@ def test_threshold_ignores_the_session_zone(spark):
         assert spark.range(1).select(F.unix_seconds(limit)).first()[0] == at("2026-03-07T00:00:00").timestamp()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def iso_texts():
+    """ISO texts of every kind, some of them wrong in one place."""
+    rng = random.Random(3)
+    for _ in range(3000):
+        year, dash, colon = rng.choice([2026, 2020, 1969, 1, 9999, 2024, 0]), rng.choice(["-", ""]), rng.choice([":", ""])
+        if rng.random() < 0.7:
+            text = f"{year:04d}{dash}{rng.choice([1, 2, 6, 12, 13]):02d}{dash}{rng.choice([1, 28, 29, 31]):02d}"
+        else:
+            text = f"{year:04d}{dash}W{rng.choice([0, 1, 24, 52, 53, 54]):02d}" + rng.choice(["", dash + rng.choice("13780")])
+        if rng.random() < 0.85:
+            parts = [f"{rng.choice([0, 12, 23, 24]):02d}", f"{rng.choice([0, 55, 60]):02d}", f"{rng.choice([0, 59, 60]):02d}"]
+            kept = rng.randint(1, 3)
+            text += rng.choice("T x") + colon.join(parts[:kept])
+            if kept == 3 and rng.random() < 0.5:
+                text += rng.choice(".,") + "".join(rng.choices("0123456789", k=rng.choice([1, 3, 6, 7, 9])))
+            if rng.random() < 0.6:
+                zones = ["Z", "+03", "-0330", "-03:30", "+03:00:30", "+030030.5", "+24", "+23:59", "z", "+3"]
+                text += rng.choice([""] * 5 + [" "]) + rng.choice(zones)
+        yield text
+
+
+def test_iso_values_as_the_standard_library(spark):
+    start = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    want = {}
+    for text in set(iso_texts()):
+        try:
+            value = datetime.fromisoformat(text)
+            since = value.replace(tzinfo=value.tzinfo or timezone.utc) - start
+            want[text] = (since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds
+        except (ValueError, OverflowError):
+            want[text] = None
+    texts = [t for t in want if not t.isdigit()]  # digits alone are epoch seconds
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: r.us for r in rows.select("t", F.unix_micros(parsing.parse_timestamp(F.col("t"))).alias("us")).collect()}
+    assert {t: (got[t], want[t]) for t in texts if got[t] != want[t]} == {}
+    assert sum(v is not None for v in want.values()) > 300

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import items
 from tidemark.plans import checks
-from tidemark.plans.jobs import run_check, run_tables
+from tidemark.plans.jobs import item_order, run_check, run_tables
 from tidemark.sinks.contract import conform, violates, violations
 from tidemark.sinks.history import append_findings, read_history
 from tidemark.sinks.state import StateTable
 from tidemark.sinks.tables import MONITORING_CLUSTERS, MONITORING_VM, TABLE_MONITORING
 from tidemark.sources.responses import HOST_RESPONSE_SCHEMA, ITEM_RESPONSE_SCHEMA
 from tidemark.sources.tables import Lake
+from workload.standins import TENANT, standin_lake
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def vm_lake(spark, inventory, seen=()):
@@ -145,7 +148,7 @@ def test_repeated_keys_are_violations(spark):
 
 
 def upsert(state, frame):
-    return state.upsert(frame, newest="last_clock", tiebreak=["zabbix_item_id"])
+    return state.upsert(frame, newest="last_clock", tiebreak=item_order())
 
 
 def test_upsert(spark, tmp_path):
@@ -212,3 +215,44 @@ def test_no_items_is_a_success(spark, tmp_path):
     host_answers = answers(spark, HOST_RESPONSE_SCHEMA, '{"result":[{"hostid":"1","host":"db-master"}]}')
     assert run_tables(item_answers, host_answers, state, AS_OF).written == 0
     assert current(state) == []
+
+
+def test_overlapping_writers_keep_both_batches(spark, tmp_path):
+    root = str(tmp_path / "state")
+    first, second = (StateTable(spark, root, TABLE_MONITORING).create() for _ in range(2))
+    upsert(first, batch(spark, ("a", "1", 5)))
+    publish = first._publish
+
+    def late(version, folder):
+        first._publish = publish
+        upsert(second, batch(spark, ("b", "2", 6)))  # takes the version between merge and publishing
+        return publish(version, folder)
+
+    first._publish = late
+    assert upsert(first, batch(spark, ("c", "3", 7))) == 1
+    assert current(second) == [("a", "1", 5), ("b", "2", 6), ("c", "3", 7)]
+
+
+def test_unfinished_entries_are_reported(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.sinks.state.PATIENCE", 1)
+    state = StateTable(spark, str(tmp_path / "state"), TABLE_MONITORING).create()
+    upsert(state, batch(spark, ("a", "1", 5)))
+    (tmp_path / "state" / "log" / "2").touch()
+    with pytest.raises(RuntimeError, match="unfinished"):
+        upsert(state, batch(spark, ("b", "2", 6)))
+
+
+def test_the_lower_item_number_settles_equal_clocks(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "state"), TABLE_MONITORING).create()
+    upsert(state, batch(spark, ("a", "10000", 5), ("a", "9999", 5), ("a", "x", 5)))
+    assert current(state) == [("a", "9999", 5)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
+def test_a_dry_run_of_two_sources_writes_nothing(spark, monkeypatch):
+    def written(*_):
+        raise AssertionError("a dry run wrote its suspects")
+
+    monkeypatch.setattr("tidemark.operators.findings.staged", written)
+    lake = standin_lake(spark, SF_DIR, "netbox_device", "nutanix_host", "vmware_host")
+    assert run_check(checks.nutanix_host(TENANT), lake, as_of=AS_OF, threshold_hours=48, dry_run=True).written is None

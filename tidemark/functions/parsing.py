@@ -18,11 +18,17 @@ BLANKS = (
 # Flags: i = any letter case, d = "." stops at \n only, U = Unicode blanks.
 ITEM_NAME_PATTERN = r"(?idU)^Table\s+\[(.+?)\]:\s+Last\s+data\s+timestamp\s+\((.+?)\)$"
 
-DATE = r"\d{4}-\d{2}-\d{2}"
-MINUTES = r"[T ]\d{2}:\d{2}"
-SECONDS = MINUTES + r":\d{2}([.,]\d{1,6})?"
-ZONE = r"(Z|[+-]\d{2}:\d{2})"
-
+# ISO 8601 date, week date, time and zone, with or without separators.  One character
+# of any kind stands between date and time, and one may stand before the zone unless
+# there is a fraction of fewer than six digits.
+ISO_DATE = r"(?!0000)(\d{4})(?:-(\d\d)-(\d\d)|(\d\d)(\d\d)|-W(\d\d)(?:-(\d))?|W(\d\d)(\d)?)"
+ISO_TIME = (
+    r"([01]\d|2[0-3])(?::([0-5]\d)(?::([0-5]\d)(?:[.,](\d+))?)?|([0-5]\d)(?:([0-5]\d)(?:[.,](\d+))?)?)?"
+)
+ISO_ZONE = (
+    r"(?:(?<![.,]\d{1,5})\D)?(?:Z|([+-])([01]\d|2[0-3])"
+    r"(?::([0-5]\d)(?::([0-5]\d)(?:[.,](\d+))?)?|([0-5]\d)(?:([0-5]\d)(?:[.,](\d+))?)?)?)"
+)
 MONTH = r"(0?[1-9]|1[0-2])"
 DAY = r"(0?[1-9]|[12]\d|3[01])"
 HOUR_12 = r"(0?[1-9]|1[0-2])"
@@ -30,16 +36,16 @@ HOUR_24 = r"([01]?\d|2[0-3])"
 SIXTIETH = r"[0-5]?\d"
 MARKER = r"\s+[AaPp][Mm]"
 YEAR_FIRST_12H = (
-    rf"(?U)^\d{{4}}-{MONTH}-{DAY}\s+{HOUR_12}:{SIXTIETH}:{SIXTIETH}{MARKER}$",
+    rf"(?U)^(?!0000)\d{{4}}-{MONTH}-{DAY}\s+{HOUR_12}:{SIXTIETH}:{SIXTIETH}{MARKER}$",
     "yyyy-M-d h:m:s a",
 )
 YEAR_FIRST_24H = (
-    rf"(?U)^\d{{4}}-{MONTH}-{DAY}\s+{HOUR_24}:{SIXTIETH}:{SIXTIETH}({MARKER})?$",
+    rf"(?U)^(?!0000)\d{{4}}-{MONTH}-{DAY}\s+{HOUR_24}:{SIXTIETH}:{SIXTIETH}({MARKER})?$",
     "yyyy-M-d H:m:s",
 )
-YEAR_FIRST_MINUTES = (rf"(?U)^\d{{4}}-{MONTH}-{DAY}\s+{HOUR_24}:{SIXTIETH}$", "yyyy-M-d H:m")
+YEAR_FIRST_MINUTES = (rf"(?U)^(?!0000)\d{{4}}-{MONTH}-{DAY}\s+{HOUR_24}:{SIXTIETH}$", "yyyy-M-d H:m")
 MONTH_FIRST_12H = (
-    rf"(?U)^{MONTH}/{DAY}/\d{{4}}\s+{HOUR_12}:{SIXTIETH}:{SIXTIETH}{MARKER}$",
+    rf"(?U)^{MONTH}/{DAY}/(?!0000)\d{{4}}\s+{HOUR_12}:{SIXTIETH}:{SIXTIETH}{MARKER}$",
     "M/d/yyyy h:m:s a",
 )
 
@@ -51,16 +57,6 @@ def strip_blanks(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
-def item_table(name: Column) -> Column:
-    """Table part of an item name; empty if the name does not parse or has no table."""
-    return stripped_item_part(strip_blanks(name), 1)
-
-
-def item_column(name: Column) -> Column:
-    """Column part of an item name; may be empty for a name that does parse."""
-    return stripped_item_part(strip_blanks(name), 2)
-
-
 def stripped_item_part(text: Column, part: int) -> Column:
     """Table (1) or column (2) part of an item name without surrounding blanks."""
     return strip_blanks(F.coalesce(F.regexp_extract(text, ITEM_NAME_PATTERN, part), F.lit("")))
@@ -73,18 +69,57 @@ def _epoch_seconds(text: Column) -> Column:
     )
 
 
+ISO = rf"(?s)^{ISO_DATE}(?:.{ISO_TIME}(?:{ISO_ZONE})?)?$"
+# What the groups of ISO hold, in the order of the split text below.
+ISO_PARTS = (
+    ("year", "$1"), ("month", "$2$4"), ("day", "$3$5"), ("week", "$6$8"), ("weekday", "$7$9"),
+    ("hour", "$10"), ("minute", "$11$14"), ("second", "$12$15"), ("fraction", "$13$16"),
+    ("sign", "$17"), ("zone_hour", "$18"), ("zone_minute", "$19$22"), ("zone_second", "$20$23"),
+    ("zone_fraction", "$21$24"),
+)
+
+
 def _iso(text: Column) -> Column:
-    # Complete the text to full seconds and a zone, so that a value without a
-    # zone is UTC whatever the session's time zone is.
-    dotted = F.replace(text, F.lit(","), F.lit("."))
-    complete = (
-        F.when(text.rlike(f"^{DATE}{SECONDS}$"), F.concat(dotted, F.lit("Z")))
-        .when(text.rlike(f"^{DATE}{SECONDS}{ZONE}$"), dotted)
-        .when(text.rlike(f"^{DATE}$"), F.concat(text, F.lit("T00:00:00Z")))
-        .when(text.rlike(f"^{DATE}{MINUTES}$"), F.concat(text, F.lit(":00Z")))
-        .when(text.rlike(f"^{DATE}{MINUTES}{ZONE}$"), F.regexp_replace(text, f"{ZONE}$", ":00$1"))
-    )
-    return F.try_to_timestamp(complete)
+    """Instant of an ISO text; a fraction of any length is cut to microseconds, no zone means UTC."""
+    # One pass of the pattern takes the text apart; a text that does not match
+    # stays whole and has no mark in front.
+    marked = F.regexp_replace(text, ISO, "\x01|" + "|".join(groups for _, groups in ISO_PARTS))
+    fields = F.split(marked, r"\|")
+    place = {name: k + 1 for k, (name, _) in enumerate(ISO_PARTS)}
+
+    def number(parts: Column, name: str, default: int) -> Column:
+        digits = F.get(parts, F.lit(place[name]))
+        return F.when(F.length(digits) > 0, digits.cast("int")).otherwise(default)
+
+    def micros(parts: Column, name: str) -> Column:
+        return F.rpad(F.substring(F.get(parts, F.lit(place[name])), 1, 6), 6, "0").cast("bigint")
+
+    def instant(parts: Column) -> Column:
+        week = number(parts, "week", -1)
+        local = F.try_make_timestamp(
+            number(parts, "year", 0),
+            F.when(week < 0, number(parts, "month", 0)).otherwise(1),
+            F.when(week < 0, number(parts, "day", 0)).otherwise(4),
+            number(parts, "hour", 0), number(parts, "minute", 0),
+            number(parts, "second", 0).cast("decimal(8,6)"), F.lit("UTC"),
+        )
+        # Week 1 has the 4th of January in it; weeks begin on Monday.
+        epoch_day = F.floor(F.unix_micros(local) / 86_400_000_000)
+        monday = epoch_day - F.pmod(epoch_day + 3, F.lit(7))
+        weekday = number(parts, "weekday", 1)
+        days = F.when(week < 0, 0).otherwise(monday - epoch_day + (week - 1) * 7 + weekday - 1)
+        zone = number(parts, "zone_hour", 0).cast("bigint") * 3600 + number(parts, "zone_minute", 0) * 60 + number(parts, "zone_second", 0)
+        zone = zone * 1_000_000 + micros(parts, "zone_fraction")
+        zone = F.when(F.get(parts, F.lit(place["sign"])) == "-", -zone).otherwise(zone)
+        # Thursday decides which year a week belongs to.
+        thursday = F.date_add(F.lit("1970-01-01").cast("date"), (epoch_day + days - weekday + 4).cast("int"))
+        right_week = (week < 0) | ((week > 0) & weekday.between(1, 7) & (F.year(thursday) == number(parts, "year", 0)))
+        moved = days.cast("bigint") * 86_400_000_000 + micros(parts, "fraction") - zone
+        right_week = right_week & (epoch_day + days <= MAX_EPOCH_SECOND // 86_400)
+        return F.when(right_week, F.timestamp_micros(F.unix_micros(local) + moved))
+
+    # Bound to a lambda variable, so that the text is taken apart once.
+    return F.get(F.transform(F.array(fields), lambda parts: F.when(F.get(parts, F.lit(0)) == "\x01", instant(parts))), F.lit(0))
 
 
 def _formatted(text: Column, shape: tuple[str, str], drop_marker: bool = False) -> Column:
@@ -102,8 +137,8 @@ def _formatted(text: Column, shape: tuple[str, str], drop_marker: bool = False)
 def parse_timestamp(value: Column) -> Column:
     """Instant of an item value; NULL if it is empty or in no accepted format.
 
-    Formats, first match wins: epoch seconds; ISO date, date-time with optional
-    fraction and zone; ``2026-06-10 12:55:00 AM`` on a 12 h clock, or on a 24 h
+    Formats, first match wins: epoch seconds; ISO date or week date, compact or
+    not, with optional time, fraction of any length and zone; ``2026-06-10 12:55:00 AM`` on a 12 h clock, or on a 24 h
     clock where the marker is ignored; 24 h to the second or minute;
     ``06/10/2026 01:05:00 PM``.  No zone means UTC.
     """

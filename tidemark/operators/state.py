@@ -1,18 +1,10 @@
-"""Current state per key: newest of a batch, and a batch over a state."""
+"""A batch put over the current state per key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tidemark.operators.latest import latest_per_key
-
-
-def one_per_key(batch: DataFrame, keys: Sequence[str], newest: str, tiebreak: Sequence[str]) -> DataFrame:
-    """At most one row per key of a batch: the newest, then by ``tiebreak``."""
-    return latest_per_key(batch, keys, newest, tiebreak)
 
 
 def merged(state: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

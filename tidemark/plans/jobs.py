@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ages import resolve_as_of
@@ -28,6 +28,11 @@ class Run:
     written: int | None
 
 
+def item_order() -> list[str | Column]:
+    """Of items with one table, column and clock the lower id counts, then the name; ids are numbers in text."""
+    return [F.col("zabbix_item_id").try_cast("bigint"), "zabbix_item_id", "zabbix_item_name"]
+
+
 def detect(
     check: Check, lake: Lake, as_of: datetime, threshold_hours: int = DEFAULT_THRESHOLD_HOURS, stage: bool = False
 ) -> DataFrame:
@@ -60,14 +65,15 @@ def run_check(
     as_of: datetime | None = None,
     threshold_hours: int = DEFAULT_THRESHOLD_HOURS,
     dry_run: bool = False,
-    stage: bool = True,
+    stage: bool | None = None,
 ) -> Run:
     """Detect and append to ``history``.  An empty inventory or a healthy fleet
-    writes nothing and is a success."""
+    writes nothing and is a success.  A dry run writes nothing at all, so unless
+    asked to it does not ``stage`` either."""
     if not dry_run and history is None:
         raise ValueError("a run that is not dry needs a history location")
     moment = resolve_as_of(as_of)
-    findings = detect(check, lake, moment, threshold_hours, stage)
+    findings = detect(check, lake, moment, threshold_hours, not dry_run if stage is None else stage)
     written = None if dry_run else append_findings(findings, history, check.contract)
     return Run(moment, findings, written)
 
@@ -101,5 +107,5 @@ def run_tables(
         raise ValueError("a run that is not dry needs a state table")
     moment = resolve_as_of(as_of)
     freshness = detect_tables(item_responses, host_responses, moment, host, tag)
-    written = None if dry_run else state.upsert(freshness, newest="last_clock", tiebreak=["zabbix_item_id"])
+    written = None if dry_run else state.upsert(freshness, newest="last_clock", tiebreak=item_order())
     return Run(moment, freshness, written)

@@ -1,23 +1,32 @@
 """Keyed current state on plain files.
 
 Every upsert writes a whole new snapshot to a folder of its own and then
-publishes it with one row in a log.  Readers follow the log, so they see the old
-snapshot or the new one and never a half-written state; a failed run leaves at
-most an unpublished folder.  One writer at a time.
+publishes it with one small file in a log, named by version.  Readers follow the
+log, so they see the old snapshot or the new one and never a half-written state; a
+failed run leaves at most an unpublished folder.  A version is published once: of
+two writers at a time the later one merges again.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.state import merged, one_per_key
+from tidemark.operators.latest import latest_per_key
+from tidemark.operators.state import merged
 from tidemark.sinks.contract import Contract, conform
 
-_LOG_COLUMNS = {"version": "bigint", "folder": "string", "rows": "bigint"}
-_LOG_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in _LOG_COLUMNS.items())
+#: Merges tried before an upsert gives up because others keep publishing.
+ATTEMPTS = 5
+#: Seconds to wait for another writer to finish an entry.
+PATIENCE = 10
+#: Ends an entry, so that one just begun is not taken for a folder's name.
+END = "\n"
 
 
 class StateTable:
@@ -35,13 +44,36 @@ class StateTable:
 
     def create(self) -> StateTable:
         """Set up an empty state; on an existing one this changes nothing."""
-        self._log(self.spark.range(0, numPartitions=1), 0, "", 0)
+        fs, log = self._files()
+        fs.mkdirs(log)
         return self
 
-    def _published(self):
-        """The newest log entry, or None before the first."""
-        log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self._root}/log")
-        return log.agg(F.max(F.struct("version", "folder")).alias("last")).first()["last"]
+    def _files(self):
+        """The file system of the root, and the log folder in it."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._root}/log")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _published(self) -> tuple[int, str] | None:
+        """Version and folder of the newest log entry, or None before the first.
+
+        Only names are listed and one entry is read, however long the log is.
+        """
+        fs, log = self._files()
+        newest = max((int(e.getPath().getName()) for e in fs.listStatus(log)), default=None)
+        if newest is None:
+            return None
+        entry = self._entry(newest)
+        for _ in range(PATIENCE):
+            stream = fs.open(entry)
+            folder = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            if folder.endswith(END):
+                return newest, folder.removesuffix(END)
+            time.sleep(1)
+        raise RuntimeError(f"the writer of {entry.toString()} left it unfinished; remove that file if the writer is gone")
+
+    def _entry(self, version: int):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._root}/log", str(version))
 
     def _snapshot(self, folder: str) -> DataFrame:
         return self.spark.read.schema(self.contract.schema).parquet(f"{self._root}/{folder}")
@@ -51,39 +83,50 @@ class StateTable:
         last = self._published()
         if last is None:
             return self.spark.createDataFrame([], self.contract.schema)
-        return self._snapshot(last["folder"])
+        return self._snapshot(last[1])
 
-    def upsert(self, batch: DataFrame, newest: str, tiebreak: list[str]) -> int:
+    def upsert(self, batch: DataFrame, newest: str, tiebreak: Sequence[str | Column]) -> int:
         """Insert new keys, replace known ones; returns the batch's row count.
 
         Of several batch rows with one key the newest is taken.  An empty batch
-        publishes nothing.
+        publishes nothing.  If another writer publishes meanwhile, the merge is
+        done again over what it published, so neither batch is lost.
         """
         keys = list(self.contract.unique)
         incoming = Observation("incoming")
-        rows = one_per_key(conform(batch, self.contract), keys, newest, tiebreak)
+        rows = latest_per_key(conform(batch, self.contract), keys, newest, tiebreak)
         folder = f"batch-{uuid.uuid4().hex}"
         # The batch feeds both sides of the merge: write it once, read it twice.
         rows.observe(incoming, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self._root}/{folder}")
         count = int(incoming.get["rows"])
         if count == 0:
             return 0
-
-        last = self._published()
-        if last is None:
-            self._publish(1, folder, count)
-            return count
-        kept = Observation("kept")
+        for _ in range(ATTEMPTS):
+            last = self._published()
+            snapshot = folder if last is None else self._merge(last[1], folder, keys)
+            if self._publish(1 if last is None else last[0] + 1, snapshot):
+                return count
+        raise RuntimeError(f"other writers published to {self._root} {ATTEMPTS} times during one upsert; nothing was changed")
+
+    def _merge(self, state: str, batch: str, keys: list[str]) -> str:
         snapshot = f"snapshot-{uuid.uuid4().hex}"
-        state = merged(self._snapshot(last["folder"]), self._snapshot(folder), keys).hint("rebalance").observe(kept, F.count(F.lit(1)).alias("rows"))
-        state.write.parquet(f"{self._root}/{snapshot}")
-        self._publish(last["version"] + 1, snapshot, int(kept.get["rows"]))
-        return count
-
-    def _publish(self, version: int, folder: str, rows: int) -> None:
-        self._log(self.spark.range(1, numPartitions=1), version, folder, rows)
-
-    def _log(self, entries: DataFrame, version: int, folder: str, rows: int) -> None:
-        values = zip((version, folder, rows), _LOG_COLUMNS.items())
-        row = [F.lit(value).cast(kind).alias(name) for value, (name, kind) in values]
-        entries.select(row).write.mode("append").parquet(f"{self._root}/log")
+        rows = merged(self._snapshot(state), self._snapshot(batch), keys).hint("rebalance")
+        rows.write.parquet(f"{self._root}/{snapshot}")
+        return snapshot
+
+    def _publish(self, version: int, folder: str) -> bool:
+        """Make ``folder`` the state of ``version``; False if another writer has that version.
+
+        The entry is created without overwriting, which one writer can do.
+        """
+        fs, _ = self._files()
+        entry = self._entry(version)
+        try:
+            out = fs.create(entry, False)
+        except Py4JJavaError:
+            if fs.exists(entry):
+                return False
+            raise
+        out.writeBytes(folder + END)
+        out.close()
+        return True

@@ -38,46 +38,80 @@ def latest(table: str, key: str, newest: str, *tiebreak: str, where: str = "true
     return f"select distinct on ({key}) * from {table} where {where} order by {key}, {order}"
 
 
-# --- single source over plain tables ----------------------------------------
+# --- findings, from the rules ------------------------------------------------
+#
+# A record with no observation is MISSING: ``not exists``.  One observation of a
+# single source, or the newest of several sources, is STALE if it is before the
+# limit.  Sightings of all sources are one list of (record, source, time); a lower
+# rank wins among equal times.
+
+
+def single(inventory: str, key: str, source: str, match: str, limit: str, columns: dict[str, str]) -> str:
+    """Rows of ``inventory`` and ``columns`` of each stale row of ``source``, or the label MISSING."""
+    named = ", ".join(f"s.{c} as {name}" for c, name in columns.items())
+    return f"""
+  select i.*, {named}, {age("s.last_observed")} as data_age_hours, 'STALE' as finding_type
+  from {inventory} i, {source} s where s.{match} = i.{key} and s.last_observed < {limit}
+  union all by name
+  select i.*, 'MISSING' as finding_type from {inventory} i
+  where not exists (from {source} s where s.{match} = i.{key})"""
+
+
+def sightings(record: str, sources: list[tuple[str, str, str, str]]) -> str:
+    """(record, source, seen_at, rank) from (label, relation, time column, join condition), best rank first."""
+    return " union all ".join(
+        f"select i.{record} as record, '{label}' as source, s.{time} as seen_at, {rank} as rank from inv i join {relation} s on {on}"
+        for rank, (label, relation, time, on) in enumerate(sources)
+    )
+
+
+NEWEST = f"""
+  select record, max(seen_at) as most_recent_observed, max(coalesce(seen_at, {EPOCH})) as last_sign,
+         arg_max(source, epoch_us(seen_at) * 10 - rank) filter (seen_at is not null) as most_recent_source
+  from sightings group by record"""
+
+# Labels by what a sighting without a time means.
+LABEL_EPOCH = f"case when n.record is null then 'MISSING' when last_sign < {DUAL_LIMIT} then 'STALE' end"
+LABEL_NULLSAFE = f"case when most_recent_observed is null then 'MISSING' when most_recent_observed < {DUAL_LIMIT} then 'STALE' end"
+AGE_EPOCH = age(f"coalesce(last_sign, {EPOCH})")
+AGE_NULLSAFE = float_age("most_recent_observed")
+
+
+def dual(record: str, columns: str, joins: str, label: str, hours: str) -> str:
+    """Findings of ``inv`` over ``sightings``: ``columns`` are of i (inventory) and the joined sources."""
+    return f"""newest as ({NEWEST}),
+labelled as (
+  select {columns}, most_recent_source, most_recent_observed, {hours} as data_age_hours, {label} as finding_type
+  from inv i left join newest n on n.record = i.{record} {joins})"""
+
 
+INVENTORY = latest("orders", "o_custkey", "o_orderdate", "o_orderkey",
+                   where="o_orderpriority like '%I%' and o_orderstatus != 'F'")
+EVENT_COLUMNS = {"user_id": "obs_key", "event_id": "event_id", "last_observed": "last_observed"}
 SINGLE = f"""
-with inv as ({latest("orders", "o_custkey", "o_orderdate", "o_orderkey",
-                     where="o_orderpriority like '%I%' and o_orderstatus != 'F'")}),
-findings as (
-  select i.o_custkey as inv_id, i.o_orderkey as inv_ref, e.user_id as obs_key, e.event_id, e.ts as last_observed,
-         {age("e.ts")} as data_age_hours,
-         case when e.user_id is null then 'MISSING' when e.ts < {SINGLE_LIMIT} then 'STALE' end as finding_type
-  from inv i left join events e on i.o_custkey = e.user_id
-  where e.user_id is null or e.ts < {SINGLE_LIMIT})
+with inv as (select o_custkey as inv_id, o_orderkey as inv_ref from ({INVENTORY}) x),
+seen as (select user_id, event_id, ts as last_observed from events),
+findings as ({single("inv", "inv_id", "seen", "user_id", SINGLE_LIMIT, EVENT_COLUMNS)})
 """
 
-# --- two sources over plain tables ------------------------------------------
-
-_DUAL = """
-with a_rows as (select user_id as a_key, case when user_id % 10 = 3 then null else ts end as a_ts, event_id as a_id
-                from events where event_type = 'click'),
-     b_rows as (select concat('Customer#', lpad(cast(user_id as varchar), 9, '0')) as b_key, ts as b_ts, event_id as b_id
-                from events where event_type = 'purchase' and user_id % 3 <> 0),
-     a as (select distinct on (a_key) * from a_rows order by a_key, a_ts desc nulls last, a_id),
-     b as (select distinct on (b_key) * from b_rows order by b_key, b_ts desc nulls last, b_id),
-     j as (select c_custkey as inv_id, c_name as inv_name, a_key, a_ts, a_id, b_key, b_ts, b_id,
-                  greatest(coalesce(a_ts, {epoch}), coalesce(b_ts, {epoch})) as g, greatest(a_ts, b_ts) as seen
-           from customer left join a on c_custkey = a_key left join b on c_name = b_key)
-select inv_id, inv_name, a_key, a_ts, a_id, b_key, b_ts, b_id,
-       case when a_ts is not null and b_ts is not null then case when a_ts >= b_ts then 'A' else 'B' end
-            when a_ts is not null then 'A' when b_ts is not null then 'B' end as most_recent_source,
-       seen as most_recent_observed,
+_DUAL = f"""
+with inv as (select c_custkey as inv_id, c_name as inv_name from customer),
+a_rows as (select user_id as a_key, case when user_id % 10 <> 3 then ts end as a_ts, event_id as a_id
+           from events where event_type = 'click'),
+b_rows as (select case when user_id % 3 = 0 then 'unlisted-' || cast(user_id as varchar)
+                       else 'Customer#' || lpad(cast(user_id as varchar), 9, '0') end as b_key,
+                  ts as b_ts, event_id as b_id
+           from events where event_type = 'purchase'),
+a as ({latest("a_rows", "a_key", "a_ts", "a_id")}),
+b as ({latest("b_rows", "b_key", "b_ts", "b_id")}),
+sightings as ({sightings("inv_id", [("A", "a", "a_ts", "s.a_key = i.inv_id"), ("B", "b", "b_ts", "s.b_key = i.inv_name")])}),
 """
+_DUAL_COLUMNS = "i.inv_id, i.inv_name, a_key, a_ts, a_id, b_key, b_ts, b_id"
+_DUAL_JOINS = "left join a on a_key = i.inv_id left join b on b_key = i.inv_name"
+FINDINGS_ONLY = "select * from labelled where finding_type is not null"
 
-DUAL_EPOCH = _DUAL.format(epoch=EPOCH) + f"""
-       {age("g")} as data_age_hours,
-       case when a_key is null and b_key is null then 'MISSING' when g < {DUAL_LIMIT} then 'STALE' end as finding_type
-from j where (a_key is null and b_key is null) or g < {DUAL_LIMIT}"""
-
-DUAL_NULLSAFE = _DUAL.format(epoch=EPOCH) + f"""
-       {float_age("seen")} as data_age_hours,
-       case when seen is null then 'MISSING' when seen < {DUAL_LIMIT} then 'STALE' end as finding_type
-from j where seen is null or seen < {DUAL_LIMIT}"""
+DUAL_EPOCH = _DUAL + dual("inv_id", _DUAL_COLUMNS, _DUAL_JOINS, LABEL_EPOCH, AGE_EPOCH) + FINDINGS_ONLY
+DUAL_NULLSAFE = _DUAL + dual("inv_id", _DUAL_COLUMNS, _DUAL_JOINS, LABEL_NULLSAFE, AGE_NULLSAFE) + FINDINGS_ONLY
 
 # --- jobs over stand-ins ----------------------------------------------------
 
@@ -86,121 +120,118 @@ def stamp(hours: int) -> str:
     return f"{AS_OF} as check_time, cast({hours} as integer) as check_threshold_hours,"
 
 
-JOB_VM_UUID = f"""{with_standins("netbox_vm", "nutanix_vm")},
-nb as ({latest("netbox_vm", "custom_fields_uuid", "last_updated", "id",
-               where="tags1_display like '%Nutanix Acropolis%' and custom_fields_uuid is not null and status_value != 'poweredOff'")})
-select {stamp(24)} nb.id as netbox_vm_id, nb.name as netbox_vm_name, site_name as netbox_site_name,
-       cluster_name as netbox_cluster_name, status_value as netbox_status_value,
-       custom_fields_uuid as netbox_custom_fields_uuid, custom_fields_moid as netbox_custom_fields_moid,
-       vcpus as netbox_vcpus, memory as netbox_memory, disk as netbox_disk,
-       o.last_observed as nutanix_last_observed, o.status as nutanix_status,
-       o.status_description as nutanix_status_description, o.component_moid as nutanix_component_moid,
-       o.nutanix_uuid, o.guest_os as nutanix_guest_os, o.memory_mb as nutanix_memory_mb,
-       o.num_vcpus as nutanix_num_vcpus,
-       {age("o.last_observed")} as data_age_hours,
-       case when o.component_moid is null then 'MISSING' when o.last_observed < {SINGLE_LIMIT} then 'STALE' end as finding_type
-from nb left join nutanix_vm o on nb.custom_fields_uuid = o.component_moid
-where o.component_moid is null or o.last_observed < {SINGLE_LIMIT}"""
-
-JOB_VM_MOID = f"""{with_standins("netbox_vm", "vmware_vm")},
-nb as ({latest("netbox_vm", "custom_fields_moid", "last_updated", "id",
-               where="tags1_display like '%VMware%' and custom_fields_moid is not null and custom_fields_moid != '' and status_value != 'poweredOff'")})
-select {stamp(24)} nb.id as netbox_vm_id, nb.name as netbox_vm_name, site_name as netbox_site_name,
-       cluster_name as netbox_cluster_name, status_value as netbox_status_value,
-       custom_fields_moid as netbox_custom_fields_moid, custom_fields_uuid as netbox_custom_fields_uuid,
-       vcpus as netbox_vcpus, memory as netbox_memory, disk as netbox_disk,
-       custom_fields_guest_os as netbox_guest_os, custom_fields_musteri as netbox_musteri,
-       custom_fields_endpoint as netbox_endpoint,
-       o.last_observed as vmware_last_observed, o.status as vmware_status,
-       o.status_description as vmware_status_description, o.component_moid as vmware_component_moid,
-       o.vcenter_uuid as vmware_vcenter_uuid, o.name as vmware_name, o.guest_os as vmware_guest_os,
-       o.tools_status as vmware_tools_status,
-       {age("o.last_observed")} as data_age_hours,
-       case when o.component_moid is null then 'MISSING' when o.last_observed < {SINGLE_LIMIT} then 'STALE' end as finding_type
-from nb left join vmware_vm o on nb.custom_fields_moid = o.component_moid
-where o.component_moid is null or o.last_observed < {SINGLE_LIMIT}"""
-
-_HOST_NETBOX = ", ".join(
-    [
-        "nb.id as netbox_device_id",
-        "nb.name as netbox_device_name",
-        *[
-            f"nb.{c} as netbox_{c}"
-            for c in (
-                "site_name location_name rack_name status_value serial device_type_name manufacturer_name "
-                "device_role_name tenant_name primary_ip_address tags1_display total_cores total_ram cpu"
-            ).split()
-        ],
-    ]
-)
-_HOST_NUTANIX = (
-    "n.last_observed as nutanix_last_observed, n.status as nutanix_status, "
-    "n.status_description as nutanix_status_description, n.component_moid as nutanix_component_moid, n.nutanix_uuid, "
-    "n.name as nutanix_name, n.serial as nutanix_serial, n.model as nutanix_model"
-)
-_HOST_VMWARE = (
-    "v.last_observed as vmware_last_observed, v.status as vmware_status, "
-    "v.status_description as vmware_status_description, v.component_moid as vmware_component_moid, {extra}"
-    "v.name as vmware_name, v.model as vmware_model, v.version as vmware_version"
-)
-
-
-def most_recent(first: str, first_label: str, second: str, second_label: str) -> str:
-    return (
-        f"case when {first} is not null and {second} is not null "
-        f"then case when {first} >= {second} then '{first_label}' else '{second_label}' end "
-        f"when {first} is not null then '{first_label}' when {second} is not null then '{second_label}' end"
+def prefixed(prefix: str, columns: list[str]) -> str:
+    return ", ".join(f"{c} as {prefix}{c}" for c in columns)
+
+
+# The columns of the results, in the order of their contracts.
+VM_COLUMNS = [
+    "site_name", "cluster_name", "status_value", "custom_fields_uuid", "custom_fields_moid", "vcpus", "memory", "disk",
+]
+HOST_COLUMNS = [
+    "site_name", "location_name", "rack_name", "status_value", "serial", "device_type_name", "manufacturer_name",
+    "device_role_name", "tenant_name", "primary_ip_address", "tags1_display", "total_cores", "total_ram", "cpu",
+]
+NUTANIX_VM_COLUMNS = ["last_observed", "status", "status_description", "component_moid", "guest_os", "memory_mb", "num_vcpus"]
+VMWARE_VM_COLUMNS = [
+    "last_observed", "status", "status_description", "component_moid", "vcenter_uuid", "name", "guest_os", "tools_status",
+]
+NUTANIX_HOST_COLUMNS = ["last_observed", "status", "status_description", "component_moid", "name", "serial", "model"]
+VMWARE_HOST_COLUMNS = ["last_observed", "status", "status_description", "component_moid", "name", "model", "version"]
+NUTANIX_CLUSTER_COLUMNS = ["last_observed", "status", "status_description", "component_moid", "name"]
+VMWARE_CLUSTER_COLUMNS = NUTANIX_CLUSTER_COLUMNS
+
+
+def named(prefix: str, columns: list[str], **extra: str) -> dict[str, str]:
+    return {c: prefix + c for c in columns} | extra
+
+
+def machine_job(source: str, record_key: str, where: str, columns: dict[str, str], more: str = "") -> str:
+    """Findings of virtual machines against one source."""
+    key = f"netbox_{record_key}"
+    newest = latest("netbox_vm", record_key, "last_updated", "id", where=where)
+    return f"""{with_standins("netbox_vm", source)},
+inv as (select id as netbox_vm_id, name as netbox_vm_name, {prefixed("netbox_", VM_COLUMNS)}{more} from ({newest}) x),
+findings as ({single("inv", key, source, "component_moid", SINGLE_LIMIT, columns)})
+select {stamp(24)} * from findings"""
+
+
+JOB_VM_UUID = machine_job(
+    "nutanix_vm", "custom_fields_uuid",
+    "tags1_display like '%Nutanix Acropolis%' and custom_fields_uuid is not null and status_value != 'poweredOff'",
+    named("nutanix_", NUTANIX_VM_COLUMNS, nutanix_uuid="nutanix_uuid"),
+)
+JOB_VM_MOID = machine_job(
+    "vmware_vm", "custom_fields_moid",
+    "tags1_display like '%VMware%' and length(custom_fields_moid) > 0 and status_value != 'poweredOff'",
+    named("vmware_", VMWARE_VM_COLUMNS),
+    ", custom_fields_guest_os as netbox_guest_os, custom_fields_musteri as netbox_musteri, "
+    "custom_fields_endpoint as netbox_endpoint",
+)
+
+
+def source_columns(alias: str, prefix: str, columns: list[str], *plain: str) -> str:
+    return ", ".join([*[f"{alias}.{c} as {prefix}{c}" for c in columns], *[f"{alias}.{c} as {name}" for c, name in
+                      (p.split(" as ") if " as " in p else (p, p) for p in plain)]])
+
+
+def host_job(inventory: str, order: list[str], *vmware: str) -> str:
+    """Findings of hosts against both sources; ``order`` has the labels, best rank first."""
+    sources = {
+        "NUTANIX": ("NUTANIX", "nx", "last_observed", "s.serial = i.netbox_serial"),
+        "VMWARE": ("VMWARE", "vm", "last_observed", "s.name = i.netbox_device_name"),
+    }
+    columns = ", ".join(
+        [
+            "i.*",
+            source_columns("nx", "nutanix_", NUTANIX_HOST_COLUMNS, "nutanix_uuid"),
+            source_columns("vm", "vmware_", VMWARE_HOST_COLUMNS, *vmware),
+        ]
     )
+    joins = "left join nx on nx.serial = i.netbox_serial left join vm on vm.name = i.netbox_device_name"
+    return f"""{with_standins("netbox_device", "nutanix_host", "vmware_host")},
+inv as (select id as netbox_device_id, name as netbox_device_name, {prefixed("netbox_", HOST_COLUMNS)} from ({inventory}) x),
+nx as ({latest("nutanix_host", "serial", "last_observed", "component_moid", where="length(serial) > 0")}),
+vm as ({latest("vmware_host", "name", "last_observed", "component_moid")}),
+sightings as ({sightings("netbox_device_id", [sources[label] for label in order])}),
+{dual("netbox_device_id", columns, joins, LABEL_EPOCH, AGE_EPOCH)}
+select {stamp(48)} * from labelled where finding_type is not null"""
 
 
-def _host_job(inventory: str, extra: str, first: str, first_label: str, second: str, second_label: str) -> str:
-    g = f"greatest(coalesce(n.last_observed, {EPOCH}), coalesce(v.last_observed, {EPOCH}))"
-    no_match = "n.serial is null and v.name is null"
-    return f"""{with_standins("netbox_device", "nutanix_host", "vmware_host")},
-nb as ({inventory}),
-n as ({latest("nutanix_host", "serial", "last_observed", "component_moid", where="serial is not null and serial != ''")}),
-v as ({latest("vmware_host", "name", "last_observed", "component_moid")})
-select {stamp(48)} {_HOST_NETBOX}, {_HOST_NUTANIX}, {_HOST_VMWARE.format(extra=extra)},
-       {most_recent(first, first_label, second, second_label)} as most_recent_source,
-       greatest(n.last_observed, v.last_observed) as most_recent_observed,
-       {age(g)} as data_age_hours,
-       case when {no_match} then 'MISSING' when {g} < {DUAL_LIMIT} then 'STALE' end as finding_type
-from nb left join n on nb.serial = n.serial left join v on nb.name = v.name
-where ({no_match}) or {g} < {DUAL_LIMIT}"""
-
-
-JOB_HOST_SERIAL_FIRST = _host_job(
+JOB_HOST_SERIAL_FIRST = host_job(
     latest("netbox_device", "serial", "last_updated", "id",
-           where="tags1_display = 'ESXI NUTANIX' and tenant_name = 'Virtualization' and serial is not null and serial != ''"),
-    "", "n.last_observed", "NUTANIX", "v.last_observed", "VMWARE")
-
-JOB_HOST_NAME_FIRST = _host_job(
+           where="tags1_display = 'ESXI NUTANIX' and tenant_name = 'Virtualization' and length(serial) > 0"),
+    ["NUTANIX", "VMWARE"],
+)
+JOB_HOST_NAME_FIRST = host_job(
     latest("netbox_device", "id", "last_updated",
            where="tags1_display in ('ESXI KLASIK HOST', 'ESXI KLASIK SAP HOST', 'ESXI NUTANIX', 'ESXI NUTANIX HOST', "
                  "'HYBRID', 'HYPER-V', 'KLASIK MIMARI') and tenant_name = 'Virtualization'"),
-    "v.vcenter_uuid as vmware_vcenter_uuid, ", "v.last_observed", "VMWARE", "n.last_observed", "NUTANIX")
+    ["VMWARE", "NUTANIX"], "vcenter_uuid as vmware_vcenter_uuid",
+)
 
 CLUSTERS = "select id, coalesce(nullif(display, ''), name) as name, type_display, type_slug from cluster_record"
 
+_CLUSTER_COLUMNS = ", ".join(
+    [
+        "i.*",
+        source_columns("nx", "nutanix_", NUTANIX_CLUSTER_COLUMNS, "nutanix_uuid"),
+        source_columns("vm", "vmware_", VMWARE_CLUSTER_COLUMNS),
+    ]
+)
+_CLUSTER_SOURCES = [
+    ("NUTANIX", "nx", "last_observed", "s.name = i.netbox_cluster_name"),
+    ("VMWARE", "vm", "last_observed", "s.name = i.netbox_cluster_name"),
+]
+_CLUSTER_JOINS = "left join nx on nx.name = i.netbox_cluster_name left join vm on vm.name = i.netbox_cluster_name"
 JOB_CLUSTER = f"""{with_standins("cluster_record", "nutanix_cluster", "vmware_cluster")},
-c as ({CLUSTERS} where type_slug = 'acropolis-cls'),
-n as ({latest("nutanix_cluster", "name", "last_observed", "component_moid")}),
-v as ({latest("vmware_cluster", "name", "last_observed", "component_moid")}),
-j as (select c.id as netbox_cluster_id, c.name as netbox_cluster_name, type_display as netbox_cluster_type,
-             type_slug as netbox_cluster_type_slug,
-             n.last_observed as nutanix_last_observed, n.status as nutanix_status,
-             n.status_description as nutanix_status_description, n.component_moid as nutanix_component_moid,
-             n.nutanix_uuid, n.name as nutanix_name,
-             v.last_observed as vmware_last_observed, v.status as vmware_status,
-             v.status_description as vmware_status_description, v.component_moid as vmware_component_moid,
-             v.name as vmware_name,
-             {most_recent("n.last_observed", "NUTANIX", "v.last_observed", "VMWARE")} as most_recent_source,
-             greatest(n.last_observed, v.last_observed) as most_recent_observed
-      from c left join n on n.name = c.name left join v on v.name = c.name)
-select {stamp(48)} *, {float_age("most_recent_observed")} as data_age_hours,
-       case when most_recent_observed is null then 'MISSING' when most_recent_observed < {DUAL_LIMIT} then 'STALE' end as finding_type
-from j where most_recent_observed is null or most_recent_observed < {DUAL_LIMIT}"""
-
+inv as (select id as netbox_cluster_id, name as netbox_cluster_name, type_display as netbox_cluster_type,
+               type_slug as netbox_cluster_type_slug from ({CLUSTERS} where type_slug = 'acropolis-cls') x),
+nx as ({latest("nutanix_cluster", "name", "last_observed", "component_moid")}),
+vm as ({latest("vmware_cluster", "name", "last_observed", "component_moid")}),
+sightings as ({sightings("netbox_cluster_id", _CLUSTER_SOURCES)}),
+{dual("netbox_cluster_id", _CLUSTER_COLUMNS, _CLUSTER_JOINS, LABEL_NULLSAFE, AGE_NULLSAFE)}
+select {stamp(48)} * from labelled where finding_type is not null"""
 
 
 def written(job: str) -> str:
@@ -217,7 +248,7 @@ parsed as (
     trim(regexp_extract(n, '{ITEM_NAME}', 1, 'i'), {BLANKS}) as table_name,
     trim(regexp_extract(n, '{ITEM_NAME}', 2, 'i'), {BLANKS}) as column_name,
     try_cast(lastclock as bigint) as last_clock,
-    case cast(event_id % 10 as int)
+    case cast(event_id % 18 as int)
       when 0 then make_timestamp(try_cast(v as bigint) * 1000000)
       when 1 then strptime(v, '%Y-%m-%d %H:%M:%S')
       when 2 then strptime(v, '%Y-%m-%d %I:%M:%S %p')
@@ -226,6 +257,14 @@ parsed as (
       when 5 then strptime(v, '%Y-%m-%d')
       when 6 then strptime(v, '%Y-%m-%d %H:%M')
       when 7 then strptime(left(v, 19), '%Y-%m-%d %H:%M:%S') - interval 3 hour
+      when 10 then strptime(left(v, 19), '%Y-%m-%d %H:%M:%S') - interval 3 hour
+      when 11 then strptime(left(v, 19), '%Y-%m-%dT%H:%M:%S') - interval 3 hour
+      when 12 then strptime(left(v, 26), '%Y-%m-%dT%H:%M:%S.%f')
+      when 13 then strptime(left(v, 26), '%Y-%m-%d %H:%M:%S,%f')
+      when 14 then strptime(v, '%Y-%m-%dT%H')
+      when 15 then strptime(v, '%Y%m%dT%H%M%S')
+      when 16 then strptime(left(v, 19), '%Y-%m-%d %H:%M:%S') - interval 3 hour
+      when 17 then strptime(v, '%G-W%V-%u')
       when 9 then strptime(replace(v, ' AM', ''), '%Y-%m-%d  %H:%M:%S')
     end as last_data_timestamp
   from valued)"""
@@ -236,7 +275,7 @@ STATE_COLUMNS = f"""table_name, column_name, 'db-master' as zabbix_host, itemid
 FRESHNESS = f"""{PARSED},
 kept as (select {STATE_COLUMNS} from parsed where table_name <> '' and tag = 'last data' and hostid = '1')"""
 
-NEWEST_ITEM = "order by last_clock desc nulls last, zabbix_item_id"
+ITEM_ORDER = "last_clock desc nulls last, try_cast(zabbix_item_id as bigint), zabbix_item_id"
 
 HISTORY = with_standins("history")
 
@@ -293,12 +332,17 @@ ORACLE: dict[str, str] = {
                  case when event_id % 7 = 0 then ts
                       when event_id % 3 <> 0 then ts + to_hours(cast(user_id % 5 - 2 as integer)) end as second_ts
           from events) x""",
-    "most_recent_source": f"""
-        select event_id, {most_recent('first_ts', 'FIRST', 'second_ts', 'SECOND')} as most_recent_source from (
+    "most_recent_source": """
+        with pairs as (
           select event_id, case when event_id % 5 <> 0 then ts end as first_ts,
                  case when event_id % 7 = 0 then ts
                       when event_id % 3 <> 0 then ts + to_hours(cast(user_id % 5 - 2 as integer)) end as second_ts
-          from events) x""",
+          from events),
+        known as (
+          select event_id, 'FIRST' as source, first_ts as seen_at, 0 as rank from pairs
+          union all select event_id, 'SECOND', second_ts, 1 from pairs)
+        select event_id, arg_max(source, epoch_us(seen_at) * 10 - rank) filter (seen_at is not null) as most_recent_source
+        from known group by event_id""",
     "parsed_timestamps": f"{PARSED} select itemid, last_data_timestamp from parsed",
     "parsed_items": f"""{PARSED}
         select table_name, column_name, itemid as zabbix_item_id, name as zabbix_item_name, last_data_timestamp, last_clock
@@ -331,9 +375,9 @@ ORACLE: dict[str, str] = {
     "upsert_state": f"""{PARSED},
         rows_in as (select {STATE_COLUMNS}, event_id % 2 as batch from parsed where table_name <> ''),
         old_rows as (select distinct on (table_name, column_name) * from rows_in where batch = 0
-                     order by table_name, column_name, last_clock desc nulls last, zabbix_item_id),
+                     order by table_name, column_name, {ITEM_ORDER}),
         new_rows as (select distinct on (table_name, column_name) * from rows_in where batch = 1
-                     order by table_name, column_name, last_clock desc nulls last, zabbix_item_id)
+                     order by table_name, column_name, {ITEM_ORDER})
         select * exclude (batch) from new_rows
         union all
         select * exclude (batch) from old_rows o
@@ -358,7 +402,7 @@ ORACLE: dict[str, str] = {
     "job_cluster": JOB_CLUSTER,
     "job_table_freshness": f"""{FRESHNESS}
         select distinct on (table_name, column_name) * from kept
-        order by table_name, column_name, last_clock desc nulls last, zabbix_item_id""",
+        order by table_name, column_name, {ITEM_ORDER}""",
     "latest_check_summary": f"""{HISTORY}
         select finding_type, count(*) as count from history
         where check_time = (select max(check_time) from history) group by finding_type""",

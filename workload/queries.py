@@ -203,8 +203,11 @@ def _dual_feeds(spark, sf_dir):
         F.col("user_id").alias("a_key"), seen.alias("a_ts"), F.col("event_id").alias("a_id")
     )
     name = F.concat(F.lit("Customer#"), F.lpad(F.col("user_id").cast("string"), 9, "0"))
-    purchases = events.where((F.col("event_type") == "purchase") & (F.col("user_id") % 3 != 0)).select(
-        name.alias("b_key"), F.col("ts").alias("b_ts"), F.col("event_id").alias("b_id")
+    # Every third user is in no inventory.
+    unlisted = F.concat(F.lit("unlisted-"), F.col("user_id").cast("string"))
+    listed = F.when(F.col("user_id") % 3 == 0, unlisted).otherwise(name)
+    purchases = events.where(F.col("event_type") == "purchase").select(
+        listed.alias("b_key"), F.col("ts").alias("b_ts"), F.col("event_id").alias("b_id")
     )
     return (
         Feed("A", clicks, "a_key", "a_ts", "inv_id", ("a_id",)),
@@ -373,12 +376,12 @@ def dry_run_findings(spark, sf_dir):
 
 @query
 def upsert_state(spark, sf_dir):
-    """Even items first, then odd ones over them."""
+    """All items in two batches: even ones first, then odd ones over them."""
     state = StateTable(spark, scratch_dir(spark, "state"), TABLE_MONITORING).create()
     for remainder in (0, 1):
         batch = standin(spark, sf_dir, "item").where(F.col("event_id") % 2 == remainder)
         freshness = items.table_freshness(items.parsed_items(batch), responses.DEFAULT_HOST, AS_OF)
-        state.upsert(freshness, newest="last_clock", tiebreak=["zabbix_item_id"])
+        state.upsert(freshness, newest="last_clock", tiebreak=jobs.item_order())
     return as_doubles(state.current())
 
 

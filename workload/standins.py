@@ -125,7 +125,8 @@ STANDINS = {
                'model-' || cast(user_id % 5 as string) as model
         from {events} where event_type = 'click'""",
     "vmware_host": f"""
-        select case when user_id % 13 = 5 then null else {_USER_NAME} end as name,
+        select case when user_id % 3 = 0 then 'unlisted-' || cast(user_id as string)
+                    when user_id % 13 = 5 then null else {_USER_NAME} end as name,
                ts as last_observed,
                case when event_id % 2 = 0 then 'green' else 'red' end as status,
                'event ' || cast(event_id as string) as status_description,
@@ -133,7 +134,7 @@ STANDINS = {
                'vc-' || cast(user_id % 4 as string) as vcenter_uuid,
                'model-' || cast(user_id % 6 as string) as model,
                '8.0.' || cast(user_id % 3 as string) as version
-        from {{events}} where event_type = 'purchase' and user_id % 3 <> 0""",
+        from {{events}} where event_type = 'purchase'""",
     "nutanix_cluster": f"""
         select {_USER_NAME} as name,
                case when user_id % 10 = 3 then null else ts end as last_observed,
@@ -143,12 +144,13 @@ STANDINS = {
                'nx-' || cast(event_id % 6 as string) as nutanix_uuid
         from {{events}} where event_type = 'signup'""",
     "vmware_cluster": f"""
-        select case when user_id % 13 = 5 then null else {_USER_NAME} end as name,
+        select case when user_id % 4 = 0 then 'unlisted-' || cast(user_id as string)
+                    when user_id % 13 = 5 then null else {_USER_NAME} end as name,
                ts as last_observed,
                case when event_id % 2 = 0 then 'green' else 'red' end as status,
                'event ' || cast(event_id as string) as status_description,
                lpad(cast(event_id as string), 12, '0') as component_moid
-        from {{events}} where event_type = 'error' and user_id % 4 <> 0""",
+        from {{events}} where event_type = 'error'""",
     # Records of the paged inventory, before they become JSON pages.
     "cluster_record": """
         select cast(c_custkey as int) as id,
@@ -161,10 +163,10 @@ STANDINS = {
                     when c_custkey % 3 = 0 then 'vmware-cls' else 'acropolis-cls' end as type_slug
         from {customer}""",
     # Monitoring items, before they become JSON responses.  The value's format
-    # goes by event_id % 10; some names, values and clocks do not parse.
+    # goes by event_id % 18; some names, values and clocks do not parse.
     "item": """
         select event_id,
-               lpad(cast(event_id as string), 12, '0') as itemid,
+               cast(event_id as string) as itemid,
                case when event_id % 31 = 0 then 'Table [' || event_type || '] Last data timestamp (ts)'
                     when event_id % 37 = 0 then 'Table [ ]: Last data timestamp (ts)'
                     when event_id % 29 = 0
@@ -173,7 +175,7 @@ STANDINS = {
                     then 'Table [' || event_type || '_' || cast(user_id as string) || ']: Last data timestamp ( )'
                     else 'Table [' || event_type || '_' || cast(user_id as string) || ']: Last data timestamp (ts)'
                     end as name,
-               case cast(event_id % 10 as int)
+               case cast(event_id % 18 as int)
                     when 0 then cast(1704067200 + (day(ts) - 1) * 86400 + hour(ts) * 3600 + minute(ts) * 60
                                      + cast(second(ts) as int) as string)
                     when 1 then d || ' ' || h24 || ':' || m || ':' || s
@@ -186,6 +188,15 @@ STANDINS = {
                                 || cast(minute(ts) as string)
                     when 7 then d || ' ' || h24 || ':' || m || ':' || s || '+03:00'
                     when 8 then case when event_id % 3 = 0 then '' when event_id % 3 = 1 then 'garbage' end
+                    when 10 then d || ' ' || h24 || ':' || m || ':' || s || '+03'
+                    when 11 then d || 'T' || h24 || ':' || m || ':' || s || '+0300'
+                    when 12 then d || 'T' || h24 || ':' || m || ':' || s || '.1234567Z'
+                    when 13 then d || ' ' || h24 || ':' || m || ':' || s || ',123456789'
+                    when 14 then d || 'T' || h24
+                    when 15 then replace(d, '-', '') || 'T' || h24 || m || s
+                    when 16 then d || ' ' || h24 || ':' || m || ':' || s || ' +03:00'
+                    when 17 then '2024-W' || lpad(cast(cast(floor((day(ts) - 1) / 7) as int) + 1 as string), 2, '0')
+                                 || '-' || cast((day(ts) - 1) % 7 + 1 as string)
                     else ' ' || d || '  13:' || m || ':' || s || ' AM ' end as lastvalue,
                case when event_id % 23 = 0 then 'abc' when event_id % 19 = 0 then ''
                     when event_id % 17 = 0 then null
