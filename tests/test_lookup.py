@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import findings
 from tidemark.operators.findings import NULL_IS_EPOCH, NULL_IS_MISSING, Feed, dual_source_findings, single_source_findings
-from tidemark.operators.lookup import HeavyKeys, heavy_keys, lookup
+from tidemark.operators.lookup import HeavyKeys, heavy_keys, lookup, repeatable_spread
 from conftest import AS_OF
 
 
@@ -23,17 +23,17 @@ def unique(spark):
 
 
 def test_heavy_keys_are_found(skewed):
-    assert heavy_keys(skewed, ["k"], min_rows=100)["k"] == HeavyKeys(("hot",), True)
+    assert heavy_keys(skewed, ["k"], min_rows=100)["k"] == HeavyKeys({"hot": 1000, None: 1000})
     assert not heavy_keys(skewed, ["k"])["k"]
-    assert heavy_keys(skewed.where("k != 'hot'"), ["k"], min_rows=100)["k"] == HeavyKeys((), False)
+    assert heavy_keys(skewed.where("k != 'hot'"), ["k"], min_rows=100)["k"] == HeavyKeys()
     assert heavy_keys(skewed.where("id < 0"), ["k", "id"], min_rows=1) == {"k": HeavyKeys(), "id": HeavyKeys()}
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-@pytest.mark.parametrize("heavy", [HeavyKeys(("hot",), True), HeavyKeys((), True), HeavyKeys(("hot", "k4", "none such"), False)])
+@pytest.mark.parametrize("heavy", [HeavyKeys({"hot": 1000, None: 900}), HeavyKeys({None: 1000}), HeavyKeys({"hot": 1000, "k4": 600, "none such": 700})])
 def test_salting_changes_no_result(skewed, unique, how, heavy):
     plain = lookup(skewed, unique, "k", "u", how)
-    salted = lookup(skewed, unique, "k", "u", how, heavy, F.xxhash64("id"), salts=8)
+    salted = lookup(skewed, unique, "k", "u", how, heavy, F.xxhash64("id"), rows_per_salt=125)
     assert salted.columns == plain.columns
     assert sorted(salted.collect(), key=repr) == sorted(plain.collect(), key=repr)
 
@@ -48,7 +48,7 @@ def test_salting_spreads_the_heavy_rows(spark, skewed, unique):
 
         plain = largest(lookup(skewed, unique, "k", "u", "left"))
         salted = largest(
-            lookup(skewed, unique, "k", "u", "left", HeavyKeys(("hot",), True), F.xxhash64("id"), salts=64)
+            lookup(skewed, unique, "k", "u", "left", HeavyKeys({"hot": 1000, None: 1000}), F.xxhash64("id"), rows_per_salt=16)
         )
         assert plain >= 1000 and salted < 400
     finally:
@@ -61,7 +61,7 @@ def test_bad_lookups_are_refused(skewed, unique):
     with pytest.raises(ValueError):
         lookup(skewed, unique, "k", "u", "full")
     with pytest.raises(ValueError):
-        lookup(skewed, unique, "k", "u", "left", HeavyKeys(("hot",)))
+        lookup(skewed, unique, "k", "u", "left", HeavyKeys({"hot": 1000}))
 
 
 def _seen(frame, prefix, step):
@@ -76,7 +76,7 @@ def test_dual_findings_with_heavy_keys(skewed, unique, policy):
     a = Feed("A", _seen(unique, "a", 5), "a_key", "a_ts", "k")
     b = Feed("B", _seen(unique, "b", 7), "b_key", "b_ts", "k")
     plain = dual_source_findings(skewed, a, b, AS_OF, 100, policy, F.xxhash64("id"), {})
-    salted = dual_source_findings(skewed, a, b, AS_OF, 100, policy, F.xxhash64("id"), {"k": HeavyKeys(("hot",), True)})
+    salted = dual_source_findings(skewed, a, b, AS_OF, 100, policy, F.xxhash64("id"), {"k": HeavyKeys({"hot": 1000, None: 1000})})
     assert salted.columns == plain.columns
     assert sorted(salted.collect(), key=repr) == sorted(plain.collect(), key=repr)
 
@@ -102,7 +102,7 @@ def test_single_findings_with_a_heavy_observed_key(skewed, unique):
     times = F.timestamp_seconds(F.lit(int(AS_OF.timestamp())) - F.col("id") * 600)
     feed = Feed("S", skewed.select("id", "k", times.alias("ts")), "k", "ts", "u")
     plain = single_source_findings(inventory, feed, AS_OF, 100, HeavyKeys())
-    salted = single_source_findings(inventory, feed, AS_OF, 100, HeavyKeys(("hot",), True))
+    salted = single_source_findings(inventory, feed, AS_OF, 100, HeavyKeys({"hot": 1000, None: 1000}))
     rows = sorted(plain.collect(), key=repr)
     assert sorted(salted.collect(), key=repr) == rows
     # Against the definition: a left join, then "no match or stale".
@@ -110,3 +110,22 @@ def test_single_findings_with_a_heavy_observed_key(skewed, unique):
     limit = F.timestamp_seconds(F.lit(int(AS_OF.timestamp()) - 360000))
     expected = joined.where(F.col("k").isNull() | (F.col("ts") < limit)).select("u", "id", "k", "ts")
     assert sorted([tuple(r)[:4] for r in rows], key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
+def test_salts_follow_the_row_count():
+    few, many = HeavyKeys({"hot": 1_000_000}), HeavyKeys({"hot": 10_000_000})
+    assert few.salts(500_000) == {"hot": 2} and many.salts(500_000) == {"hot": 20}
+
+
+def test_spread_is_the_same_in_every_evaluation(spark, tmp_path):
+    rows = spark.range(4000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    shuffled = rows.repartition(5).groupBy("k", "v").count()
+    spread = repeatable_spread(shuffled)
+    first, second = ({(r.k, r.v): r.s for r in shuffled.select("k", "v", spread.alias("s")).collect()} for _ in range(2))
+    assert first == second and len(set(first.values())) == 4000
+
+    rows.select("k").repartition(3).write.parquet(str(tmp_path / "copies"))  # exact copies, told apart by place
+    stored = spark.read.parquet(str(tmp_path / "copies")).where("k >= 0").select("k")
+    places = [r.s for r in stored.select(repeatable_spread(stored).alias("s")).collect()]
+    assert len(set(places)) == 4000
+    assert sorted(places) == sorted(r.s for r in stored.select(repeatable_spread(stored).alias("s")).collect())

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.ages import age_hours, epoch, float_age_hours, instant, threshold_instant
 from tidemark.functions.labels import MISSING, STALE, finding_label, most_recent_source
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.lookup import NO_HEAVY_KEYS, HeavyKeys, heavy_keys, lookup
+from tidemark.operators.lookup import NO_HEAVY_KEYS, HeavyKeys, heavy_keys, lookup, repeatable_spread
 from tidemark.session import staged
 
 # What a matched row without a last-observed time means.
@@ -66,10 +66,8 @@ def single_source_findings(
     old = feed.frame.where(F.col(feed.observed_at) < limit)
     if heavy is None:
         heavy = heavy_keys(old, [feed.key])[feed.key]
-    # The source may hold exact copies, so rows are spread by position; right
-    # above the scan a re-run task numbers its rows the same way.
     spread = F.col("_spread") if heavy else None
-    rows = old.withColumn("_spread", F.monotonically_increasing_id()) if heavy else old
+    rows = old.withColumn("_spread", repeatable_spread(old)) if heavy else old
     stale = lookup(rows, inventory, feed.key, feed.matches, "inner", heavy, spread).select(
         *inventory_columns,
         *feed_columns,

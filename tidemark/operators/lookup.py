@@ -9,22 +9,27 @@ is the join salted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import math
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Keys of one column that own a large share of the rows."""
+    """Keys of one column that own a large share of the rows, each with about how many; None stands for NULL."""
 
-    keys: tuple = ()
-    nulls: bool = False
+    rows: Mapping[object, int] = field(default_factory=dict)
 
     def __bool__(self) -> bool:
-        return bool(self.keys) or self.nulls
+        return bool(self.rows)
+
+    def salts(self, rows_per_salt: int) -> dict[object, int]:
+        """Into how many parts the rows of each key go, so that none has many more than ``rows_per_salt``."""
+        return {key: max(2, math.ceil(count / rows_per_salt)) for key, count in self.rows.items()}
 
 
 NO_HEAVY_KEYS = HeavyKeys()
@@ -33,7 +38,6 @@ NO_HEAVY_KEYS = HeavyKeys()
 HEAVY_SHARE = 100
 # Below this many rows one task handles any key.
 HEAVY_MIN_ROWS = 500_000
-SALTS = 64
 
 
 def heavy_keys(
@@ -50,8 +54,7 @@ def heavy_keys(
     limit = max(row["_rows"] / share, min_rows)
     found = {}
     for column in columns:
-        heavy = [entry["item"] for entry in row[column] if entry["count"] >= limit]
-        found[column] = HeavyKeys(tuple(k for k in heavy if k is not None), any(k is None for k in heavy))
+        found[column] = HeavyKeys({e["item"]: int(e["count"]) for e in row[column] if e["count"] >= limit})
     return found
 
 
@@ -63,13 +66,13 @@ def lookup(
     how: str,
     heavy: HeavyKeys = NO_HEAVY_KEYS,
     spread: Column | None = None,
-    salts: int = SALTS,
+    rows_per_salt: int = HEAVY_MIN_ROWS,
 ) -> DataFrame:
     """Join ``many`` to ``one``, whose keys are unique; ``how`` is inner, left or left_anti.
 
-    With heavy keys, their rows are spread over ``salts`` partitions by
-    ``spread`` and the few matching rows of ``one`` are copied to each of them;
-    all other rows keep salt 0.  ``spread`` must give a row the same value
+    With heavy keys, the rows of each are spread by ``spread`` over as many parts
+    as its row count asks for, and the few matching rows of ``one`` are copied to
+    each of them; all other rows keep salt 0.  ``spread`` must give a row the same value
     whenever a task is run again, and different values to rows of one key.
     """
     if how not in ("inner", "left", "left_anti"):
@@ -80,16 +83,31 @@ def lookup(
     if spread is None:
         raise ValueError("a salted lookup needs a column to spread rows by")
 
-    salt = F.pmod(spread, F.lit(salts)).cast("int")
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    just_zero = F.array(F.lit(0))
-    if heavy.keys:
-        # A NULL key matches nothing, so its rows may go anywhere.
-        many_salt = F.when(F.col(many_key).isNull() | F.col(many_key).isin(list(heavy.keys)), salt).otherwise(0)
-        one_salts = F.when(F.col(one_key).isin(list(heavy.keys)), every_salt).otherwise(just_zero)
-    else:
-        many_salt = F.when(F.col(many_key).isNull(), salt).otherwise(0)
-        one_salts = just_zero
+    salts = heavy.salts(rows_per_salt)
+    # A NULL key matches nothing, so its rows may go anywhere.
+    nulls = F.lit(salts.pop(None, 1))
+    parts = F.lit(1)
+    if salts:
+        by_key = F.create_map(*[F.lit(x) for pair in salts.items() for x in pair])
+        parts = F.coalesce(by_key[F.col(many_key)], F.lit(1))
+    many_salt = F.pmod(spread, F.when(F.col(many_key).isNull(), nulls).otherwise(parts)).cast("int")
+    copies = F.coalesce(by_key[F.col(one_key)], F.lit(1)) if salts else F.lit(1)
+    one_salts = F.sequence(F.lit(0), copies - 1)
     left = many.withColumn("_many_salt", many_salt)
     right = one.withColumn("_one_salt", F.explode(one_salts))
     return left.join(right, on & (F.col("_many_salt") == F.col("_one_salt")), how).drop("_many_salt", "_one_salt")
+
+
+def repeatable_spread(frame: DataFrame) -> Column:
+    """A number that tells rows apart and comes out the same whenever a task is run again.
+
+    That is the row's place in its file for rows of Parquet files; for other
+    sources a hash of all columns, which does not tell exact copies apart.
+    """
+    try:
+        known = frame.select("_metadata").schema["_metadata"].dataType.names
+    except AnalysisException:
+        known = []
+    if "row_index" in known:
+        return F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    return F.xxhash64(*[F.col(name) for name, kind in frame.dtypes if "map<" not in kind])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.ages import age_days_label
 from tidemark.functions.labels import MISSING, STALE, or_dash
+from tidemark.session import staged
 
 PREVIEW_ROWS = 20
 
@@ -26,6 +27,26 @@ def ordered_findings(findings: DataFrame, tiebreak: Sequence[str] = ()) -> DataF
     return findings.orderBy(*finding_order(tiebreak))
 
 
+def ranked(ordered: DataFrame, name: str = "position") -> DataFrame:
+    """A sorted frame with each row's place in it, counted from 1.
+
+    The sorted rows are written to the shared folder (an action) with their place
+    within their partition; adding the sizes of the partitions before gives the
+    rank, without a window over all rows in one task.
+    """
+    numbered = ordered.withColumn("_place", F.monotonically_increasing_id())
+    rows, _ = staged(numbered, "ranked", {})
+    # The place holds the partition in its upper bits and counts from 0 in the lower 33.
+    rows = rows.withColumn("_part", F.shiftright("_place", 33))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row for each partition of the sort
+    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(offsets), "_part").select(
+        *ordered.columns, (F.col("_before") + place + 1).cast("bigint").alias(name)
+    )
+
+
 def finding_counts(findings: DataFrame) -> DataFrame:
     """One row: ``total``, ``stale`` and ``missing``."""
     return findings.agg(

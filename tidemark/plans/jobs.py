@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.ages import resolve_as_of
 from tidemark.operators.findings import dual_source_findings, single_source_findings, stamped
 from tidemark.operators.items import parsed_items, table_freshness
+from tidemark.operators.lookup import repeatable_spread
 from tidemark.plans.checks import Check
 from tidemark.sinks.history import append_findings
 from tidemark.sinks.state import StateTable
@@ -50,8 +51,7 @@ def detect(
             # Unique after deduplication, so its hash spreads rows and repeats on a re-run.
             spread = F.xxhash64(check.inventory.columns[check.inventory.key])
         else:
-            # Repeated records are told apart by position, straight above the scan.
-            spread = F.monotonically_increasing_id()
+            spread = repeatable_spread(inventory)
         findings = dual_source_findings(
             inventory, feeds[0], feeds[1], as_of, threshold_hours, check.null_policy, spread, stage=stage
         )

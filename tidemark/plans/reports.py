@@ -56,7 +56,7 @@ def finding_trend(history: DataFrame, last_days: int | None = None, as_of: datet
 
 
 def table_report(freshness: DataFrame) -> DataFrame:
-    """Table freshness as shown to people, oldest first; an unknown age counts as 0."""
+    """Table freshness as shown to people, oldest first, then by item; an unknown age counts as 0."""
     age = F.col("data_age_hours")
     return (
         freshness.select(
@@ -67,7 +67,9 @@ def table_report(freshness: DataFrame) -> DataFrame:
             F.when(is_stale_table(age), F.lit(STALE)).otherwise(F.lit("")).alias("marker"),
             F.coalesce(age, F.lit(0)).alias("_age"),
             F.col("zabbix_item_name").alias("_item"),
+            F.col("zabbix_item_id").try_cast("bigint").alias("_number"),
+            F.col("zabbix_item_id").alias("_id"),
         )
-        .orderBy(F.col("_age").desc(), "_item")
-        .drop("_age", "_item")
+        .orderBy(F.col("_age").desc(), "_item", "_number", "_id")
+        .drop("_age", "_item", "_number", "_id")
     )

@@ -350,8 +350,9 @@ ORACLE: dict[str, str] = {
     "finding_counts": f"""{SINGLE}
         select count(*) as total, count(*) filter (finding_type = 'STALE') as stale,
                count(*) filter (finding_type = 'MISSING') as missing from findings""",
-    "ordered_findings": f"""{SINGLE} select * from findings
-        order by case when finding_type = 'MISSING' then 0 else 1 end, data_age_hours desc nulls first, inv_id, event_id""",
+    "ordered_findings": f"""{SINGLE}
+        select *, row_number() over (order by finding_type = 'STALE', data_age_hours desc nulls first, inv_id, event_id)
+            as position from findings""",
     "preview_top20": f"""{SINGLE}
         select finding_type, cast(position as integer) as position, cast(inv_id as varchar) as record,
                cast(inv_ref as varchar) as reference, coalesce(cast(obs_key as varchar), '-') as observed_key,
@@ -368,7 +369,9 @@ ORACLE: dict[str, str] = {
     "table_report": f"""{FRESHNESS}
         select table_name, column_name, coalesce(strftime(last_data_timestamp, '%Y-%m-%d %H:%M:%S'), 'N/A') as last_data,
                case when data_age_hours is null then '' else printf('(%.1fh)', data_age_hours) end as age,
-               case when data_age_hours > 168 then 'STALE' else '' end as marker
+               case when data_age_hours > 168 then 'STALE' else '' end as marker,
+               row_number() over (order by coalesce(data_age_hours, 0) desc, zabbix_item_name,
+                                  cast(zabbix_item_id as bigint)) as position
         from kept""",
     "append_findings": written(JOB_VM_UUID),
     "dry_run_findings": JOB_VM_UUID,
@@ -407,10 +410,11 @@ ORACLE: dict[str, str] = {
         select finding_type, count(*) as count from history
         where check_time = (select max(check_time) from history) group by finding_type""",
     "latest_stale_list": f"""{HISTORY}
-        select netbox_vm_name, nutanix_last_observed, data_age_hours, netbox_cluster_name from history
-        where check_time = (select max(check_time) from history) and finding_type = 'STALE'
-        order by data_age_hours desc""",
+        select netbox_vm_name, nutanix_last_observed, data_age_hours, netbox_cluster_name,
+               row_number() over (order by data_age_hours desc nulls first, event_id) as position
+        from history
+        where check_time = (select max(check_time) from history) and finding_type = 'STALE'""",
     "finding_trend": f"""{HISTORY}
-        select cast(check_time as date) as check_date, finding_type, count(*) as count from history
-        group by 1, 2 order by 1 desc""",
+        select *, row_number() over (order by check_date desc, finding_type) as position from (
+          select cast(check_time as date) as check_date, finding_type, count(*) as count from history group by all) x""",
 }

@@ -319,7 +319,8 @@ def finding_counts(spark, sf_dir):
 
 @query
 def ordered_findings(spark, sf_dir):
-    return as_doubles(ordering.ordered_findings(single_findings(spark, sf_dir), ["inv_id", "event_id"]))
+    ordered = ordering.ordered_findings(single_findings(spark, sf_dir), ["inv_id", "event_id"])
+    return as_doubles(ordering.ranked(ordered))
 
 
 @query
@@ -349,7 +350,7 @@ def stale_table_count(spark, sf_dir):
 
 @query
 def table_report(spark, sf_dir):
-    return reports.table_report(_table_freshness(spark, sf_dir))
+    return ordering.ranked(reports.table_report(_table_freshness(spark, sf_dir)))
 
 
 # --- sinks ------------------------------------------------------------------
@@ -467,9 +468,9 @@ def latest_check_summary(spark, sf_dir):
 @query
 def latest_stale_list(spark, sf_dir):
     columns = ["netbox_vm_name", "nutanix_last_observed", "data_age_hours", "netbox_cluster_name"]
-    return reports.latest_stale_list(standin(spark, sf_dir, "history"), columns, ["event_id"])
+    return ordering.ranked(reports.latest_stale_list(standin(spark, sf_dir, "history"), columns, ["event_id"]))
 
 
 @query
 def finding_trend(spark, sf_dir):
-    return reports.finding_trend(standin(spark, sf_dir, "history"))
+    return ordering.ranked(reports.finding_trend(standin(spark, sf_dir, "history")))
