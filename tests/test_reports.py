@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import ordering
 from tidemark.plans import reports
-from tidemark.sinks.history import append_findings, read_history
+from tidemark.sinks.history import append_findings, read_history, run_summary
 from tidemark.sinks.tables import MONITORING_VM
 
 
@@ -84,11 +84,26 @@ def test_history_reports(spark, tmp_path, partitioned):
     assert [str(r["check_date"]) for r in week] == ["2026-06-15"] * 2 + ["2026-06-14"] * 2
 
 
-def test_latest_check_reads_the_newest_day_only(spark, tmp_path):
-    history = write_history(spark, str(tmp_path / "h"), CHECKS)
-    plan = reports.latest_check_summary(history)._jdf.queryExecution().executedPlan().toString()
-    rows_scan = [line for line in plan.splitlines() if "FileScan" in line][0]
-    assert "check_date" in rows_scan.split("PartitionFilters: [")[1].split("]")[0]
+def test_reports_open_the_runs_they_need_only(spark, tmp_path):
+    location = str(tmp_path / "h")
+    whole = write_history(spark, location, CHECKS)
+    newest = read_history(spark, location, MONITORING_VM, newest=True)
+    assert len(newest.inputFiles()) < len(whole.inputFiles())
+    assert newest.count() == 4 and reports.latest_check(newest).count() == 4
+    assert sorted(map(tuple, reports.latest_check_summary(newest).collect())) == [("MISSING", 1), ("STALE", 3)]
+    week = read_history(spark, location, MONITORING_VM, since=at("2026-06-14").date())
+    assert len(week.inputFiles()) < len(whole.inputFiles()) and week.count() == 9
+
+
+def test_only_published_runs_count(spark, tmp_path):
+    location = str(tmp_path / "h")
+    history = write_history(spark, location, CHECKS)
+    rows = history.count()
+    history.limit(1).drop("check_date").write.parquet(f"{location}/runs/run-lost")  # a writer lost before publishing
+    assert read_history(spark, location, MONITORING_VM).count() == rows
+    summary = [tuple(r)[1:] for r in run_summary(spark, location).collect()]
+    assert summary == [(1, 1, 0), (2, 1, 1), (3, 0, 3), (4, 3, 1)]
+    assert read_history(spark, str(tmp_path / "none"), MONITORING_VM).count() == 0
 
 
 def test_empty_history(spark, tmp_path):
@@ -108,6 +123,7 @@ def test_table_report(spark):
         F.col("t").cast("timestamp").alias("last_data_timestamp"),
         F.col("age").cast("decimal(10,2)").alias("data_age_hours"),
         F.concat(F.lit("item "), "table_name").alias("zabbix_item_name"),
+        F.lit("1").alias("zabbix_item_id"),
     )
     assert [tuple(r) for r in reports.table_report(frame.repartition(3)).collect()] == [
         ("old", "c", "2026-06-01 12:00:00", "(336.0h)", "STALE"),

@@ -13,7 +13,7 @@ from tidemark.operators.findings import dual_source_findings, single_source_find
 from tidemark.operators.items import parsed_items, table_freshness
 from tidemark.operators.lookup import repeatable_spread
 from tidemark.plans.checks import Check
-from tidemark.sinks.history import append_findings
+from tidemark.sinks.history import append_run
 from tidemark.sinks.state import StateTable
 from tidemark.sinks.tables import DEFAULT_THRESHOLD_HOURS
 from tidemark.sources.responses import DEFAULT_HOST, ITEM_TAG, item_feed, items_of_host, items_with_tag, results_or_fail
@@ -22,11 +22,17 @@ from tidemark.sources.tables import Lake
 
 @dataclass(frozen=True)
 class Run:
-    """A run's findings (lazy) and how many rows it wrote; None when dry."""
+    """A run's findings and how many rows it wrote, STALE and MISSING ones apart; None when dry.
+
+    The findings are a plan: asking them for rows detects again.  Building it has
+    already looked for heavy keys, and staged if asked to.
+    """
 
     as_of: datetime
     findings: DataFrame
     written: int | None
+    stale: int | None = None
+    missing: int | None = None
 
 
 def item_order() -> list[str | Column]:
@@ -74,8 +80,10 @@ def run_check(
         raise ValueError("a run that is not dry needs a history location")
     moment = resolve_as_of(as_of)
     findings = detect(check, lake, moment, threshold_hours, not dry_run if stage is None else stage)
-    written = None if dry_run else append_findings(findings, history, check.contract)
-    return Run(moment, findings, written)
+    if dry_run:
+        return Run(moment, findings, None)
+    entry = append_run(findings, history, check.contract)
+    return Run(moment, findings, entry.total, entry.stale, entry.missing) if entry else Run(moment, findings, 0, 0, 0)
 
 
 def detect_tables(

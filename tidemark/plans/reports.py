@@ -16,12 +16,9 @@ from tidemark.sinks.history import PARTITION
 def latest_check(history: DataFrame) -> DataFrame:
     """The rows of the newest check.
 
-    With a day partition, only the newest day's files are read for both the
-    newest time and its rows; the day itself comes from the partition values.
+    Of a stored history, ``read_history(newest=True)`` opens the newest run only;
+    this then changes nothing.
     """
-    if PARTITION in history.columns:
-        newest_day = history.select(PARTITION).agg(F.max(PARTITION).alias("d"))
-        history = history.where(F.col(PARTITION) == newest_day.scalar())
     newest = history.agg(F.max("check_time").alias("t"))
     return history.where(F.col("check_time") == newest.scalar())
 
@@ -41,7 +38,7 @@ def latest_stale_list(history: DataFrame, columns: Sequence[str], tiebreak: Sequ
 def finding_trend(history: DataFrame, last_days: int | None = None, as_of: datetime | None = None) -> DataFrame:
     """Findings per day and type, newest day first; all days unless ``last_days``.
 
-    With a day partition, only the wanted days and the type are read.
+    Of a stored history, ``read_history(since=day)`` opens the wanted runs only.
     """
     day = F.col(PARTITION) if PARTITION in history.columns else F.to_date("check_time")
     if last_days is not None:

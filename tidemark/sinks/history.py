@@ -1,38 +1,117 @@
-"""Append-only history of findings."""
+"""Append-only history of findings, one folder and one log entry a run.
+
+A run is written to a folder of its own and then published by an empty file in
+the log whose name holds the day, the instant and the counts.  Readers follow the
+log: they see a run whole or not at all, know what runs there are without reading
+any, and open the folders of the runs they want only.
+"""
 
 from __future__ import annotations
 
+import uuid
+from datetime import date, datetime, timedelta, timezone
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.labels import MISSING, STALE
 from tidemark.sinks.contract import Contract, conform
 
 PARTITION = "check_date"
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
-def append_findings(findings: DataFrame, location: str, contract: Contract) -> int:
-    """Append conforming findings to the history at ``location``; returns the row count.
+class RunEntry(NamedTuple):
+    """A published run: its instant in microseconds since 1970, its counts, its folder's name."""
+
+    check_micros: int
+    total: int
+    stale: int
+    missing: int
+    folder: str
+
+    @property
+    def check_time(self) -> datetime:
+        return EPOCH + timedelta(microseconds=self.check_micros)
+
+    @property
+    def name(self) -> str:
+        return "_".join(str(part) for part in (self.check_time.date(), *self))
+
+
+def append_run(findings: DataFrame, location: str, contract: Contract) -> RunEntry | None:
+    """Append conforming findings to the history at ``location`` and publish the run.
 
-    One job: the contract is checked inside the write and the count is observed
+    One job: the contract is checked inside the write and the counts are observed
     on the way, so findings are computed once.  A violation aborts the job and
-    leaves the history as it was.  No findings write no data files.
+    leaves the history as it was, as does a writer lost before publishing.  No
+    findings publish nothing and give None.
 
     Findings are rebalanced first: without it every join task would leave its
-    own small file in the day's partition.
+    own small file.
     """
-    written = Observation("written")
+    spark = findings.sparkSession
+    seen = Observation("written")
+    label = F.col("finding_type")
     rows = (
         conform(findings, contract)
-        .withColumn(PARTITION, F.to_date("check_time"))
         .hint("rebalance")
-        .observe(written, F.count(F.lit(1)).alias("rows"))
+        .observe(
+            seen,
+            F.count(F.lit(1)).alias("total"),
+            F.count_if(label == STALE).alias("stale"),
+            F.count_if(label == MISSING).alias("missing"),
+            F.max(F.unix_micros("check_time")).alias("micros"),
+        )
     )
-    rows.write.mode("append").partitionBy(PARTITION).parquet(location)
-    return int(written.get["rows"])
+    folder = f"run-{uuid.uuid4().hex}"
+    rows.write.parquet(f"{location}/runs/{folder}")
+    found = seen.get
+    if not found["total"]:
+        empty = spark._jvm.org.apache.hadoop.fs.Path(f"{location}/runs/{folder}")
+        empty.getFileSystem(spark._jsc.hadoopConfiguration()).delete(empty, True)
+        return None
+    entry = RunEntry(found["micros"], found["total"], found["stale"], found["missing"], folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{location}/log/{entry.name}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, False).close()
+    return entry
+
+
+def append_findings(findings: DataFrame, location: str, contract: Contract) -> int:
+    """:func:`append_run`, giving the row count."""
+    entry = append_run(findings, location, contract)
+    return entry.total if entry else 0
+
+
+def runs(spark: SparkSession, location: str, since: date | None = None) -> list[RunEntry]:
+    """The published runs from a day on, oldest first; none for a history that is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{location}/log")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in files.listStatus(path) if files.exists(path) else []:
+        _, micros, total, stale, missing, folder = status.getPath().getName().split("_")
+        found.append(RunEntry(int(micros), int(total), int(stale), int(missing), folder))
+    return sorted(e for e in found if since is None or e.check_time.date() >= since)
+
+
+def read_history(
+    spark: SparkSession, location: str, contract: Contract, since: date | None = None, newest: bool = False
+) -> DataFrame:
+    """The findings of all published runs, of those from a day on, or of the newest check only."""
+    wanted = runs(spark, location, since)
+    if newest:
+        wanted = [e for e in wanted if e.check_micros == wanted[-1].check_micros]
+    schema = T.StructType(contract.schema.fields)
+    if wanted:
+        rows = spark.read.schema(schema).parquet(*[f"{location}/runs/{e.folder}" for e in wanted])
+    else:
+        rows = spark.createDataFrame([], schema)
+    return rows.withColumn(PARTITION, F.to_date("check_time"))
 
 
-def read_history(spark: SparkSession, location: str, contract: Contract) -> DataFrame:
-    """The history, with its day partition for pruning."""
-    schema = T.StructType([*contract.schema.fields, T.StructField(PARTITION, T.DateType())])
-    return spark.read.schema(schema).parquet(location)
+def run_summary(spark: SparkSession, location: str) -> DataFrame:
+    """(check_time, total, stale, missing) of every published run, from the log alone."""
+    rows = [(e.check_time, e.total, e.stale, e.missing) for e in runs(spark, location)]
+    return spark.createDataFrame(rows, "check_time timestamp, total bigint, stale bigint, missing bigint")

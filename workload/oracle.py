@@ -374,6 +374,12 @@ ORACLE: dict[str, str] = {
                                   cast(zabbix_item_id as bigint)) as position
         from kept""",
     "append_findings": written(JOB_VM_UUID),
+    "newest_run": written(JOB_VM_UUID),
+    "run_summary": " union all ".join(
+        f"select {moment} as check_time, count(*) as total, count(*) filter (finding_type = 'STALE') as stale, "
+        f"count(*) filter (finding_type = 'MISSING') as missing from ({JOB_VM_UUID.replace(AS_OF, moment)}) x"
+        for moment in (AS_OF, "timestamp '2024-01-30 00:00:00'", "timestamp '2024-01-29 00:00:00'")
+    ),
     "dry_run_findings": JOB_VM_UUID,
     "upsert_state": f"""{PARSED},
         rows_in as (select {STATE_COLUMNS}, event_id % 2 as batch from parsed where table_name <> ''),

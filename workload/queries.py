@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.plans import checks, jobs, reports
 from tidemark.session import scratch_dir
 from tidemark.sinks.contract import violations
+from tidemark.sinks import history as history_log
 from tidemark.sinks.history import read_history
 from tidemark.sinks.state import StateTable
 from tidemark.sinks.tables import MONITORING_NUTANIX_HOST, MONITORING_VM, TABLE_MONITORING
@@ -367,6 +369,27 @@ def append_findings(spark, sf_dir):
     return as_doubles(read_history(spark, history, MONITORING_VM))
 
 
+def _vm_history(spark, sf_dir):
+    """Three runs of the machine check, a day apart, the newest last."""
+    history = scratch_dir(spark, "history")
+    for days in (2, 1, 0):
+        moment = AS_OF - timedelta(days=days)
+        jobs.run_check(checks.NUTANIX_VM, _vm_lake(spark, sf_dir), history, moment, SINGLE_HOURS)
+    return history
+
+
+@query
+def newest_run(spark, sf_dir):
+    """The newest run of a history of several, opened by the log."""
+    newest = read_history(spark, _vm_history(spark, sf_dir), MONITORING_VM, newest=True)
+    return as_doubles(reports.latest_check(newest))
+
+
+@query
+def run_summary(spark, sf_dir):
+    return history_log.run_summary(spark, _vm_history(spark, sf_dir))
+
+
 @query
 def dry_run_findings(spark, sf_dir):
     run = jobs.run_check(
