@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import REMEMBERED, UNEVEN
-from tidemark.llm.common import small_batches, tokenizer_file
+from tidemark.llm.bpe import UNEVEN
+from tidemark.llm.common import Remembered, small_batches, tokenizer_file
 from tidemark.session import scratch_dir
 
 MAGIC = b"DAC1"
@@ -35,6 +35,8 @@ BLOCK = 512
 #: Ids after which a token file is closed at the end of a document.
 SHARD_IDS = 1 << 20
 END_ID = 2
+#: Words whose ids a worker remembers.
+REMEMBERED = 400_000
 
 
 # --- the codes -----------------------------------------------------------------
@@ -132,7 +134,10 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered(REMEMBERED)
+        self.sizes = np.zeros(self.library.get_vocab_size(), np.int64)
+        for spelling, number in self.library.get_vocab(with_added_tokens=False).items():
+            self.sizes[number] = len(spelling)  # a byte-level spelling has one letter a byte
 
     def encode(self, text: str) -> np.ndarray:
         if UNEVEN.search(text) or any(s in text for s in self.specials):
@@ -147,12 +152,17 @@ class LibraryEncoder:
         return np.frombuffer(b"".join([np.array(head, "<u4").tobytes(), *found]), "<u4")
 
     def _look_up(self, words: dict[str, bytes]) -> None:
+        """Ids of all words at once, told apart by the bytes their tokens stand for."""
         spaced = [" " + w for w in words]
-        for w, got in zip(list(words), self.library.encode_batch_fast(spaced, add_special_tokens=False)):
-            ids = got.ids
-            words[w] = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.words) < REMEMBERED and len(w) < 64:
-                self.words[w] = words[w]
+        (got,) = self.library.encode_batch_fast(["".join(spaced)], add_special_tokens=False)
+        ids = np.array(got.ids, "<u4")
+        ends = np.cumsum([len(w.encode()) for w in spaced])
+        cuts = (4 * (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1)).tolist()
+        raw, low = ids.tobytes(), 0
+        for w, high in zip(list(words), cuts):
+            words[w] = raw[low:high]
+            low = high
+            self.words.keep(w, words[w])
 
 
 @lru_cache(maxsize=2)
