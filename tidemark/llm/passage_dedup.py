@@ -207,25 +207,51 @@ def _near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     members = Table(banded.join(crowd.hinted(HASH_BYTES), "band"), "passage-members").frame
     texts = Table(_texts(docs, members.select("uid").distinct()), "passage-lines").frame
 
+    sketches = texts.select("uid", *SKETCH)
+
     # Every line is compared with the first of its band.  What then is in one
     # component needs no more comparing; the rest is compared across components.
     stars = members.where("uid <> pivot").select(F.col("pivot").alias("a"), F.col("uid").alias("b")).distinct()
-    linked = Table(_verified(stars, texts), "passage-links").frame
+    stars = stars.join(_named(sketches, "a"), "a").join(_named(sketches, "b"), "b").where(_may_be_similar())
+    linked = Table(_verified(stars.select("a", "b"), texts), "passage-links").frame
     roots = Table(connected_components(linked), "passage-roots").frame
     placed = members.join(roots, members["uid"] == roots["node"], "left").select(
         "band", "uid", F.coalesce("root", "uid").alias("root")
     )
     mixed = placed.groupBy("band").agg(F.min("root").alias("_l"), F.max("root").alias("_h")).where("_l <> _h")
     open_bands = Table(mixed.select("band"), "passage-open")
-    rest = Table(placed.join(open_bands.hinted(HASH_BYTES), "band", "left_semi"), "passage-rest").frame
-    left = rest.select("band", F.col("uid").alias("a"), F.col("root").alias("_r"))
-    right = rest.select("band", F.col("uid").alias("b"), F.col("root").alias("_s"))
-    pairs = left.join(right, "band").where("_r < _s").select("a", "b").distinct()
+    rest = placed.join(open_bands.hinted(HASH_BYTES), "band", "left_semi").join(sketches, "uid")
+    rest = Table(rest, "passage-rest").frame
+    left = _named(rest, "a").withColumnRenamed("root", "_r")
+    right = _named(rest, "b").withColumnRenamed("root", "_s")
+    across = (left["band"] == right["band"]) & (F.col("_r") < F.col("_s")) & _may_be_similar()
+    pairs = left.join(right, across).select("a", "b").distinct()
     return connected_components(linked.union(_verified(pairs, texts)))
 
 
+#: Number of shingles, and the parity of how many fall on each of 256 places.
+SKETCH = ["n", "p0", "p1", "p2", "p3"]
+
+
+def _named(sketches: DataFrame, side: str) -> DataFrame:
+    """Sketch columns with the side of a pair they stand on."""
+    others = [c for c in sketches.columns if c not in ("uid", *SKETCH)]
+    return sketches.select(F.col("uid").alias(side), *others, *[F.col(c).alias(f"{c}_{side}") for c in SKETCH])
+
+
+def _may_be_similar() -> Column:
+    """False only for pairs that can't reach SIMILARITY.
+
+    Places with different parity hold at least one shingle that only one line has,
+    so there are no more of them than such shingles; and a similarity of s allows
+    (1 - s) / (1 + s) of both sizes together.
+    """
+    apart = sum(F.bit_count(F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b"))) for k in range(4))
+    return apart * (1 + SIMILARITY) <= (F.col("n_a") + F.col("n_b")) * (1 - SIMILARITY) + 1e-6
+
+
 def _texts(docs: DataFrame, uids: DataFrame) -> DataFrame:
-    """(uid, shingles) of the lines asked for."""
+    """(uid, shingles, and their SKETCH) of the lines asked for."""
     wanted = Table(uids, "passage-wanted")
     lines = docs.select(F.explode(F.split("text", "\n")).alias("_line"))
     lines = lines.select(F.xxhash64("_line").alias("uid"), "_line")
@@ -233,7 +259,13 @@ def _texts(docs: DataFrame, uids: DataFrame) -> DataFrame:
     words = lines.select("uid", F.array_remove(F.split("_line", SPACES), "").alias("_words"))
     starts = F.sequence(F.lit(1), F.size("_words") - SHINGLE_WORDS + 1)
     runs = F.transform(starts, lambda i: F.xxhash64(F.slice("_words", i, SHINGLE_WORDS)))
-    return words.select("uid", F.array_distinct(runs).alias("shingles"))
+    shingles = words.select("uid", F.array_distinct(runs).alias("shingles"))
+
+    def parity(word: int) -> Column:
+        here = F.filter("shingles", lambda h: F.shiftright(h, 6).bitwiseAND(3) == word)
+        return F.aggregate(here, F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))))
+
+    return shingles.select("uid", "shingles", F.size("shingles").alias("n"), *[parity(k).alias(f"p{k}") for k in range(4)])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
