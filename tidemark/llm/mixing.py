@@ -11,22 +11,19 @@ it is recomputed where it is used instead of joined back.
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Table, small_batches
 
-TOKEN = re.compile(r"\w+|[^\w\s]+")
-DIMENSIONS = 1 << 18
 #: Bound of the labelled sample the classifier is fitted on, in documents of the lowest id hashes.
 MAX_LABELLED = 4000
+#: Words in fewer documents of the sample carry no weight.
 MIN_DOCUMENTS = 5
 ROUNDS = 120
 STEP = 0.1
@@ -39,24 +36,23 @@ MAX_PASSES = 60
 CARRIED = 8
 
 
-def features(text: str | None) -> np.ndarray:
-    """Hashed ids of the different words and symbol runs of the whole text."""
-    tokens = set(TOKEN.findall((text or "").lower()))
-    ids = np.fromiter((zlib.crc32(t.encode()) % DIMENSIONS for t in tokens), np.int32, len(tokens))
-    return np.unique(ids)
+def features(text: str | None) -> set[str]:
+    """The different words of the whole text, in lower case with what symbols stand by them."""
+    return set((text or "").lower().split())
 
 
 @dataclass(frozen=True)
 class Classifier:
-    """Softmax of summed weights, scaled by the root of the number of features."""
+    """Softmax of the summed weights of known words, scaled by the root of their number."""
 
     domains: list[str]
-    weights: np.ndarray  # features x domains
+    words: dict[str, int]
+    weights: np.ndarray  # words x domains
     bias: np.ndarray
 
     def posteriors(self, text: str | None) -> np.ndarray:
-        ids = features(text)
-        z = self.bias + self.weights[ids].sum(axis=0, dtype=np.float64) / np.sqrt(max(1, len(ids)))
+        ids = sorted(self.words[w] for w in features(text) & self.words.keys())
+        z = self.bias + self.weights[ids].sum(axis=0) / np.sqrt(max(1, len(ids)))
         e = np.exp(z - z.max())
         return e / e.sum()
 
@@ -72,47 +68,49 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame) -> Classifier:
     known = docs.select("doc_id").where("doc_id is not null").distinct().join(marked, "doc_id")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
 
-    @F.pandas_udf("array<int>")
-    def hashed(text: pd.Series) -> pd.Series:
-        return text.map(features, na_action=None)
+    @F.arrow_udf("array<string>")
+    def words(text: pa.Array) -> pa.Array:
+        return pa.array([sorted(features(t.as_py())) for t in text], pa.list_(pa.string()))
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    got = rows.select("doc_id", "_d", hashed("text").alias("f")).toPandas()
-    got = got.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
-    if got.empty:
-        return Classifier(["all"], np.zeros((DIMENSIONS, 1), np.float32), np.zeros(1))
-    domains = sorted(got["_d"].unique())
-    return _softmax(domains, [np.asarray(f, np.int32) for f in got["f"]], np.searchsorted(domains, got["_d"]))
+    got = rows.select("doc_id", "_d", words("text").alias("f")).dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
+    if not got.num_rows:
+        return Classifier(["all"], {}, np.zeros((0, 1)), np.zeros(1))
+    label = got.column("_d").to_pylist()
+    domains = sorted(set(label))
+    lists = got.column("f").combine_chunks()
+    coded = lists.flatten().dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    seen = np.bincount(code, minlength=len(coded.dictionary))
+    used = np.flatnonzero(seen >= min(MIN_DOCUMENTS, max(1, got.num_rows // 50)))
+    place = np.full(len(seen), -1)
+    place[used] = np.arange(len(used))
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))[:-1]
+    short = [ids[ids >= 0] for ids in np.split(place[code], ends)]
+    known = dict(zip(coded.dictionary.take(used).to_pylist(), range(len(used))))
+    weights, bias = _softmax(short, np.searchsorted(domains, label), len(known), len(domains))
+    return Classifier(domains, known, weights, bias)
 
 
-def _softmax(domains: list[str], rows: list[np.ndarray], label: np.ndarray) -> Classifier:
+def _softmax(rows: list[np.ndarray], label: np.ndarray, words: int, count: int) -> tuple[np.ndarray, np.ndarray]:
     """Multinomial regression by Adam steps, with weights shrunk towards zero."""
-    seen = np.bincount(np.concatenate([*rows, np.zeros(0, np.int32)]), minlength=DIMENSIONS)
-    used = np.flatnonzero(seen >= min(MIN_DOCUMENTS, max(1, len(rows) // 50)))
-    place = np.full(DIMENSIONS, -1, np.int32)
-    place[used] = np.arange(len(used))
-    short = [place[f][place[f] >= 0] for f in rows]
-    flat = np.concatenate([np.r_[f, len(used)] for f in short]).astype(np.int64)
-    lengths = np.array([len(f) + 1 for f in short])
+    flat = np.concatenate([np.r_[f, words] for f in rows]).astype(np.int64)  # the last feature, in all rows, is the bias
+    lengths = np.array([len(f) + 1 for f in rows])
     starts = np.r_[0, np.cumsum(lengths)[:-1]]
-    scale = 1 / np.sqrt(np.maximum(1, [len(f) for f in rows]))
-    size, count = len(used) + 1, len(domains)
-    value = np.repeat(scale, lengths)
-    value[starts + lengths - 1] = 1  # the bias
+    value = np.repeat(1 / np.sqrt(np.maximum(1, lengths - 1)), lengths)
+    value[starts + lengths - 1] = 1
     truth = np.eye(count)[label]
-    w, mean, square = (np.zeros((size, count)) for _ in range(3))
+    w, mean, square = (np.zeros((words + 1, count)) for _ in range(3))
     w[-1] = np.log(truth.mean(axis=0))
     for t in range(1, ROUNDS + 1):
         z = np.stack([np.add.reduceat(w[flat, c] * value, starts) for c in range(count)], axis=1)
         e = np.exp(z - z.max(axis=1, keepdims=True))
         slope = (e / e.sum(axis=1, keepdims=True) - truth) / len(rows)
-        g = np.stack([np.bincount(flat, np.repeat(slope[:, c], lengths) * value, size) for c in range(count)], axis=1)
+        g = np.stack([np.bincount(flat, np.repeat(slope[:, c], lengths) * value, words + 1) for c in range(count)], axis=1)
         g[:-1] += SHRINK * np.sign(w[:-1])
         mean, square = 0.9 * mean + 0.1 * g, 0.999 * square + 0.001 * g * g
         w -= STEP * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
-    weights = np.zeros((DIMENSIONS, count), np.float32)
-    weights[used] = w[:-1]
-    return Classifier([str(d) for d in domains], weights, w[-1])
+    return w[:-1], w[-1]
 
 
 @dataclass(frozen=True)
@@ -126,19 +124,7 @@ class Mixer:
 
     def rates(self, docs: DataFrame) -> DataFrame:
         """``docs`` with _n_tokens, _posteriors and _rate of every row."""
-        scored = _scored(docs, self.classifier)
-        shared = docs.sparkSession.sparkContext.broadcast(self.steps)
-        least = self.at_least
-
-        @F.pandas_udf("double")
-        def rate(posteriors: pd.Series) -> pd.Series:
-            p = np.stack(posteriors.to_list())
-            r = np.ones(len(p))
-            for step in shared.value:
-                r = np.maximum(least, r - p @ step)
-            return pd.Series(r)
-
-        return scored.withColumn("_rate", rate("_posteriors"))
+        return _scored(docs, self.classifier, self.steps, self.at_least)
 
 
 def fit(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], whole: tuple[str, ...] = (),
@@ -195,20 +181,36 @@ def _totals(state: DataFrame, rate: Column, names: list[str]) -> np.ndarray:
     return np.array([float(x or 0) for x in row])
 
 
-def _scored(docs: DataFrame, classifier: Classifier) -> DataFrame:
-    """``docs`` with _n_tokens (words) and _posteriors of every whole text."""
-    small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+def _scored(docs: DataFrame, classifier: Classifier, steps: np.ndarray | None = None, least: float = 0.0) -> DataFrame:
+    """``docs`` with _n_tokens (words) and _posteriors of every whole text; with ``steps`` also _rate.
 
-    @F.pandas_udf("n bigint, p array<double>")
-    def membership(text: pd.Series) -> pd.DataFrame:
-        own = shared.value
-        n = [len((t or "").split()) for t in text]
-        return pd.DataFrame({"n": n, "p": [own.posteriors(t) for t in text]})
+    One function gives all, as each one more would hold one more Python worker a task.
+    """
+    small_batches(docs.sparkSession)
+    taken = np.zeros((0, len(classifier.domains))) if steps is None else steps
+    shared = docs.sparkSession.sparkContext.broadcast((classifier, taken))
+
+    @F.arrow_udf("n bigint, p array<double>, r double")
+    def membership(text: pa.Array) -> pa.Array:
+        own, steps = shared.value
+        n, p = [], np.zeros((len(text), len(own.domains)))
+        for k, t in enumerate(text):
+            words = t.as_py() or ""
+            n.append(len(words.split()))
+            p[k] = own.posteriors(words)
+        rate = np.ones(len(p))
+        for step in steps:
+            rate = np.maximum(least, rate - p @ step)
+        offsets = np.arange(len(p) + 1, dtype=np.int32) * p.shape[1]
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(p.ravel()))
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), lists, pa.array(rate)], ["n", "p", "r"])
 
     marked = docs.withColumn("_membership", membership(docs["text"]))
     return marked.select(
-        *docs.columns, F.col("_membership.n").alias("_n_tokens"), F.col("_membership.p").alias("_posteriors")
+        *docs.columns,
+        F.col("_membership.n").alias("_n_tokens"),
+        F.col("_membership.p").alias("_posteriors"),
+        *[F.col("_membership.r").alias("_rate")] * (steps is not None),
     )
 
 
