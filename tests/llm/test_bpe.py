@@ -56,6 +56,7 @@ def test_long_runs(text):
 
 def test_full_memory_changes_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 2)
+    monkeypatch.setattr(bpe, "REMEMBERED_PARTS", 2)
     own = bpe.Codec(PATH)
     for text in ("one two, three", "one two, three four's", " lead", "trail ", "a  b\n c"):
         assert own.encode(text) == library_ids(text)

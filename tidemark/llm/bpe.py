@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import small_batches, tokenizer_file
+from tidemark.llm.common import Remembered, small_batches, tokenizer_file
 
 #: Fixed value: the pattern of the pieces that byte-level BPE never merges across.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -46,8 +46,9 @@ PIECE_NEWER = regex.compile(
 )
 #: A space before another space or at the end, where cutting at spaces would not keep the pieces.
 UNEVEN = re.compile(r" (?:\s|\Z)")
-#: Words whose ids a worker remembers; others are encoded whenever they come.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers, and pieces and pairs; others are worked out whenever they come.
+REMEMBERED = 150_000
+REMEMBERED_PARTS = 60_000
 ENDLESS = 1 << 60
 
 
@@ -108,9 +109,9 @@ class Codec:
 
     def __init__(self, path: str):
         self.words = read_vocabulary(path)
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.spaced: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.known = Remembered(REMEMBERED_PARTS)
+        self.spaced = Remembered(REMEMBERED)
         self.names = [str(i) for i in range(len(self.words.pieces))]
         found = "|".join(re.escape(s) for s in sorted(self.words.specials, key=len, reverse=True))
         self.special = re.compile(f"({found})") if found else None
@@ -122,7 +123,8 @@ class Codec:
         the seam at a time may merge if the rank comes before the next merge of
         either side; of equal ranks the one further left comes first.
         """
-        got = self.pairs.get((left, right))
+        pair = left << 32 | right
+        got = self.pairs.get(pair)
         if got is not None:
             return got
         merged, made_at, parts = self.words.merged, self.words.made_at, self.words.parts
@@ -138,9 +140,9 @@ class Codec:
                 until_b, b = made_at[b], parts[b][0]
             else:
                 break
-        if len(self.pairs) >= REMEMBERED:
+        if len(self.pairs) >= REMEMBERED_PARTS:
             self.pairs.clear()
-        self.pairs[left, right] = apart
+        self.pairs[pair] = apart
         return apart
 
     def piece(self, text: str) -> tuple[int, ...]:
@@ -163,24 +165,23 @@ class Codec:
         return tuple(reversed(ids))
 
     def chunk(self, text: str) -> tuple[int, ...]:
-        ids = self.known.get(text)
-        if ids is None:
-            ids = tuple(chain.from_iterable(map(self._piece, pieces_of(text))))
-        return ids
+        """Ids of a text that begins and ends where pieces do."""
+        parts = pieces_of(text)
+        if len(parts) == 1:  # a caller that sees it again remembers it itself
+            return self.known.get(text) or self.piece(text)
+        return tuple(chain.from_iterable(map(self._piece, parts)))
 
     def _piece(self, text: str) -> tuple[int, ...]:
         ids = self.known.get(text)
         if ids is None:
             ids = self.piece(text)
-            if len(self.known) < REMEMBERED and len(text) < 64:
-                self.known[text] = ids
+            self.known.keep(text, ids)
         return ids
 
     def _word(self, text: str) -> tuple[int, ...]:
         """Ids of a word with a space before it."""
         ids = self.chunk(" " + text)
-        if len(self.spaced) < REMEMBERED and len(text) < 64:
-            self.spaced[text] = ids
+        self.spaced.keep(text, ids)
         return ids
 
     def encode(self, text: str) -> list[int]:

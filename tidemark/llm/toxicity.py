@@ -12,7 +12,7 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,9 +71,9 @@ def _sample(docs: DataFrame, ids: DataFrame, most: int) -> list[np.ndarray]:
     chosen = ids.select("doc_id").orderBy(order, "doc_id").limit(most)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
 
-    @F.pandas_udf("array<int>")
-    def hashed(text: pd.Series) -> pd.Series:
-        return text.map(features, na_action=None)
+    @F.arrow_udf("array<int>")
+    def hashed(text: pa.Array) -> pa.Array:
+        return pa.array([features(t.as_py()) for t in text], pa.list_(pa.int32()))
 
     got = rows.select("doc_id", hashed("text").alias("f")).toPandas()
     got = got.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
@@ -122,12 +122,12 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
-    @F.pandas_udf("double")
-    def toxic(text: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def toxic(text: pa.Array) -> pa.Array:
         weights, bias = shared.value
-        sums = np.array([weights[features(t)].sum(dtype=np.float64) for t in text])
+        sums = np.array([weights[features(t.as_py())].sum(dtype=np.float64) for t in text])
         with np.errstate(over="ignore"):
-            return pd.Series(1 / (1 + np.exp(-(sums + bias))))
+            return pa.array(1 / (1 + np.exp(-(sums + bias))), pa.float64())
 
     return docs.withColumn(name, toxic(docs["text"]))
 
