@@ -94,6 +94,18 @@ def test_edge_cases(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 6, 8, 10]
 
 
+def test_every_component_keeps_a_document(spark):
+    def text(k):
+        return " ".join(random.Random(k).choices(["ab", "cd", "ef", "gh", "ij", "kl", "mn", "op"], k=60))
+
+    rows = [(None, text(k)) for k in range(5)] + [(None, text(0))]  # five texts without an id
+    rows += [(1, text(10)), (1, text(11)), (2, text(11)), (3, text(11))]  # one id in two components
+    rows += [(4, None), (4, ""), (7, text(12)), (7, text(12))]  # one document each
+    kept = [(r.doc_id, r.text or "") for r in simhash.drop_near_duplicates(frame(spark, rows)).collect()]
+    want = [(None, text(k)) for k in range(5)] + [(1, text(10)), (1, text(11)), (4, ""), (7, text(12))]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+
+
 def test_empty_table(spark):
     docs = frame(spark, [])
     assert simhash.near_duplicates(docs).collect() == []

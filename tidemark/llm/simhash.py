@@ -43,17 +43,21 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row of ``docs``."""
+    """(doc_id, _key, fp) of every row of ``docs``, _key being the text's hash."""
     small_batches(docs.sparkSession)
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", _key(F.col("text")).alias("_key"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = pa.array([fingerprint(t.as_py()) for t in batch.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["doc_id", "fp"])
+            prints = pa.array([fingerprint(t.as_py()) for t in batch.column(2)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], ["doc_id", "_key", "fp"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return rows.mapInArrow(run, f"doc_id {kind}, _key bigint, fp bigint")
+
+
+def _key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -65,34 +69,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ids are never chosen unless a component has no other.  Repeated rows come out
     as often as they go in.
     """
+    prints, roots = _components(docs)
+    chosen = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    classes = roots.join(chosen, "root").select("fp", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of ``docs``, and (fp, first_id, _first, root) of each one: its
+    smallest doc_id, the first document that has it, and the smallest it is linked to."""
     prints = Table(fingerprints(docs), "simhash-prints").frame
-    unique = Table(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-unique").frame
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "_key")).alias("_first")
+    unique = Table(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), first), "simhash-unique").frame
     roots = connected_components(links(unique.select("fp")))
     roots = unique.join(roots, unique["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+        "fp", "first_id", "_first", F.coalesce("root", "fp").alias("root")
     )
-    roots = Table(roots, "simhash-roots").frame
-    chosen = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = roots.join(chosen, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints, Table(roots, "simhash-roots").frame
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: that of component_id.
 
-    Rows that repeat its id are one document and come out once, the first by text.
+    A document is an id and a text.  Of several with the id, or with NULL ids only,
+    the first by the text's hash stays.  Rows that repeat both come out once.
     """
-    same = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = same.select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
-    twice = Table(docs.groupBy("doc_id").count().where("count > 1").select("doc_id"), "simhash-repeated")
+    chosen = _components(docs)[1].groupBy("root").agg(F.min("_first").alias("_first"))
+    chosen = chosen.select(F.col("_first.doc_id").alias("_id"), F.col("_first._key").alias("_of"))
+    key = _key(F.col("text"))
+    twice = docs.groupBy("doc_id", key.alias("_of")).count().where("count > 1")
+    twice = Table(twice.select(F.col("doc_id").alias("_id"), "_of"), "simhash-repeated")
+    met = F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_of"))
+    rows = docs.join(chosen, met, "left_semi")
     if not twice.rows:
         return rows
-    again = twice.frame.select(F.col("doc_id").alias("_id"))
-    met = rows["doc_id"].eqNullSafe(again["_id"])
-    row = F.min_by(F.struct(*[F.col(c) for c in docs.columns]), F.coalesce("text", F.lit("")))
-    first = rows.join(again, met, "left_semi").groupBy("doc_id").agg(row.alias("_row"))
-    return rows.join(again, met, "left_anti").union(first.select("_row.*"))
+    row = F.min_by(F.struct(*[F.col(c) for c in docs.columns]), F.xxhash64(*docs.columns))
+    first = rows.join(twice.frame, met, "left_semi").groupBy("doc_id", key).agg(row.alias("_row"))
+    return rows.join(twice.frame, met, "left_anti").union(first.select("_row.*"))
 
 
 def links(unique: DataFrame) -> DataFrame:
