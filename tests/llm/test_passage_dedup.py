@@ -104,6 +104,27 @@ def test_planted_and_clean_documents(spark):
     assert all(len(kept[d].split()) == len(texts[d].split()) - got[d].spans[0].n for d in (101, 102))
 
 
+def wrapped(text, size, at=0):
+    w = text.split()
+    cuts = [0, *range(at or size, len(w), size), len(w)]
+    return "\n".join(" ".join(w[a:b]) for a, b in zip(cuts, cuts[1:]))
+
+
+def test_passages_over_short_lines(spark):
+    rng = random.Random(11)
+    passage = prose(rng, 60)
+    texts = [wrapped(prose(rng, 25) + " " + passage + " " + prose(rng, 25), 10, at) for at in (10, 3, 7)]
+    rows = [*enumerate(texts), (3, wrapped(prose(rng, 120), 10)), (4, prose(rng, 20) + " " + passage)]
+    got = {r.doc_id: r for r in P.repeated_passages(frame(spark, rows)).collect()}
+    assert set(got) == {1, 2, 4} and all(r.kept_in == [0] for r in got.values())
+    kept = {r.doc_id: r.text for r in P.drop_repeated_passages(frame(spark, rows)).collect()}
+    for d, t in rows:
+        w = t.split()
+        stays = len(w) - sum(s.n for s in got[d].spans) if d in got else len(w)
+        assert len(kept[d].split()) == stays
+        assert all(" ".join(w[s.start : s.start + s.n]) in passage for s in (got[d].spans if d in got else []))
+
+
 def test_edges(spark):
     rng = random.Random(8)
     text, long_text = prose(rng, 40), prose(rng, 40_000)

@@ -1,10 +1,10 @@
 """Repeated passages: paragraphs by MinHash banding, exact Jaccard, removal by components.
 
 A paragraph is a line of at least MIN_WORDS words.  Passages also repeat inside
-longer lines, so each line has sub-paragraphs too: they begin at a word where the
-hash of three words is lowest among its neighbours, and end at the first such
-place, or line end, MIN_WORDS or more further on.  These places move with the
-text, so a passage of 50 words has whole sub-paragraphs wherever it stands.
+longer lines and over shorter ones, so each text has sub-paragraphs too, whatever
+its line ends: they begin at a word where the hash of three words is lowest among
+its neighbours, and end at the first such place MIN_WORDS or more further on.
+These places move with the text.
 
 Lines are compared by MinHash: rows of a signature are banded for high recall,
 colliding lines are joined, and five-word shingles give the exact Jaccard
@@ -70,7 +70,7 @@ def units(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     sizes = np.array([len(w) for w in split])
     ends = np.cumsum(sizes)
     long = np.flatnonzero(sizes >= MIN_WORDS)
-    if not len(long):
+    if not len(ends) or ends[-1] < MIN_WORDS:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, BANDS), np.uint64)
     digest = xxhash.xxh64_intdigest
     words = np.fromiter((digest(w) for line in split for w in line), np.uint64, int(ends[-1]))
@@ -78,27 +78,16 @@ def units(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     low = _runs(words, 3)
     padded = np.r_[np.full(RADIUS, ~np.uint64(0)), low, np.full(RADIUS, ~np.uint64(0))]
     around = np.lib.stride_tricks.sliding_window_view(padded, 2 * RADIUS + 1).min(axis=1)
-    places = np.unique(np.r_[np.flatnonzero(low == around), ends - sizes, ends])
+    places = np.unique(np.r_[np.flatnonzero(low == around), 0, len(words)])
     at = np.searchsorted(places, places + MIN_WORDS)
     inside = at < len(places)
     begin, end = places[inside], places[at[inside]]
-    line_end = ends[np.minimum(np.searchsorted(ends, begin, "right"), len(ends) - 1)]
-    begin, end = begin[end <= line_end], end[end <= line_end]
     powers = _powers(len(words))
     sums = np.r_[np.uint64(0), np.cumsum(words * powers[0][: len(words)], dtype=np.uint64)]
     inner = _mixed((sums[end] - sums[begin]) * powers[1][begin]) ^ _mixed((end - begin).astype(np.uint64))
 
-    shingles = _runs(words, SHINGLE_WORDS)
     first = (ends - sizes)[long]
-    spans = np.stack([first, first + sizes[long] - SHINGLE_WORDS + 1], axis=1).ravel()
-    spans[-1] = min(spans[-1], len(shingles))
-    cut = spans if spans[-1] < len(shingles) else spans[:-1]
-    a, b = _multipliers()
-    signature = np.stack([np.minimum.reduceat(_mixed(shingles * x + y), cut)[::2] for x, y in zip(a, b)], axis=1)
-    bands = np.zeros((len(long), BANDS), np.uint64)
-    for row in range(ROWS):
-        bands = _mixed(bands + signature[:, row::ROWS])
-    bands = _mixed(bands + np.arange(BANDS, dtype=np.uint64))
+    bands = _bands(words, first, sizes[long])
     whole = np.fromiter((digest(lines[k], SEED) for k in long), np.uint64, len(long))
     return (
         np.r_[whole, inner],
@@ -108,6 +97,22 @@ def units(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     )
 
 
+def _bands(words: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Band hashes of the lines that begin at words ``first``."""
+    if not len(first):
+        return np.zeros((0, BANDS), np.uint64)
+    shingles = _runs(words, SHINGLE_WORDS)
+    spans = np.stack([first, first + sizes - SHINGLE_WORDS + 1], axis=1).ravel()
+    spans[-1] = min(spans[-1], len(shingles))
+    cut = spans if spans[-1] < len(shingles) else spans[:-1]
+    a, b = _multipliers()
+    signature = np.stack([np.minimum.reduceat(_mixed(shingles * x + y), cut)[::2] for x, y in zip(a, b)], axis=1)
+    bands = np.zeros((len(first), BANDS), np.uint64)
+    for row in range(ROWS):
+        bands = _mixed(bands + signature[:, row::ROWS])
+    return _mixed(bands + np.arange(BANDS, dtype=np.uint64))
+
+
 _POWERS: list[np.ndarray] = []
 
 
