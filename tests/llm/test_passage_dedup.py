@@ -125,6 +125,33 @@ def test_passages_over_short_lines(spark):
         assert all(" ".join(w[s.start : s.start + s.n]) in passage for s in (got[d].spans if d in got else []))
 
 
+def test_every_passage_of_37_words_has_a_common_run():
+    rng = random.Random(12)
+    for _ in range(3000):
+        passage = prose(rng, 37)
+        a, b = (P.units(f"{prose(rng, rng.randint(0, 60))} {passage} {prose(rng, rng.randint(0, 60))}") for _ in range(2))
+        assert {u for u, n in zip(a[0], a[2]) if n == 16} & set(b[0])
+
+
+def test_whole_passages_go(spark):
+    rng = random.Random(13)
+
+    def around(inner):
+        return f"{prose(rng, rng.randint(0, 60))} {inner} {prose(rng, rng.randint(0, 60))}"
+
+    rows, want = [], {}
+    for k in range(0, 120, 3):
+        passage = prose(rng, rng.randint(37, 110))
+        part = " ".join(passage.split()[:30])  # an earlier text may have less of it
+        rows += [(k, around(part)), (k + 1, around(passage)), (k + 2, around(passage))]
+        want[k + 2] = passage
+    texts = dict(rows)
+    got = {r.doc_id: r.spans for r in P.repeated_passages(frame(spark, rows)).collect()}
+    for d, passage in want.items():
+        (span,) = got[d]
+        assert " ".join(texts[d].split()[span.start : span.start + span.n]) == passage
+
+
 def test_edges(spark):
     rng = random.Random(8)
     text, long_text = prose(rng, 40), prose(rng, 40_000)

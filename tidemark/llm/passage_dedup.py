@@ -2,9 +2,11 @@
 
 A paragraph is a line of at least MIN_WORDS words.  Passages also repeat inside
 longer lines and over shorter ones, so each text has sub-paragraphs too, whatever
-its line ends: they begin at a word where the hash of three words is lowest among
-its neighbours, and end at the first such place MIN_WORDS or more further on.
-These places move with the text.
+its line ends: runs of MIN_WORDS words whose hash is the lowest of some WINDOW runs
+in a row, and the stretches from each of them to the end of the next.  Two texts
+that share MIN_WORDS + WINDOW - 1 words in a row have a run of them in common, and
+all stretches between the first and the last such run; fewer than WINDOW words are
+left on either side, and those are compared word by word.
 
 Lines are compared by MinHash: rows of a signature are banded for high recall,
 colliding lines are joined, and five-word shingles give the exact Jaccard
@@ -31,8 +33,8 @@ from tidemark.llm.components import connected_components
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 MIN_WORDS = 16
-#: Words to either side among which a place must be lowest.
-RADIUS = 4
+#: Runs in a row of which the lowest is a place, so that passages of 37 words or more have one.
+WINDOW = 22
 #: 6 bands of 2 rows find a pair of similarity 0.8 with probability 0.998.
 BANDS, ROWS = 6, 2
 SEED = 42  # as in Spark's xxhash64
@@ -75,16 +77,18 @@ def units(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     digest = xxhash.xxh64_intdigest
     words = np.fromiter((digest(w) for line in split for w in line), np.uint64, int(ends[-1]))
 
-    low = _runs(words, 3)
-    padded = np.r_[np.full(RADIUS, ~np.uint64(0)), low, np.full(RADIUS, ~np.uint64(0))]
-    around = np.lib.stride_tricks.sliding_window_view(padded, 2 * RADIUS + 1).min(axis=1)
-    places = np.unique(np.r_[np.flatnonzero(low == around), 0, len(words)])
-    at = np.searchsorted(places, places + MIN_WORDS)
-    inside = at < len(places)
-    begin, end = places[inside], places[at[inside]]
     powers = _powers(len(words))
     sums = np.r_[np.uint64(0), np.cumsum(words * powers[0][: len(words)], dtype=np.uint64)]
-    inner = _mixed((sums[end] - sums[begin]) * powers[1][begin]) ^ _mixed((end - begin).astype(np.uint64))
+
+    def hashed(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _mixed((sums[end] - sums[begin]) * powers[1][begin]) ^ _mixed((end - begin).astype(np.uint64))
+
+    runs = np.arange(len(words) - MIN_WORDS + 1)
+    low = hashed(runs, runs + MIN_WORDS)
+    places = _places(low)
+    begin = np.r_[places, places[:-1]]
+    end = np.r_[places, places[1:]] + MIN_WORDS
+    inner = hashed(begin, end)
 
     first = (ends - sizes)[long]
     bands = _bands(words, first, sizes[long])
@@ -97,6 +101,24 @@ def units(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     )
 
 
+def _places(low: np.ndarray) -> np.ndarray:
+    """Places that have the lowest value of WINDOW in a row, or of all if there are fewer."""
+    window = min(WINDOW, len(low))
+    lowest = _sliding(np.minimum, low, window)
+    edge = np.zeros(window - 1, np.uint64)
+    return np.flatnonzero(_sliding(np.maximum, np.r_[edge, lowest, edge], window) == low)
+
+
+def _sliding(choose: np.ufunc, values: np.ndarray, window: int) -> np.ndarray:
+    """``choose`` of each ``window`` values in a row."""
+    size = 1
+    while 2 * size <= window:
+        values = choose(values[:-size], values[size:])
+        size *= 2
+    rest = window - size
+    return choose(values[: len(values) - rest], values[rest:])
+
+
 def _bands(words: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Band hashes of the lines that begin at words ``first``."""
     if not len(first):
@@ -170,20 +192,116 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     near = _near_lines(docs, lines)
     twice = every.groupBy("uid").count().where("count > 1").select("uid")
     seen = Table(twice.union(near.select(F.col("node").alias("uid"))).distinct(), "passage-repeated")
-    some = every.join(seen.hinted(HASH_BYTES), "uid", "left_semi").select("uid", "doc_id", "_key", "start", "n")
-    some = Table(some, "passage-occurrences").frame
+    some = every.join(seen.hinted(HASH_BYTES), "uid", "left_semi")
+    some = Table(some.select("uid", "doc_id", "_key", "start", "n", (F.size("bands") > 0).alias("line")), "passage-occurrences").frame
     classes = some.join(near, some["uid"] == near["node"], "left")
-    classes = classes.select(F.coalesce("root", "uid").alias("class"), "doc_id", "_key", "start", "n")
-    place = F.struct("doc_id", "_key", "start")
-    first = Table(classes.groupBy("class").agg(F.min(place).alias("_first")), "passage-first")
-    later = classes.join(first.hinted(64), "class").where(~place.eqNullSafe(F.col("_first")))
-    found = later.groupBy("doc_id", "_key").agg(
-        F.collect_set(F.struct("start", "n")).alias("_spans"), F.collect_set("_first.doc_id").alias("kept_in")
+    classes = classes.select(F.coalesce("root", "uid").alias("class"), *some.columns)
+    first = Table(classes.groupBy("class").agg(F.min(_place()).alias("_first")), "passage-first")
+    later = classes.join(first.hinted(64), "class").where(~_place().eqNullSafe(F.col("_first")))
+    later = Table(later.select("uid", "doc_id", "_key", "start", "n", "line", "_first"), "passage-later").frame
+    more = Table(_extensions(docs, some, later), "passage-extensions").frame
+    spans = later.select("doc_id", "_key", "start", "n", "_first").union(more)
+    found = spans.join(_staying(spans), F.col("_first").eqNullSafe(F.col("_was"))).groupBy("doc_id", "_key").agg(
+        F.collect_set(F.struct("start", "n")).alias("_spans"), F.collect_set("_stays").alias("kept_in")
     )
     return found.select("doc_id", "_key", _merged("_spans").alias("spans"), F.array_sort("kept_in").alias("kept_in"))
 
 
-def _merged(spans: str) -> Column:
+def _staying(spans: DataFrame) -> DataFrame:
+    """(_was, _stays): for each _first of ``spans`` the document where its words stay.
+
+    A place chosen in one text need not be one in an earlier text with the same
+    words, so a first place may lie in words that go; it is followed to where those
+    were first.  Every step leads to an earlier place.
+    """
+    places = spans.select(F.col("_first").alias("_was")).distinct()
+    now = Table(places.select("_was", F.col("_was").alias("_now")), "passage-staying")
+    while True:
+        here = F.col("_now.start") - F.col("start")
+        met = (F.col("doc_id").eqNullSafe(F.col("_now.doc_id")) & (F.col("_key") == F.col("_now._key"))
+               & (here >= 0) & (here < F.col("n")))
+        to = F.struct("_first.doc_id", "_first._key", (F.col("_first.start") + here).alias("start"))
+        joined = now.frame.join(spans, met, "left").groupBy("_was", "_now").agg(
+            F.min(F.when(F.col("_first").isNotNull(), to)).alias("_to")
+        )
+        after = Table(joined.withColumn("_seen", F.col("_to").isNotNull()).select(
+            "_was", F.coalesce("_to", "_now").alias("_now"), "_seen"), "passage-staying", _moved=F.count_if("_seen"))
+        now.drop()
+        now = after
+        if not now.totals.get("_moved"):
+            return now.frame.select("_was", F.col("_now.doc_id").alias("_stays"))
+
+
+def _place() -> Column:
+    return F.struct("doc_id", "_key", "start")
+
+
+def _extensions(docs: DataFrame, some: DataFrame, later: DataFrame) -> DataFrame:
+    """(doc_id, _key, start, n, _first): words before and after runs that repeat with them.
+
+    Only runs at the edges of what runs and stretches cover have such words.  The
+    words at each edge are hashed one, two, ... at a time, outwards, for all texts
+    with that run; of each hash the first place stays, so the longest of any earlier
+    text counts and no pairs of texts are made.
+    """
+    inner = later.where("not line")
+    covered = inner.groupBy("doc_id", "_key").agg(_merged(F.collect_set(F.struct("start", "n"))).alias("_covered"))
+    covered = covered.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_of"), "_covered")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of"))
+    runs = inner.where(F.col("n") == MIN_WORDS).join(covered, same)
+    begins = F.exists("_covered", lambda c: c["start"] == F.col("start"))
+    ends = F.exists("_covered", lambda c: c["start"] + c["n"] == F.col("start") + F.col("n"))
+    sides = F.array(F.when(begins, -1), F.when(ends, 1))
+    edges = runs.select("uid", "doc_id", "_key", "start", F.explode(sides).alias("side")).where("side is not null")
+    edges = Table(edges, "passage-edges").frame
+    wanted = Table(edges.select("uid", "side").distinct(), "passage-edge-runs")
+    ask = some.where(~F.col("line") & (F.col("n") == MIN_WORDS)).join(wanted.hinted(HASH_BYTES), "uid")
+    ask = ask.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("uid", "start", "side")).alias("_asked"))
+    ask = Table(ask.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_of"), "_asked"), "passage-asked").frame
+    key = F.xxhash64("text")
+    texts = docs.join(ask, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_of")))
+    outward = Table(_outward(texts.select("doc_id", "_of", "text", "_asked")), "passage-outward").frame
+
+    by = ["uid", "side", "k", "hash"]
+    least = outward.groupBy(*by).agg(F.min(_place()).alias("_first"), F.max(_place()).alias("_last"))
+    least = Table(least.where(~F.col("_first").eqNullSafe(F.col("_last"))).drop("_last"), "passage-outward-first")
+    met = outward.join(least.hinted(96), by).where(~_place().eqNullSafe(F.col("_first")))
+    longest = met.groupBy("uid", "doc_id", "_key", "start", "side").agg(F.max(F.struct("k", "_first")).alias("_l"))
+    begin = F.when(F.col("side") < 0, F.col("start") - F.col("_l.k")).otherwise(F.col("start") + MIN_WORDS)
+    return longest.select("doc_id", "_key", begin.alias("start"), F.col("_l.k").cast("bigint").alias("n"), "_l._first")
+
+
+def _outward(texts: DataFrame) -> DataFrame:
+    """(uid, doc_id, _key, start, side, k, hash) of the k words next to each place asked for."""
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    names = ["uid", "doc_id", "_key", "start", "side", "k", "hash"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for batch in batches:
+            for row in range(batch.num_rows):
+                split = batch.column(2)[row].as_py().encode("utf-8", "surrogatepass").split()
+                words = np.fromiter(map(digest, split), np.uint64, len(split))
+                asked = batch.column(3).slice(row, 1).flatten()
+                uid, start, side = (asked.field(f).to_numpy() for f in ("uid", "start", "side"))
+                edge = np.where(side < 0, start - 1, start + MIN_WORDS)
+                hashes = np.zeros(len(edge), np.uint64)
+                for k in range(1, WINDOW):
+                    at = edge + side * (k - 1)
+                    inside = (at >= 0) & (at < len(words))
+                    if not inside.any():
+                        break
+                    edge, side, start, uid = edge[inside], side[inside], start[inside], uid[inside]
+                    hashes = _mixed(hashes[inside] + words[at[inside]])
+                    of = pa.array(np.full(len(edge), row))
+                    columns = [pa.array(uid), batch.column(0).take(of), batch.column(1).take(of), pa.array(start),
+                               pa.array(side), pa.array(np.full(len(edge), k, np.int32)), pa.array(hashes.view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    return texts.mapInArrow(run, f"uid bigint, doc_id {kind}, _key bigint, start bigint, side int, k int, hash bigint")
+
+
+def _merged(spans: Column | str) -> Column:
     """Spans in order, those that overlap or touch made one."""
     zero = F.array().cast("array<struct<start:bigint,n:bigint>>")
 
@@ -198,7 +316,7 @@ def _merged(spans: str) -> Column:
             F.concat(done, F.array(span))
         )
 
-    ordered = F.array_sort(F.col(spans))
+    ordered = F.array_sort(spans)
     safe = F.filter(ordered, lambda s: s["n"] > 0)
     return F.aggregate(safe, zero, add)
 
