@@ -99,4 +99,82 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
-ORACLE: dict[str, str] = {"op5_line_dedup": OP5, "op6_exact_dedup": OP6, "op9_quality_rules": OP9}
+def _vectors(scale: int, where: str = "true", also: str = "") -> str:
+    """Rows of embeddings that take part, with floor(scale * x) of their components."""
+    return f"""
+    select vec_id, {also} [floor({scale} * x::double) for x in embedding] as v
+    from embeddings
+    where embedding is not null and list_bool_and([x is not null and isfinite(x) for x in embedding] || [true]) and {where}
+"""
+
+
+OP11 = f"""
+with vectors as ({_vectors(256, "label is not null", "case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,")}
+), scores as (
+    select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_dot_product(a.v, c.v)::bigint as score
+    from vectors a join vectors c on a.vec_id % 50 = 0 and a.vec_id <> c.vec_id
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, positive_id,
+       row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id)::integer as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from positives p join scores n on p.anchor_id = n.anchor_id and not same
+     and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3
+"""
+
+OP12 = f"""
+with vectors as ({_vectors(64)}
+), scores as (
+    select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+    from vectors q join vectors c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+from scores qualify rank <= 20
+"""
+
+
+def _nearest(centroids: str) -> str:
+    return f"""
+    select vec_id, v, c, list_dot_product(v, v) - 2 * list_dot_product(v, x) + list_dot_product(x, x) as d
+    from vectors, {centroids} qualify row_number() over (partition by vec_id order by d, c) = 1
+"""
+
+
+def _rounds(rounds: int) -> str:
+    steps = []
+    for r in range(rounds):
+        steps.append(f"""
+near{r} as materialized ({_nearest(f"centroids{r}")}),
+sums{r} as (
+    select c, i, sum(v[i])::bigint as s, count(*) as n from near{r}, (select unnest(range(1, 65)) as i) group by c, i
+), moved{r} as (
+    select c, list(((s - ((s % n) + n) % n) // n)::double order by i) as m from sums{r} group by c
+), centroids{r + 1} as materialized (
+    select o.c, coalesce(m, o.x) as x from centroids{r} o left join moved{r} using (c)
+)""")
+    return ",".join(steps)
+
+
+OP13 = f"""
+with vectors as materialized ({_vectors(1024, "len(embedding) = 64")}
+), centroids0 as materialized (
+    select row_number() over (order by sha256('3:' || vec_id), vec_id) - 1 as c, v as x from vectors
+    order by sha256('3:' || vec_id), vec_id limit 8
+),{_rounds(10)}, last as materialized ({_nearest("centroids10")})
+select vec_id, c::integer as cluster, d::bigint as distance,
+       (sum(d) over (partition by c))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+       (select sha256(array_to_string([e::bigint for e in x], ',')) from centroids10 o where o.c = l.c) as centroid_sha256
+from last l
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_line_dedup": OP5,
+    "op6_exact_dedup": OP6,
+    "op9_quality_rules": OP9,
+    "op11_hard_negatives": OP11,
+    "op12_topk": OP12,
+    "op13_centroids": OP13,
+}

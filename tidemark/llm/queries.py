@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, langid, line_dedup, mixing, passage_dedup, quality, simhash, token_store, toxicity
-from tidemark.llm.common import documents, fold
+from tidemark.llm import (
+    bpe,
+    centroids,
+    exact_dedup,
+    hard_negatives,
+    langid,
+    line_dedup,
+    mixing,
+    passage_dedup,
+    quality,
+    simhash,
+    token_store,
+    topk,
+    toxicity,
+)
+from tidemark.llm.common import Table, documents, fold
+from tidemark.llm.vectors import integer_vectors, scaled, usable
 
 
 #: Target weights of language and quality, of the tokens of the corpus.
@@ -93,6 +108,38 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "embeddings").where("label is not null")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = integer_vectors(rows.withColumn("label", label), 256, "label")
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(integer_vectors(documents(spark, sf_dir, "embeddings"), 64), F.col("vec_id") % 20 == 0, 20)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "embeddings").where((F.size("embedding") == 64) & usable(F.col("embedding")))
+    vectors = rows.select("vec_id", scaled(F.col("embedding"), 1024).alias("vector"))
+    first = F.sha2(F.concat(F.lit("3:"), F.col("vec_id").cast("string")), 256)
+    found = centroids.cluster(vectors, first, many=8, rounds=10, width=64)
+    assigned = Table(found.assigned(), "op13-assigned").frame
+    # One row for each cluster.
+    sums = assigned.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
+    whole = assigned.agg(F.sum("distance").alias("inertia"))
+    written = [F.sha2(F.lit(",".join(map(str, c))), 256) for c in found.centroids.tolist()]
+    digest = F.get(F.array(*written), F.col("cluster")) if written else F.lit(None).cast("string")
+    return assigned.join(F.broadcast(sums), "cluster").select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        whole.scalar().alias("inertia"),
+        digest.alias("centroid_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
@@ -104,4 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_topk": op12_topk,
+    "op13_centroids": op13_centroids,
 }
