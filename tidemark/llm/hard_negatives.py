@@ -172,7 +172,7 @@ class _Negatives:
         )
         for own, label, positives, scores, query in rows:
             windows = sorted(set(scores))
-            found = dict(zip(windows, self._windows(tree, label, query, np.array(windows, np.float64))))
+            found = dict(zip(windows, self._windows(tree, label, query, windows)))
             for positive, score in zip(positives, scores):
                 values, ids = found[score]
                 for column, part in zip(columns, (own, positive, ids, score, values.astype(np.int64))):
@@ -180,27 +180,30 @@ class _Negatives:
         names = ["anchor_id", "positive_id", "negative_id", "positive_score", "negative_score"]
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names)
 
-    def _windows(self, tree: CoverTree, label: int, query: np.ndarray, scores: np.ndarray) -> list:
+    def _windows(self, tree: CoverTree, label: int, query: np.ndarray, scores: list[int]) -> list:
         """The first (values, ids) of each positive score's window, from one descent for all of them."""
-        floors, ceilings = self.least_percent * scores, self.most_percent * scores
-        needs = np.where(floors <= ceilings, floors / 100, np.inf)
+        # The least and greatest whole numbers inside.
+        floors = [-(-self.least_percent * score // 100) for score in scores]
+        ceilings = np.array([self.most_percent * score // 100 for score in scores], np.float64)
+        needs = np.where(floors <= ceilings, floors, np.inf)
         found = [(np.empty(0), np.empty(0, np.int64))] * len(scores)
 
         def wanted(low, high):
-            return ((np.asarray(high)[..., None] >= needs) & (np.asarray(low)[..., None] <= ceilings / 100)).any(axis=-1)
+            return ((np.asarray(high)[..., None] >= needs) & (np.asarray(low)[..., None] <= ceilings)).any(axis=-1)
 
         for start, end in tree.leaves(query, wanted):
             values = tree.rows[start:end] @ query
-            other = np.flatnonzero((100 * values >= floors.min()) & (100 * values <= ceilings.max()) & (tree.labels[start:end] != label))
+            other = np.flatnonzero((values >= needs.min()) & (values <= ceilings.max()))
+            other = other[tree.labels[start:end][other] != label]
             values, ids = values[other], tree.ids[start:end][other]
-            for at in range(len(scores)):
-                here = np.flatnonzero((100 * values >= floors[at]) & (100 * values <= ceilings[at]) & (values >= needs[at]))
-                if len(here):
-                    found[at] = best(
-                        np.concatenate([found[at][0], values[here]]), np.concatenate([found[at][1], ids[here]]), self.most
-                    )
-                    if len(found[at][0]) == self.most:
-                        needs[at] = max(needs[at], found[at][0][-1])
+            inside = (values >= needs[:, None]) & (values <= ceilings[:, None])
+            for at in np.flatnonzero(inside.any(axis=1)):
+                here = inside[at]
+                found[at] = best(
+                    np.concatenate([found[at][0], values[here]]), np.concatenate([found[at][1], ids[here]]), self.most
+                )
+                if len(found[at][0]) == self.most:
+                    needs[at] = found[at][0][-1]
         return found
 
 
