@@ -223,16 +223,89 @@ def test_overlapping_writers_keep_both_batches(spark, tmp_path):
     upsert(first, batch(spark, ("a", "1", 5)))
     publish = first._publish
 
-    def late(version, folder):
+    def late(manifest):
         first._publish = publish
         upsert(second, batch(spark, ("b", "2", 6)))  # takes the version between merge and publishing
-        return publish(version, folder)
+        return publish(manifest)
 
     first._publish = late
     assert upsert(first, batch(spark, ("c", "3", 7))) == 1
     assert current(second) == [("a", "1", 5), ("b", "2", 6), ("c", "3", 7)]
 
 
+def folders(root, kind):
+    """Folders of one kind, each with the buckets it has files of."""
+    return {
+        name: sorted(b for b in os.listdir(root / name) if b.startswith("state_bucket="))
+        for name in os.listdir(root)
+        if name.startswith(kind)
+    }
+
+
+def test_an_upsert_writes_the_buckets_of_its_keys_only(spark, tmp_path):
+    root = tmp_path / "state"
+    state = StateTable(spark, str(root), TABLE_MONITORING).create(buckets=64)
+    upsert(state, batch(spark, *[(f"t{i}", str(i), i) for i in range(1000)]))
+    (whole,) = folders(root, "batch").values()
+    assert len(whole) == 64 and folders(root, "merge") == {}  # nothing to merge over yet
+    assert upsert(state, batch(spark, ("t7", "x", 5))) == 1
+    (merge,) = folders(root, "merge").values()
+    assert len(merge) == 1
+    before, after = state._published().folders, None
+    assert upsert(state, batch(spark, ("t7", "y", 6), ("new", "z", 1))) == 2
+    after = state._published().folders
+    assert len([b for b in after if after[b] != before[b]]) <= 2
+    rows = {r["table_name"]: r["zabbix_item_id"] for r in state.current().collect()}
+    assert len(rows) == 1001
+    assert rows["t7"] == "y" and rows["new"] == "z" and all(rows[f"t{i}"] == str(i) for i in range(1000) if i != 7)
+
+
+def test_rows_of_keys_read_their_buckets_only(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "state"), TABLE_MONITORING).create(buckets=64)
+    assert state.rows_of([("t1", "ts")]).collect() == []
+    upsert(state, batch(spark, *[(f"t{i}", str(i), i) for i in range(1000)]))
+    some = state.rows_of([("t5", "ts"), ("t5", "ts"), ("none", "ts")])
+    assert [(r["table_name"], r["last_clock"]) for r in some.collect()] == [("t5", 5)]
+    assert some.columns == TABLE_MONITORING.columns
+    read = {os.path.dirname(f) for f in some.inputFiles()}
+    assert 1 <= len(read) <= 2
+
+
+def test_a_state_keeps_its_number_of_buckets(spark, tmp_path):
+    root = str(tmp_path / "state")
+    state = StateTable(spark, root, TABLE_MONITORING).create(buckets=3)
+    upsert(state, batch(spark, ("a", "1", 5), ("b", "2", 6), ("c", "3", 7)))
+    again = StateTable(spark, root, TABLE_MONITORING).create(buckets=50)
+    upsert(again, batch(spark, ("b", "4", 1)))
+    assert again._published().buckets == 3
+    assert current(again) == [("a", "1", 5), ("b", "4", 1), ("c", "3", 7)]
+
+
+def test_a_lost_race_merges_again_only_what_both_touched(spark, tmp_path):
+    root = tmp_path / "state"
+    first, second = (StateTable(spark, str(root), TABLE_MONITORING).create(buckets=64) for _ in range(2))
+    upsert(first, batch(spark, *[(f"t{i}", str(i), i) for i in range(300)]))
+    publish = first._publish
+
+    def late(manifest):
+        first._publish = publish
+        upsert(second, batch(spark, ("t1", "other", 1)))
+        return publish(manifest)
+
+    first._publish = late
+    upsert(first, batch(spark, *[(f"t{i}", "mine", i) for i in range(20, 30)], ("t1", "mine", 0)))
+    sizes = sorted(len(b) for b in folders(root, "merge").values())
+    assert sizes[:2] == [1, 1] and 5 < sizes[2] <= 11  # the other's, the one merged again, the first try
+    rows = {r["table_name"]: r["zabbix_item_id"] for r in first.current().collect()}
+    assert rows["t1"] == "mine" and rows["t25"] == "mine" and rows["t99"] == "99" and len(rows) == 300
+
+
+def test_a_state_must_be_created(spark, tmp_path):
+    (tmp_path / "state" / "log").mkdir(parents=True)
+    with pytest.raises(RuntimeError, match="create"):
+        StateTable(spark, str(tmp_path / "state"), TABLE_MONITORING).current()
+
+
 def test_unfinished_entries_are_reported(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("tidemark.sinks.state.PATIENCE", 1)
     state = StateTable(spark, str(tmp_path / "state"), TABLE_MONITORING).create()

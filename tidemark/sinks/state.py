@@ -1,17 +1,21 @@
-"""Keyed current state on plain files.
-
-Every upsert writes a whole new snapshot to a folder of its own and then
-publishes it with one small file in a log, named by version.  Readers follow the
-log, so they see the old snapshot or the new one and never a half-written state; a
-failed run leaves at most an unpublished folder.  A version is published once: of
-two writers at a time the later one merges again.
+"""Keyed current state on plain files, in hash buckets.
+
+A key's hash names its bucket.  An upsert merges and writes the buckets its batch
+has keys of and no other, and then publishes a manifest: one small file in a log,
+named by version, that holds the folder of every bucket.  Readers follow the newest
+manifest, so they see the old state or the new one and never a half-written one; a
+failed run leaves at most unpublished folders.  A version is published once: of two
+writers at a time the later one goes over the other's manifest, merging again only
+the buckets that both have touched.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,12 +25,24 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.operators.state import merged
 from tidemark.sinks.contract import Contract, conform
 
-#: Merges tried before an upsert gives up because others keep publishing.
+#: Buckets of a new state; at scale about the state's size over that of a good file.
+BUCKETS = 16
+#: Publishings tried before an upsert gives up because others keep getting ahead.
 ATTEMPTS = 5
 #: Seconds to wait for another writer to finish an entry.
 PATIENCE = 10
-#: Ends an entry, so that one just begun is not taken for a folder's name.
+#: Ends an entry, so that one just begun is not taken for a manifest.
 END = "\n"
+#: Names the folders of a batch by bucket; not a column of the state.
+BUCKET = "state_bucket"
+
+
+class Manifest(NamedTuple):
+    """A published state: how many buckets keys are hashed to, and the folder of each that has rows."""
+
+    version: int
+    buckets: int
+    folders: dict[int, str]
 
 
 class StateTable:
@@ -42,91 +58,123 @@ class StateTable:
         self.contract = contract
         self._root = root.rstrip("/")
 
-    def create(self) -> StateTable:
-        """Set up an empty state; on an existing one this changes nothing."""
+    def create(self, buckets: int = BUCKETS) -> StateTable:
+        """Set up an empty state; on an existing one this changes nothing, its buckets included."""
         fs, log = self._files()
         fs.mkdirs(log)
+        if self._newest() is None:
+            self._publish(Manifest(0, buckets, {}))
         return self
 
     def _files(self):
         """The file system of the root, and the log folder in it."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._root}/log")
+        path = self._path("log")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _published(self) -> tuple[int, str] | None:
-        """Version and folder of the newest log entry, or None before the first.
+    def _path(self, *names: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self._root, *names)))
 
-        Only names are listed and one entry is read, however long the log is.
-        """
+    def _newest(self) -> int | None:
+        """Version of the newest entry; only names are listed, however long the log is."""
         fs, log = self._files()
-        newest = max((int(e.getPath().getName()) for e in fs.listStatus(log)), default=None)
+        return max((int(e.getPath().getName()) for e in fs.listStatus(log)), default=None)
+
+    def _published(self) -> Manifest:
+        """The newest manifest."""
+        newest = self._newest()
         if newest is None:
-            return None
-        entry = self._entry(newest)
+            raise RuntimeError(f"{self._root} has no state yet; create() sets one up")
+        fs, _ = self._files()
+        entry = self._path("log", str(newest))
         for _ in range(PATIENCE):
             stream = fs.open(entry)
-            folder = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
             stream.close()
-            if folder.endswith(END):
-                return newest, folder.removesuffix(END)
+            if text.endswith(END):
+                held = json.loads(text)
+                return Manifest(newest, held["buckets"], {int(b): f for b, f in held["folders"].items()})
             time.sleep(1)
         raise RuntimeError(f"the writer of {entry.toString()} left it unfinished; remove that file if the writer is gone")
 
-    def _entry(self, version: int):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._root}/log", str(version))
+    def _rows(self, folders: Sequence[str]) -> DataFrame:
+        schema = self.contract.schema
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self._root}/{f}" for f in folders])
 
-    def _snapshot(self, folder: str) -> DataFrame:
-        return self.spark.read.schema(self.contract.schema).parquet(f"{self._root}/{folder}")
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*self.contract.unique), F.lit(buckets)).cast("int")
 
     def current(self) -> DataFrame:
-        """The last published snapshot; empty before the first."""
+        """The last published state; empty before the first upsert."""
+        return self._rows(sorted(self._published().folders.values()))
+
+    def rows_of(self, keys: Sequence[tuple]) -> DataFrame:
+        """The state's rows of a few keys a caller typed in; only their buckets are read."""
         last = self._published()
-        if last is None:
-            return self.spark.createDataFrame([], self.contract.schema)
-        return self._snapshot(last[1])
+        names = list(self.contract.unique)
+        kinds = [f"{f.name} {f.type}" for f in self.contract.fields if f.name in names]
+        wanted = self.spark.createDataFrame([tuple(k) for k in keys], ", ".join(kinds)).select(*names)
+        # One row for each key that was typed in.
+        buckets = {r[0] for r in wanted.select(self._bucket(last.buckets)).collect()}
+        rows = self._rows([last.folders[b] for b in sorted(buckets) if b in last.folders])
+        return rows.join(F.broadcast(wanted), names, "left_semi").select(*self.contract.columns)
 
     def upsert(self, batch: DataFrame, newest: str, tiebreak: Sequence[str | Column]) -> int:
         """Insert new keys, replace known ones; returns the batch's row count.
 
         Of several batch rows with one key the newest is taken.  An empty batch
-        publishes nothing.  If another writer publishes meanwhile, the merge is
-        done again over what it published, so neither batch is lost.
+        publishes nothing.  If another writer publishes meanwhile, the buckets that
+        both touch are merged again over what it published, so neither batch is lost.
         """
-        keys = list(self.contract.unique)
+        last = self._published()
         incoming = Observation("incoming")
-        rows = latest_per_key(conform(batch, self.contract), keys, newest, tiebreak)
-        folder = f"batch-{uuid.uuid4().hex}"
-        # The batch feeds both sides of the merge: write it once, read it twice.
-        rows.observe(incoming, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self._root}/{folder}")
+        rows = latest_per_key(conform(batch, self.contract), list(self.contract.unique), newest, tiebreak)
+        counted = rows.observe(incoming, F.count(F.lit(1)).alias("rows"))
+        # The batch feeds both sides of the merge: written once, read twice.
+        folder, touched = self._write(counted, "batch", last.buckets)
         count = int(incoming.get["rows"])
         if count == 0:
             return 0
+        done: dict[int, tuple[str | None, str]] = {}  # by bucket: what was merged over, and where it is now
         for _ in range(ATTEMPTS):
-            last = self._published()
-            snapshot = folder if last is None else self._merge(last[1], folder, keys)
-            if self._publish(1 if last is None else last[0] + 1, snapshot):
+            old = {b: last.folders.get(b) for b in touched}
+            open_ = [b for b in touched if b not in done or done[b][0] != old[b]]
+            done |= {b: (None, f"{folder}/{BUCKET}={b}") for b in open_ if old[b] is None}
+            known = [b for b in open_ if old[b] is not None]
+            if known:
+                state = self._rows([old[b] for b in known])
+                batch_rows = self._rows([f"{folder}/{BUCKET}={b}" for b in known])
+                place, _ = self._write(merged(state, batch_rows, list(self.contract.unique)), "merge", last.buckets)
+                done |= {b: (old[b], f"{place}/{BUCKET}={b}") for b in known}
+            if self._publish(Manifest(last.version + 1, last.buckets, last.folders | {b: done[b][1] for b in touched})):
                 return count
+            last = self._published()
         raise RuntimeError(f"other writers published to {self._root} {ATTEMPTS} times during one upsert; nothing was changed")
 
-    def _merge(self, state: str, batch: str, keys: list[str]) -> str:
-        snapshot = f"snapshot-{uuid.uuid4().hex}"
-        rows = merged(self._snapshot(state), self._snapshot(batch), keys).hint("rebalance")
-        rows.write.parquet(f"{self._root}/{snapshot}")
-        return snapshot
+    def _write(self, rows: DataFrame, purpose: str, buckets: int) -> tuple[str, list[int]]:
+        """Write rows to a new folder by bucket; gives its name and the buckets that have rows."""
+        folder = f"{purpose}-{uuid.uuid4().hex}"
+        placed = rows.withColumn(BUCKET, self._bucket(buckets)).hint("rebalance", BUCKET)
+        placed.write.partitionBy(BUCKET).parquet(f"{self._root}/{folder}")
+        fs, _ = self._files()
+        names = [e.getPath().getName() for e in fs.listStatus(self._path(folder))]
+        return folder, sorted(int(n.removeprefix(f"{BUCKET}=")) for n in names if n.startswith(BUCKET))
 
-    def _publish(self, version: int, folder: str) -> bool:
-        """Make ``folder`` the state of ``version``; False if another writer has that version.
+    def _publish(self, state: Manifest) -> bool:
+        """Make ``state`` the state of its version; False if another writer has that version.
 
         The entry is created without overwriting, which one writer can do.
         """
         fs, _ = self._files()
-        entry = self._entry(version)
+        entry = self._path("log", str(state.version))
         try:
             out = fs.create(entry, False)
         except Py4JJavaError:
             if fs.exists(entry):
                 return False
             raise
-        out.writeBytes(folder + END)
+        folders = {str(b): f for b, f in sorted(state.folders.items())}
+        out.write(bytearray((json.dumps({"buckets": state.buckets, "folders": folders}) + END).encode()))
         out.close()
         return True
