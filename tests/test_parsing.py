@@ -6,6 +6,7 @@ from conftest import AS_OF, at
 from pyspark.sql import functions as F
 
 from tidemark.functions import ages, labels, parsing
+from tidemark.operators.items import with_item_parts
 
 
 def evaluate(spark, values, expression, kind="string"):
@@ -13,6 +14,15 @@ def evaluate(spark, values, expression, kind="string"):
     return [r[1] for r in rows.select("i", expression(F.col("v")).alias("x")).orderBy("i").collect()]
 
 
+def instants(spark, texts):
+    """Microseconds since 1970 of each text."""
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    values = rows.select("i", parsing.strip_blanks(F.col("t")).alias("t"))
+    found = parsing.with_instants(values, "t", "at")
+    assert found.columns == ["i", "t", "at"]
+    return [r[0] for r in found.orderBy("i").select(F.unix_micros("at")).collect()]
+
+
 VALUES = {
     "2026-06-10 12:55:00": "2026-06-10 12:55:00",
     "2026-06-10T12:55:00.000Z": "2026-06-10 12:55:00",
@@ -58,7 +68,7 @@ VALUES = {
 def test_timestamps(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        micros = evaluate(spark, list(VALUES), lambda v: F.unix_micros(parsing.parse_timestamp(v)))
+        micros = instants(spark, list(VALUES))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     start = datetime(1970, 1, 1)
@@ -79,15 +89,17 @@ NAMES = {
     "Table [ ]: Last data timestamp (t)": ("", "t"),
     "Table [a]: Last data timestamp ( )": ("a", ""),
     "x Table [a]: Last data timestamp (b)": ("", ""),
+    "Table [a[(b]: c]:\u2003Last data\ttimestamp  (d(e)": ("a[(b]: c", "d(e"),
+    "TABLE\t[(]: Last data timestamp (()": ("(", "("),
     "": ("", ""),
     None: ("", ""),
 }
 
 
 def test_item_names(spark):
-    tables = evaluate(spark, list(NAMES), lambda c: parsing.stripped_item_part(parsing.strip_blanks(c), 1))
-    columns = evaluate(spark, list(NAMES), lambda c: parsing.stripped_item_part(parsing.strip_blanks(c), 2))
-    assert dict(zip(NAMES, zip(tables, columns))) == NAMES
+    rows = spark.createDataFrame([(n,) for n in NAMES], "name string")
+    found = {r["name"]: (r["table_name"], r["column_name"]) for r in with_item_parts(rows).collect()}
+    assert found == NAMES
 
 
 def test_clocks(spark):
@@ -167,7 +179,6 @@ def test_iso_values_as_the_standard_library(spark):
         except (ValueError, OverflowError):
             want[text] = None
     texts = [t for t in want if not t.isdigit()]  # digits alone are epoch seconds
-    rows = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = {r.t: r.us for r in rows.select("t", F.unix_micros(parsing.parse_timestamp(F.col("t"))).alias("us")).collect()}
+    got = dict(zip(texts, instants(spark, texts)))
     assert {t: (got[t], want[t]) for t in texts if got[t] != want[t]} == {}
     assert sum(v is not None for v in want.values()) > 300

@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.ages import float_age_hours, instant
 from tidemark.functions.labels import is_stale_table
-from tidemark.functions.parsing import parse_clock, parse_stripped_timestamp, strip_blanks, stripped_item_part
+from tidemark.functions.parsing import item_column, item_table, parse_clock, strip_blanks, with_instants
 
 
 def with_item_parts(items: DataFrame) -> DataFrame:
     """Items with ``table_name`` and ``column_name`` parsed from their name."""
-    # A projection of its own: each part would strip the name again otherwise.
+    # Projections of their own: a part used twice would be worked out again otherwise.
     named = items.withColumn("_name", strip_blanks(F.col("name")))
-    return named.withColumns(
+    tabled = named.withColumn("_table", item_table(F.col("_name")))
+    return tabled.withColumns(
         {
-            "table_name": stripped_item_part(F.col("_name"), 1),
-            "column_name": stripped_item_part(F.col("_name"), 2),
+            "table_name": strip_blanks(F.col("_table")),
+            "column_name": strip_blanks(item_column(F.col("_name"), F.col("_table"))),
         }
-    ).drop("_name")
+    ).drop("_name", "_table")
 
 
 def parsed_items(items: DataFrame) -> DataFrame:
@@ -29,17 +30,16 @@ def parsed_items(items: DataFrame) -> DataFrame:
 
     A value or clock that does not parse stays NULL; the item is kept.
     """
-    return (
-        with_item_parts(items.withColumn("_value", strip_blanks(F.col("lastvalue"))))
-        .where(F.col("table_name") != "")
-        .select(
-            "table_name",
-            "column_name",
-            F.col("itemid").alias("zabbix_item_id"),
-            F.col("name").alias("zabbix_item_name"),
-            parse_stripped_timestamp(F.col("_value")).alias("last_data_timestamp"),
-            parse_clock(F.col("lastclock")).alias("last_clock"),
-        )
+    values = with_item_parts(items).where(F.col("table_name") != "").select(
+        "table_name",
+        "column_name",
+        F.col("itemid").alias("zabbix_item_id"),
+        F.col("name").alias("zabbix_item_name"),
+        strip_blanks(F.col("lastvalue")).alias("_value"),
+        parse_clock(F.col("lastclock")).alias("last_clock"),
+    )
+    return with_instants(values, "_value", "last_data_timestamp").select(
+        "table_name", "column_name", "zabbix_item_id", "zabbix_item_name", "last_data_timestamp", "last_clock"
     )
 
 

@@ -302,8 +302,8 @@ def most_recent_source(spark, sf_dir):
 
 @query
 def parsed_timestamps(spark, sf_dir):
-    values = standin(spark, sf_dir, "item")
-    return values.select("itemid", parsing.parse_timestamp(F.col("lastvalue")).alias("last_data_timestamp"))
+    values = standin(spark, sf_dir, "item").select("itemid", parsing.strip_blanks(F.col("lastvalue")).alias("value"))
+    return parsing.with_instants(values, "value", "last_data_timestamp").select("itemid", "last_data_timestamp")
 
 
 @query
