@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import findings
 from tidemark.operators.findings import NULL_IS_EPOCH, NULL_IS_MISSING, Feed, dual_source_findings, single_source_findings
-from tidemark.operators.lookup import HeavyKeys, heavy_keys, lookup, repeatable_spread
+from tidemark.operators.lookup import HeavyKeys, heavy_from, key_sketches, lookup, repeatable_spread
+from tidemark.session import staged
 from conftest import AS_OF
 
 
@@ -22,7 +23,12 @@ def unique(spark):
     return keys.union(spark.sql("select 'hot', 7L")).union(spark.sql("select cast(null as string), 8L"))
 
 
-def test_heavy_keys_are_found(skewed):
+def heavy_keys(frame, columns, **limits):
+    _, seen = staged(frame, "test", key_sketches(columns))
+    return heavy_from(seen, columns, **limits)
+
+
+def test_heavy_keys_are_found_by_a_write(skewed):
     assert heavy_keys(skewed, ["k"], min_rows=100)["k"] == HeavyKeys({"hot": 1000, None: 1000})
     assert not heavy_keys(skewed, ["k"])["k"]
     assert heavy_keys(skewed.where("k != 'hot'"), ["k"], min_rows=100)["k"] == HeavyKeys()
@@ -101,8 +107,8 @@ def test_single_findings_with_a_heavy_observed_key(skewed, unique):
     inventory = unique.where("u is not null").select("u")
     times = F.timestamp_seconds(F.lit(int(AS_OF.timestamp())) - F.col("id") * 600)
     feed = Feed("S", skewed.select("id", "k", times.alias("ts")), "k", "ts", "u")
-    plain = single_source_findings(inventory, feed, AS_OF, 100, HeavyKeys())
-    salted = single_source_findings(inventory, feed, AS_OF, 100, HeavyKeys({"hot": 1000, None: 1000}))
+    plain = single_source_findings(inventory, feed, AS_OF, 100)
+    salted = single_source_findings(inventory, feed, AS_OF, 100, heavy_rows=60, share=100)
     rows = sorted(plain.collect(), key=repr)
     assert sorted(salted.collect(), key=repr) == rows
     # Against the definition: a left join, then "no match or stale".

@@ -15,7 +15,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.ages import age_hours, epoch, float_age_hours, instant, threshold_instant
 from tidemark.functions.labels import MISSING, STALE, finding_label, most_recent_source
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.lookup import NO_HEAVY_KEYS, HeavyKeys, heavy_keys, lookup, repeatable_spread
+from tidemark.operators.lookup import (
+    HEAVY_MIN_ROWS,
+    HEAVY_SHARE,
+    NO_HEAVY_KEYS,
+    HeavyKeys,
+    heavy_from,
+    key_sketches,
+    lookup,
+    repeatable_spread,
+)
 from tidemark.session import staged
 
 # What a matched row without a last-observed time means.
@@ -46,7 +55,8 @@ def single_source_findings(
     feed: Feed,
     as_of: datetime,
     threshold_hours: int,
-    heavy: HeavyKeys | None = None,
+    heavy_rows: int = HEAVY_MIN_ROWS,
+    share: int = HEAVY_SHARE,
 ) -> DataFrame:
     """Findings against one source; ``inventory`` has unique ``feed.matches``.
 
@@ -54,34 +64,45 @@ def single_source_findings(
     source row.  A matched row with no time is neither, hence no finding.
 
     A left join followed by "no match or stale" would shuffle the whole source
-    at full width.  Split in two, only the stale rows travel (the time filter
-    reaches the scan) plus the distinct keys; both halves share the inventory's
-    shuffle.  Keys are reduced per task first, and heavy keys among the stale
-    rows are salted (``heavy=None`` looks for them).
+    at full width.  One narrow pass counts the stale rows of every key instead, per
+    task first.  A record without a count is MISSING, one with none stale is healthy
+    and goes; only for the rest are the stale rows read at full width (the time
+    filter reaches the scan).
+
+    The same counts tell the heavy keys, those with at least ``heavy_rows`` stale
+    rows and one in ``share`` of all, so there are at most ``share`` of them.  They
+    are broadcast to the stale rows, which are then dealt over as many parts as the
+    key has multiples of ``heavy_rows``, and the record is copied to each.
     """
     now = instant(as_of)
     limit = threshold_instant(now, threshold_hours)
-    inventory_columns, feed_columns = inventory.columns, feed.frame.columns
-
-    old = feed.frame.where(F.col(feed.observed_at) < limit)
-    if heavy is None:
-        heavy = heavy_keys(old, [feed.key])[feed.key]
-    spread = F.col("_spread") if heavy else None
-    rows = old.withColumn("_spread", repeatable_spread(old)) if heavy else old
-    stale = lookup(rows, inventory, feed.key, feed.matches, "inner", heavy, spread).select(
-        *inventory_columns,
-        *feed_columns,
-        age_hours(now, F.col(feed.observed_at)).alias("data_age_hours"),
-        F.lit(STALE).alias("finding_type"),
+    key, seen_at = F.col(feed.key), F.col(feed.observed_at)
+
+    keyed = feed.frame.where(key.isNotNull())
+    # Used three times; Spark reads the source for it once and reuses the exchange.
+    counts = keyed.groupBy(key.alias("_seen")).agg(F.count_if(seen_at < limit).alias("_old"))
+    total = counts.agg(F.coalesce(F.sum("_old"), F.lit(0)).alias("t")).scalar()
+    many = F.greatest(F.lit(heavy_rows), F.ceil(total / share))
+    heavy = counts.where(F.col("_old") >= many).select(F.col("_seen").alias("_heavy"), F.col("_old").alias("_of"))
+    parts = F.ceil(F.col("_of") / heavy_rows)
+
+    known = inventory.join(counts, F.col(feed.matches) == F.col("_seen"), "left")
+    copies = F.when(F.col("_old") >= many, F.ceil(F.col("_old") / heavy_rows)).otherwise(1)
+    suspects = known.where(F.col("_seen").isNull() | (F.col("_old") > 0)).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1))
     )
-
-    missing = missing_records(inventory, feed).select(
-        *inventory_columns,
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in feed.frame.schema],
-        F.lit(None).cast("decimal(18,2)").alias("data_age_hours"),
-        F.lit(MISSING).alias("finding_type"),
+    old = keyed.where(seen_at < limit)
+    dealt = old.withColumn("_spread", repeatable_spread(old)).join(F.broadcast(heavy), key == F.col("_heavy"), "left")
+    rows = dealt.select(*feed.frame.columns, F.coalesce(F.pmod("_spread", parts), F.lit(0)).alias("_dealt"))
+    met = (F.col(feed.matches) == key) & (F.col("_part") == F.col("_dealt"))
+    found = suspects.join(rows, met, "left")
+    missing = F.col("_seen").isNull()
+    return found.where(missing | key.isNotNull()).select(
+        *inventory.columns,
+        *feed.frame.columns,
+        age_hours(now, seen_at).alias("data_age_hours"),
+        F.when(missing, F.lit(MISSING)).otherwise(F.lit(STALE)).alias("finding_type"),
     )
-    return stale.unionByName(missing)
 
 
 def missing_records(inventory: DataFrame, feed: Feed) -> DataFrame:
@@ -106,8 +127,9 @@ def dual_source_findings(
     Adds ``most_recent_source`` (a tie goes to ``first``), ``most_recent_observed``,
     ``data_age_hours`` and ``finding_type``.  The sources may be keyed on
     different inventory columns, and those may repeat, be blank or be NULL in
-    the inventory: heavy values (``heavy=None``: as found here) are salted.
-    ``spread`` tells inventory rows apart, see :func:`~tidemark.operators.lookup.lookup`.
+    the inventory: heavy values are salted, those in ``heavy`` or, with ``stage``, as
+    found on the way.  ``spread`` tells inventory rows apart, see
+    :func:`~tidemark.operators.lookup.lookup`.
 
     ``null_policy`` settles a matched row without a time: with ``epoch`` it was
     seen in 1970, and so was a record no source knows; with ``missing`` it does
@@ -119,14 +141,19 @@ def dual_source_findings(
     old rows.  A key that is left has no fresh row, so its latest old row is its
     latest row.
 
-    With ``stage`` the suspects left are written out first (an action).  If their
-    keys are few, the old rows of all other keys are then dropped at the scan,
-    which is what a source with a long history needs.
+    With ``stage`` the inventory and then the suspects left are written out (two
+    actions), so each is worked out once, and frequency sketches of their keys come
+    with the writes instead of from a pass of their own.  If the suspects' keys are
+    few, the old rows of all other keys are dropped at the scan, which is what a
+    source with a long history needs.
     """
     if null_policy not in (NULL_IS_EPOCH, NULL_IS_MISSING):
         raise ValueError(f"unknown null policy {null_policy!r}")
-    if heavy is None:
-        heavy = heavy_keys(inventory, sorted({first.matches, second.matches}))
+    matches = sorted({first.matches, second.matches})
+    heavy = heavy or {}
+    if stage:
+        inventory, seen = staged(inventory, "inventory", key_sketches(matches))
+        heavy = heavy_from(seen, matches)
     now = instant(as_of)
     limit = threshold_instant(now, threshold_hours)
 
@@ -140,9 +167,10 @@ def dual_source_findings(
         suspects = match(suspects, feed, fresh, "left_anti")
     key_bytes = {}
     if stage:
-        matches = sorted({first.matches, second.matches})
-        suspects, key_bytes = staged(suspects, "suspects", {k: _total_bytes(k) for k in matches})
-        heavy = heavy_keys(suspects, matches)
+        sizes = {f"_bytes_{k}": _total_bytes(k) for k in matches}
+        suspects, seen = staged(suspects, "suspects", sizes | key_sketches(matches))
+        key_bytes = {k: seen[f"_bytes_{k}"] or 0 for k in matches}
+        heavy = heavy_from(seen, matches)
     # Last anti-joined, first looked up: unless staged, the records are still
     # partitioned on the second source's key.
     for feed in (second, first):

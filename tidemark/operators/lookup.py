@@ -40,22 +40,26 @@ HEAVY_SHARE = 100
 HEAVY_MIN_ROWS = 500_000
 
 
-def heavy_keys(
-    frame: DataFrame, columns: Sequence[str], min_rows: int = HEAVY_MIN_ROWS, share: int = HEAVY_SHARE
+def key_sketches(columns: Sequence[str], share: int = HEAVY_SHARE) -> dict[str, Column]:
+    """Aggregates to take along in any pass over a frame that :func:`heavy_from` reads heavy keys from.
+
+    Each is a frequency sketch of fixed size that gives at most ``share`` keys.
+    """
+    sketches = {f"_top_{c}": F.expr(f"approx_top_k(`{c}`, {share}, 10000)") for c in columns}
+    return {"_rows": F.count(F.lit(1)), **sketches}
+
+
+def heavy_from(
+    seen: Mapping[str, object], columns: Sequence[str], min_rows: int = HEAVY_MIN_ROWS, share: int = HEAVY_SHARE
 ) -> dict[str, HeavyKeys]:
-    """Heavy keys of each column, from one pass over just those columns.
+    """Heavy keys of each column, from the values of its :func:`key_sketches`.
 
-    The pass keeps a fixed-size frequency sketch per task and returns one row of
-    at most ``share`` keys per column.  The sketch only steers the join: a key it
-    misses or adds changes the partitioning, never the result.
+    Sketches only steer a join: a key they miss or add changes the partitioning,
+    never the result.
     """
-    sketches = [F.expr(f"approx_top_k(`{c}`, {share}, 10000)").alias(c) for c in columns]
-    row = frame.select(*columns).agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
-    limit = max(row["_rows"] / share, min_rows)
-    found = {}
-    for column in columns:
-        found[column] = HeavyKeys({e["item"]: int(e["count"]) for e in row[column] if e["count"] >= limit})
-    return found
+    # A key is heavy from one row in ``share`` on, so there are at most that many.
+    limit = max((seen["_rows"] or 0) / share, min_rows)
+    return {c: HeavyKeys({e["item"]: int(e["count"]) for e in seen[f"_top_{c}"] or [] if e["count"] >= limit}) for c in columns}
 
 
 def lookup(

@@ -46,15 +46,16 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def staged(frame: DataFrame, purpose: str, sizes: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
-    """``frame`` written to the shared folder and read back, with aggregates of it.
+def staged(frame: DataFrame, purpose: str, seen: dict[str, Column]) -> tuple[DataFrame, dict[str, object]]:
+    """``frame`` written to the shared folder and read back, with aggregates of it by name.
 
     Cuts the lineage: what follows is planned with the real size, and a lost
-    executor costs a re-read rather than a recomputation.
+    executor costs a re-read rather than a recomputation.  The aggregates are
+    observed in the write; those of no rows at all may be NULL.
     """
     metrics = Observation(purpose)
     location = scratch_dir(frame.sparkSession, purpose)
-    columns = [F.coalesce(total, F.lit(0)).cast("bigint").alias(name) for name, total in sizes.items()]
-    frame.observe(metrics, F.count(F.lit(1)).alias("_rows"), *columns).write.parquet(location)
-    totals = {name: int(metrics.get.get(name, 0)) for name in sizes}
-    return frame.sparkSession.read.schema(frame.schema).parquet(location), totals
+    columns = [value.alias(name) for name, value in seen.items()]
+    frame.observe(metrics, F.count(F.lit(1)).alias("_written"), *columns).write.parquet(location)
+    values = {name: metrics.get.get(name) for name in seen}
+    return frame.sparkSession.read.schema(frame.schema).parquet(location), values
