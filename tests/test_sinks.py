@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from tidemark.operators import items
 from tidemark.plans import checks
 from tidemark.plans.jobs import item_order, run_check, run_tables
-from tidemark.sinks.contract import conform, violates, violations
-from tidemark.sinks.history import append_findings, read_history
+from tidemark.plans import reports
+from tidemark.sinks import history as log
+from tidemark.sinks.contract import Contract, conform, violations
+from tidemark.sinks.history import append_findings, append_run, fold_day, read_history, run_summary
 from tidemark.sinks.state import StateTable
-from tidemark.sinks.tables import MONITORING_CLUSTERS, MONITORING_VM, TABLE_MONITORING
+from tidemark.sinks.tables import MONITORING_CLUSTERS, MONITORING_VM, MONITORING_VMWARE_VM, TABLE_MONITORING
 from tidemark.sources.responses import HOST_RESPONSE_SCHEMA, ITEM_RESPONSE_SCHEMA
 from tidemark.sources.tables import Lake
 from workload.standins import TENANT, standin_lake
@@ -67,7 +69,6 @@ def test_contract_violations_fail_the_whole_write(spark, tmp_path):
         column, what = rule.split(".", 1)
         found = violations(broken, MONITORING_VM).collect()
         assert [tuple(r) for r in found] == [(column, what, 1)], rule
-        assert broken.where(violates(broken, MONITORING_VM)).count() == 1
         both = finding(spark).unionByName(broken, allowMissingColumns=True)
         with pytest.raises(Exception, match="monitoring_vm"):
             append_findings(both, history, MONITORING_VM)
@@ -129,6 +130,130 @@ def test_a_healthy_fleet_writes_no_data(spark, tmp_path):
         assert data_files(history) == []
 
 
+def test_unbounded_numbers_are_kept_exactly_or_refused(spark, tmp_path):
+    """The machine check's vcpus have no declared size, so a number our type would change fails the write."""
+    history = str(tmp_path / "history")
+
+    def vmware(value, kind):
+        return finding(spark, netbox_vcpus=F.lit(value).cast(kind), vmware_component_moid=F.lit("m"))
+
+    for value, kind in (("1.234567", "decimal(20,8)"), ("2.5", "double"), ("-0.1", "double"), ("7", "int"), (None, "double")):
+        assert append_findings(vmware(value, kind), history, MONITORING_VMWARE_VM) == 1
+    before = data_files(history)
+    for value, kind in (("1.23456789", "decimal(20,8)"), ("1.23456789", "double"), ("1e35", "double"), ("NaN", "double")):
+        broken = vmware(value, kind)
+        found = [tuple(r) for r in violations(broken, MONITORING_VMWARE_VM).collect()]
+        assert found == [("netbox_vcpus", "kept exactly by decimal(38,6)", 1)], value
+        with pytest.raises(Exception, match="netbox_vcpus must be: kept exactly"):
+            append_findings(broken, history, MONITORING_VMWARE_VM)
+    assert data_files(history) == before
+    kept = {str(r.netbox_vcpus) for r in read_history(spark, history, MONITORING_VMWARE_VM).collect()}
+    assert kept == {"1.234567", "2.500000", "-0.100000", "7.000000", "None"}
+
+
+def test_a_repeated_key_fails_the_write(spark, tmp_path):
+    keyed = Contract("keyed", (*MONITORING_VM.fields,), unique=("netbox_vm_id", "netbox_vm_name"))
+    history = str(tmp_path / "history")
+    rows = finding(spark, netbox_vm_id=F.lit(1)).union(finding(spark, netbox_vm_id=F.lit(2)))
+    assert append_findings(rows, history, keyed) == 2
+    before = data_files(history)
+    with pytest.raises(Exception, match=r"keyed.\(netbox_vm_id, netbox_vm_name\) must be: unique"):
+        append_findings(rows.union(finding(spark, netbox_vm_id=F.lit(2))), history, keyed)
+    assert data_files(history) == before
+    assert read_history(spark, history, keyed).count() == 2
+
+
+def test_a_run_that_found_nothing_is_in_the_log_only(spark, tmp_path):
+    history = str(tmp_path / "history")
+    lake = vm_lake(spark, [{"id": 1, "custom_fields_uuid": "a"}], [{"component_moid": "a", "last_observed": at("2026-06-15")}])
+    assert run_check(checks.NUTANIX_VM, lake, history, at("2026-06-25"), HOURS).written == 1
+    healthy = run_check(checks.NUTANIX_VM, lake, history, at("2026-06-16"), HOURS)
+    assert (healthy.written, healthy.stale, healthy.missing) == (0, 0, 0)
+    assert run_check(checks.NUTANIX_VM, lake, history, at("2026-06-15"), HOURS).written == 0
+    summary = [(str(r.check_time.date()), r.total, r.stale, r.missing) for r in run_summary(spark, history).collect()]
+    assert summary == [("2026-06-15", 0, 0, 0), ("2026-06-16", 0, 0, 0), ("2026-06-25", 1, 1, 0)]
+    # The newest check is the newest with findings, as a maximum over rows has it.
+    assert read_history(spark, history, MONITORING_VM, newest=True).count() == 1
+    assert run_check(checks.NUTANIX_VM, lake, history, at("2026-06-17"), HOURS).written == 0
+    assert read_history(spark, history, MONITORING_VM).count() == 1
+    assert len(data_files(history)) == 1
+
+
+def runs_of_a_day(spark, history, *hours):
+    for hour in hours:
+        rows = finding(spark, check_time=F.lit(at(f"2026-06-15T{hour:02d}:00:00")), netbox_vm_name=F.lit(f"vm{hour}"))
+        append_run(rows.unionByName(rows.withColumn("finding_type", F.lit("MISSING"))), history, MONITORING_VM)
+
+
+def names(frame):
+    return sorted(r.netbox_vm_name for r in frame.collect())
+
+
+def test_a_folded_day_gives_each_row_once(spark, tmp_path):
+    history = str(tmp_path / "history")
+    append_findings(finding(spark, check_time=F.lit(at("2026-06-14"))), history, MONITORING_VM)
+    runs_of_a_day(spark, history, 1, 2, 3)
+    day = at("2026-06-15").date()
+    whole = names(read_history(spark, history, MONITORING_VM))
+    newest = names(read_history(spark, history, MONITORING_VM, newest=True))
+    assert newest == ["vm3", "vm3"] and len(whole) == 7
+    began = read_history(spark, history, MONITORING_VM)  # a reader that has listed the log before
+    assert fold_day(spark, history, MONITORING_VM, at("2026-06-14").date()) == 0  # one run
+    assert fold_day(spark, history, MONITORING_VM, day) == 3
+    assert names(began) == whole
+    folded = read_history(spark, history, MONITORING_VM)
+    assert names(folded) == whole and folded.columns == began.columns
+    assert len([f for f in folded.inputFiles() if "/days/" in f]) == 1 and len(folded.inputFiles()) == 2
+    last = read_history(spark, history, MONITORING_VM, newest=True)
+    assert names(last) == newest and all("/days/" in f for f in last.inputFiles())
+    # Runs that come later keep their own folder until the day is folded again.
+    runs_of_a_day(spark, history, 4)
+    assert names(read_history(spark, history, MONITORING_VM)) == sorted([*whole, "vm4", "vm4"])
+    assert names(read_history(spark, history, MONITORING_VM, newest=True)) == ["vm4", "vm4"]
+    assert fold_day(spark, history, MONITORING_VM, day) == 4
+    again = read_history(spark, history, MONITORING_VM)
+    assert names(again) == sorted([*whole, "vm4", "vm4"])
+    assert not [f for f in again.inputFiles() if "/runs/" in f and "06-15" in f]
+
+
+def test_a_reader_between_listing_and_folding_sees_its_runs_only(spark, tmp_path):
+    history = str(tmp_path / "history")
+    runs_of_a_day(spark, history, 1, 2)
+    listed = log.runs(spark, history)
+    runs_of_a_day(spark, history, 3)
+    fold_day(spark, history, MONITORING_VM, at("2026-06-15").date())
+    assert names(log._read(spark, history, MONITORING_VM, listed)) == ["vm1", "vm1", "vm2", "vm2"]
+
+
+def test_trend_and_summary_come_from_the_log(spark, tmp_path):
+    history = str(tmp_path / "history")
+    append_findings(finding(spark, check_time=F.lit(at("2026-06-14"))), history, MONITORING_VM)
+    runs_of_a_day(spark, history, 1, 2)
+    trend = reports.logged_trend(spark, history, MONITORING_VM)
+    rows = read_history(spark, history, MONITORING_VM)
+    assert trend.collect() == reports.finding_trend(rows).collect() and trend.columns == reports.finding_trend(rows).columns
+    assert [tuple(r)[1:] for r in trend.collect()] == [("MISSING", 2), ("STALE", 2), ("STALE", 1)]
+    recent = reports.logged_trend(spark, history, MONITORING_VM, last_days=1, as_of=AS_OF)
+    assert recent.collect() == reports.finding_trend(rows, last_days=1, as_of=AS_OF).collect()
+    summary = reports.logged_summary(spark, history, MONITORING_VM)
+    assert sorted(summary.collect()) == sorted(reports.latest_check_summary(rows).collect())
+    for frame in (trend, summary):
+        assert "FileScan" not in frame._jdf.queryExecution().executedPlan().toString()
+    # A type the log doesn't tell apart is counted from its run.
+    append_findings(finding(spark, check_time=F.lit(at("2026-06-16")), finding_type=F.lit("ODD")), history, MONITORING_VM)
+    assert [tuple(r)[1:] for r in reports.logged_trend(spark, history, MONITORING_VM).collect()][0] == ("ODD", 1)
+    empty = str(tmp_path / "none")
+    assert reports.logged_trend(spark, empty, MONITORING_VM).collect() == []
+
+
+def test_findings_of_two_instants_are_no_run(spark, tmp_path):
+    history = str(tmp_path / "history")
+    rows = finding(spark).unionByName(finding(spark, check_time=F.lit(at("2026-06-14"))))
+    with pytest.raises(ValueError, match="one check_time"):
+        append_run(rows, history, MONITORING_VM)
+    assert data_files(history) == [] and log.runs(spark, history) == []
+
+
 STATE = "table_name string, column_name string, zabbix_host string, zabbix_item_id string, check_time timestamp, last_clock long"
 
 

@@ -19,7 +19,8 @@ from tidemark.sinks import tables
 from tidemark.sinks.contract import Contract
 from tidemark.sources.tables import Lake
 
-# The tags and status the inventory filters look for.
+# The tags and status the inventory filters look for.  So are the
+# column maps below, which name the columns of the sources and of the result tables.
 NUTANIX_VM_TAG = "Nutanix Acropolis"
 VMWARE_VM_TAG = "VMware"
 POWERED_OFF = "poweredOff"
@@ -205,7 +206,7 @@ VMWARE_VM = Check(
     preview={
         "netbox_vm_name": "name",
         "netbox_custom_fields_moid": "moid",
-        "netbox_cluster_name": "cluster",
+        "netbox_musteri": "customer",
         "vmware_last_observed": "last_observed",
     },
 )
@@ -301,7 +302,7 @@ def vmware_host(tenant: str) -> Check:
         sources=(_vmware_hosts("vcenter_uuid"), _NUTANIX_HOSTS),
         contract=tables.MONITORING_VMWARE_HOST,
         row_id="netbox_device_id",
-        preview=_HOST_PREVIEW,
+        preview={"netbox_tags1_display": "tag", **_HOST_PREVIEW},
         null_policy=NULL_IS_EPOCH,
     )
 

@@ -74,7 +74,7 @@ def run_check(
     stage: bool | None = None,
 ) -> Run:
     """Detect and append to ``history``.  An empty inventory or a healthy fleet
-    writes nothing and is a success.  A dry run writes nothing at all, so unless
+    leaves a run of zeros in the log, no data, and is a success.  A dry run writes nothing at all, so unless
     asked to it does not ``stage`` either."""
     if not dry_run and history is None:
         raise ValueError("a run that is not dry needs a history location")
@@ -82,8 +82,8 @@ def run_check(
     findings = detect(check, lake, moment, threshold_hours, not dry_run if stage is None else stage)
     if dry_run:
         return Run(moment, findings, None)
-    entry = append_run(findings, history, check.contract)
-    return Run(moment, findings, entry.total, entry.stale, entry.missing) if entry else Run(moment, findings, 0, 0, 0)
+    entry = append_run(findings, history, check.contract, moment)
+    return Run(moment, findings, entry.total, entry.stale, entry.missing)
 
 
 def detect_tables(

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.ages import instant
+from tidemark.functions.ages import instant, resolve_as_of
 from tidemark.functions.labels import STALE, age_label, is_stale_table, timestamp_label
-from tidemark.sinks.history import PARTITION
+from tidemark.sinks.contract import Contract
+from tidemark.sinks.history import PARTITION, newest_runs, runs, type_counts
 
 
 def latest_check(history: DataFrame) -> DataFrame:
@@ -52,6 +53,29 @@ def finding_trend(history: DataFrame, last_days: int | None = None, as_of: datet
     )
 
 
+def logged_trend(
+    spark: SparkSession, location: str, contract: Contract, last_days: int | None = None, as_of: datetime | None = None
+) -> DataFrame:
+    """:func:`finding_trend` of a stored history, from the counts in its log: no findings are read."""
+    since = None
+    if last_days is not None:
+        if as_of is None:
+            raise ValueError("a limited trend needs the instant to count back from")
+        since = resolve_as_of(as_of).astimezone(timezone.utc).date() - timedelta(days=last_days - 1)
+    counts = type_counts(spark, location, contract, runs(spark, location, since))
+    return (
+        counts.groupBy("check_date", "finding_type")
+        .agg(F.sum("count").alias("count"))
+        .orderBy(F.col("check_date").desc(), "finding_type")
+    )
+
+
+def logged_summary(spark: SparkSession, location: str, contract: Contract) -> DataFrame:
+    """:func:`latest_check_summary` of a stored history, from the counts in its log."""
+    counts = type_counts(spark, location, contract, newest_runs(spark, location))
+    return counts.groupBy("finding_type").agg(F.sum("count").alias("count"))
+
+
 def table_report(freshness: DataFrame) -> DataFrame:
     """Table freshness as shown to people, oldest first, then by item; an unknown age counts as 0."""
     age = F.col("data_age_hours")

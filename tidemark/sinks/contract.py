@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,12 +76,18 @@ def _rules(frame: DataFrame, field: Field) -> list[tuple[str, Column]]:
     """The ways a row can break a field's contract."""
     value = _source(frame, field)
     rules = []
+    number = _number_type(field)
     if field.required:
         rules.append(("not null", value.isNull()))
     if field.max_length is not None:
         rules.append((f"at most {field.max_length} characters", F.length(value) > field.max_length))
-    number = _number_type(field)
-    if number is not None and number.precision < UNBOUNDED_PRECISION:
+    if number is not None and number.precision == UNBOUNDED_PRECISION:
+        # The declared type would keep any number, so one that ours does not is not to be changed.
+        if field.name in frame.columns and not isinstance(frame.schema[field.name].dataType, T.NullType):
+            kept = value.try_cast(number)
+            same = kept.cast(frame.schema[field.name].dataType) == value
+            rules.append((f"kept exactly by {field.type}", value.isNotNull() & ~F.coalesce(same, F.lit(False))))
+    elif number is not None:
         bound = _whole(10 ** (number.precision - number.scale))
         rules.append((f"fits {field.type}", F.abs(F.round(value, number.scale)) >= bound))
     elif field.type in _WHOLE_BOUNDS and _is_fractional(frame, field):
@@ -92,17 +97,18 @@ def _rules(frame: DataFrame, field: Field) -> list[tuple[str, Column]]:
     return rules
 
 
-def conform(frame: DataFrame, contract: Contract) -> DataFrame:
+def conform(frame: DataFrame, contract: Contract, unique: bool = False) -> DataFrame:
     """``frame`` with exactly the contract's columns and types, defaults filled in.
 
     A row that breaks the contract fails the query.  Fractions are rounded, not
-    cut, where a whole number is declared.
+    cut, where a whole number or a number of digits is declared.  With ``unique`` a
+    repeated key fails it as well, in the same pass: rows meet by key once.
     """
     columns = []
     for field in contract.fields:
         value = _source(frame, field)
         number = _number_type(field)
-        if number is not None:
+        if number is not None and number.precision < UNBOUNDED_PRECISION:
             value = F.round(value, number.scale)
         elif field.type in _WHOLE_BOUNDS and _is_fractional(frame, field):
             value = F.round(value, 0)
@@ -112,7 +118,14 @@ def conform(frame: DataFrame, contract: Contract) -> DataFrame:
             message = F.lit(f"{contract.name}.{field.name} must be: {rule}")
             guarded = F.when(broken, F.raise_error(message)).otherwise(guarded)
         columns.append(guarded.cast(field.type).alias(field.name))
-    return frame.select(columns)
+    rows = frame.select(columns)
+    if not unique or not contract.unique:
+        return rows
+    place = F.row_number().over(Window.partitionBy(*contract.unique).orderBy(*contract.unique))
+    message = F.lit(f"{contract.name}.({', '.join(contract.unique)}) must be: unique")
+    first = contract.unique[0]
+    checked = F.when(F.col("_place") > 1, F.raise_error(message)).otherwise(F.col(first)).alias(first)
+    return rows.withColumn("_place", place).select(*[checked if c == first else c for c in contract.columns])
 
 
 def violations(frame: DataFrame, contract: Contract) -> DataFrame:
@@ -138,9 +151,3 @@ def violations(frame: DataFrame, contract: Contract) -> DataFrame:
             )
         )
     return found.where(F.col("violations") > 0)
-
-
-def violates(frame: DataFrame, contract: Contract) -> Column:
-    """Whether a row breaks any rule."""
-    broken = [F.coalesce(b, F.lit(False)) for f in contract.fields for _, b in _rules(frame, f)]
-    return reduce(lambda a, b: a | b, broken, F.lit(False))

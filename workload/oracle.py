@@ -239,6 +239,53 @@ def written(job: str) -> str:
     return f"select *, cast(null as varchar) as notes, date '2024-01-31' as check_date from ({job}) x"
 
 
+def previewed(job: str, row_id: str, columns: dict[str, str]) -> str:
+    """The first 20 findings of each type with a check's own display columns."""
+    shown = ", ".join(f"coalesce(cast({column} as varchar), '-') as {name}" for column, name in columns.items())
+    return f"""
+        select finding_type, cast(position as integer) as position, {shown}, {days_label('data_age_hours')} as age_days
+        from (select *, row_number() over (partition by finding_type
+                     order by data_age_hours desc nulls first, {row_id}) as position from ({job}) j) x
+        where position <= 20"""
+
+
+# What each check's preview shows, as fixed by the reports people read.
+_HOST_SHOWN = {
+    "netbox_device_name": "name",
+    "netbox_serial": "serial",
+    "netbox_site_name": "site",
+    "most_recent_source": "source",
+    "most_recent_observed": "last_observed",
+}
+PREVIEWS = {
+    "preview_vm_uuid": previewed(JOB_VM_UUID, "netbox_vm_id", {
+        "netbox_vm_name": "name",
+        "netbox_site_name": "site",
+        "netbox_cluster_name": "cluster",
+        "netbox_status_value": "status",
+        "nutanix_last_observed": "last_observed",
+    }),
+    "preview_vm_moid": previewed(JOB_VM_MOID, "netbox_vm_id", {
+        "netbox_vm_name": "name",
+        "netbox_custom_fields_moid": "moid",
+        "netbox_musteri": "customer",
+        "vmware_last_observed": "last_observed",
+    }),
+    "preview_host_serial_first": previewed(JOB_HOST_SERIAL_FIRST, "netbox_device_id", _HOST_SHOWN),
+    "preview_host_name_first": previewed(
+        JOB_HOST_NAME_FIRST, "netbox_device_id", {"netbox_tags1_display": "tag", **_HOST_SHOWN}
+    ),
+    "preview_cluster": previewed(JOB_CLUSTER, "netbox_cluster_id", {
+        "netbox_cluster_name": "name",
+        "netbox_cluster_type": "type",
+        "most_recent_source": "source",
+        "most_recent_observed": "last_observed",
+    }),
+}
+
+RUN_MOMENTS = (AS_OF, "timestamp '2024-01-30 00:00:00'", "timestamp '2024-01-29 00:00:00'")
+
+
 # --- monitoring items -------------------------------------------------------
 
 PARSED = rf"""{with_standins("item")},
@@ -378,7 +425,11 @@ ORACLE: dict[str, str] = {
     "run_summary": " union all ".join(
         f"select {moment} as check_time, count(*) as total, count(*) filter (finding_type = 'STALE') as stale, "
         f"count(*) filter (finding_type = 'MISSING') as missing from ({JOB_VM_UUID.replace(AS_OF, moment)}) x"
-        for moment in (AS_OF, "timestamp '2024-01-30 00:00:00'", "timestamp '2024-01-29 00:00:00'")
+        for moment in RUN_MOMENTS
+    ),
+    "folded_history": " union all ".join(
+        f"({written(JOB_VM_UUID.replace(AS_OF, moment))})"
+        for moment in (f"timestamp '2024-01-31 {hour:02d}:00:00'" for hour in (3, 6, 9, 12))
     ),
     "dry_run_findings": JOB_VM_UUID,
     "upsert_state": f"""{PARSED},
@@ -407,7 +458,11 @@ ORACLE: dict[str, str] = {
     "job_vm_moid": JOB_VM_MOID,
     "job_host_serial_first": JOB_HOST_SERIAL_FIRST,
     "job_host_name_first": JOB_HOST_NAME_FIRST,
+    "job_vm_moid_written": written(JOB_VM_MOID),
     "job_host_staged": written(JOB_HOST_SERIAL_FIRST),
+    "job_host_name_first_written": written(JOB_HOST_NAME_FIRST),
+    "job_cluster_written": written(JOB_CLUSTER),
+    **PREVIEWS,
     "job_cluster": JOB_CLUSTER,
     "job_table_freshness": f"""{FRESHNESS}
         select distinct on (table_name, column_name) * from kept
@@ -420,7 +475,12 @@ ORACLE: dict[str, str] = {
                row_number() over (order by data_age_hours desc nulls first, event_id) as position
         from history
         where check_time = (select max(check_time) from history) and finding_type = 'STALE'""",
-    "finding_trend": f"""{HISTORY}
+    "finding_trend_rows": f"""{HISTORY}
         select *, row_number() over (order by check_date desc, finding_type) as position from (
           select cast(check_time as date) as check_date, finding_type, count(*) as count from history group by all) x""",
+    "finding_trend": "select *, cast(row_number() over (order by check_date desc, finding_type) as integer) as position "
+    "from (select cast(check_time as date) as check_date, finding_type, count(*) as count from ("
+    + " union all ".join(f"select check_time, finding_type from ({JOB_VM_UUID.replace(AS_OF, moment)}) x" for moment in RUN_MOMENTS)
+    + ") y group by all) z",
+    "logged_summary": f"select finding_type, count(*) as count from ({JOB_VM_UUID}) x group by finding_type",
 }

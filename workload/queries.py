@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import ages, labels, parsing
@@ -26,7 +26,7 @@ from tidemark.sinks.contract import violations
 from tidemark.sinks import history as history_log
 from tidemark.sinks.history import read_history
 from tidemark.sinks.state import StateTable
-from tidemark.sinks.tables import MONITORING_NUTANIX_HOST, MONITORING_VM, TABLE_MONITORING
+from tidemark.sinks.tables import MONITORING_VM, TABLE_MONITORING
 from tidemark.sources import pages, responses
 from tidemark.sources.lists import list_relation
 from tidemark.sources.tables import Lake
@@ -369,15 +369,31 @@ def append_findings(spark, sf_dir):
     return as_doubles(read_history(spark, history, MONITORING_VM))
 
 
-def _vm_history(spark, sf_dir):
-    """Three runs of the machine check, a day apart, the newest last."""
+def _vmware_lake(spark, sf_dir):
+    return standin_lake(spark, sf_dir, "netbox_vm", "vmware_vm")
+
+
+def _vm_runs(spark, sf_dir, *moments):
     history = scratch_dir(spark, "history")
-    for days in (2, 1, 0):
-        moment = AS_OF - timedelta(days=days)
+    for moment in moments:
         jobs.run_check(checks.NUTANIX_VM, _vm_lake(spark, sf_dir), history, moment, SINGLE_HOURS)
     return history
 
 
+_HISTORIES: dict[tuple[str, str], str] = {}
+
+
+def _vm_history(spark, sf_dir):
+    """Three runs of the machine check, a day apart, the newest last.
+
+    A history is there before reports are asked for, so it is written once a session.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _HISTORIES or not history_log.runs(spark, _HISTORIES[key]):
+        _HISTORIES[key] = _vm_runs(spark, sf_dir, *[AS_OF - timedelta(days=days) for days in (2, 1, 0)])
+    return _HISTORIES[key]
+
+
 @query
 def newest_run(spark, sf_dir):
     """The newest run of a history of several, opened by the log."""
@@ -390,6 +406,17 @@ def run_summary(spark, sf_dir):
     return history_log.run_summary(spark, _vm_history(spark, sf_dir))
 
 
+@query
+def folded_history(spark, sf_dir):
+    """Three runs of one day folded into one folder, and a fourth that came later."""
+    hours = [timedelta(hours=h) for h in (9, 6, 3, 0)]
+    moment = AS_OF + timedelta(hours=12)
+    history = _vm_runs(spark, sf_dir, *[moment - h for h in hours[:3]])
+    history_log.fold_day(spark, history, MONITORING_VM, moment.date())
+    jobs.run_check(checks.NUTANIX_VM, _vm_lake(spark, sf_dir), history, moment, SINGLE_HOURS)
+    return as_doubles(read_history(spark, history, MONITORING_VM))
+
+
 @query
 def dry_run_findings(spark, sf_dir):
     run = jobs.run_check(
@@ -429,6 +456,17 @@ def _job(spark, lake: Lake, check, hours):
     return as_doubles(jobs.detect(check, lake, AS_OF, hours))
 
 
+def _written(spark, lake: Lake, check, hours):
+    """A job as run in production: suspects staged, findings appended and read back."""
+    history = scratch_dir(spark, "history")
+    jobs.run_check(check, lake, history, AS_OF, hours)
+    return as_doubles(read_history(spark, history, check.contract))
+
+
+def _previewed(spark, lake: Lake, check, hours):
+    return ordering.preview(jobs.detect(check, lake, AS_OF, hours), check.preview, [check.row_id])
+
+
 @query
 def job_vm_uuid(spark, sf_dir):
     return _job(spark, _vm_lake(spark, sf_dir), checks.NUTANIX_VM, SINGLE_HOURS)
@@ -436,8 +474,22 @@ def job_vm_uuid(spark, sf_dir):
 
 @query
 def job_vm_moid(spark, sf_dir):
-    lake = standin_lake(spark, sf_dir, "netbox_vm", "vmware_vm")
-    return _job(spark, lake, checks.VMWARE_VM, SINGLE_HOURS)
+    return _job(spark, _vmware_lake(spark, sf_dir), checks.VMWARE_VM, SINGLE_HOURS)
+
+
+@query
+def job_vm_moid_written(spark, sf_dir):
+    return _written(spark, _vmware_lake(spark, sf_dir), checks.VMWARE_VM, SINGLE_HOURS)
+
+
+@query
+def preview_vm_uuid(spark, sf_dir):
+    return _previewed(spark, _vm_lake(spark, sf_dir), checks.NUTANIX_VM, SINGLE_HOURS)
+
+
+@query
+def preview_vm_moid(spark, sf_dir):
+    return _previewed(spark, _vmware_lake(spark, sf_dir), checks.VMWARE_VM, SINGLE_HOURS)
 
 
 def _host_lake(spark, sf_dir):
@@ -456,16 +508,27 @@ def job_host_name_first(spark, sf_dir):
 
 @query
 def job_host_staged(spark, sf_dir):
-    """The same job as run in production: suspects staged, findings appended."""
-    history = scratch_dir(spark, "history")
-    jobs.run_check(checks.nutanix_host(TENANT), _host_lake(spark, sf_dir), history, AS_OF, DUAL_HOURS)
-    return as_doubles(read_history(spark, history, MONITORING_NUTANIX_HOST))
+    return _written(spark, _host_lake(spark, sf_dir), checks.nutanix_host(TENANT), DUAL_HOURS)
 
 
 @query
-def job_cluster(spark, sf_dir):
+def job_host_name_first_written(spark, sf_dir):
+    return _written(spark, _host_lake(spark, sf_dir), checks.vmware_host(TENANT), DUAL_HOURS)
+
+
+@query
+def preview_host_serial_first(spark, sf_dir):
+    return _previewed(spark, _host_lake(spark, sf_dir), checks.nutanix_host(TENANT), DUAL_HOURS)
+
+
+@query
+def preview_host_name_first(spark, sf_dir):
+    return _previewed(spark, _host_lake(spark, sf_dir), checks.vmware_host(TENANT), DUAL_HOURS)
+
+
+def _cluster_lake(spark, sf_dir):
     clusters = pages.cluster_inventory(spark, standins.land_cluster_pages(spark, sf_dir))
-    lake = Lake(
+    return Lake(
         spark,
         {
             "netbox_cluster": clusters,
@@ -473,7 +536,21 @@ def job_cluster(spark, sf_dir):
             "vmware_cluster": standin(spark, sf_dir, "vmware_cluster"),
         },
     )
-    return _job(spark, lake, checks.CLUSTER, DUAL_HOURS)
+
+
+@query
+def job_cluster(spark, sf_dir):
+    return _job(spark, _cluster_lake(spark, sf_dir), checks.CLUSTER, DUAL_HOURS)
+
+
+@query
+def job_cluster_written(spark, sf_dir):
+    return _written(spark, _cluster_lake(spark, sf_dir), checks.CLUSTER, DUAL_HOURS)
+
+
+@query
+def preview_cluster(spark, sf_dir):
+    return _previewed(spark, _cluster_lake(spark, sf_dir), checks.CLUSTER, DUAL_HOURS)
 
 
 @query
@@ -496,4 +573,17 @@ def latest_stale_list(spark, sf_dir):
 
 @query
 def finding_trend(spark, sf_dir):
+    """From the log of a stored history; a row for each day and type, so one task can number them."""
+    trend = reports.logged_trend(spark, _vm_history(spark, sf_dir), MONITORING_VM)
+    place = F.row_number().over(Window.orderBy(F.col("check_date").desc(), "finding_type"))
+    return trend.withColumn("position", place)
+
+
+@query
+def finding_trend_rows(spark, sf_dir):
     return ordering.ranked(reports.finding_trend(standin(spark, sf_dir, "history")))
+
+
+@query
+def logged_summary(spark, sf_dir):
+    return reports.logged_summary(spark, _vm_history(spark, sf_dir), MONITORING_VM)
