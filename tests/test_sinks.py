@@ -323,7 +323,8 @@ def test_table_run(spark, tmp_path):
     state = StateTable(spark, str(tmp_path / "state"), TABLE_MONITORING).create()
     dry = run_tables(item_answers, host_answers, as_of=AS_OF, dry_run=True)
     assert dry.written is None and dry.findings.count() == 3
-    assert run_tables(item_answers, host_answers, state, AS_OF).written == 3
+    run = run_tables(item_answers, host_answers, state, AS_OF)
+    assert (run.written, run.parsed, run.skipped, run.stale) == (3, 3, 1, 1)
     rows = {r["table_name"]: r for r in state.current().collect()}
     assert {k: (str(r["data_age_hours"]), r["last_clock"]) for k, r in rows.items()} == {
         "a": ("1.50", 5), "b": ("None", None), "c": ("494868.00", None),
@@ -338,7 +339,8 @@ def test_no_items_is_a_success(spark, tmp_path):
     state = StateTable(spark, str(tmp_path / "state"), TABLE_MONITORING).create()
     item_answers = answers(spark, ITEM_RESPONSE_SCHEMA, '{"result":[]}')
     host_answers = answers(spark, HOST_RESPONSE_SCHEMA, '{"result":[{"hostid":"1","host":"db-master"}]}')
-    assert run_tables(item_answers, host_answers, state, AS_OF).written == 0
+    run = run_tables(item_answers, host_answers, state, AS_OF)
+    assert (run.written, run.parsed, run.skipped, run.stale) == (0, 0, 0, 0)
     assert current(state) == []
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.ages import float_age_hours, instant
@@ -25,12 +25,16 @@ def with_item_parts(items: DataFrame) -> DataFrame:
     ).drop("_name", "_table")
 
 
-def parsed_items(items: DataFrame) -> DataFrame:
+def parsed_items(items: DataFrame, counts: Observation | None = None) -> DataFrame:
     """Items whose name parses, with their timestamp and clock.
 
-    A value or clock that does not parse stays NULL; the item is kept.
+    A value or clock that does not parse stays NULL; the item is kept.  ``counts``
+    gets how many are ``parsed`` and ``skipped`` when the rows are written.
     """
-    values = with_item_parts(items).where(F.col("table_name") != "").select(
+    named = with_item_parts(items)
+    if counts is not None:
+        named = named.observe(counts, *_parse_counts())
+    values = named.where(F.col("table_name") != "").select(
         "table_name",
         "column_name",
         F.col("itemid").alias("zabbix_item_id"),
@@ -45,10 +49,12 @@ def parsed_items(items: DataFrame) -> DataFrame:
 
 def item_parse_counts(items: DataFrame) -> DataFrame:
     """One row: how many items parse and how many are skipped."""
+    return with_item_parts(items).agg(*_parse_counts())
+
+
+def _parse_counts() -> list[Column]:
     skipped = F.col("table_name") == ""
-    return with_item_parts(items).agg(
-        F.count_if(~skipped).alias("parsed"), F.count_if(skipped).alias("skipped")
-    )
+    return [F.count_if(~skipped).alias("parsed"), F.count_if(skipped).alias("skipped")]
 
 
 def table_freshness(parsed: DataFrame, host: str, as_of: datetime) -> DataFrame:

@@ -50,13 +50,13 @@ class Inventory:
     tiebreak: tuple[str, ...] = ("id",)
 
     def frame(self, lake: Lake) -> DataFrame:
-        rows = lake.table(self.table)
-        if self.where:
-            rows = rows.where(self.where())
+        needed = list(self.columns)
+        if self.key:
+            needed += [self.key, self.newest, *self.tiebreak]
+        rows = lake.needed(self.table, needed, self.where)
         if self.key:
             # Prune before the shuffle: an opaque source (JSON, JDBC) may not.
-            needed = dict.fromkeys([*self.columns, self.key, self.newest, *self.tiebreak])
-            rows = latest_per_key(rows.select(*needed), [self.key], self.newest, self.tiebreak)
+            rows = latest_per_key(rows.select(*dict.fromkeys(needed)), [self.key], self.newest, self.tiebreak)
         return filters.renamed(rows, self.columns)
 
 
@@ -77,9 +77,7 @@ class Observed:
     tiebreak: tuple[str, ...] = ("component_moid",)
 
     def feed(self, lake: Lake) -> Feed:
-        rows = lake.table(self.table)
-        if self.where:
-            rows = rows.where(self.where())
+        rows = lake.needed(self.table, [*self.columns, *self.tiebreak], self.where)
         return Feed(
             self.label,
             filters.renamed(rows, self.columns),

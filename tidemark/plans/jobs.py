@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.ages import resolve_as_of
+from tidemark.functions.labels import is_stale_table
 from tidemark.operators.findings import dual_source_findings, single_source_findings, stamped
 from tidemark.operators.items import parsed_items, table_freshness
 from tidemark.operators.lookup import repeatable_spread
@@ -24,6 +25,9 @@ from tidemark.sources.tables import Lake
 class Run:
     """A run's findings and how many rows it wrote, STALE and MISSING ones apart; None when dry.
 
+    A run of the table check counts items ``parsed`` and ``skipped`` instead of
+    missing rows, and as ``stale`` those past the fixed limit.
+
     The findings are a plan: asking them for rows detects again.  Building it has
     already looked for heavy keys, and staged if asked to.
     """
@@ -33,6 +37,8 @@ class Run:
     written: int | None
     stale: int | None = None
     missing: int | None = None
+    parsed: int | None = None
+    skipped: int | None = None
 
 
 def item_order() -> list[str | Column]:
@@ -73,13 +79,15 @@ def run_check(
     dry_run: bool = False,
     stage: bool | None = None,
 ) -> Run:
-    """Detect and append to ``history``.  An empty inventory or a healthy fleet
+    """Detect and append to ``history``.  Sources that may change while the run reads
+    them are landed once first, so that every record gets one label.  An empty inventory or a healthy fleet
     leaves a run of zeros in the log, no data, and is a success.  A dry run writes nothing at all, so unless
     asked to it does not ``stage`` either."""
     if not dry_run and history is None:
         raise ValueError("a run that is not dry needs a history location")
     moment = resolve_as_of(as_of)
-    findings = detect(check, lake, moment, threshold_hours, not dry_run if stage is None else stage)
+    read_from = lake if dry_run else lake.pin()
+    findings = detect(check, read_from, moment, threshold_hours, not dry_run if stage is None else stage)
     if dry_run:
         return Run(moment, findings, None)
     entry = append_run(findings, history, check.contract, moment)
@@ -92,13 +100,14 @@ def detect_tables(
     as_of: datetime,
     host: str = DEFAULT_HOST,
     tag: str = ITEM_TAG,
+    counts: Observation | None = None,
 ) -> DataFrame:
     """Freshness of every table the host's tagged items report on.
 
     An error response or an unknown host fails the query.
     """
     items = items_of_host(results_or_fail(item_responses), results_or_fail(host_responses), host)
-    return table_freshness(parsed_items(item_feed(items_with_tag(items, tag))), host, as_of)
+    return table_freshness(parsed_items(item_feed(items_with_tag(items, tag)), counts), host, as_of)
 
 
 def run_tables(
@@ -114,6 +123,13 @@ def run_tables(
     if not dry_run and state is None:
         raise ValueError("a run that is not dry needs a state table")
     moment = resolve_as_of(as_of)
-    freshness = detect_tables(item_responses, host_responses, moment, host, tag)
-    written = None if dry_run else state.upsert(freshness, newest="last_clock", tiebreak=item_order())
-    return Run(moment, freshness, written)
+    if dry_run:
+        return Run(moment, detect_tables(item_responses, host_responses, moment, host, tag), None)
+    counts, stale = Observation("items"), Observation("tables")
+    freshness = detect_tables(item_responses, host_responses, moment, host, tag, counts)
+    late = F.count_if(is_stale_table(F.col("data_age_hours"))).alias("stale")
+    # All counts come with the one write.
+    written = state.upsert(freshness.observe(stale, late), newest="last_clock", tiebreak=item_order())
+    found = counts.get
+    plan = detect_tables(item_responses, host_responses, moment, host, tag)
+    return Run(moment, plan, written, stale=stale.get["stale"], parsed=found["parsed"], skipped=found["skipped"])

@@ -336,6 +336,18 @@ BROKEN = {
 ORACLE: dict[str, str] = {
     "table_scan": "select o_orderkey, o_custkey, o_orderdate from orders",
     "paged_json_inventory": f"{with_standins('cluster_record')} {CLUSTERS}",
+    "page_chain_faults": """
+        with records as (select (cast(c_custkey as integer) - 1) // 50 as page, count(*) as n from customer group by 1),
+             kept as (select * from records where page % 11 <> 5),
+             landed as (select * from kept union all select * from kept where page % 7 = 3),
+             links as (select page + 1 as page, count(*) as n from landed
+                       where page < (select max(page) from records) group by 1)
+        select (select count(*) from links where page not in (select page from kept)) as missing,
+               (select count(*) from kept where page % 7 = 3) as repeated,
+               (select count(*) from links where n > 1) as forked,
+               (select count(*) from kept where page not in (select page from links)) - 1 as beginnings,
+               cast(0 as bigint) as unnamed,
+               cast((select sum(n) from records) - (select sum(n) from landed) as bigint) as short""",
     "nested_slug_filter": f"{with_standins('cluster_record')} {CLUSTERS} where type_slug = 'acropolis-cls'",
     "item_feed": f"{with_standins('item')} select itemid, name, lastvalue, lastclock from item",
     "envelope_errors": """
@@ -467,6 +479,12 @@ ORACLE: dict[str, str] = {
     "job_table_freshness": f"""{FRESHNESS}
         select distinct on (table_name, column_name) * from kept
         order by table_name, column_name, {ITEM_ORDER}""",
+    "table_run_counts": f"""{FRESHNESS},
+        mine as (select * from parsed where tag = 'last data' and hostid = '1')
+        select (select count(*) from (select distinct table_name, column_name from kept) x) as written,
+               (select count(*) from mine where table_name <> '') as parsed,
+               (select count(*) from mine where table_name = '') as skipped,
+               (select count(*) from kept where data_age_hours > 168) as stale""",
     "latest_check_summary": f"""{HISTORY}
         select finding_type, count(*) as count from history
         where check_time = (select max(check_time) from history) group by finding_type""",

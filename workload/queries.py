@@ -60,7 +60,16 @@ def table_scan(spark, sf_dir):
 @query
 def paged_json_inventory(spark, sf_dir):
     landed = pages.read_pages(spark, standins.land_cluster_pages(spark, sf_dir))
-    return pages.page_records(landed)
+    return pages.page_records(pages.whole_chain(landed))
+
+
+@query
+def page_chain_faults(spark, sf_dir):
+    """Of pages of which every 11th got lost and every 7th was landed twice."""
+    landed = pages.read_pages(spark, standins.land_cluster_pages(spark, sf_dir))
+    number = F.regexp_extract("url", r"(\d+)$", 1).cast("int")
+    kept = landed.where(number % 11 != 5)
+    return pages.chain_faults(kept.unionByName(kept.where(number % 7 == 3)))
 
 
 @query
@@ -560,6 +569,15 @@ def job_table_freshness(spark, sf_dir):
     return as_doubles(state.current())
 
 
+@query
+def table_run_counts(spark, sf_dir):
+    """What a run of the table check reports besides its rows."""
+    state = StateTable(spark, scratch_dir(spark, "state"), TABLE_MONITORING).create()
+    run = jobs.run_tables(standins.item_responses(spark, sf_dir), standins.host_responses(spark, sf_dir), state, AS_OF)
+    kinds = "written bigint, parsed bigint, skipped bigint, stale bigint"
+    return spark.createDataFrame([(run.written, run.parsed, run.skipped, run.stale)], kinds)
+
+
 @query
 def latest_check_summary(spark, sf_dir):
     return reports.latest_check_summary(standin(spark, sf_dir, "history"))

@@ -258,12 +258,21 @@ def land_cluster_pages(spark: SparkSession, sf_dir: str) -> str:
         "name",
         F.when(F.col("type_slug").isNotNull(), F.struct(F.col("type_display").alias("display"), F.col("type_slug").alias("slug"))).alias("type"),
     )
+    records = standin(spark, sf_dir, "cluster_record")
+    total = records.agg(F.count(F.lit(1)).alias("n")).scalar()
+    address = F.concat(F.lit("/clusters?page="), F.col("page").cast("string"))
+    following = F.concat(F.lit("/clusters?page="), (F.col("page") + 1).cast("string"))
     pages = (
-        standin(spark, sf_dir, "cluster_record")
+        records
         .withColumn("page", F.floor((F.col("id") - 1) / RECORDS_PER_PAGE))
         .groupBy("page")
         .agg(F.collect_list(record).alias("results"))
-        .select(F.concat(F.lit("/clusters?page="), (F.col("page") + 1).cast("string")).alias("next"), "results")
+        .select(
+            address.alias("url"),
+            F.when((F.col("page") + 1) * RECORDS_PER_PAGE < total, following).alias("next"),
+            total.alias("count"),
+            "results",
+        )
     )
     location = scratch_dir(spark, "pages")
     pages.write.json(location)
