@@ -448,6 +448,16 @@ def test_the_lower_item_number_settles_equal_clocks(spark, tmp_path):
     assert current(state) == [("a", "9999", 5)]
 
 
+def test_the_name_settles_equal_clocks_before_the_number(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "state"), TABLE_MONITORING).create()
+    names = F.when(F.col("zabbix_item_id") == "2", "Table [a]: x").otherwise(" table  [a]: x")
+    upsert(state, batch(spark, ("a", "1", 5), ("a", "2", 5), ("a", "3", 5)).withColumn("zabbix_item_name", names))
+    assert current(state) == [("a", "1", 5)]
+    upsert(state, batch(spark, ("a", "4", 5), ("a", "5", 5)).withColumn(
+        "zabbix_item_name", F.when(F.col("zabbix_item_id") == "5", "Table [a]: x").otherwise("table [a]: x")))
+    assert current(state) == [("a", "5", 5)]
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
 def test_a_dry_run_of_two_sources_writes_nothing(spark, monkeypatch):
     def written(*_):

@@ -19,6 +19,11 @@ def finding_label(missing: Column, stale: Column) -> Column:
     return F.when(missing, F.lit(MISSING)).when(stale, F.lit(STALE))
 
 
+def most_recent_observed(first: Column, second: Column) -> Column:
+    """The later of two instants, either of which may be unknown."""
+    return F.greatest(first, second)
+
+
 def most_recent_source(first: Column, first_label: str, second: Column, second_label: str) -> Column:
     """Which source saw the record last; a tie goes to the first, NULL if neither did."""
     return (

@@ -32,6 +32,6 @@ def renamed(frame: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return frame.select([F.col(source).alias(output) for source, output in columns.items()])
 
 
-def prefixed(frame: DataFrame, prefix: str, columns: Sequence[str]) -> DataFrame:
-    """Project ``columns`` with a common prefix."""
-    return renamed(frame, {c: f"{prefix}{c}" for c in columns})
+def prefixed(prefix: str, *columns: str) -> dict[str, str]:
+    """Columns and their output names with a common prefix, for :func:`renamed`."""
+    return {c: f"{prefix}{c}" for c in columns}

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ages import age_hours, epoch, float_age_hours, instant, threshold_instant
-from tidemark.functions.labels import MISSING, STALE, finding_label, most_recent_source
+from tidemark.functions.labels import MISSING, STALE, finding_label, most_recent_observed, most_recent_source
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.lookup import (
     HEAVY_MIN_ROWS,
@@ -183,9 +183,9 @@ def dual_source_findings(
         suspects = match(suspects, feed, latest, "left")
 
     a, b = F.col(first.observed_at), F.col(second.observed_at)
-    observed = F.greatest(a, b)
+    observed = most_recent_observed(a, b)
     if null_policy == NULL_IS_EPOCH:
-        last = F.greatest(F.coalesce(a, epoch()), F.coalesce(b, epoch()))
+        last = most_recent_observed(F.coalesce(a, epoch()), F.coalesce(b, epoch()))
         missing = F.col(first.key).isNull() & F.col(second.key).isNull()
         age = age_hours(now, last)
     else:

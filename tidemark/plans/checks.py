@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import filters
+from tidemark.operators.filters import prefixed
 from tidemark.operators.findings import NULL_IS_EPOCH, NULL_IS_MISSING, Feed
 from tidemark.operators.latest import latest_per_key
 from tidemark.sinks import tables
@@ -103,10 +104,6 @@ class Check:
     null_policy: str | None = None
 
 
-def _prefixed(prefix: str, *columns: str) -> dict[str, str]:
-    return {c: f"{prefix}{c}" for c in columns}
-
-
 # --- virtual machines -------------------------------------------------------
 
 NUTANIX_VM = Check(
@@ -117,8 +114,8 @@ NUTANIX_VM = Check(
         & filters.status_is_not("status_value", POWERED_OFF),
         key="custom_fields_uuid",
         columns={
-            **_prefixed("netbox_vm_", "id", "name"),
-            **_prefixed(
+            **prefixed("netbox_vm_", "id", "name"),
+            **prefixed(
                 "netbox_",
                 "site_name",
                 "cluster_name",
@@ -138,9 +135,9 @@ NUTANIX_VM = Check(
             key="component_moid",
             matches="netbox_custom_fields_uuid",
             columns={
-                **_prefixed("nutanix_", "last_observed", "status", "status_description", "component_moid"),
+                **prefixed("nutanix_", "last_observed", "status", "status_description", "component_moid"),
                 "nutanix_uuid": "nutanix_uuid",
-                **_prefixed("nutanix_", "guest_os", "memory_mb", "num_vcpus"),
+                **prefixed("nutanix_", "guest_os", "memory_mb", "num_vcpus"),
             },
         ),
     ),
@@ -163,8 +160,8 @@ VMWARE_VM = Check(
         & filters.status_is_not("status_value", POWERED_OFF),
         key="custom_fields_moid",
         columns={
-            **_prefixed("netbox_vm_", "id", "name"),
-            **_prefixed(
+            **prefixed("netbox_vm_", "id", "name"),
+            **prefixed(
                 "netbox_",
                 "site_name",
                 "cluster_name",
@@ -186,7 +183,7 @@ VMWARE_VM = Check(
             table="vmware_vm",
             key="component_moid",
             matches="netbox_custom_fields_moid",
-            columns=_prefixed(
+            columns=prefixed(
                 "vmware_",
                 "last_observed",
                 "status",
@@ -212,8 +209,8 @@ VMWARE_VM = Check(
 # --- hosts ------------------------------------------------------------------
 
 _HOST_COLUMNS = {
-    **_prefixed("netbox_device_", "id", "name"),
-    **_prefixed(
+    **prefixed("netbox_device_", "id", "name"),
+    **prefixed(
         "netbox_",
         "site_name",
         "location_name",
@@ -239,9 +236,9 @@ _NUTANIX_HOSTS = Observed(
     key="serial",
     matches="netbox_serial",
     columns={
-        **_prefixed("nutanix_", "last_observed", "status", "status_description", "component_moid"),
+        **prefixed("nutanix_", "last_observed", "status", "status_description", "component_moid"),
         "nutanix_uuid": "nutanix_uuid",
-        **_prefixed("nutanix_", "name", "serial", "model"),
+        **prefixed("nutanix_", "name", "serial", "model"),
     },
 )
 
@@ -253,7 +250,7 @@ def _vmware_hosts(*extra: str) -> Observed:
         table="vmware_host",
         key="name",
         matches="netbox_device_name",
-        columns=_prefixed(
+        columns=prefixed(
             "vmware_", "last_observed", "status", "status_description", "component_moid", *extra, "name", "model", "version"
         ),
     )
@@ -324,7 +321,7 @@ CLUSTER = Check(
             key="name",
             matches="netbox_cluster_name",
             columns={
-                **_prefixed("nutanix_", "last_observed", "status", "status_description", "component_moid"),
+                **prefixed("nutanix_", "last_observed", "status", "status_description", "component_moid"),
                 "nutanix_uuid": "nutanix_uuid",
                 "name": "nutanix_name",
             },
@@ -334,7 +331,7 @@ CLUSTER = Check(
             table="vmware_cluster",
             key="name",
             matches="netbox_cluster_name",
-            columns=_prefixed("vmware_", "last_observed", "status", "status_description", "component_moid", "name"),
+            columns=prefixed("vmware_", "last_observed", "status", "status_description", "component_moid", "name"),
         ),
     ),
     contract=tables.MONITORING_CLUSTERS,

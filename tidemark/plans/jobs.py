@@ -42,8 +42,8 @@ class Run:
 
 
 def item_order() -> list[str | Column]:
-    """Of items with one table, column and clock the lower id counts, then the name; ids are numbers in text."""
-    return [F.col("zabbix_item_id").try_cast("bigint"), "zabbix_item_id", "zabbix_item_name"]
+    """Of items with one table, column and clock the first by name counts, then the lower id; ids are numbers in text."""
+    return ["zabbix_item_name", F.col("zabbix_item_id").try_cast("bigint"), "zabbix_item_id"]
 
 
 def detect(

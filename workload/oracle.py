@@ -322,7 +322,7 @@ STATE_COLUMNS = f"""table_name, column_name, 'db-master' as zabbix_host, itemid
 FRESHNESS = f"""{PARSED},
 kept as (select {STATE_COLUMNS} from parsed where table_name <> '' and tag = 'last data' and hostid = '1')"""
 
-ITEM_ORDER = "last_clock desc nulls last, try_cast(zabbix_item_id as bigint), zabbix_item_id"
+ITEM_ORDER = "last_clock desc nulls last, zabbix_item_name, try_cast(zabbix_item_id as bigint), zabbix_item_id"
 
 HISTORY = with_standins("history")
 

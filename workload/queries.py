@@ -119,7 +119,7 @@ QUERIES["list_relation"] = QUERIES.pop("list_relation_counts")
 @query
 def prefixed_projection(spark, sf_dir):
     customers = source_lake(spark, sf_dir).table("customer")
-    return filters.prefixed(customers, "inventory_", ["c_custkey", "c_name", "c_mktsegment"])
+    return filters.renamed(customers, filters.prefixed("inventory_", "c_custkey", "c_name", "c_mktsegment"))
 
 
 def _orders(spark, sf_dir, condition):
@@ -300,7 +300,8 @@ def _event_pairs(spark, sf_dir):
 
 @query
 def most_recent_observed(spark, sf_dir):
-    return _event_pairs(spark, sf_dir).select("event_id", F.greatest("first_ts", "second_ts").alias("most_recent_observed"))
+    latest = labels.most_recent_observed(F.col("first_ts"), F.col("second_ts"))
+    return _event_pairs(spark, sf_dir).select("event_id", latest.alias("most_recent_observed"))
 
 
 @query
