@@ -30,6 +30,10 @@ def tables(spark):
 def test_totals_meet_targets(spark, tables):
     docs, labelled = tables
     mixer = mixing.fit(docs, labelled, WEIGHTS)
+    order = ["doc_id", "_n_tokens", "_posteriors", "_rate"]
+    again, held = (f.select(*order).orderBy(*order[:2]).toPandas() for f in (mixer.rates(docs), mixer.rated))
+    assert (again[["doc_id", "_n_tokens"]] == held[["doc_id", "_n_tokens"]]).all(axis=None)
+    assert np.allclose(np.stack(again._posteriors), np.stack(held._posteriors)) and np.allclose(again._rate, held._rate)
     got = mixer.rates(docs).select("doc_id", "_n_tokens", "_posteriors", "_rate").toPandas()
     n, p, r = got["_n_tokens"].to_numpy(float), np.stack(got["_posteriors"]), got["_rate"].to_numpy()
     assert np.allclose(p.sum(axis=1), 1) and (r >= 0).all()

@@ -1,13 +1,16 @@
 """What the operators share: text rules, folds, and tables written between stages.
 
 A document is a row with a ``doc_id`` and a ``text``.  Operators read the columns
-they need by name and leave all others alone, so extra columns never clash with
-the internal ones (which start with an underscore and are not kept).
+they need by name.  Those that return whole documents go by other names for all
+other columns meanwhile (:func:`apart`), so that these never clash with internal
+ones, which start with an underscore.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +48,22 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, ROWS_PER_BATCH)
 
 
+def apart(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A function from documents to documents, with the columns it does not know out of its way.
+
+    All but doc_id and text go by plain numbered names inside and by their own again
+    in what comes out, whatever they are called.
+    """
+
+    @wraps(stage)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        own = docs.columns
+        held = [c if c in ("doc_id", "text") else f"column{k}" for k, c in enumerate(own)]
+        return stage(docs.toDF(*held), *args, **kwargs).select(*held).toDF(*own)
+
+    return run
+
+
 class Table:
     """A frame written to the cluster's shared folder, with its row count.
 

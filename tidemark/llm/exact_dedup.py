@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Table, ascii_lower
+from tidemark.llm.common import Table, apart, ascii_lower
 
 PREFIX_CHARS = 64
 GROUP_BYTES = 48  # of a length and a prefix hash in a broadcast relation
@@ -62,6 +62,7 @@ def exact_duplicates(docs: DataFrame, digest_all: bool = False) -> DataFrame:
     )
 
 
+@apart
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text a larger doc_id has too; all columns stay."""
     kept = exact_duplicates(docs, digest_all=True).where("kept")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BROADCAST_BYTES, Table
+from tidemark.llm.common import BROADCAST_BYTES, Table, apart
 
 WINDOW = 3
 WINDOW_BYTES = 96  # of a repeated window in a broadcast relation
@@ -35,6 +35,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     )
 
 
+@apart
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the remaining texts; documents of which nothing remains go."""
     marked = _marked(docs).withColumn("text", _remaining())

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Table, small_batches
+from tidemark.llm.common import Table, apart, small_batches
 
 #: Bound of the labelled sample the classifier is fitted on, in documents of the lowest id hashes.
 MAX_LABELLED = 4000
@@ -121,6 +121,7 @@ class Mixer:
     targets: np.ndarray  # target tokens of each domain
     reached: np.ndarray  # expected tokens of each domain at the fitted rates
     at_least: float  # the smallest rate allowed
+    rated: DataFrame  # doc_id, _n_tokens, _posteriors and _rate of every row that was fitted
 
     def rates(self, docs: DataFrame) -> DataFrame:
         """``docs`` with _n_tokens, _posteriors and _rate of every row."""
@@ -141,13 +142,14 @@ def fit(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], whol
     classifier = fit_classifier(docs, labelled)
     d = len(classifier.domains)
     names = [f"p{k}" for k in range(d)]
-    scored = _scored(docs.select("text"), classifier)
-    flat = scored.select(F.col("_n_tokens").alias("n"), *[F.get("_posteriors", F.lit(k)).alias(c) for k, c in enumerate(names)])
+    scored = _scored(docs.select("doc_id", "text"), classifier)
+    flat = scored.select("doc_id", F.col("_n_tokens").alias("n"), *[F.get("_posteriors", F.lit(k)).alias(c) for k, c in enumerate(names)])
     state = Table(flat.withColumn("r", F.lit(1.0)), "mixing-rates")
     share = np.array([max(0.0, float(weights.get(name, 0))) for name in classifier.domains])
     tokens = _totals(state.frame, F.col("r"), names)
     if not tokens.sum() or not share.sum():
-        return Mixer(classifier, np.zeros((0, d)), tokens, tokens, tokens, at_least)
+        rated = _rated(state.frame, names, F.col("r"))
+        return Mixer(classifier, np.zeros((0, d)), tokens, tokens, tokens, at_least, rated)
     share /= share.sum()
     kept = [k for k, name in enumerate(classifier.domains) if name in whole and share[k] > 0]
     targets = share * (max(tokens[k] / share[k] for k in kept) if kept else tokens.sum())
@@ -157,7 +159,7 @@ def fit(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], whol
     unit = np.maximum(tokens, tokens.sum() * 1e-9)
     reached, steps, carried = tokens, [], []
     slack = TOLERANCE * np.maximum(targets, tokens.sum() * TOLERANCE)
-    moved = slack
+    moved, rate = slack, F.col("r")
     while len(steps) < MAX_PASSES and (np.abs(reached - targets) > slack).any() and (moved > slack / 20).any():
         steps.append((reached - targets) / unit)
         carried.append(steps[-1])
@@ -165,13 +167,19 @@ def fit(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], whol
         for step in carried:
             rate = F.greatest(F.lit(float(at_least)), rate - sum(F.col(c) * float(g) for c, g in zip(names, step)))
         if len(carried) == CARRIED:
-            before, state = state, Table(state.frame.select("n", *names, rate.alias("r")), "mixing-rates")
+            before, state = state, Table(state.frame.select("doc_id", "n", *names, rate.alias("r")), "mixing-rates")
             before.drop()
             carried, rate = [], F.col("r")
         last, reached = reached, _totals(state.frame, rate, names)
         moved = np.abs(reached - last)
-    state.drop()
-    return Mixer(classifier, np.array(steps).reshape(-1, d), tokens, targets, reached, at_least)
+    rated = _rated(state.frame, names, rate)
+    return Mixer(classifier, np.array(steps).reshape(-1, d), tokens, targets, reached, at_least, rated)
+
+
+def _rated(state: DataFrame, names: list[str], rate: Column) -> DataFrame:
+    """The rows of a fit, from its table: no text is read again."""
+    posteriors = F.array(*[F.col(c) for c in names]).alias("_posteriors")
+    return state.select("doc_id", F.col("n").alias("_n_tokens"), posteriors, rate.alias("_rate"))
 
 
 def _totals(state: DataFrame, rate: Column, names: list[str]) -> np.ndarray:
@@ -214,6 +222,7 @@ def _scored(docs: DataFrame, classifier: Classifier, steps: np.ndarray | None =
     )
 
 
+@apart
 def mixed(docs: DataFrame, mixer: Mixer) -> DataFrame:
     """``docs``, each row as often as its rate says; all columns stay.
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, Table, small_batches
+from tidemark.llm.common import SPACES, Table, apart, small_batches
 from tidemark.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -400,6 +400,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.where(common >= SIMILARITY * (F.size("_x") + F.size("_y") - common)).select("a", "b")
 
 
+@apart
 def drop_repeated_passages(docs: DataFrame) -> DataFrame:
     """``docs`` without the words of repeated passages; all columns stay.
 

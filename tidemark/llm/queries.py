@@ -44,7 +44,7 @@ def domains_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
     mixer = mixing.fit(docs, domains_of(docs, labels), WEIGHTS)
-    rated = mixer.rates(docs.select("doc_id", "text"))
+    rated = mixer.rated
     names = F.array(*[F.lit(d) for d in mixer.classifier.domains])
     likeliest = F.array_position("_posteriors", F.array_max("_posteriors")).cast("int")
     return rated.select(

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Table, small_batches
+from tidemark.llm.common import Table, apart, small_batches
 from tidemark.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -88,6 +88,7 @@ def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return prints, Table(roots, "simhash-roots").frame
 
 
+@apart
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: that of component_id.
 

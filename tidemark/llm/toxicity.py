@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import apart, small_batches
 
 WORD = re.compile(r"\w+")
 DIMENSIONS = 1 << 20
@@ -132,6 +132,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     return docs.withColumn(name, toxic(docs["text"]))
 
 
+@apart
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows scored as toxic; all columns stay."""
     scored = score(docs, fit(docs, labels), "_toxic_score")
