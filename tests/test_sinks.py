@@ -325,6 +325,7 @@ def test_table_run(spark, tmp_path):
     assert dry.written is None and dry.findings.count() == 3
     run = run_tables(item_answers, host_answers, state, AS_OF)
     assert (run.written, run.parsed, run.skipped, run.stale) == (3, 3, 1, 1)
+    assert run.findings.count() == 3  # the plan may be asked again
     rows = {r["table_name"]: r for r in state.current().collect()}
     assert {k: (str(r["data_age_hours"]), r["last_clock"]) for k, r in rows.items()} == {
         "a": ("1.50", 5), "b": ("None", None), "c": ("494868.00", None),

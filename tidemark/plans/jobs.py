@@ -131,5 +131,4 @@ def run_tables(
     # All counts come with the one write.
     written = state.upsert(freshness.observe(stale, late), newest="last_clock", tiebreak=item_order())
     found = counts.get
-    plan = detect_tables(item_responses, host_responses, moment, host, tag)
-    return Run(moment, plan, written, stale=stale.get["stale"], parsed=found["parsed"], skipped=found["skipped"])
+    return Run(moment, freshness, written, stale=stale.get["stale"], parsed=found["parsed"], skipped=found["skipped"])
