@@ -39,6 +39,8 @@ WINDOW = 22
 BANDS, ROWS = 6, 2
 SEED = 42  # as in Spark's xxhash64
 HASH_BYTES = 24
+#: Contexts whose hashes a task knows it has given; beyond that it gives them again.
+HELD_CONTEXTS = 200_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -199,7 +201,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     first = Table(classes.groupBy("class").agg(F.min(_place()).alias("_first")), "passage-first")
     later = classes.join(first.hinted(64), "class").where(~_place().eqNullSafe(F.col("_first")))
     later = Table(later.select("uid", "doc_id", "_key", "start", "n", "line", "_first"), "passage-later").frame
-    more = Table(_extensions(docs, some, later), "passage-extensions").frame
+    more = _extensions(docs, some, later)
     spans = later.select("doc_id", "_key", "start", "n", "_first").union(more)
     found = spans.join(_staying(spans), F.col("_first").eqNullSafe(F.col("_was"))).groupBy("doc_id", "_key").agg(
         F.collect_set(F.struct("start", "n")).alias("_spans"), F.collect_set("_stays").alias("kept_in")
@@ -240,9 +242,10 @@ def _extensions(docs: DataFrame, some: DataFrame, later: DataFrame) -> DataFrame
     """(doc_id, _key, start, n, _first): words before and after runs that repeat with them.
 
     Only runs at the edges of what runs and stretches cover have such words.  The
-    words at each edge are hashed one, two, ... at a time, outwards, for all texts
-    with that run; of each hash the first place stays, so the longest of any earlier
-    text counts and no pairs of texts are made.
+    words beside a run, outwards, are its context.  Places with the same context are
+    one from then on, so copies cost as much as one text; contexts that begin alike
+    meet by the hash of what they have in common.  Of each hash the first place
+    stays, so the longest of any earlier text counts and no pairs of texts are made.
     """
     inner = later.where("not line")
     covered = inner.groupBy("doc_id", "_key").agg(_merged(F.collect_set(F.struct("start", "n"))).alias("_covered"))
@@ -253,52 +256,97 @@ def _extensions(docs: DataFrame, some: DataFrame, later: DataFrame) -> DataFrame
     ends = F.exists("_covered", lambda c: c["start"] + c["n"] == F.col("start") + F.col("n"))
     sides = F.array(F.when(begins, -1), F.when(ends, 1))
     edges = runs.select("uid", "doc_id", "_key", "start", F.explode(sides).alias("side")).where("side is not null")
-    edges = Table(edges, "passage-edges").frame
-    wanted = Table(edges.select("uid", "side").distinct(), "passage-edge-runs")
+    edges = Table(edges, "passage-edges")
+    wanted = Table(edges.frame.select("uid", "side").distinct(), "passage-edge-runs")
     ask = some.where(~F.col("line") & (F.col("n") == MIN_WORDS)).join(wanted.hinted(HASH_BYTES), "uid")
     ask = ask.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("uid", "start", "side")).alias("_asked"))
-    ask = Table(ask.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_of"), "_asked"), "passage-asked").frame
+    ask = Table(ask.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_of"), "_asked"), "passage-asked")
     key = F.xxhash64("text")
-    texts = docs.join(ask, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_of")))
-    outward = Table(_outward(texts.select("doc_id", "_of", "text", "_asked")), "passage-outward").frame
-
-    by = ["uid", "side", "k", "hash"]
-    least = outward.groupBy(*by).agg(F.min(_place()).alias("_first"), F.max(_place()).alias("_last"))
-    least = Table(least.where(~F.col("_first").eqNullSafe(F.col("_last"))).drop("_last"), "passage-outward-first")
-    met = outward.join(least.hinted(96), by).where(~_place().eqNullSafe(F.col("_first")))
-    longest = met.groupBy("uid", "doc_id", "_key", "start", "side").agg(F.max(F.struct("k", "_first")).alias("_l"))
-    begin = F.when(F.col("side") < 0, F.col("start") - F.col("_l.k")).otherwise(F.col("start") + MIN_WORDS)
-    return longest.select("doc_id", "_key", begin.alias("start"), F.col("_l.k").cast("bigint").alias("n"), "_l._first")
+    texts = docs.join(ask.frame, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_of")))
+    outward = Table(_outward(texts.select("doc_id", "_of", "text", "_asked")), "passage-outward")
+
+    of = ["uid", "side", "context"]
+    contexts = outward.frame.groupBy(*of).agg(F.min(_place()).alias("_first"), F.max("hashes").alias("_hashes"))
+    contexts = Table(contexts, "passage-contexts")
+    begun = contexts.frame.select(*of, "_first", F.size("_hashes").alias("_n"), F.posexplode("_hashes").alias("k", "hash"))
+    node = ["uid", "side", "k", "hash"]
+    shared = begun.groupBy(*node).agg(F.min("_first").alias("_least"), F.count(F.lit(1)).alias("_of")).where("_of > 1")
+    met = begun.join(shared.drop("_of"), node).groupBy(*of).agg(
+        F.max(F.when(~F.col("_least").eqNullSafe(F.col("_first")), F.struct(F.col("k") + 1, "_least"))).alias("_longest"),
+        F.max(F.when(F.col("k") + 1 == F.col("_n"), F.col("_least"))).alias("_whole"),
+    )
+    reached = contexts.frame.join(met, of, "left").select(
+        *of, "_first", F.size("_hashes").alias("_n"), F.coalesce("_whole", "_first").alias("_whole"), "_longest"
+    )
+    # A place that is not the first of its context repeats all of it.
+    here = edges.frame.withColumnRenamed("doc_id", "_id").join(outward.frame.drop("hashes"), ["uid", "side", "_key", "start"])
+    here = here.where(F.col("doc_id").eqNullSafe(F.col("_id"))).join(reached, of)
+    whole = ~_place().eqNullSafe(F.col("_first"))
+    words = F.when(whole, F.col("_n")).otherwise(F.col("_longest").getField("col1"))
+    first = F.when(whole, F.col("_whole")).otherwise(F.col("_longest._least"))
+    longest = here.select("doc_id", "_key", "start", "side", words.cast("bigint").alias("n"), first.alias("_first"))
+    begin = F.when(F.col("side") < 0, F.col("start") - F.col("n")).otherwise(F.col("start") + MIN_WORDS)
+    more = longest.where("n is not null").select("doc_id", "_key", begin.alias("start"), "n", "_first")
+    more = Table(more, "passage-extensions")
+    for table in (edges, wanted, ask, outward, contexts):
+        table.drop()
+    return more.frame
 
 
 def _outward(texts: DataFrame) -> DataFrame:
-    """(uid, doc_id, _key, start, side, k, hash) of the k words next to each place asked for."""
+    """(uid, doc_id, _key, start, side, context, hashes) of the words next to each place asked for.
+
+    hashes are those of the first word, the first two, ... up to WINDOW - 1 words
+    outwards, and context stands for all of them.  A task gives them with the first
+    places of a context, and NULL with most others.  Places at the end of a text
+    have no such words and are left out.
+    """
     kind = texts.schema["doc_id"].dataType.simpleString()
-    names = ["uid", "doc_id", "_key", "start", "side", "k", "hash"]
+    names = ["uid", "doc_id", "_key", "start", "side", "context", "hashes"]
+    steps = np.arange(WINDOW - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
+        given: set[int] = set()
         for batch in batches:
+            found = []
             for row in range(batch.num_rows):
                 split = batch.column(2)[row].as_py().encode("utf-8", "surrogatepass").split()
                 words = np.fromiter(map(digest, split), np.uint64, len(split))
                 asked = batch.column(3).slice(row, 1).flatten()
                 uid, start, side = (asked.field(f).to_numpy() for f in ("uid", "start", "side"))
-                edge = np.where(side < 0, start - 1, start + MIN_WORDS)
-                hashes = np.zeros(len(edge), np.uint64)
-                for k in range(1, WINDOW):
-                    at = edge + side * (k - 1)
-                    inside = (at >= 0) & (at < len(words))
-                    if not inside.any():
-                        break
-                    edge, side, start, uid = edge[inside], side[inside], start[inside], uid[inside]
-                    hashes = _mixed(hashes[inside] + words[at[inside]])
-                    of = pa.array(np.full(len(edge), row))
-                    columns = [pa.array(uid), batch.column(0).take(of), batch.column(1).take(of), pa.array(start),
-                               pa.array(side), pa.array(np.full(len(edge), k, np.int32)), pa.array(hashes.view(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, names)
-
-    return texts.mapInArrow(run, f"uid bigint, doc_id {kind}, _key bigint, start bigint, side int, k int, hash bigint")
+                at = np.where(side < 0, start - 1, start + MIN_WORDS)[:, None] + side[:, None] * steps
+                counts = ((at >= 0) & (at < len(words))).sum(axis=1)
+                some = counts > 0
+                beside = words[np.clip(at[some], 0, len(words) - 1)]
+                hashes, value = np.zeros_like(beside), np.zeros(len(beside), np.uint64)
+                for k in steps:
+                    hashes[:, k] = value = _mixed(value + beside[:, k])
+                found.append((np.full(len(beside), row), uid[some], start[some], side[some], counts[some], hashes))
+            if not found:
+                continue
+            of, uid, start, side, counts, hashes = (np.concatenate(part) for part in zip(*found))
+            context = _mixed(hashes[np.arange(len(of)), counts - 1] + counts.astype(np.uint64))
+            marks = _mixed(context ^ uid.view(np.uint64)) + (side > 0).astype(np.uint64)
+            new = np.zeros(len(of), bool)
+            for place, mark in enumerate(marks.tolist()):
+                if mark not in given:
+                    given.add(mark)
+                    new[place] = True
+            if len(given) > HELD_CONTEXTS:
+                given.clear()
+            sizes = np.where(new, counts, 0)
+            inside = steps < sizes[:, None]
+            offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32), mask=np.r_[~new, False])
+            lists = pa.ListArray.from_arrays(offsets, pa.array(hashes[inside].view(np.int64)))
+            of = pa.array(of)
+            columns = [pa.array(uid), batch.column(0).take(of), batch.column(1).take(of), pa.array(start),
+                       pa.array(side), pa.array(context.view(np.int64)), lists]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return texts.mapInArrow(
+        run, f"uid bigint, doc_id {kind}, _key bigint, start bigint, side int, context bigint, hashes array<bigint>"
+    )
 
 
 def _merged(spans: Column | str) -> Column:
