@@ -189,19 +189,24 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     paragraphs.  Rows that repeat both id and text are one document.  An empty
     table gives an empty result.
     """
-    every = Table(occurrences(docs), "passage-units").frame
+    units = Table(occurrences(docs), "passage-units")
+    every = units.frame
     lines = every.where(F.size("bands") > 0)
     near = _near_lines(docs, lines)
     twice = every.groupBy("uid").count().where("count > 1").select("uid")
     seen = Table(twice.union(near.select(F.col("node").alias("uid"))).distinct(), "passage-repeated")
     some = every.join(seen.hinted(HASH_BYTES), "uid", "left_semi")
-    some = Table(some.select("uid", "doc_id", "_key", "start", "n", (F.size("bands") > 0).alias("line")), "passage-occurrences").frame
+    places = Table(some.select("uid", "doc_id", "_key", "start", "n", (F.size("bands") > 0).alias("line")), "passage-occurrences")
+    some = places.frame
+    _free(docs, units, seen)
     classes = some.join(near, some["uid"] == near["node"], "left")
     classes = classes.select(F.coalesce("root", "uid").alias("class"), *some.columns)
     first = Table(classes.groupBy("class").agg(F.min(_place()).alias("_first")), "passage-first")
     later = classes.join(first.hinted(64), "class").where(~_place().eqNullSafe(F.col("_first")))
     later = Table(later.select("uid", "doc_id", "_key", "start", "n", "line", "_first"), "passage-later").frame
+    _free(docs, first)
     more = _extensions(docs, some, later)
+    _free(docs, places)
     spans = later.select("doc_id", "_key", "start", "n", "_first").union(more)
     found = spans.join(_staying(spans), F.col("_first").eqNullSafe(F.col("_was"))).groupBy("doc_id", "_key").agg(
         F.collect_set(F.struct("start", "n")).alias("_spans"), F.collect_set("_stays").alias("kept_in")
@@ -209,6 +214,18 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "_key", _merged("_spans").alias("spans"), F.array_sort("kept_in").alias("kept_in"))
 
 
+def _free(docs: DataFrame, *tables: Table) -> None:
+    """Delete tables whose readers are written, and the shuffle files of jobs that are done.
+
+    Spark deletes shuffle files once the driver's memory manager finds that nothing
+    refers to them, which may take half an hour; asking for it keeps the disk to what
+    is still read.
+    """
+    for table in tables:
+        table.drop()
+    docs.sparkSession._jvm.System.gc()
+
+
 def _staying(spans: DataFrame) -> DataFrame:
     """(_was, _stays): for each _first of ``spans`` the document where its words stay.
 
@@ -264,10 +281,12 @@ def _extensions(docs: DataFrame, some: DataFrame, later: DataFrame) -> DataFrame
     key = F.xxhash64("text")
     texts = docs.join(ask.frame, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_of")))
     outward = Table(_outward(texts.select("doc_id", "_of", "text", "_asked")), "passage-outward")
+    _free(docs)
 
     of = ["uid", "side", "context"]
     contexts = outward.frame.groupBy(*of).agg(F.min(_place()).alias("_first"), F.max("hashes").alias("_hashes"))
     contexts = Table(contexts, "passage-contexts")
+    _free(docs)
     begun = contexts.frame.select(*of, "_first", F.size("_hashes").alias("_n"), F.posexplode("_hashes").alias("k", "hash"))
     node = ["uid", "side", "k", "hash"]
     shared = begun.groupBy(*node).agg(F.min("_first").alias("_least"), F.count(F.lit(1)).alias("_of")).where("_of > 1")
@@ -288,8 +307,7 @@ def _extensions(docs: DataFrame, some: DataFrame, later: DataFrame) -> DataFrame
     begin = F.when(F.col("side") < 0, F.col("start") - F.col("n")).otherwise(F.col("start") + MIN_WORDS)
     more = longest.where("n is not null").select("doc_id", "_key", begin.alias("start"), "n", "_first")
     more = Table(more, "passage-extensions")
-    for table in (edges, wanted, ask, outward, contexts):
-        table.drop()
+    _free(docs, edges, wanted, ask, outward, contexts)
     return more.frame
 
 
@@ -375,8 +393,11 @@ def _near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     banded = unique.select("uid", F.explode("bands").alias("band"))
     crowd = banded.groupBy("band").agg(F.count(F.lit(1)).alias("_n"), F.min("uid").alias("pivot")).where("_n > 1")
     crowd = Table(crowd.select("band", "pivot"), "passage-bands")
-    members = Table(banded.join(crowd.hinted(HASH_BYTES), "band"), "passage-members").frame
-    texts = Table(_texts(docs, members.select("uid").distinct()), "passage-lines").frame
+    banding = Table(banded.join(crowd.hinted(HASH_BYTES), "band"), "passage-members")
+    members = banding.frame
+    shingled = Table(_texts(docs, members.select("uid").distinct()), "passage-lines")
+    texts = shingled.frame
+    _free(docs, crowd)
 
     sketches = texts.select("uid", *SKETCH)
 
@@ -384,7 +405,9 @@ def _near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     # component needs no more comparing; the rest is compared across components.
     stars = members.where("uid <> pivot").select(F.col("pivot").alias("a"), F.col("uid").alias("b")).distinct()
     stars = stars.join(_named(sketches, "a"), "a").join(_named(sketches, "b"), "b").where(_may_be_similar())
-    linked = Table(_verified(stars.select("a", "b"), texts), "passage-links").frame
+    links = Table(_verified(stars.select("a", "b"), texts), "passage-links")
+    linked = links.frame
+    _free(docs)
     roots = Table(connected_components(linked), "passage-roots").frame
     placed = members.join(roots, members["uid"] == roots["node"], "left").select(
         "band", "uid", F.coalesce("root", "uid").alias("root")
@@ -392,12 +415,15 @@ def _near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     mixed = placed.groupBy("band").agg(F.min("root").alias("_l"), F.max("root").alias("_h")).where("_l <> _h")
     open_bands = Table(mixed.select("band"), "passage-open")
     rest = placed.join(open_bands.hinted(HASH_BYTES), "band", "left_semi").join(sketches, "uid")
-    rest = Table(rest, "passage-rest").frame
+    open_lines = Table(rest, "passage-rest")
+    rest = open_lines.frame
     left = _named(rest, "a").withColumnRenamed("root", "_r")
     right = _named(rest, "b").withColumnRenamed("root", "_s")
     across = (left["band"] == right["band"]) & (F.col("_r") < F.col("_s")) & _may_be_similar()
     pairs = left.join(right, across).select("a", "b").distinct()
-    return connected_components(linked.union(_verified(pairs, texts)))
+    near = connected_components(linked.union(_verified(pairs, texts)))
+    _free(docs, banding, shingled, links, open_bands, open_lines)
+    return near
 
 
 #: Number of shingles, and the parity of how many fall on each of 256 places.
