@@ -34,6 +34,13 @@ def test_tables_too_large_to_broadcast(spark, monkeypatch):
     assert all(len(r.text_sha256) == 64 for r in rows)
 
 
+def test_results_do_not_depend_on_the_size(spark, monkeypatch):
+    small = {d: sorted(map(tuple, exact_dedup.exact_duplicates(frame(spark, ROWS), d).collect()), key=str) for d in (True, False)}
+    monkeypatch.setattr("tidemark.llm.common.BROADCAST_BYTES", 0)
+    for d, want_rows in small.items():
+        assert sorted(map(tuple, exact_dedup.exact_duplicates(frame(spark, ROWS), d).collect()), key=str) == want_rows
+
+
 def test_drop_keeps_columns_and_one_row_each(spark):
     docs = frame(spark, ROWS)
     kept = exact_dedup.drop_exact_duplicates(docs)

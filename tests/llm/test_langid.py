@@ -103,8 +103,32 @@ def test_edges(spark):
     assert langid.predict(docs.limit(0), model).collect() == []
 
 
-def test_bounded_models_drop_rare_keys(spark, monkeypatch):
-    monkeypatch.setattr(langid, "MAX_KEYS", 12)
-    rows = [(i, "abab abab abab " * 9 + "qrs", "en", None, None, None, None, None) for i in range(4)]
-    model = langid.fit(spark.createDataFrame(rows, SCHEMA))
-    assert 0 < len(model.levels[0].grams) <= 12
+def test_parts_of_a_model_give_what_the_whole_gives(spark, monkeypatch):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    extra = spark.createDataFrame([(None, None), (None, "щука 漢字 😀"), (-1, ""), (-2, "the " * 9000)], "doc_id bigint, text string")
+    asked = docs.select("doc_id", "text").union(extra)
+
+    def found():
+        fitted = langid.fit(docs)
+        got = langid.predict(asked, fitted).toPandas().sort_values(["doc_id", "cross_entropy"])
+        return fitted, got.reset_index(drop=True)
+
+    whole, want = found()
+    monkeypatch.setattr(langid, "PART_KEYS", 2000)
+    cut, got = found()
+    assert len(whole.ranges) == 1 and len(cut.ranges) > 2 and len(want) == asked.count()
+    assert np.allclose(cut.limits, whole.limits)
+    assert (got["lang_pred"] == want["lang_pred"]).all() and (got["rejected"] == want["rejected"]).all()
+    for name in ("score", "cross_entropy"):
+        assert np.allclose(got[name], want[name], equal_nan=True)
+
+
+def test_every_counted_key_is_in_the_model(spark):
+    rows = [(i, "abab abab abab " * 9 + "qrs" + chr(0x10400 + i), "en", None, None, None, None, None) for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = langid.fit(docs).part(0)
+    keys = np.unique(np.concatenate([langid.keys_of(langid.letters(r[1])) for r in rows]))
+    assert (model.levels[0].grams == keys).all()
+    # Letters beyond the basic plane stay apart.
+    assert len({tuple(langid.keys_of(langid.letters(f"a{chr(0x10428 + i)}"))) for i in range(40)}) == 40

@@ -9,6 +9,7 @@ from tidemark.llm.common import Table, apart, ascii_lower
 
 PREFIX_CHARS = 64
 GROUP_BYTES = 48  # of a length and a prefix hash in a broadcast relation
+LENGTH_BYTES = 32  # of a length alone
 
 
 def exact_duplicates(docs: DataFrame, digest_all: bool = False) -> DataFrame:
@@ -29,22 +30,23 @@ def exact_duplicates(docs: DataFrame, digest_all: bool = False) -> DataFrame:
         F.xxhash64(ascii_lower(F.substring(text, 1, PREFIX_CHARS))).alias("_prefix"),
     ]
     narrow = Table(docs.select(*keys), "exact-keys").frame
-    lengths = narrow.groupBy("_length").count().where("count > 1").select("_length")
-    open_rows = narrow.join(lengths, "_length", "left_semi")
+    # A length may hold most rows, so few lengths are broadcast rather than shuffled on.
+    lengths = Table(narrow.groupBy("_length").count().where("count > 1").select("_length"), "exact-lengths")
+    open_rows = narrow.join(lengths.hinted(LENGTH_BYTES), "_length", "left_semi")
     groups = open_rows.groupBy("_length", "_prefix").count().where("count > 1").drop("count")
     groups = Table(groups.withColumn("_open", F.lit(True)), "exact-groups")
 
     keyed = docs.select(docs["doc_id"], text.alias("_text"), *keys)
     digest = F.sha2(ascii_lower(F.col("_text")), 256)
+    wanted = F.lit(True) if digest_all else F.col("_open")
     if groups.small(GROUP_BYTES):
         keyed = keyed.join(F.broadcast(groups.frame), ["_length", "_prefix"], "left")
-        wanted = F.lit(True) if digest_all else F.col("_open")
         hashed = keyed.select("doc_id", "_length", "_open", F.when(wanted, digest).alias("text_sha256"))
     else:
         # Beyond that, hashes are moved instead of texts.
         hashed = keyed.select("doc_id", "_length", "_prefix", digest.alias("text_sha256"))
         hashed = hashed.join(groups.frame, ["_length", "_prefix"], "left")
-        hashed = hashed.select("doc_id", "_length", "_open", "text_sha256")
+        hashed = hashed.select("doc_id", "_length", "_open", F.when(wanted, F.col("text_sha256")).alias("text_sha256"))
     hashed = Table(hashed, "exact-hashes").frame
 
     single = hashed.where("_open is null").select(
