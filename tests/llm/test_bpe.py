@@ -3,6 +3,7 @@
 import hashlib
 import os
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,12 +55,27 @@ def test_long_runs(text):
     assert bpe.codec(PATH).encode(text) == library_ids(text)
 
 
-def test_full_memory_changes_nothing(monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 2)
-    monkeypatch.setattr(bpe, "REMEMBERED_PARTS", 2)
-    own = bpe.Codec(PATH)
-    for text in ("one two, three", "one two, three four's", " lead", "trail ", "a  b\n c"):
-        assert own.encode(text) == library_ids(text)
+def test_portions_and_table_sizes_change_nothing(monkeypatch):
+    texts = ["one two, three", "one two, three four's", "", " lead", None, "trail ", "a  b\n c", "x<|endoftext|> y", "é" * 99]
+    for bits, portion, abreast, long in ((1, 1, 1, 1), (2, 10, 3, 4), (20, 1 << 20, 100, 1000)):
+        for name, value in (("PAIR_BITS", bits), ("PORTION", portion), ("ABREAST", abreast), ("LONG_BYTES", long)):
+            monkeypatch.setattr(bpe, name, value)
+        own = bpe.Codec(PATH)
+        assert [i.tolist() for i in own.encode_all(texts)] == [library_ids(t or "") for t in texts]
+        assert list(own.encode_all([])) == []
+
+
+def test_pairs_together_as_one_by_one():
+    own = bpe.codec(PATH)
+    rng = np.random.default_rng(5)
+    left, right = rng.integers(0, 50_000, (2, 20_000))
+    left[:9_000], right[:9_000] = rng.integers(0, 600, (2, 9_000))
+    keep = [own.sizes[a] > 0 and own.sizes[b] > 0 for a, b in zip(left, right)]
+    left, right = left[keep], right[keep]
+    want = [own.follows(a, b) for a, b in zip(left.tolist(), right.tolist())]
+    for _ in range(2):  # the second time from the table
+        assert own.follow(left, right).tolist() == want
+    assert 0 < sum(want) < len(want)
 
 
 def test_operators_and_edges(spark):

@@ -5,6 +5,10 @@ encoding of a shorter prefix.  So it is enough to know, for every prefix, the
 last token of its encoding: of the vocabulary tokens that end there, it is the
 one that may stand after the last token of the prefix before it.  Following the
 last tokens back from the end gives the exact ids, without merging anything.
+
+A worker takes the different pieces of many texts at once and goes through them
+side by side, one byte of all pieces in a step, so that each step is a few array
+operations whatever the number of pieces.
 """
 
 from __future__ import annotations
@@ -15,14 +19,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
-from itertools import chain
+from itertools import chain, count
 
-import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import Remembered, small_batches, tokenizer_file
+from tidemark.llm.common import small_batches, tokenizer_file
 
 #: Fixed value: the pattern of the pieces that byte-level BPE never merges across.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -46,9 +50,15 @@ PIECE_NEWER = regex.compile(
 )
 #: A space before another space or at the end, where cutting at spaces would not keep the pieces.
 UNEVEN = re.compile(r" (?:\s|\Z)")
-#: Words whose ids a worker remembers, and pieces and pairs; others are worked out whenever they come.
-REMEMBERED = 150_000
-REMEMBERED_PARTS = 60_000
+#: Characters of the texts taken at once, unless one text is longer.
+PORTION = 1 << 21
+#: Different pieces that go side by side.
+ABREAST = 1 << 14
+#: Pieces of more bytes, which are few, go one by one.
+LONG_BYTES = 64
+#: Places of the table of token pairs tested before, of 8 bytes each; a newer pair takes the place of an older one.
+PAIR_BITS = 20
+PAIR_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 ENDLESS = 1 << 60
 
 
@@ -63,6 +73,21 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+@dataclass(frozen=True)
+class Ends:
+    """Automaton of the vocabulary's bytes: which tokens end where, longest first.
+
+    A state stands for the longest end of what was read that begins a token.  Only
+    states with longer ones have a row of transitions of their own.
+    """
+
+    row: np.ndarray  # by state
+    table: np.ndarray  # rows x 256: next state
+    first: np.ndarray  # by state: the longest end of it that is a token, as a state; 0 is none
+    following: np.ndarray  # by such a state: the next shorter one
+    token: np.ndarray  # by such a state: its id
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     pieces: list[bytes]  # by id
@@ -70,7 +95,42 @@ class Vocabulary:
     made_at: list[int]  # rank of the merge that makes an id, -1 for single bytes
     parts: list[tuple[int, int]]  # the two ids an id is merged from
     specials: dict[str, int]
-    ends: ahocorasick.Automaton  # all tokens that end at each position of a Latin-1 spelling of bytes
+    ends: Ends
+
+
+def token_ends(spellings: dict[bytes, int]) -> Ends:
+    """The automaton of some tokens, made level by level from short to long."""
+    places: dict[int, int] = {}
+    token, parent, byte, depth = [-1], [0], [0], [0]
+    for spelling, number in spellings.items():
+        state = 0
+        for level, b in enumerate(spelling, 1):
+            state, before = places.setdefault(state << 8 | b, len(token)), state
+            if state == len(token):
+                token.append(-1)
+                parent.append(before)
+                byte.append(b)
+                depth.append(level)
+        token[state] = number
+    token, parent, byte, depth = map(np.array, (token, parent, byte, depth))
+    inner = np.unique(np.r_[0, parent])
+    row = np.full(len(token), -1)
+    row[inner] = np.arange(len(inner))
+    table = np.zeros((len(inner), 256), np.int32)
+    fail, first = np.zeros(len(token), np.int64), np.zeros(len(token), np.int64)
+    levels = np.split(np.argsort(depth, kind="stable"), np.cumsum(np.bincount(depth))[:-1])
+    for level, states in enumerate(levels):
+        if level > 1:
+            fail[states] = table[row[fail[parent[states]]], byte[states]]
+        first[states] = np.where(token[states] >= 0, states, first[fail[states]])
+        has_row = row[states] >= 0
+        row[states[~has_row]] = row[fail[states[~has_row]]]
+        if level:
+            table[row[states[has_row]]] = table[row[fail[states[has_row]]]]
+        if level + 1 < len(levels):
+            longer = levels[level + 1]
+            table[row[parent[longer]], byte[longer]] = longer
+    return Ends(row, table, first, first[fail], token)
 
 
 def read_vocabulary(path: str) -> Vocabulary:
@@ -92,11 +152,11 @@ def read_vocabulary(path: str) -> Vocabulary:
         a, b, c = (model["vocab"][x] for x in (left, right, left + right))
         merged[a, b] = rank
         made_at[c], parts[c] = rank, (a, b)
-    ends = ahocorasick.Automaton()
+    spellings = {}
     for number in model["vocab"].values():
         if made_at[number] >= 0 or len(pieces[number]) == 1:  # others never come out of merging
-            ends.add_word(pieces[number].decode("latin-1"), (len(pieces[number]), number))
-    ends.make_automaton()
+            spellings[pieces[number]] = number
+    ends = token_ends(spellings)
     return Vocabulary(pieces, merged, made_at, parts, specials, ends)
 
 
@@ -105,16 +165,20 @@ def pieces_of(text: str) -> list[str]:
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary, with what it remembers of words seen."""
+    """Encoder and decoder of one vocabulary."""
 
     def __init__(self, path: str):
-        self.words = read_vocabulary(path)
-        self.pairs: dict[int, bool] = {}
-        self.known = Remembered(REMEMBERED_PARTS)
-        self.spaced = Remembered(REMEMBERED)
-        self.names = [str(i) for i in range(len(self.words.pieces))]
-        found = "|".join(re.escape(s) for s in sorted(self.words.specials, key=len, reverse=True))
+        self.words = words = read_vocabulary(path)
+        self.names = [str(i) for i in range(len(words.pieces))]
+        found = "|".join(re.escape(s) for s in sorted(words.specials, key=len, reverse=True))
         self.special = re.compile(f"({found})") if found else None
+        self.sizes = np.array([len(p) for p in words.pieces])
+        self.made_at = np.array(words.made_at)
+        self.left_part, self.right_part = np.array(words.parts).T.copy()
+        keys = np.array([a << 32 | b for a, b in words.merged])
+        order = np.argsort(keys)
+        self.merge_keys, self.merge_ranks = keys[order], np.array(list(words.merged.values()))[order]
+        self.pairs = np.full(1 << PAIR_BITS, -1)  # pair and verdict in one number
 
     def follows(self, left: int, right: int) -> bool:
         """Whether merging leaves the seam between two tokens alone.
@@ -123,97 +187,175 @@ class Codec:
         the seam at a time may merge if the rank comes before the next merge of
         either side; of equal ranks the one further left comes first.
         """
-        pair = left << 32 | right
-        got = self.pairs.get(pair)
-        if got is not None:
-            return got
         merged, made_at, parts = self.words.merged, self.words.made_at, self.words.parts
-        a, b, until_a, until_b, apart = left, right, ENDLESS, ENDLESS, True
+        a, b, until_a, until_b = left, right, ENDLESS, ENDLESS
         while True:
             rank = merged.get((a, b))
             if rank is not None and rank < until_a and rank <= until_b:
-                apart = False
-                break
+                return False
             if made_at[a] > made_at[b]:
                 until_a, a = made_at[a], parts[a][1]
             elif made_at[b] >= 0:
                 until_b, b = made_at[b], parts[b][0]
             else:
-                break
-        if len(self.pairs) >= REMEMBERED_PARTS:
-            self.pairs.clear()
-        self.pairs[pair] = apart
-        return apart
+                return True
+
+    def follow(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``follows`` of many pairs."""
+        pair = left.astype(np.int64) << 32 | right
+        place = (pair.view(np.uint64) * PAIR_FACTOR >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        got = self.pairs[place]
+        out = (got & 1).astype(bool)
+        new = np.flatnonzero(got >> 1 != pair)
+        if len(new):
+            out[new] = self._taken_apart(left[new], right[new])
+            self.pairs[place[new]] = pair[new] << 1 | out[new]
+        return out
+
+    def _taken_apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out, open_ = np.ones(len(a), bool), np.arange(len(a))
+        until_a = np.full(len(a), ENDLESS)
+        until_b = until_a.copy()
+        while len(open_):
+            pair = a.astype(np.int64) << 32 | b
+            at = np.minimum(np.searchsorted(self.merge_keys, pair), len(self.merge_keys) - 1)
+            rank = np.where(self.merge_keys[at] == pair, self.merge_ranks[at], ENDLESS)
+            merges = (rank < until_a) & (rank <= until_b)
+            out[open_[merges]] = False
+            made_a, made_b = self.made_at[a], self.made_at[b]
+            first_a = made_a > made_b
+            more = ~merges & (first_a | (made_b >= 0))
+            until_a, until_b = np.where(first_a, made_a, until_a)[more], np.where(first_a, until_b, made_b)[more]
+            a, b = np.where(first_a, self.right_part[a], a)[more], np.where(first_a, b, self.left_part[b])[more]
+            open_ = open_[more]
+        return out
 
     def piece(self, text: str) -> tuple[int, ...]:
         """Ids of one piece, from the last token of each of its prefixes."""
-        spelling = text.encode("utf-8").decode("latin-1")
+        spelling, ends = text.encode("utf-8"), self.words.ends
         last = [-1] * (len(spelling) + 1)
-        begin = [0] * (len(spelling) + 1)
-        follows = self.follows
-        for end, (length, token) in self.words.ends.iter(spelling):
-            end += 1
-            if last[end] >= 0:
-                continue
-            start = end - length
-            if start == 0 or (last[start] >= 0 and follows(last[start], token)):
-                last[end], begin[end] = token, start
+        state = 0
+        for end, b in enumerate(spelling, 1):
+            state = ends.table[ends.row[state], b]
+            found = ends.first[state]
+            while found:
+                token = int(ends.token[found])
+                start = end - len(self.words.pieces[token])
+                if start == 0 or (last[start] >= 0 and self.follows(last[start], token)):
+                    last[end] = token
+                    break
+                found = ends.following[found]
         ids, at = [], len(spelling)
         while at:
             ids.append(last[at])
-            at = begin[at]
+            at -= len(self.words.pieces[last[at]])
         return tuple(reversed(ids))
 
-    def chunk(self, text: str) -> tuple[int, ...]:
-        """Ids of a text that begins and ends where pieces do."""
-        parts = pieces_of(text)
-        if len(parts) == 1:  # a caller that sees it again remembers it itself
-            return self.known.get(text) or self.piece(text)
-        return tuple(chain.from_iterable(map(self._piece, parts)))
-
-    def _piece(self, text: str) -> tuple[int, ...]:
-        ids = self.known.get(text)
-        if ids is None:
-            ids = self.piece(text)
-            self.known.keep(text, ids)
-        return ids
-
-    def _word(self, text: str) -> tuple[int, ...]:
-        """Ids of a word with a space before it."""
-        ids = self.chunk(" " + text)
-        self.spaced.keep(text, ids)
-        return ids
+    def _abreast(self, spellings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that come in order of length, longest first: numbers of ids, and all ids in a row."""
+        ends, lengths = self.words.ends, np.array([len(s) for s in spellings])
+        flat = np.frombuffer(b"".join(spellings), np.uint8)
+        begins = np.cumsum(lengths) - lengths
+        last = np.full((lengths[0] + 1, len(spellings)), -1, np.int32)
+        state = np.zeros(len(spellings), np.int64)
+        for at in range(lengths[0]):
+            here = np.searchsorted(-lengths, -at)  # pieces with a byte there
+            state = ends.table[ends.row[state[:here]], flat[begins[:here] + at]]
+            found = ends.first[state]
+            open_ = np.flatnonzero(found)
+            found = found[open_]
+            while len(open_):
+                token = ends.token[found]
+                start = at + 1 - self.sizes[token]
+                before = last[start, open_]
+                fits = start == 0
+                asked = np.flatnonzero(before >= 0)
+                fits[asked] = self.follow(before[asked], token[asked])
+                last[at + 1, open_[fits]] = token[fits]
+                found = ends.following[found]
+                more = ~fits & (found > 0)
+                open_, found = open_[more], found[more]
+        steps, left, open_ = [], lengths.copy(), np.arange(len(spellings))
+        number = np.zeros(len(spellings), np.int64)
+        while len(open_):
+            token = last[left[open_], open_]
+            steps.append((open_, token))
+            number[open_] += 1
+            left[open_] -= self.sizes[token]
+            open_ = open_[left[open_] > 0]
+        ids, back = np.empty(number.sum(), np.int32), np.cumsum(number) - 1
+        for k, (where, token) in enumerate(steps):
+            ids[back[where] - k] = token
+        return number, ids
+
+    def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different pieces or special tokens: where they begin, how many, and all ids."""
+        spellings = [t.encode("utf-8") for t in texts]
+        sizes = np.fromiter(map(len, spellings), np.int64, len(texts))
+        alone = set(np.flatnonzero(sizes > LONG_BYTES).tolist())
+        alone |= {k for k, t in enumerate(texts) if t in self.words.specials}
+        order = np.argsort(-sizes, kind="stable")
+        if alone:
+            order = order[~np.isin(order, list(alone))]
+        begin, number = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        found, total = [], 0
+        for low in range(0, len(order), ABREAST):
+            some = order[low : low + ABREAST]
+            many, ids = self._abreast([spellings[k] for k in some.tolist()])
+            begin[some], number[some] = total + np.cumsum(many) - many, many
+            found.append(ids)
+            total += len(ids)
+        for k in alone:
+            special = self.words.specials.get(texts[k])
+            ids = np.array(self.piece(texts[k]) if special is None else [special], np.int32)
+            begin[k], number[k] = total, len(ids)
+            found.append(ids)
+            total += len(ids)
+        return begin, number, np.concatenate(found) if found else np.zeros(0, np.int32)
+
+    def _cut(self, text: str) -> list[str]:
+        """Pieces of a text, and special tokens spelled out in it, which count as such."""
+        if self.special is None or not any(s in text for s in self.words.specials):
+            return pieces_of(text)
+        parts = self.special.split(text)
+        return list(chain.from_iterable([p] if p in self.words.specials else pieces_of(p) for p in parts))
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each whole text in turn; None counts as empty."""
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            held.append(self._cut(text or ""))
+            size += len(text or "")
+            if size >= PORTION:
+                yield from self._encoded(held)
+                held, size = [], 0
+        yield from self._encoded(held)
+
+    def _encoded(self, cut: list[list[str]]) -> Iterator[np.ndarray]:
+        parts = list(chain.from_iterable(cut))
+        number_of = dict(zip(dict.fromkeys(parts), count()))
+        which = np.fromiter(map(number_of.__getitem__, parts), np.int64, len(parts))
+        begin, number, ids = self.pieces(list(number_of))
+        lengths = number[which]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = ids[np.repeat(begin[which] - ends + lengths, lengths) + np.arange(total)]
+        bounds = np.r_[0, ends][np.cumsum([0, *map(len, cut)])]
+        for low, high in zip(bounds, bounds[1:]):
+            yield flat[low:high]
 
     def encode(self, text: str) -> list[int]:
-        """Ids of the whole text; special tokens spelled out in it count as such."""
-        if self.special is None or not any(s in text for s in self.words.specials):
-            return self._plain(text)
-        ids: list[int] = []
-        for part in self.special.split(text):
-            number = self.words.specials.get(part)
-            ids.extend(self._plain(part) if number is None else [number])
-        return ids
-
-    def _plain(self, text: str) -> list[int]:
-        if not text:
-            return []
-        if UNEVEN.search(text):
-            return list(self.chunk(text))
-        # A space before something else always begins a piece.
-        first, *rest = text.split(" ")
-        found = list(map(self.spaced.get, rest))
-        if None in found:
-            found = [self._word(w) if ids is None else ids for w, ids in zip(rest, found)]
-        return [*self.chunk(first), *chain.from_iterable(found)]
+        """Ids of the whole text."""
+        return next(self.encode_all([text])).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids; bytes that are not UTF-8 become replacement characters."""
         pieces = self.words.pieces
         return b"".join([pieces[i] for i in ids]).decode("utf-8", "replace")
 
-    def digests(self, text: str | None) -> tuple[int, str, str]:
-        """Length and hash of the ids of a text, and hash of the text decoded from them."""
-        ids = self.encode(text or "")
+    def digests(self, ids: list[int]) -> tuple[int, str, str]:
+        """Number and hash of ids, and hash of the text decoded from them."""
         names = self.names
         written = ",".join([names[i] for i in ids]).encode()
         return len(ids), sha256(written).hexdigest(), sha256(self.decode(ids).encode()).hexdigest()
@@ -235,7 +377,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(doc_id: pa.Array, text: pa.Array) -> list[pa.Array]:
         own = codec(path)
-        return [doc_id, pa.array([own.encode(t.as_py() or "") for t in text], pa.list_(pa.int32()))]
+        return [doc_id, pa.array(list(own.encode_all(text.to_pylist())), pa.list_(pa.int32()))]
 
     return _mapped(docs, "text", run, "ids array<int>")
 
@@ -260,7 +402,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(doc_id: pa.Array, text: pa.Array) -> list[pa.Array]:
         own = codec(path)
-        n, ids, decoded = zip(*(own.digests(t.as_py()) for t in text))
+        n, ids, decoded = zip(*(own.digests(i.tolist()) for i in own.encode_all(text.to_pylist())))
         return [doc_id, pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
 
     return _mapped(docs, "text", run, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
