@@ -47,6 +47,15 @@ def test_words_are_encoded_as_the_whole_text(text):
     assert got == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def test_portions_change_nothing(monkeypatch):
+    texts = ["one two one", "", "two\n three ", "a<|endoftext|> b", "é two 漢字 one", "\n", "one  two", "😀 😀"]
+    for portion, words in ((1, 1), (8, 2), (1 << 20, 100)):
+        monkeypatch.setattr(token_store, "PORTION", portion)
+        monkeypatch.setattr(token_store, "WORDS_A_CALL", words)
+        got = [i.tolist() for i in token_store.library_encoder(PATH).encode_all(texts)]
+        assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def expected(rows):
     out, at = [], 0
     for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):

@@ -94,39 +94,6 @@ class Table:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-class Remembered(dict):
-    """A worker's bounded memory of texts and what was worked out for them.
-
-    Most words of a corpus come once, so a text is kept from its second time on;
-    a hashed bitmap tells, and begins anew when it has filled up.  When the memory
-    is full nothing more is kept.  It changes what is worked out again, never what
-    comes out.
-    """
-
-    LONGEST = 64
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.most = most
-        self._begin()
-
-    def _begin(self) -> None:
-        self._seen = bytearray(1 << 20)
-        self._marks = 0
-
-    def keep(self, text: str, value: object) -> None:
-        if len(self) >= self.most or len(text) > self.LONGEST:
-            return
-        mark = hash(text) & 0xFFFFF
-        if self._seen[mark]:
-            self[text] = value
-            return
-        self._seen[mark] = 1
-        self._marks += 1
-        if self._marks > 300_000:
-            self._begin()
-
-
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     """Place of a public vocabulary; TOKENIZER_DIR names a folder of another place."""
     folder = os.environ.get("TOKENIZER_DIR")

@@ -17,8 +17,9 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import UNEVEN
-from tidemark.llm.common import Remembered, small_batches, tokenizer_file
+from tidemark.llm.common import small_batches, tokenizer_file
 from tidemark.session import scratch_dir
 
 MAGIC = b"DAC1"
@@ -35,8 +36,10 @@ BLOCK = 512
 #: Ids after which a token file is closed at the end of a document.
 SHARD_IDS = 1 << 20
 END_ID = 2
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Characters of the texts encoded at once, unless one text is longer.
+PORTION = 1 << 22
+#: Different words given to the library as one text.
+WORDS_A_CALL = 2000
 
 
 # --- the codes -----------------------------------------------------------------
@@ -120,10 +123,10 @@ class TokenFile:
 
 
 class LibraryEncoder:
-    """Ids of the tokenizers library as packed numbers; words seen before are remembered.
+    """Ids of the tokenizers library for many texts at once.
 
     A space before something else always begins a piece, so a text may be cut
-    there, and each word encoded once.
+    there, and each different word of the texts encoded once.
     """
 
     def __init__(self, path: str):
@@ -134,35 +137,56 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.words = Remembered(REMEMBERED)
         self.sizes = np.zeros(self.library.get_vocab_size(), np.int64)
         for spelling, number in self.library.get_vocab(with_added_tokens=False).items():
             self.sizes[number] = len(spelling)  # a byte-level spelling has one letter a byte
 
     def encode(self, text: str) -> np.ndarray:
-        if UNEVEN.search(text) or any(s in text for s in self.specials):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        first, *rest = text.split(" ")
-        found = list(map(self.words.get, rest))
-        if None in found:
-            missing = {w: b"" for w, got in zip(rest, found) if got is None}
-            self._look_up(missing)
-            found = [missing[w] if got is None else got for w, got in zip(rest, found)]
-        head = self.library.encode(first, add_special_tokens=False).ids if first else []
-        return np.frombuffer(b"".join([np.array(head, "<u4").tobytes(), *found]), "<u4")
-
-    def _look_up(self, words: dict[str, bytes]) -> None:
-        """Ids of all words at once, told apart by the bytes their tokens stand for."""
-        spaced = [" " + w for w in words]
-        (got,) = self.library.encode_batch_fast(["".join(spaced)], add_special_tokens=False)
-        ids = np.array(got.ids, "<u4")
-        ends = np.cumsum([len(w.encode()) for w in spaced])
-        cuts = (4 * (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1)).tolist()
-        raw, low = ids.tobytes(), 0
-        for w, high in zip(list(words), cuts):
-            words[w] = raw[low:high]
-            low = high
-            self.words.keep(w, words[w])
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """Ids of each whole text in turn, worked out in portions."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= PORTION:
+                yield from self._portion(held)
+                held, size = [], 0
+        yield from self._portion(held)
+
+    def _portion(self, texts: list[str]) -> Iterator[np.ndarray]:
+        whole = [UNEVEN.search(t) is not None or any(s in t for s in self.specials) for t in texts]
+        cut = [[] if as_one else t.split(" ")[1:] for t, as_one in zip(texts, whole)]
+        firsts = [t if as_one else t.split(" ", 1)[0] for t, as_one in zip(texts, whole)]
+        words = list(chain.from_iterable(cut))
+        number_of = dict(zip(dict.fromkeys(words), count()))
+        which = np.fromiter(map(number_of.__getitem__, words), np.int64, len(words))
+        begin, number, ids = self._words(list(number_of))
+        lengths = number[which]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = ids[np.repeat(begin[which] - ends + lengths, lengths) + np.arange(total)]
+        bounds = np.r_[0, ends][np.cumsum([0, *map(len, cut)])]
+        heads = self.library.encode_batch_fast(firsts, add_special_tokens=False)
+        for head, low, high in zip(heads, bounds, bounds[1:]):
+            yield np.concatenate([np.array(head.ids, "<u4"), flat[low:high]])
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words with a space before each: where they begin, how many, and all ids.
+
+        The library gets many words as one text; they are told apart by the bytes
+        their tokens stand for.
+        """
+        found = []
+        for low in range(0, len(words), WORDS_A_CALL):
+            (got,) = self.library.encode_batch_fast([" " + " ".join(words[low : low + WORDS_A_CALL])], add_special_tokens=False)
+            found.append(np.array(got.ids, "<u4"))
+        ids = np.concatenate(found) if found else np.zeros(0, "<u4")
+        spelled = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in words), np.int64, len(words)))
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), spelled) + 1
+        begin = np.r_[0, ends[:-1]].astype(np.int64)
+        return begin, ends - begin, ids
 
 
 @lru_cache(maxsize=2)
@@ -205,11 +229,10 @@ def write_store(docs: DataFrame, folder: str | None = None, path: str | None = N
         names: list = []
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                got = own.encode(text.as_py())
+            for doc_id, got in zip(batch.column(0).to_pylist(), own.encode_all(batch.column(1).to_pylist())):
                 ids += [got, end]
                 lengths.append(len(got) + 1)
-                names.append(doc_id.as_py())
+                names.append(doc_id)
                 held += len(got) + 1
                 if held >= SHARD_IDS:
                     yield close()
