@@ -17,7 +17,6 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections import deque
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain, count
@@ -38,7 +37,7 @@ BLOCK = 512
 SHARD_IDS = 1 << 20
 END_ID = 2
 #: Characters of the texts encoded at once, unless one text is longer.
-PORTION = 1 << 23
+PORTION = 1 << 22
 #: Different words given to the library as one text.
 WORDS_A_CALL = 2000
 
@@ -226,25 +225,18 @@ def write_store(docs: DataFrame, folder: str | None = None, path: str | None = N
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(id_type)]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], columns)
 
-        def texts() -> Iterator[str]:
-            nonlocal id_type
-            for batch in batches:
-                id_type = batch.schema.field(0).type
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    asked.append(doc_id)
-                    yield text
-
         columns = ["part", "seq", "first", "n_ids", "lengths", "payload", "doc_ids"]
         names: list = []
-        asked, id_type = deque(), None  # ids of the documents of a portion, which may be of several batches
-        for got in own.encode_all(texts()):
-            ids += [got, end]
-            lengths.append(len(got) + 1)
-            names.append(asked.popleft())
-            held += len(got) + 1
-            if held >= SHARD_IDS:
-                yield close()
-                seq, first, held, ids, lengths, names = seq + 1, first + held, 0, [], [], []
+        for batch in batches:
+            id_type = batch.schema.field(0).type
+            for doc_id, got in zip(batch.column(0).to_pylist(), own.encode_all(batch.column(1).to_pylist())):
+                ids += [got, end]
+                lengths.append(len(got) + 1)
+                names.append(doc_id)
+                held += len(got) + 1
+                if held >= SHARD_IDS:
+                    yield close()
+                    seq, first, held, ids, lengths, names = seq + 1, first + held, 0, [], [], []
         if names:
             yield close()
 
