@@ -2,6 +2,7 @@
 
 import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pytest
@@ -56,6 +57,29 @@ def test_portions_change_nothing(monkeypatch):
         assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_words_stay_known_within_a_bound(monkeypatch):
+    own, given = token_store.LibraryEncoder(PATH), []
+    words = own._words
+    monkeypatch.setattr(own, "_words", lambda new: given.append(list(new)) or words(new))
+
+    def check(*texts):
+        got = [i.tolist() for i in own.encode_all(texts)]
+        assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+        return sorted(chain.from_iterable(given)), given.clear()
+
+    assert check("a one two", "b two three")[0] == ["one", "three", "two"]
+    assert check("a three one two", "b öne three")[0] == ["öne"]
+    monkeypatch.setattr(token_store, "KEPT_WORDS", 4)
+    assert check("a two five öne five")[0] == ["five"]
+    assert len(own.lengths) == len(own.numbers) == 3  # the words of the last text stay
+    assert check("a five one öne", "")[0] == ["one"]
+    monkeypatch.setattr(token_store, "KEPT_WORDS", 0)
+    assert check("a five", "b one one two five six")[0] == ["six"]
+    assert check("", "c") == ([], None) and not len(own.lengths) and not len(own.ids)
+    own.numbers["broken"]  # a number without ids
+    assert check("a broken one")[0] == ["broken", "one"]
+
+
 def expected(rows):
     out, at = [], 0
     for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):

@@ -17,9 +17,10 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, count
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ END_ID = 2
 PORTION = 1 << 22
 #: Different words given to the library as one text.
 WORDS_A_CALL = 2000
+#: Different words, and ids of them, above which an encoder keeps only those of its last texts.
+KEPT_WORDS, KEPT_IDS = 1 << 19, 1 << 22
 
 
 # --- the codes -----------------------------------------------------------------
@@ -126,7 +129,8 @@ class LibraryEncoder:
     """Ids of the tokenizers library for many texts at once.
 
     A space before something else always begins a piece, so a text may be cut
-    there, and each different word of the texts encoded once.
+    there, and each different word encoded once.  Words stay known from texts to
+    texts, within a fixed size that saves work and changes nothing.
     """
 
     def __init__(self, path: str):
@@ -140,6 +144,13 @@ class LibraryEncoder:
         self.sizes = np.zeros(self.library.get_vocab_size(), np.int64)
         for spelling, number in self.library.get_vocab(with_added_tokens=False).items():
             self.sizes[number] = len(spelling)  # a byte-level spelling has one letter a byte
+        self._keep([], np.zeros(0, np.int64), np.zeros(0, "<u4"))
+
+    def _keep(self, words: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        """Know these words and no others: numbered as they come, ids one word after the other."""
+        self.numbers = defaultdict(count(len(words)).__next__, zip(words, count()))
+        self.lengths, self.ids = lengths, ids
+        self.begins = np.cumsum(lengths) - lengths
 
     def encode(self, text: str) -> np.ndarray:
         return next(self.encode_all([text]))
@@ -160,20 +171,38 @@ class LibraryEncoder:
         cut = [[] if as_one else t.split(" ")[1:] for t, as_one in zip(texts, whole)]
         firsts = [t if as_one else t.split(" ", 1)[0] for t, as_one in zip(texts, whole)]
         words = list(chain.from_iterable(cut))
-        number_of = dict(zip(dict.fromkeys(words), count()))
-        which = np.fromiter(map(number_of.__getitem__, words), np.int64, len(words))
-        begin, number, ids = self._words(list(number_of))
-        lengths = number[which]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = ids[np.repeat(begin[which] - ends + lengths, lengths) + np.arange(total)]
+        flat, ends = self._known(words)
         bounds = np.r_[0, ends][np.cumsum([0, *map(len, cut)])]
         heads = self.library.encode_batch_fast(firsts, add_special_tokens=False)
         for head, low, high in zip(heads, bounds, bounds[1:]):
             yield np.concatenate([np.array(head.ids, "<u4"), flat[low:high]])
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of words with a space before each: where they begin, how many, and all ids.
+    def _known(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of words with a space before each, and where those of each word end."""
+        before = len(self.lengths)
+        if len(self.numbers) != before:  # an error came between a word's number and its ids
+            self._keep([], self.lengths[:0], self.ids[:0])
+            before = 0
+        which = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        lengths, ids = self._words(list(islice(self.numbers, before, None)))
+        self.begins = np.r_[self.begins, len(self.ids) + np.cumsum(lengths) - lengths]
+        self.ids = np.r_[self.ids, ids]
+        self.lengths = np.r_[self.lengths, lengths]
+        if len(self.lengths) > KEPT_WORDS or len(self.ids) > KEPT_IDS:
+            last, which = np.unique(which, return_inverse=True)
+            names = list(self.numbers)
+            self._keep([names[k] for k in last], self.lengths[last], self._joined(last)[0])
+        return self._joined(which)
+
+    def _joined(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of known words by number, and where those of each word end."""
+        lengths = self.lengths[which]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.begins[which] - ends + lengths, lengths) + np.arange(total)], ends
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words with a space before each: how many of each, and all of them.
 
         The library gets many words as one text; they are told apart by the bytes
         their tokens stand for.
@@ -185,8 +214,7 @@ class LibraryEncoder:
         ids = np.concatenate(found) if found else np.zeros(0, "<u4")
         spelled = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in words), np.int64, len(words)))
         ends = np.searchsorted(np.cumsum(self.sizes[ids]), spelled) + 1
-        begin = np.r_[0, ends[:-1]].astype(np.int64)
-        return begin, ends - begin, ids
+        return np.diff(ends, prepend=0), ids
 
 
 @lru_cache(maxsize=2)
