@@ -152,6 +152,70 @@ def test_whole_passages_go(spark):
         assert " ".join(texts[d].split()[span.start : span.start + span.n]) == passage
 
 
+def test_contexts_in_arrays_and_dealt_against_all_pairs(spark):
+    rng = random.Random(14)
+    rows, at = {}, 0
+    for uid in range(60):
+        for _ in range(rng.choice([1, 2, 5, 40])):
+            words = [rng.randint(1, 2) for _ in range(rng.randint(1, P.WINDOW - 1))]
+            hashes = tuple(hash((uid, *words[: k + 1])) for k in range(len(words)))
+            side, first = rng.choice([-1, 1]), (rng.choice([None, rng.randint(0, 9)]), rng.randint(0, 9), at)
+            rows.setdefault((uid, side, hashes), first)
+            at += 1
+
+    def order(place):
+        return (place[0] is not None, place[0] or 0, *place[1:])
+
+    want = set()
+    for (uid, side, own), first in rows.items():
+        found = (None, None)
+        for k in range(len(own)):
+            alike = [f for (u, s, o), f in rows.items() if (u, s) == (uid, side) and o[k : k + 1] == own[k : k + 1]]
+            least = min(alike, key=order)
+            found = (k + 1, least) if least != first else found
+        want.add((uid, side, own[-1], first, len(own), *found))
+    kind = "uid bigint, side int, context bigint, _first struct<doc_id:bigint,_key:bigint,start:bigint>, _hashes array<bigint>"
+    contexts = spark.createDataFrame([(u, s, o[-1], f, list(o)) for (u, s, o), f in rows.items()], kind)
+    for way in (P._compared, P._dealt):
+        got = way(contexts).select("uid", "side", "context", "_first", "_n", "_words", "_least").collect()
+        assert {tuple(tuple(x) if isinstance(x, tuple) else x for x in r) for r in got} == want and len(got) == len(want)
+    assert P._compared(contexts.limit(0)).collect() == []
+
+
+def test_contexts_deal_no_rows_for_their_hashes_unless_crowded(spark, monkeypatch):
+    rng = random.Random(15)
+    rows = []
+    for k in range(0, 30, 3):
+        passage = prose(rng, 60)
+        rows += [(k + j, f"{prose(rng, 40)} {passage} {prose(rng, 40)}") for j in range(3)]
+    dealt = P._dealt
+    calls = []
+    monkeypatch.setattr(P, "_dealt", lambda contexts: calls.append(1) or dealt(contexts))
+    few = sorted(map(str, P.repeated_passages(frame(spark, rows)).collect()))
+    assert len(few) == 20 and not calls
+    monkeypatch.setattr(P, "GROUP_CONTEXTS", 1)
+    assert sorted(map(str, P.repeated_passages(frame(spark, rows)).collect())) == few and calls
+
+
+def test_only_places_that_moved_take_another_step(spark, monkeypatch):
+    def place(d):
+        return (d, 7, 0)
+
+    chain = [(d, 7, 0, 20, place(d - 1)) for d in range(2, 6)] + [(d, 7, 0, 20, place(50)) for d in range(60, 90)]
+    chain.append((None, 7, 5, 20, place(90)))
+    spans = spark.createDataFrame(chain, "doc_id bigint, _key bigint, start bigint, n bigint, _first struct<doc_id:bigint,_key:bigint,start:bigint>")
+    made, table = [], P.Table
+
+    def counted(*args, **totals):
+        made.append(table(*args, **totals))
+        return made[-1]
+
+    monkeypatch.setattr(P, "Table", counted)
+    got = {r._was.doc_id: r._stays for r in P._staying(spans).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 50: 50, 90: 90}
+    assert [t.rows for t in made] == [6, 6, 3, 2, 1]
+
+
 def test_edges(spark):
     rng = random.Random(8)
     text, long_text = prose(rng, 40), prose(rng, 40_000)

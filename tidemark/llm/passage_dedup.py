@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, Table, apart, small_batches
+from tidemark.llm.common import BROADCAST_BYTES, SPACES, Table, apart, small_batches
 from tidemark.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -39,8 +39,12 @@ WINDOW = 22
 BANDS, ROWS = 6, 2
 SEED = 42  # as in Spark's xxhash64
 HASH_BYTES = 24
+#: Of a pair of places that is broadcast.
+PLACES_BYTES = 160
 #: Contexts whose hashes a task knows it has given; beyond that it gives them again.
 HELD_CONTEXTS = 200_000
+#: Contexts of a run and side that are compared in one row; of more, each hash is a row.
+GROUP_CONTEXTS = 64
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -231,24 +235,33 @@ def _staying(spans: DataFrame) -> DataFrame:
 
     A place chosen in one text need not be one in an earlier text with the same
     words, so a first place may lie in words that go; it is followed to where those
-    were first.  Every step leads to an earlier place.
+    were first.  Every step leads to an earlier place, and only places that moved
+    take another.
     """
     places = spans.select(F.col("_first").alias("_was")).distinct()
     now = Table(places.select("_was", F.col("_was").alias("_now")), "passage-staying")
+    moving, steps = now.hinted(PLACES_BYTES), []
+    here = F.col("_now.start") - F.col("start")
+    met = (F.col("doc_id").eqNullSafe(F.col("_now.doc_id")) & (F.col("_key") == F.col("_now._key"))
+           & (here >= 0) & (here < F.col("n")))
+    to = F.struct("_first.doc_id", "_first._key", (F.col("_first.start") + here).alias("start"))
     while True:
-        here = F.col("_now.start") - F.col("start")
-        met = (F.col("doc_id").eqNullSafe(F.col("_now.doc_id")) & (F.col("_key") == F.col("_now._key"))
-               & (here >= 0) & (here < F.col("n")))
-        to = F.struct("_first.doc_id", "_first._key", (F.col("_first.start") + here).alias("start"))
-        joined = now.frame.join(spans, met, "left").groupBy("_was", "_now").agg(
-            F.min(F.when(F.col("_first").isNotNull(), to)).alias("_to")
-        )
-        after = Table(joined.withColumn("_seen", F.col("_to").isNotNull()).select(
-            "_was", F.coalesce("_to", "_now").alias("_now"), "_seen"), "passage-staying", _moved=F.count_if("_seen"))
-        now.drop()
-        now = after
-        if not now.totals.get("_moved"):
-            return now.frame.select("_was", F.col("_now.doc_id").alias("_stays"))
+        found = moving.join(spans, met).select("_was", "_now", to.alias("_to"))
+        found = found.unionByName(moving.select("_was", "_now"), allowMissingColumns=True)
+        found = found.groupBy("_was", "_now").agg(F.min("_to").alias("_to"))
+        seen = F.col("_to").isNotNull()
+        after = Table(found.select("_was", F.coalesce("_to", "_now").alias("_now"), seen.alias("_seen")),
+                      "passage-staying", _moved=F.count_if("_seen"))
+        if not steps:
+            now.drop()
+        steps.append(after.path)
+        moved = after.totals.get("_moved") or 0
+        if not moved:
+            ended = spans.sparkSession.read.schema(after.frame.schema).parquet(*steps).where("not _seen")
+            return ended.select("_was", F.col("_now.doc_id").alias("_stays"))
+        moving = after.frame.where("_seen").select("_was", "_now")
+        if moved * PLACES_BYTES <= BROADCAST_BYTES:
+            moving = F.broadcast(moving)
 
 
 def _place() -> Column:
@@ -261,7 +274,7 @@ def _extensions(docs: DataFrame, some: DataFrame, later: DataFrame) -> DataFrame
     Only runs at the edges of what runs and stretches cover have such words.  The
     words beside a run, outwards, are its context.  Places with the same context are
     one from then on, so copies cost as much as one text; contexts that begin alike
-    meet by the hash of what they have in common.  Of each hash the first place
+    have the hash of what they have in common.  Of each hash the first place
     stays, so the longest of any earlier text counts and no pairs of texts are made.
     """
     inner = later.where("not line")
@@ -287,30 +300,84 @@ def _extensions(docs: DataFrame, some: DataFrame, later: DataFrame) -> DataFrame
     contexts = outward.frame.groupBy(*of).agg(F.min(_place()).alias("_first"), F.max("hashes").alias("_hashes"))
     contexts = Table(contexts, "passage-contexts")
     _free(docs)
-    begun = contexts.frame.select(*of, "_first", F.size("_hashes").alias("_n"), F.posexplode("_hashes").alias("k", "hash"))
-    node = ["uid", "side", "k", "hash"]
-    shared = begun.groupBy(*node).agg(F.min("_first").alias("_least"), F.count(F.lit(1)).alias("_of")).where("_of > 1")
-    met = begun.join(shared.drop("_of"), node).groupBy(*of).agg(
-        F.max(F.when(~F.col("_least").eqNullSafe(F.col("_first")), F.struct(F.col("k") + 1, "_least"))).alias("_longest"),
-        F.max(F.when(F.col("k") + 1 == F.col("_n"), F.col("_least"))).alias("_whole"),
-    )
-    reached = contexts.frame.join(met, of, "left").select(
-        *of, "_first", F.size("_hashes").alias("_n"), F.coalesce("_whole", "_first").alias("_whole"), "_longest"
-    )
+    sizes = contexts.frame.groupBy("uid", "side").agg(F.count(F.lit(1)).alias("_of"))
+    crowds = Table(sizes.where(F.col("_of") > GROUP_CONTEXTS).select("uid", "side"), "passage-crowds")
+    reached = _compared(contexts.frame.join(crowds.hinted(HASH_BYTES), ["uid", "side"], "left_anti"))
+    if crowds.rows:
+        crowded = contexts.frame.join(crowds.hinted(HASH_BYTES), ["uid", "side"], "left_semi")
+        reached = reached.unionByName(_dealt(crowded))
+    whole = F.when(F.col("_words") == F.col("_n"), F.col("_least")).otherwise(F.col("_first"))
+    reached = reached.withColumn("_whole", whole)
     # A place that is not the first of its context repeats all of it.
     here = edges.frame.withColumnRenamed("doc_id", "_id").join(outward.frame.drop("hashes"), ["uid", "side", "_key", "start"])
     here = here.where(F.col("doc_id").eqNullSafe(F.col("_id"))).join(reached, of)
     whole = ~_place().eqNullSafe(F.col("_first"))
-    words = F.when(whole, F.col("_n")).otherwise(F.col("_longest").getField("col1"))
-    first = F.when(whole, F.col("_whole")).otherwise(F.col("_longest._least"))
+    words = F.when(whole, F.col("_n")).otherwise(F.col("_words"))
+    first = F.when(whole, F.col("_whole")).otherwise(F.col("_least"))
     longest = here.select("doc_id", "_key", "start", "side", words.cast("bigint").alias("n"), first.alias("_first"))
     begin = F.when(F.col("side") < 0, F.col("start") - F.col("n")).otherwise(F.col("start") + MIN_WORDS)
     more = longest.where("n is not null").select("doc_id", "_key", begin.alias("start"), "n", "_first")
     more = Table(more, "passage-extensions")
-    _free(docs, edges, wanted, ask, outward, contexts)
+    _free(docs, edges, wanted, ask, outward, contexts, crowds)
     return more.frame
 
 
+def _compared(contexts: DataFrame) -> DataFrame:
+    """(uid, side, context, _first, _n, _words, _least) of contexts, few for each run and side.
+
+    _words is how many words a context has in common with an earlier one, at most,
+    and _least the first place of these; both are NULL if there are none.
+    """
+    kind = contexts.schema["_first"].dataType["doc_id"].dataType.simpleString()
+    place = f"struct<doc_id:{kind},_key:bigint,start:bigint>"
+    names = ["uid", "side", "context", "_first", "_n", "_words", "_least"]
+    steps = np.arange(WINDOW - 1)
+    groups = contexts.groupBy("uid", "side").agg(
+        F.array_sort(F.collect_list(F.struct("_first", "context", "_hashes"))).alias("_group")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = batch.column(2)
+            rows = group.flatten()
+            first, lists = rows.field("_first"), rows.field("_hashes")
+            of = np.repeat(np.arange(batch.num_rows), group.value_lengths().to_numpy())
+            sizes = lists.value_lengths().to_numpy()
+            hashes = np.zeros((len(of), len(steps)), np.int64)
+            hashes[steps < sizes[:, None]] = lists.flatten().to_numpy()
+            words, least = np.zeros(len(of), np.int32), np.zeros(len(of), np.int64)
+            for k in steps:
+                at = np.flatnonzero(sizes > k)
+                at = at[np.lexsort((hashes[at, k], of[at]))]  # stable, so earlier ones stay first
+                new = np.r_[True, (np.diff(of[at]) != 0) | (np.diff(hashes[at, k]) != 0)][: len(at)]
+                leading = at[new][np.cumsum(new) - 1]
+                later = leading != at
+                words[at[later]], least[at[later]] = k + 1, leading[later]
+            of, none = pa.array(of), words == 0
+            columns = [batch.column(0).take(of), batch.column(1).take(of), rows.field("context"), first,
+                       pa.array(sizes, pa.int32()), pa.array(words, mask=none), first.take(pa.array(least, mask=none))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return groups.mapInArrow(
+        run, f"uid bigint, side int, context bigint, _first {place}, _n int, _words int, _least {place}"
+    )
+
+
+def _dealt(contexts: DataFrame) -> DataFrame:
+    """What ``_compared`` gives, for any number of contexts for a run and side: each hash is a row."""
+    of, node = ["uid", "side", "context"], ["uid", "side", "k", "hash"]
+    begun = contexts.select(*of, "_first", F.posexplode("_hashes").alias("k", "hash"))
+    # A place has one context, so the first place and its context are one choice.
+    least = F.min(F.struct("_first", "context")).alias("_least")
+    shared = begun.groupBy(*node).agg(least, F.count(F.lit(1)).alias("_of")).where("_of > 1").drop("_of")
+    met = begun.drop("_first").join(shared, node).where(F.col("_least.context") != F.col("context"))
+    longest = F.max(F.struct((F.col("k") + 1).alias("words"), F.col("_least._first").alias("least")))
+    met = met.groupBy(*of).agg(longest.alias("_longest"))
+    return contexts.join(met, of, "left").select(
+        *of, "_first", F.size("_hashes").alias("_n"), F.col("_longest.words").alias("_words"), F.col("_longest.least").alias("_least")
+    )
+
+
 def _outward(texts: DataFrame) -> DataFrame:
     """(uid, doc_id, _key, start, side, context, hashes) of the words next to each place asked for.
 
