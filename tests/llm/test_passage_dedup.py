@@ -197,6 +197,45 @@ def test_contexts_deal_no_rows_for_their_hashes_unless_crowded(spark, monkeypatc
     assert sorted(map(str, P.repeated_passages(frame(spark, rows)).collect())) == few and calls
 
 
+def test_units_of_many_texts_are_those_of_each():
+    rng = random.Random(16)
+    texts = [None, "", "a b", "w " * 300, "x y\n" * 40, "q " * 16, "q " * 15, prose(rng, 5000)]
+    texts += [f"{prose(rng, rng.randint(0, 50))}\n{prose(rng, rng.randint(0, 50))}" for _ in range(200)]
+    of, *got = P._units([P._split(t) for t in texts])
+    for k, text in enumerate(texts):
+        assert all((part[of == k] == own).all() and (of == k).sum() == len(own) for part, own in zip(got, P.units(text)))
+
+
+def test_a_context_is_given_once_and_at_edges(spark, monkeypatch):
+    rng = random.Random(17)
+    passage = prose(rng, 60)
+    rows = [(k, f"{prose(rng, 30)} {passage} {prose(rng, 30)}") for k in range(3)]
+    rows += [(100 + k, rows[0][1]) for k in range(40)]
+    made, table = {}, P.Table
+
+    def kept(frame, purpose, **totals):
+        made[purpose] = table(frame, purpose, **totals)
+        return made[purpose]
+
+    monkeypatch.setattr(P, "Table", kept)
+    assert P.repeated_passages(frame(spark, rows).coalesce(1)).count() == 42
+    contexts, edges, given = (made[f"passage-{name}"].rows for name in ("contexts", "edges", "outward"))
+    places = sum(n == 16 for _, text in rows for n in P.units(text)[2])
+    assert contexts <= given <= contexts * spark.sparkContext.defaultParallelism + edges < places
+
+
+def test_tables_too_large_for_one_broadcast_go_in_parts(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr("id % 700 as uid", "id")
+    table = P.Table(spark.range(0, 700, 3).selectExpr("id as uid", "id + 1 as more"), "parts")
+    want = {how: sorted(map(str, rows.join(table.frame, "uid", how).collect())) for how in ("inner", "left", "left_semi")}
+    monkeypatch.setattr(P, "BROADCAST_BYTES", table.rows * P.HASH_BYTES // 3)
+    for how, expected in want.items():
+        joined = P._joined(rows, table, "uid", P.HASH_BYTES, how)
+        assert sorted(map(str, joined.collect())) == expected
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("Union") and "hashpartitioning" not in plan
+
+
 def test_only_places_that_moved_take_another_step(spark, monkeypatch):
     def place(d):
         return (d, 7, 0)

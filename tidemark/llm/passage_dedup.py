@@ -17,12 +17,14 @@ of what matches; of a class the first occurrence stays.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,12 @@ WINDOW = 22
 BANDS, ROWS = 6, 2
 SEED = 42  # as in Spark's xxhash64
 HASH_BYTES = 24
+#: Of a document's id and text hash, and of a class with its first place, broadcast likewise.
+DOC_BYTES, FIRST_BYTES = 32, 64
+#: Parts in which a table may be broadcast where it is too large for one; the rows are read once for each.
+PARTS = 8
+#: Words of texts that are hashed at once, or one text.
+HELD_WORDS = 1 << 15
 #: Of a pair of places that is broadcast.
 PLACES_BYTES = 160
 #: Contexts whose hashes a task knows it has given; beyond that it gives them again.
@@ -73,15 +81,36 @@ def units(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
     Bands are 0 for sub-paragraphs.
     """
+    return _units([_split(text)])[1:]
+
+
+def _split(text: str | None) -> tuple[list[bytes], list[list[bytes]]]:
+    """Lines of a text and the words of each."""
     lines = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
-    split = [line.split() for line in lines]
-    sizes = np.array([len(w) for w in split])
-    ends = np.cumsum(sizes)
-    long = np.flatnonzero(sizes >= MIN_WORDS)
-    if not len(ends) or ends[-1] < MIN_WORDS:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, BANDS), np.uint64)
+    return lines, [line.split() for line in lines]
+
+
+def _units(texts: list[tuple[list[bytes], list[list[bytes]]]]) -> tuple[np.ndarray, ...]:
+    """Which of the texts, and ``units`` of it, in the order of texts: their words stand one after the other, apart."""
     digest = xxhash.xxh64_intdigest
-    words = np.fromiter((digest(w) for line in split for w in line), np.uint64, int(ends[-1]))
+    size = np.array([sum(map(len, split)) for _, split in texts], np.int64)
+    base = np.cumsum(size + WINDOW) - size - WINDOW
+    words = np.zeros(int((size + WINDOW).sum()), np.uint64)
+    whole, first, sizes, of = [], [], [], []
+    for k, (lines, split) in enumerate(texts):
+        if size[k] < MIN_WORDS:
+            continue
+        words[base[k] : base[k] + size[k]] = np.fromiter(map(digest, chain.from_iterable(split)), np.uint64, int(size[k]))
+        counts = np.array([len(w) for w in split])
+        long = np.flatnonzero(counts >= MIN_WORDS)
+        whole += [digest(lines[i], SEED) for i in long]
+        first.append((np.cumsum(counts) - counts)[long] + base[k])
+        sizes.append(counts[long])
+        of.append(np.full(len(long), k))
+    if not of:
+        none = np.zeros(0, np.int64)
+        return none, none.view(np.uint64), none, none, np.zeros((0, BANDS), np.uint64)
+    first, sizes, of = (np.concatenate(part) for part in (first, sizes, of))
 
     powers = _powers(len(words))
     sums = np.r_[np.uint64(0), np.cumsum(words * powers[0][: len(words)], dtype=np.uint64)]
@@ -89,30 +118,34 @@ def units(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     def hashed(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _mixed((sums[end] - sums[begin]) * powers[1][begin]) ^ _mixed((end - begin).astype(np.uint64))
 
-    runs = np.arange(len(words) - MIN_WORDS + 1)
-    low = hashed(runs, runs + MIN_WORDS)
-    places = _places(low)
-    begin = np.r_[places, places[:-1]]
-    end = np.r_[places, places[1:]] + MIN_WORDS
-    inner = hashed(begin, end)
-
-    first = (ends - sizes)[long]
-    bands = _bands(words, first, sizes[long])
-    whole = np.fromiter((digest(lines[k], SEED) for k in long), np.uint64, len(long))
-    return (
-        np.r_[whole, inner],
-        np.r_[first, begin],
-        np.r_[sizes[long], end - begin],
-        np.r_[bands, np.zeros((len(inner), BANDS), np.uint64)],
-    )
-
-
-def _places(low: np.ndarray) -> np.ndarray:
-    """Places that have the lowest value of WINDOW in a row, or of all if there are fewer."""
-    window = min(WINDOW, len(low))
-    lowest = _sliding(np.minimum, low, window)
-    edge = np.zeros(window - 1, np.uint64)
-    return np.flatnonzero(_sliding(np.maximum, np.r_[edge, lowest, edge], window) == low)
+    places = _places(words, hashed, base, size - MIN_WORDS + 1)
+    text = np.searchsorted(base, places, "right") - 1
+    next_to = np.flatnonzero(text[:-1] == text[1:])
+    begin = np.r_[places, places[next_to]]
+    end = np.r_[places, places[next_to + 1]] + MIN_WORDS
+    bands = np.r_[_bands(words, first, sizes), np.zeros((len(begin), BANDS), np.uint64)]
+    uid = np.r_[np.array(whole, np.uint64), hashed(begin, end)]
+    of = np.r_[of, text, text[next_to]]
+    order = np.argsort(of, kind="stable")
+    of = of[order]
+    return of, uid[order], np.r_[first, begin][order] - base[of], np.r_[sizes, end - begin][order], bands[order]
+
+
+def _places(words: np.ndarray, hashed: Callable, base: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places whose run has the lowest hash of WINDOW in a row, or of all ``counts`` of a text if they are fewer."""
+    runs = np.zeros(len(words) + 1, np.int64)
+    long = counts > 0
+    runs[base[long]] += 1
+    runs[(base + counts)[long]] -= 1
+    runs = np.flatnonzero(np.cumsum(runs))
+    low = np.full(len(words) + WINDOW, np.iinfo(np.uint64).max)
+    low[runs] = hashed(runs, runs + MIN_WORDS)
+    starts = np.zeros(len(words) + 1, np.int64)
+    starts[base[long]] += 1
+    starts[(base + np.maximum(counts - WINDOW + 1, 1))[long]] -= 1
+    lowest = np.where(np.cumsum(starts)[:-1] > 0, _sliding(np.minimum, low, WINDOW)[: len(words)], 0)
+    highest = _sliding(np.maximum, np.r_[np.zeros(WINDOW - 1, np.uint64), lowest], WINDOW)
+    return runs[highest[runs] == low[runs]]
 
 
 def _sliding(choose: np.ufunc, values: np.ndarray, window: int) -> np.ndarray:
@@ -165,14 +198,18 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [units(t.as_py()) for t in batch.column(2)]
-            counts = [len(f[0]) for f in found]
-            if not sum(counts):
+            found, held, words = [], [], 0
+            for row in range(batch.num_rows):
+                held.append(_split(batch.column(2)[row].as_py()))
+                words += sum(map(len, held[-1][1]))
+                if words >= HELD_WORDS or row + 1 == batch.num_rows:
+                    of, *rest = _units(held)
+                    found.append((of + row + 1 - len(held), *rest))
+                    held, words = [], 0
+            of, uid, start, n, bands = (np.concatenate(part) for part in zip(*found))
+            if not len(of):
                 continue
-            of = pa.array(np.repeat(np.arange(len(found)), counts))
-            uid, start, n = (np.concatenate([f[k] for f in found]) for k in range(3))
-            bands = np.concatenate([f[3] for f in found])
-            full = bands.any(axis=1)
+            of, full = pa.array(of), bands.any(axis=1)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.r_[0, np.cumsum(np.where(full, BANDS, 0))], pa.int32()), pa.array(bands[full].view(np.int64).ravel())
             )
@@ -196,26 +233,27 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     units = Table(occurrences(docs), "passage-units")
     every = units.frame
     lines = every.where(F.size("bands") > 0)
-    near = _near_lines(docs, lines)
+    near = Table(_near_lines(docs, lines).withColumnRenamed("node", "uid"), "passage-near")
     twice = every.groupBy("uid").count().where("count > 1").select("uid")
-    seen = Table(twice.union(near.select(F.col("node").alias("uid"))).distinct(), "passage-repeated")
-    some = every.join(seen.hinted(HASH_BYTES), "uid", "left_semi")
+    seen = Table(twice.union(near.frame.select("uid")).distinct(), "passage-repeated")
+    some = _joined(every, seen, "uid", HASH_BYTES, "left_semi")
     places = Table(some.select("uid", "doc_id", "_key", "start", "n", (F.size("bands") > 0).alias("line")), "passage-occurrences")
     some = places.frame
     _free(docs, units, seen)
-    classes = some.join(near, some["uid"] == near["node"], "left")
+    classes = _joined(some, near, "uid", HASH_BYTES, "left")
     classes = classes.select(F.coalesce("root", "uid").alias("class"), *some.columns)
     first = Table(classes.groupBy("class").agg(F.min(_place()).alias("_first")), "passage-first")
-    later = classes.join(first.hinted(64), "class").where(~_place().eqNullSafe(F.col("_first")))
+    later = _joined(classes, first, "class", FIRST_BYTES).where(~_place().eqNullSafe(F.col("_first")))
     later = Table(later.select("uid", "doc_id", "_key", "start", "n", "line", "_first"), "passage-later").frame
-    _free(docs, first)
+    _free(docs, first, near)
     more = _extensions(docs, some, later)
     _free(docs, places)
     spans = later.select("doc_id", "_key", "start", "n", "_first").union(more)
-    found = spans.join(_staying(spans), F.col("_first").eqNullSafe(F.col("_was"))).groupBy("doc_id", "_key").agg(
-        F.collect_set(F.struct("start", "n")).alias("_spans"), F.collect_set("_stays").alias("kept_in")
+    stays = _staying(spans, _passed(spans))
+    found = spans.join(stays, F.col("_first").eqNullSafe(F.col("_was"))).groupBy("doc_id", "_key").agg(
+        F.collect_list(F.struct("start", "n")).alias("spans"), F.array_sort(F.collect_set("_stays")).alias("kept_in")
     )
-    return found.select("doc_id", "_key", _merged("_spans").alias("spans"), F.array_sort("kept_in").alias("kept_in"))
+    return found.mapInArrow(_with_merged_spans, found.schema)
 
 
 def _free(docs: DataFrame, *tables: Table) -> None:
@@ -230,14 +268,38 @@ def _free(docs: DataFrame, *tables: Table) -> None:
     docs.sparkSession._jvm.System.gc()
 
 
-def _staying(spans: DataFrame) -> DataFrame:
+def _joined(rows: DataFrame, table: Table, key: str, bytes_per_row: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with a table by ``key``, without a shuffle of the rows if a few broadcasts can hold the table."""
+    parts = -(-table.rows * bytes_per_row // BROADCAST_BYTES)
+    if not 1 < parts <= PARTS:
+        return rows.join(table.hinted(bytes_per_row), key, how)
+    part = F.pmod(F.xxhash64(key), F.lit(parts))
+    some = [rows.where(part == k).join(F.broadcast(table.frame.where(part == k)), key, how) for k in range(parts)]
+    return reduce(DataFrame.union, some)
+
+
+def _same_document() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of"))
+
+
+def _passed(spans: DataFrame) -> DataFrame:
+    """The spans of documents where something of ``spans`` was first: no other can be met on the way there."""
+    firsts = spans.select(F.col("_first.doc_id").alias("_id"), F.col("_first._key").alias("_of")).distinct()
+    firsts = Table(firsts, "passage-first-documents")
+    met = Table(spans.join(firsts.hinted(DOC_BYTES), _same_document(), "left_semi"), "passage-passed")
+    _free(spans, firsts)
+    return met.frame
+
+
+def _staying(spans: DataFrame, passed: DataFrame | None = None) -> DataFrame:
     """(_was, _stays): for each _first of ``spans`` the document where its words stay.
 
     A place chosen in one text need not be one in an earlier text with the same
     words, so a first place may lie in words that go; it is followed to where those
     were first.  Every step leads to an earlier place, and only places that moved
-    take another.
+    take another.  ``passed`` has all spans that steps may meet, if not all are given.
     """
+    passed = spans if passed is None else passed
     places = spans.select(F.col("_first").alias("_was")).distinct()
     now = Table(places.select("_was", F.col("_was").alias("_now")), "passage-staying")
     moving, steps = now.hinted(PLACES_BYTES), []
@@ -246,7 +308,7 @@ def _staying(spans: DataFrame) -> DataFrame:
            & (here >= 0) & (here < F.col("n")))
     to = F.struct("_first.doc_id", "_first._key", (F.col("_first.start") + here).alias("start"))
     while True:
-        found = moving.join(spans, met).select("_was", "_now", to.alias("_to"))
+        found = moving.join(passed, met).select("_was", "_now", to.alias("_to"))
         found = found.unionByName(moving.select("_was", "_now"), allowMissingColumns=True)
         found = found.groupBy("_was", "_now").agg(F.min("_to").alias("_to"))
         seen = F.col("_to").isNotNull()
@@ -277,24 +339,23 @@ def _extensions(docs: DataFrame, some: DataFrame, later: DataFrame) -> DataFrame
     have the hash of what they have in common.  Of each hash the first place
     stays, so the longest of any earlier text counts and no pairs of texts are made.
     """
-    inner = later.where("not line")
-    covered = inner.groupBy("doc_id", "_key").agg(_merged(F.collect_set(F.struct("start", "n"))).alias("_covered"))
-    covered = covered.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_of"), "_covered")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of"))
-    runs = inner.where(F.col("n") == MIN_WORDS).join(covered, same)
-    begins = F.exists("_covered", lambda c: c["start"] == F.col("start"))
-    ends = F.exists("_covered", lambda c: c["start"] + c["n"] == F.col("start") + F.col("n"))
-    sides = F.array(F.when(begins, -1), F.when(ends, 1))
-    edges = runs.select("uid", "doc_id", "_key", "start", F.explode(sides).alias("side")).where("side is not null")
+    inner = later.where("not line").groupBy("doc_id", "_key")
+    edges = _edges(inner.agg(F.collect_list(F.struct("uid", "start", "n")).alias("_units")))
     edges = Table(edges, "passage-edges")
     wanted = Table(edges.frame.select("uid", "side").distinct(), "passage-edge-runs")
     ask = some.where(~F.col("line") & (F.col("n") == MIN_WORDS)).join(wanted.hinted(HASH_BYTES), "uid")
-    ask = ask.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("uid", "start", "side")).alias("_asked"))
-    ask = Table(ask.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_of"), "_asked"), "passage-asked")
-    key = F.xxhash64("text")
-    texts = docs.join(ask.frame, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_of")))
-    outward = Table(_outward(texts.select("doc_id", "_of", "text", "_asked")), "passage-outward")
-    _free(docs)
+    ask = ask.withColumn("edge", F.lit(False)).unionByName(edges.frame.withColumn("edge", F.lit(True)), allowMissingColumns=True)
+    ask = ask.groupBy("doc_id", "_key").agg(
+        F.collect_set(F.struct("uid", "start", "side")).alias("_asked"),
+        F.collect_set(F.when(F.col("edge"), F.struct("start", "side"))).alias("_edges"),
+    )
+    ask = Table(ask.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_of"), "_asked", "_edges"), "passage-asked")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("_key"), "text")
+    if ask.small(DOC_BYTES):  # texts that nothing is asked of need no shuffle
+        texts = texts.join(F.broadcast(ask.frame.select("_id", "_of")), _same_document(), "left_semi")
+    texts = texts.join(ask.frame, _same_document())
+    outward = Table(_outward(texts.select("doc_id", "_key", "text", "_asked", "_edges")), "passage-outward")
+    _free(docs, edges, wanted, ask)
 
     of = ["uid", "side", "context"]
     contexts = outward.frame.groupBy(*of).agg(F.min(_place()).alias("_first"), F.max("hashes").alias("_hashes"))
@@ -309,8 +370,7 @@ def _extensions(docs: DataFrame, some: DataFrame, later: DataFrame) -> DataFrame
     whole = F.when(F.col("_words") == F.col("_n"), F.col("_least")).otherwise(F.col("_first"))
     reached = reached.withColumn("_whole", whole)
     # A place that is not the first of its context repeats all of it.
-    here = edges.frame.withColumnRenamed("doc_id", "_id").join(outward.frame.drop("hashes"), ["uid", "side", "_key", "start"])
-    here = here.where(F.col("doc_id").eqNullSafe(F.col("_id"))).join(reached, of)
+    here = outward.frame.where("edge").drop("hashes").join(reached, of)
     whole = ~_place().eqNullSafe(F.col("_first"))
     words = F.when(whole, F.col("_n")).otherwise(F.col("_words"))
     first = F.when(whole, F.col("_whole")).otherwise(F.col("_least"))
@@ -318,7 +378,7 @@ def _extensions(docs: DataFrame, some: DataFrame, later: DataFrame) -> DataFrame
     begin = F.when(F.col("side") < 0, F.col("start") - F.col("n")).otherwise(F.col("start") + MIN_WORDS)
     more = longest.where("n is not null").select("doc_id", "_key", begin.alias("start"), "n", "_first")
     more = Table(more, "passage-extensions")
-    _free(docs, edges, wanted, ask, outward, contexts, crowds)
+    _free(docs, outward, contexts, crowds)
     return more.frame
 
 
@@ -343,8 +403,7 @@ def _compared(contexts: DataFrame) -> DataFrame:
             first, lists = rows.field("_first"), rows.field("_hashes")
             of = np.repeat(np.arange(batch.num_rows), group.value_lengths().to_numpy())
             sizes = lists.value_lengths().to_numpy()
-            hashes = np.zeros((len(of), len(steps)), np.int64)
-            hashes[steps < sizes[:, None]] = lists.flatten().to_numpy()
+            hashes = _begun(lists)
             words, least = np.zeros(len(of), np.int32), np.zeros(len(of), np.int64)
             for k in steps:
                 at = np.flatnonzero(sizes > k)
@@ -363,10 +422,32 @@ def _compared(contexts: DataFrame) -> DataFrame:
     )
 
 
+def _begun(lists: pa.ListArray) -> np.ndarray:
+    """Hashes of the first word, the first two, ... of lists of word hashes, a row each."""
+    steps = np.arange(WINDOW - 1)
+    hashes = np.zeros((len(lists), len(steps)), np.int64)
+    hashes[steps < lists.value_lengths().to_numpy()[:, None]] = lists.flatten().to_numpy()
+    words, value = hashes.view(np.uint64), np.zeros(len(lists), np.uint64)
+    for k in steps:
+        words[:, k] = value = _mixed(value + words[:, k])
+    return hashes
+
+
 def _dealt(contexts: DataFrame) -> DataFrame:
     """What ``_compared`` gives, for any number of contexts for a run and side: each hash is a row."""
     of, node = ["uid", "side", "context"], ["uid", "side", "k", "hash"]
-    begun = contexts.select(*of, "_first", F.posexplode("_hashes").alias("k", "hash"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            inside = np.arange(WINDOW - 1) < lists.value_lengths().to_numpy()[:, None]
+            begun = pa.ListArray.from_arrays(
+                pa.array(np.r_[0, np.cumsum(inside.sum(axis=1))], pa.int32()), pa.array(_begun(lists)[inside])
+            )
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], begun], batch.schema.names)
+
+    chosen = contexts.select(*of, "_first", "_hashes")
+    begun = chosen.mapInArrow(run, chosen.schema).select(*of, "_first", F.posexplode("_hashes").alias("k", "hash"))
     # A place has one context, so the first place and its context are one choice.
     least = F.min(F.struct("_first", "context")).alias("_least")
     shared = begun.groupBy(*node).agg(least, F.count(F.lit(1)).alias("_of")).where("_of > 1").drop("_of")
@@ -379,15 +460,16 @@ def _dealt(contexts: DataFrame) -> DataFrame:
 
 
 def _outward(texts: DataFrame) -> DataFrame:
-    """(uid, doc_id, _key, start, side, context, hashes) of the words next to each place asked for.
+    """(uid, doc_id, _key, start, side, context, edge, hashes) of the words next to places asked for.
 
-    hashes are those of the first word, the first two, ... up to WINDOW - 1 words
-    outwards, and context stands for all of them.  A task gives them with the first
-    places of a context, and NULL with most others.  Places at the end of a text
-    have no such words and are left out.
+    hashes are those of up to WINDOW - 1 words outwards, one by one, and context
+    stands for all of them.  Of the places in a batch with the same context the
+    first is given, and those at edges.  A task gives hashes with the first places
+    of a context, and NULL with most others.  Places at the end of a text have no
+    such words and are left out.
     """
     kind = texts.schema["doc_id"].dataType.simpleString()
-    names = ["uid", "doc_id", "_key", "start", "side", "context", "hashes"]
+    names = ["uid", "doc_id", "_key", "start", "side", "context", "edge", "hashes"]
     steps = np.arange(WINDOW - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,60 +480,99 @@ def _outward(texts: DataFrame) -> DataFrame:
             for row in range(batch.num_rows):
                 split = batch.column(2)[row].as_py().encode("utf-8", "surrogatepass").split()
                 words = np.fromiter(map(digest, split), np.uint64, len(split))
-                asked = batch.column(3).slice(row, 1).flatten()
+                asked, edges = (batch.column(c).slice(row, 1).flatten() for c in (3, 4))
                 uid, start, side = (asked.field(f).to_numpy() for f in ("uid", "start", "side"))
                 at = np.where(side < 0, start - 1, start + MIN_WORDS)[:, None] + side[:, None] * steps
                 counts = ((at >= 0) & (at < len(words))).sum(axis=1)
                 some = counts > 0
+                edge = np.isin(2 * start + (side > 0), 2 * edges.field("start").to_numpy() + (edges.field("side").to_numpy() > 0))
                 beside = words[np.clip(at[some], 0, len(words) - 1)]
-                hashes, value = np.zeros_like(beside), np.zeros(len(beside), np.uint64)
-                for k in steps:
-                    hashes[:, k] = value = _mixed(value + beside[:, k])
-                found.append((np.full(len(beside), row), uid[some], start[some], side[some], counts[some], hashes))
+                found.append((np.full(len(beside), row), uid[some], start[some], side[some], counts[some], edge[some], beside))
             if not found:
                 continue
-            of, uid, start, side, counts, hashes = (np.concatenate(part) for part in zip(*found))
+            of, uid, start, side, counts, edge, beside = (np.concatenate(part) for part in zip(*found))
+            hashes, value = np.zeros_like(beside), np.zeros(len(beside), np.uint64)
+            for k in steps:
+                hashes[:, k] = value = _mixed(value + beside[:, k])
             context = _mixed(hashes[np.arange(len(of)), counts - 1] + counts.astype(np.uint64))
             marks = _mixed(context ^ uid.view(np.uint64)) + (side > 0).astype(np.uint64)
+            rank = np.zeros(batch.num_rows, np.int64)
+            ids = pa.table({"id": batch.column(0), "key": batch.column(1)})
+            order = pc.sort_indices(ids, sort_keys=[("id", "ascending"), ("key", "ascending")], null_placement="at_start")
+            rank[order.to_numpy()] = np.arange(len(rank))
+            order = np.lexsort((start, rank[of], marks))
             new = np.zeros(len(of), bool)
-            for place, mark in enumerate(marks.tolist()):
-                if mark not in given:
-                    given.add(mark)
-                    new[place] = True
+            new[order[np.r_[True, np.diff(marks[order]) != 0][: len(order)]]] = True
+            given_here = np.flatnonzero(new | edge)
+            of, uid, start, side, counts, edge, beside, context, marks, new = (
+                part[given_here] for part in (of, uid, start, side, counts, edge, beside, context, marks, new)
+            )
+            for place in np.flatnonzero(new).tolist():
+                mark = int(marks[place])
+                new[place] = mark not in given
+                given.add(mark)
             if len(given) > HELD_CONTEXTS:
                 given.clear()
             sizes = np.where(new, counts, 0)
             inside = steps < sizes[:, None]
             offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32), mask=np.r_[~new, False])
-            lists = pa.ListArray.from_arrays(offsets, pa.array(hashes[inside].view(np.int64)))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(beside[inside].view(np.int64)))
             of = pa.array(of)
             columns = [pa.array(uid), batch.column(0).take(of), batch.column(1).take(of), pa.array(start),
-                       pa.array(side), pa.array(context.view(np.int64)), lists]
+                       pa.array(side), pa.array(context.view(np.int64)), pa.array(edge), lists]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return texts.mapInArrow(
-        run, f"uid bigint, doc_id {kind}, _key bigint, start bigint, side int, context bigint, hashes array<bigint>"
+        run,
+        f"uid bigint, doc_id {kind}, _key bigint, start bigint, side int, context bigint, edge boolean, hashes array<bigint>",
     )
 
 
-def _merged(spans: Column | str) -> Column:
-    """Spans in order, those that overlap or touch made one."""
-    zero = F.array().cast("array<struct<start:bigint,n:bigint>>")
-
-    def add(done: Column, span: Column) -> Column:
-        last = F.element_at(done, -1)
-        meets = (F.size(done) > 0) & (span["start"] <= last["start"] + last["n"])
-        grown = F.struct(
-            last["start"].alias("start"),
-            (F.greatest(last["start"] + last["n"], span["start"] + span["n"]) - last["start"]).alias("n"),
-        )
-        return F.when(meets, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown))).otherwise(
-            F.concat(done, F.array(span))
-        )
-
-    ordered = F.array_sort(spans)
-    safe = F.filter(ordered, lambda s: s["n"] > 0)
-    return F.aggregate(safe, zero, add)
+def _merged(spans: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end of spans in order, those of a row that overlap or touch made one."""
+    of = np.repeat(np.arange(len(spans)), spans.value_lengths().to_numpy())
+    start, n = (spans.flatten().field(f).to_numpy() for f in ("start", "n"))
+    order = np.lexsort((start, of))
+    order = order[n[order] > 0]
+    of, start, end = of[order], start[order], (start + n)[order]
+    apart = of * (end.max(initial=0) + 1)  # rows never meet
+    reached = np.maximum.accumulate(end + apart)
+    first = np.flatnonzero(np.r_[True, (start + apart)[1:] > reached[:-1]][: len(of)])
+    last = np.r_[first[1:], len(of)] - 1
+    return of[first], start[first], (reached - apart)[last]
+
+
+def _with_merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        of, start, end = _merged(batch.column("spans"))
+        merged = pa.StructArray.from_arrays([pa.array(start), pa.array(end - start)], ["start", "n"])
+        offsets = np.searchsorted(of, np.arange(batch.num_rows + 1))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), merged)
+        columns = [lists if name == "spans" else batch.column(name) for name in batch.schema.names]
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+
+def _edges(repeated: DataFrame) -> DataFrame:
+    """(uid, doc_id, _key, start, side) of the runs at the edges of what a document's _units cover."""
+    kind = repeated.schema["doc_id"].dataType.simpleString()
+    names = ["uid", "doc_id", "_key", "start", "side"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = batch.column(2)
+            uid, start, n = (units.flatten().field(f).to_numpy() for f in ("uid", "start", "n"))
+            row = np.repeat(np.arange(len(units)), units.value_lengths().to_numpy())
+            of, begin, end = _merged(units)
+            apart = end.max(initial=0) + 1
+            first = np.isin(start + row * apart, begin + of * apart) & (n == MIN_WORDS)
+            last = np.isin(start + n + row * apart, end + of * apart) & (n == MIN_WORDS)
+            at = np.r_[np.flatnonzero(first), np.flatnonzero(last)]
+            side = np.repeat(np.array([-1, 1], np.int32), [first.sum(), last.sum()])
+            docs = pa.array(row[at])
+            columns = [pa.array(uid[at]), batch.column(0).take(docs), batch.column(1).take(docs), pa.array(start[at]), pa.array(side)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return repeated.mapInArrow(run, f"uid bigint, doc_id {kind}, _key bigint, start bigint, side int")
 
 
 def _near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
