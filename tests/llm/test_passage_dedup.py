@@ -230,10 +230,11 @@ def test_tables_too_large_for_one_broadcast_go_in_parts(spark, monkeypatch):
     want = {how: sorted(map(str, rows.join(table.frame, "uid", how).collect())) for how in ("inner", "left", "left_semi")}
     monkeypatch.setattr(P, "BROADCAST_BYTES", table.rows * P.HASH_BYTES // 3)
     for how, expected in want.items():
-        joined = P._joined(rows, table, "uid", P.HASH_BYTES, how)
-        assert sorted(map(str, joined.collect())) == expected
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" not in plan and plan.count("Union") and "hashpartitioning" not in plan
+        parts = list(P._joined(rows, table, "uid", P.HASH_BYTES, how))
+        plans = [part._jdf.queryExecution().executedPlan().toString() for part in parts]
+        assert len(parts) > 2 and not any("SortMergeJoin" in plan or "hashpartitioning" in plan for plan in plans)
+        tables, joined = P._written(iter(parts), "parts")
+        assert len(tables) == len(parts) and sorted(map(str, joined.collect())) == expected
 
 
 def test_only_places_that_moved_take_another_step(spark, monkeypatch):

@@ -18,7 +18,7 @@ of what matches; of a class the first occurrence stays.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -236,18 +236,19 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     near = Table(_near_lines(docs, lines).withColumnRenamed("node", "uid"), "passage-near")
     twice = every.groupBy("uid").count().where("count > 1").select("uid")
     seen = Table(twice.union(near.frame.select("uid")).distinct(), "passage-repeated")
-    some = _joined(every, seen, "uid", HASH_BYTES, "left_semi")
-    places = Table(some.select("uid", "doc_id", "_key", "start", "n", (F.size("bands") > 0).alias("line")), "passage-occurrences")
-    some = places.frame
+    columns = ["uid", "doc_id", "_key", "start", "n", (F.size("bands") > 0).alias("line")]
+    parts = (part.select(*columns) for part in _joined(every, seen, "uid", HASH_BYTES, "left_semi"))
+    places, some = _written(parts, "passage-occurrences")
     _free(docs, units, seen)
-    classes = _joined(some, near, "uid", HASH_BYTES, "left")
+    classes = some.join(near.hinted(HASH_BYTES), "uid", "left")
     classes = classes.select(F.coalesce("root", "uid").alias("class"), *some.columns)
     first = Table(classes.groupBy("class").agg(F.min(_place()).alias("_first")), "passage-first")
-    later = _joined(classes, first, "class", FIRST_BYTES).where(~_place().eqNullSafe(F.col("_first")))
-    later = Table(later.select("uid", "doc_id", "_key", "start", "n", "line", "_first"), "passage-later").frame
+    moved = ~_place().eqNullSafe(F.col("_first"))
+    parts = (part.where(moved).select(*some.columns, "_first") for part in _joined(classes, first, "class", FIRST_BYTES))
+    _, later = _written(parts, "passage-later")
     _free(docs, first, near)
     more = _extensions(docs, some, later)
-    _free(docs, places)
+    _free(docs, *places)
     spans = later.select("doc_id", "_key", "start", "n", "_first").union(more)
     stays = _staying(spans, _passed(spans))
     found = spans.join(stays, F.col("_first").eqNullSafe(F.col("_was"))).groupBy("doc_id", "_key").agg(
@@ -268,14 +269,25 @@ def _free(docs: DataFrame, *tables: Table) -> None:
     docs.sparkSession._jvm.System.gc()
 
 
-def _joined(rows: DataFrame, table: Table, key: str, bytes_per_row: int, how: str = "inner") -> DataFrame:
-    """``rows`` joined with a table by ``key``, without a shuffle of the rows if a few broadcasts can hold the table."""
+def _joined(rows: DataFrame, table: Table, key: str, bytes_per_row: int, how: str = "inner") -> Iterator[DataFrame]:
+    """``rows`` joined with a table by ``key``, in parts that need no shuffle of the rows if a few broadcasts hold the table."""
     parts = -(-table.rows * bytes_per_row // BROADCAST_BYTES)
     if not 1 < parts <= PARTS:
-        return rows.join(table.hinted(bytes_per_row), key, how)
+        yield rows.join(table.hinted(bytes_per_row), key, how)
+        return
     part = F.pmod(F.xxhash64(key), F.lit(parts))
-    some = [rows.where(part == k).join(F.broadcast(table.frame.where(part == k)), key, how) for k in range(parts)]
-    return reduce(DataFrame.union, some)
+    for k in range(parts):
+        yield rows.where(part == k).join(F.broadcast(table.frame.where(part == k)), key, how)
+
+
+def _written(parts: Iterator[DataFrame], purpose: str) -> tuple[list[Table], DataFrame]:
+    """Tables of the parts, and all their rows; one after the other, so that the driver holds one broadcast at a time."""
+    tables = []
+    for part in parts:
+        tables.append(Table(part, purpose))
+        _free(part)
+    spark, schema = tables[0].spark, tables[0].frame.schema
+    return tables, spark.read.schema(schema).parquet(*[table.path for table in tables])
 
 
 def _same_document() -> Column:
